@@ -99,3 +99,101 @@ SELECT d.doc_id,
   CASE WHEN b.doc_id IS NULL OR b.norm < 0.5 THEN '' ELSE b.keywords END AS keywords,
   coalesce(b.norm >= 0.5 AND b.norm > 1.0, false) AS over_one
 FROM cdocs d LEFT JOIN best b ON b.doc_id = d.doc_id""")
+
+# --- entity extraction --------------------------------------------------------
+from scribeflow import fixed_values as _fv  # noqa: E402
+
+VALUE_RE = _sql_str("(?i)" + _fv.VALUE_PATTERN)
+
+cte("lexicon", ["lex"], """
+SELECT label, term, string_split(lower(trim(term)), ' ') AS toks, len(string_split(lower(trim(term)), ' ')) AS n
+FROM lex WHERE label <> 'none'""")
+cte("poff", ["pieces"], """
+SELECT doc_id, pidx, CAST(sum(length(piece)) OVER (PARTITION BY doc_id ORDER BY pidx) - length(piece) AS BIGINT) AS start_char FROM pieces""")
+cte("ematch", ["tokw", "lexicon", "poff"], f"""
+SELECT w.doc_id, w.pos, x.label, x.n, {_span('x.n')} AS span_text, o.start_char
+FROM tokw w JOIN lexicon x
+  ON w.tl = x.toks[1] AND (x.n < 2 OR w.tl1 = x.toks[2]) AND (x.n < 3 OR w.tl2 = x.toks[3])
+JOIN (SELECT doc_id AS o_doc, pidx AS o_pidx, start_char FROM poff) o ON o.o_doc = w.doc_id AND o.o_pidx = w.pidx""")
+cte("text_ents_raw", ["ematch", "cdocs"], """
+SELECT m.doc_id, m.pos, m.label, m.span_text, CAST(m.start_char AS BIGINT) AS start_char,
+       CAST(m.start_char + length(m.span_text) AS BIGINT) AS end_char,
+       CASE WHEN m.label IN ('test_result', 'vital_sign', 'medication')
+            THEN substring(d.text, m.start_char + length(m.span_text) + 1, 50) END AS after
+FROM ematch m JOIN cdocs d USING (doc_id)""")
+cte("text_ents", ["text_ents_raw"], f"""
+SELECT doc_id, pos, label AS type, span_text AS name, start_char, end_char,
+       CASE WHEN yr THEN NULL ELSE v END AS value_text, CASE WHEN yr THEN NULL ELSE u END AS unit
+FROM (SELECT *, coalesce(TRY_CAST(v AS DOUBLE) > 1900 AND TRY_CAST(v AS DOUBLE) < 2100, false) AS yr
+      FROM (SELECT *, nullif(regexp_extract(after, {VALUE_RE}, 1), '') AS v,
+                      nullif(regexp_extract(after, {VALUE_RE}, 2), '') AS u FROM text_ents_raw))""")
+cte("pdf_docs", ["notes"], """
+SELECT doc_id FROM notes
+WHERE lower(CASE WHEN strpos(file_name, '.') > 0 THEN regexp_extract(file_name, '(\\.[^.]*)$', 1) ELSE '' END) = '.pdf'""")
+cte("tab_ents", ["table_rows", "lex", "pdf_docs"], """
+SELECT doc_id, 'test_result' AS type, name, CASE WHEN vn IS NULL THEN vs END AS value_text, vn AS value_num, unit,
+       page_number AS page, (CAST(page_number AS BIGINT) * 1000000 + table_index) * 1000000 + row_index AS pos
+FROM (SELECT *, CASE WHEN c0 IS NULL OR c0 = '' THEN '' ELSE trim(c0) END AS name,
+             CASE WHEN c1 IS NULL OR c1 = '' THEN '' ELSE trim(c1) END AS vs,
+             TRY_CAST(CASE WHEN c1 IS NULL OR c1 = '' THEN '' ELSE trim(c1) END AS DOUBLE) AS vn,
+             CASE WHEN n_cells > 2 AND c2 IS NOT NULL AND c2 <> '' THEN trim(c2) END AS unit
+      FROM table_rows WHERE n_cells >= 2)
+WHERE lower(name) IN (SELECT lower(term) FROM lex WHERE label = 'test_result')
+  AND doc_id IN (SELECT doc_id FROM pdf_docs)""")
+cte("ents_u", ["tab_ents", "text_ents", "cdocs"], """
+SELECT doc_id, 0 AS src_rank, type, name, value_text, value_num, unit, page, pos FROM tab_ents
+WHERE doc_id IN (SELECT doc_id FROM cdocs)
+UNION ALL
+SELECT doc_id, 1 AS src_rank, type, name, value_text, CAST(NULL AS DOUBLE), unit, CAST(NULL AS INTEGER), pos FROM text_ents""")
+cte("ents", ["ents_u"], """
+SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY f_rank, f_pos) - 1 AS INTEGER) AS seq,
+       type, name, value_text, value_num, unit, page, src_rank
+FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, type, lower(name)
+                                   ORDER BY src_rank, CASE WHEN src_rank = 0 THEN -pos ELSE pos END) AS w,
+                first_value(src_rank) OVER (PARTITION BY doc_id, type, lower(name) ORDER BY src_rank, pos) AS f_rank,
+                first_value(pos) OVER (PARTITION BY doc_id, type, lower(name) ORDER BY src_rank, pos) AS f_pos
+      FROM ents_u) WHERE w = 1""")
+
+# --- validation ---------------------------------------------------------------
+cte("rlook", ["rule_ranges", "rule_aliases"], """
+SELECT section, match_key, rule_key FROM (
+  SELECT *, row_number() OVER (PARTITION BY section, match_key ORDER BY rank, rule_ord) AS rn FROM (
+    SELECT DISTINCT section, key AS match_key, 0 AS rank, rule_ord, key AS rule_key FROM rule_ranges
+    UNION ALL SELECT section, alias_norm, 1, rule_ord, key FROM rule_aliases)) WHERE rn = 1""")
+cte("ents_k", ["ents", "rule_ranges", "rlook"], """
+SELECT e.*, s.section, l.rule_key
+FROM (SELECT *, replace(lower(trim(name)), ' ', '_') AS key_norm,
+             CASE type WHEN 'test_result' THEN 'blood_tests' WHEN 'vital_sign' THEN 'vital_signs' END AS sec FROM ents) e
+LEFT JOIN (SELECT DISTINCT section FROM rule_ranges) s ON s.section = e.sec
+LEFT JOIN rlook l ON l.section = s.section AND l.match_key = e.key_norm""")
+cte("fbest", ["ents_k", "rule_ranges"], """
+SELECT doc_id, seq, status, reason FROM (
+  SELECT e.doc_id, e.seq, r.status, r.reason,
+         row_number() OVER (PARTITION BY e.doc_id, e.seq
+                            ORDER BY CASE r.status WHEN 'critical' THEN 0 WHEN 'abnormal' THEN 1 ELSE 2 END, r.range_ord) AS rn
+  FROM ents_k e JOIN rule_ranges r ON r.section = e.section AND r.key = e.rule_key
+  WHERE e.value_num IS NOT NULL AND r.status IN ('critical', 'abnormal', 'normal')
+    AND (r.lo IS NULL OR e.value_num >= r.lo) AND (r.hi IS NULL OR e.value_num < r.hi)) WHERE rn = 1""")
+cte("normal_ranges", ["rule_ranges"], """
+SELECT section, key, arg_min(lo_text || ' - ' || hi_text, range_ord) AS normal_range
+FROM rule_ranges WHERE status = 'normal' GROUP BY section, key""")
+cte("findings", ["ents_k", "fbest", "normal_ranges"], f"""
+SELECT e.doc_id, e.seq, e.type, e.name AS test_name, e.value_text, e.value_num, e.unit,
+  CASE WHEN e.value_num IS NULL OR e.section IS NULL OR e.rule_key IS NULL OR b.status IS NULL THEN 'unknown' ELSE b.status END AS status,
+  CASE WHEN e.value_num IS NULL THEN '{_fv.REASON_NON_NUMERIC}'
+       WHEN e.section IS NULL THEN '{_fv.REASON_NO_RULESET}'
+       WHEN e.rule_key IS NULL THEN '{_fv.REASON_NOT_FOUND}'
+       WHEN b.status IS NULL THEN '{_fv.REASON_NO_RANGE}' ELSE b.reason END AS reason,
+  CASE WHEN b.status IS NOT NULL THEN coalesce(n.normal_range, 'N/A') END AS reference_range
+FROM ents_k e LEFT JOIN fbest b ON b.doc_id = e.doc_id AND b.seq = e.seq
+LEFT JOIN normal_ranges n ON n.section = e.section AND n.key = e.rule_key""")
+cte("vreport", ["cdocs", "findings"], """
+SELECT d.doc_id,
+  CAST(count(f.seq) AS BIGINT) AS total_validated,
+  CAST(count(f.seq) FILTER (WHERE f.status IN ('normal', 'unknown')) AS BIGINT) AS valid_count,
+  CAST(count(f.seq) FILTER (WHERE f.status IN ('critical', 'abnormal')) AS BIGINT) AS invalid_count,
+  CAST(count(f.seq) FILTER (WHERE f.status = 'abnormal') AS BIGINT) AS abnormal_count,
+  CAST(count(f.seq) FILTER (WHERE f.status = 'critical') AS BIGINT) AS critical_count,
+  coalesce(string_agg(f.test_name, '|' ORDER BY f.seq) FILTER (WHERE f.status = 'critical'), '') AS critical_names,
+  coalesce(string_agg(f.test_name, '|' ORDER BY f.seq) FILTER (WHERE f.status = 'abnormal'), '') AS abnormal_names
+FROM cdocs d LEFT JOIN findings f USING (doc_id) GROUP BY d.doc_id""")

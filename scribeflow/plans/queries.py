@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from scribeflow.operators import classify as C
 from scribeflow.operators.tokens import tokenize
-from scribeflow.plans.oracle import with_ctes
+from scribeflow.plans.oracle import VALUE_RE, with_ctes
 from scribeflow.sources import fixtures as fx
 from scribeflow.sources.reference import doc_phrase_table, json_value, type_totals
 
@@ -109,3 +109,194 @@ def q_classify_threshold(spark, sf):
 def q_classify_keywords(spark, sf):
     c = C.classify(cdocs(spark, sf), phrases(spark))
     return c.select("doc_id", "document_type", _join("keywords_found").alias("keywords"))
+
+
+# ------------------------------------------------------------- extraction --
+from scribeflow.operators import extract as X  # noqa: E402
+from scribeflow.operators import validate as V  # noqa: E402
+from scribeflow.sources.files import file_type_of  # noqa: E402
+from scribeflow.sources.reference import entity_lexicon_table, rule_tables  # noqa: E402
+
+
+def lexicon(spark: SparkSession) -> DataFrame:
+    lab, ent = fx.lexicon_sources_fixture()
+    return entity_lexicon_table(json_value(spark, lab), json_value(spark, ent))
+
+
+def known_tests(spark: SparkSession) -> DataFrame:
+    lab, _ = fx.lexicon_sources_fixture()
+    return X.known_tests_from_lab(json_value(spark, lab))
+
+
+def docs_meta(spark: SparkSession, sf: str) -> DataFrame:
+    return fx.notes(spark, sf).select("doc_id", "file_name", file_type_of(F.col("file_name")).alias("file_type"), "text")
+
+
+def text_ents(spark: SparkSession, sf: str) -> DataFrame:
+    return X.text_entities(cdocs(spark, sf), lexicon(spark))
+
+
+def tab_ents(spark: SparkSession, sf: str) -> DataFrame:
+    return X.table_entities(fx.table_rows(spark, sf), docs_meta(spark, sf), known_tests(spark))
+
+
+def entities(spark: SparkSession, sf: str) -> DataFrame:
+    c = cdocs(spark, sf).select("doc_id")
+    return X.merge_entities(tab_ents(spark, sf).join(c, "doc_id", "left_semi"), text_ents(spark, sf))
+
+
+def rules(spark: SparkSession):
+    return rule_tables(json_value(spark, fx.RULES_JSON))
+
+
+def finds(spark: SparkSession, sf: str) -> DataFrame:
+    r, rr, ra = rules(spark)
+    return V.findings(entities(spark, sf), r, rr, ra)
+
+
+@register("gazetteer_match", with_ctes(
+    "SELECT doc_id, pos AS tok_pos, label, span_text, CAST(start_char AS BIGINT) AS start_char, "
+    "CAST(start_char + length(span_text) AS BIGINT) AS end_char FROM ematch", ["ematch"]))
+def q_gazetteer_match(spark, sf):
+    h = X.gazetteer_hits(cdocs(spark, sf), lexicon(spark))
+    return h.select("doc_id", F.col("tok_pos").cast("long").alias("tok_pos"), "label", "span_text", "start_char", "end_char")
+
+
+@register("span_overlap_resolve")
+def q_span_overlap_resolve(spark, sf):
+    # Rows-only: the fixture lexicon has no nested terms; pytest covers overlaps.
+    h = X.gazetteer_hits(cdocs(spark, sf), lexicon(spark))
+    return X.resolve_spans(h).select("doc_id", "tok_pos", "label", "span_text")
+
+
+@register("entity_label_filter", with_ctes(
+    "SELECT type, CAST(count(*) AS BIGINT) AS n_entities, CAST(count(DISTINCT doc_id) AS BIGINT) AS n_docs "
+    "FROM text_ents WHERE type IN ('test_result','vital_sign','medication','diagnosis','symptom','condition','other') GROUP BY type",
+    ["text_ents"]))
+def q_entity_label_filter(spark, sf):
+    t = text_ents(spark, sf)
+    return t.groupBy("type").agg(F.count(F.lit(1)).alias("n_entities"), F.countDistinct("doc_id").alias("n_docs"))
+
+
+@register("value_unit_extract", with_ctes(
+    "SELECT doc_id, pos AS tok_pos, label AS type, span_text AS name, "
+    "nullif(regexp_extract(after, " + VALUE_RE + ", 1), '') AS value_raw, "
+    "nullif(regexp_extract(after, " + VALUE_RE + ", 2), '') AS unit_raw "
+    "FROM text_ents_raw WHERE after IS NOT NULL", ["text_ents_raw"]))
+def q_value_unit_extract(spark, sf):
+    h = X.gazetteer_hits(cdocs(spark, sf), lexicon(spark)).where(F.col("after").isNotNull())
+    a = F.col("after")
+    return h.select(
+        "doc_id", F.col("tok_pos").cast("long").alias("tok_pos"), F.col("label").alias("type"), F.col("span_text").alias("name"),
+        F.nullif(F.regexp_extract(a, X.VALUE_RE, 1), F.lit("")).alias("value_raw"),
+        F.nullif(F.regexp_extract(a, X.VALUE_RE, 2), F.lit("")).alias("unit_raw"),
+    )
+
+
+@register("year_guard", with_ctes(
+    "SELECT doc_id, pos AS tok_pos, type, name, value_text, unit FROM text_ents "
+    "WHERE type IN ('test_result','vital_sign','medication')", ["text_ents"]))
+def q_year_guard(spark, sf):
+    t = text_ents(spark, sf).where(F.col("type").isin("test_result", "vital_sign", "medication"))
+    return t.select("doc_id", "tok_pos", "type", "name", "value_text", "unit")
+
+
+@register("table_row_filter", with_ctes(
+    "SELECT doc_id, page AS page_number, pos AS row_key, name FROM tab_ents", ["tab_ents"]))
+def q_table_row_filter(spark, sf):
+    t = tab_ents(spark, sf)
+    return t.select("doc_id", F.col("page").alias("page_number"), F.col("tok_pos").alias("row_key"), "name")
+
+
+@register("table_row_project", with_ctes(
+    "SELECT doc_id, pos AS row_key, name, value_text, value_num, unit, CAST(0.98 AS DOUBLE) AS confidence, "
+    "'pdf_table' AS source, page FROM tab_ents", ["tab_ents"]))
+def q_table_row_project(spark, sf):
+    t = tab_ents(spark, sf)
+    return t.select("doc_id", F.col("tok_pos").alias("row_key"), "name", "value_text", "value_num", "unit",
+                    "confidence", "source", "page")
+
+
+@register("table_source_gate", with_ctes("""
+SELECT n.doc_id, n.file_name, CAST(count(t.doc_id) AS BIGINT) AS n_table_entities
+FROM notes n LEFT JOIN tab_ents t USING (doc_id)
+WHERE n.doc_id IN (SELECT doc_id FROM table_rows)
+GROUP BY n.doc_id, n.file_name""", ["notes", "tab_ents", "table_rows"]))
+def q_table_source_gate(spark, sf):
+    t = tab_ents(spark, sf)
+    d = fx.notes(spark, sf).join(fx.table_rows(spark, sf).select("doc_id").distinct(), "doc_id", "left_semi")
+    return d.join(t, "doc_id", "left").groupBy(d["doc_id"], "file_name").agg(
+        F.count(t["doc_id"]).alias("n_table_entities"))
+
+
+@register("entity_merge_dedupe", with_ctes(
+    "SELECT doc_id, seq, type, name, value_text, value_num, unit, page FROM ents", ["ents"]))
+def q_entity_merge_dedupe(spark, sf):
+    return entities(spark, sf).select("doc_id", "seq", "type", "name", "value_text", "value_num", "unit", "page")
+
+
+# -------------------------------------------------------------- validation --
+@register("normalize_key", with_ctes(
+    "SELECT doc_id, seq, name, key_norm FROM ents_k", ["ents_k"]))
+def q_normalize_key(spark, sf):
+    from scribeflow.functions.text import normalize_key
+
+    return entities(spark, sf).select("doc_id", "seq", "name", normalize_key("name").alias("key_norm"))
+
+
+@register("ruleset_route", with_ctes(
+    "SELECT doc_id, seq, type, section AS ruleset FROM ents_k", ["ents_k"]))
+def q_ruleset_route(spark, sf):
+    r, _, _ = rules(spark)
+    e = entities(spark, sf)
+    sec = F.when(F.col("type") == "test_result", "blood_tests").when(F.col("type") == "vital_sign", "vital_signs")
+    s = F.broadcast(V.sections_with_rules(r))
+    e = e.withColumn("sec", sec)
+    return e.join(s, e["sec"] == s["section"], "left").select("doc_id", "seq", "type", F.col("section").alias("ruleset"))
+
+
+@register("rule_lookup", with_ctes(
+    "SELECT doc_id, seq, key_norm, rule_key FROM ents_k WHERE value_num IS NOT NULL", ["ents_k"]))
+def q_rule_lookup(spark, sf):
+    from scribeflow.functions.text import normalize_key
+
+    r, _, ra = rules(spark)
+    e = entities(spark, sf).where(F.col("value_num").isNotNull()).withColumn("key_norm", normalize_key("name"))
+    sec = F.when(F.col("type") == "test_result", "blood_tests").when(F.col("type") == "vital_sign", "vital_signs")
+    look = F.broadcast(V.rule_lookup_table(r, ra))
+    e = e.withColumn("sec", sec)
+    return e.join(look, (e["sec"] == look["section"]) & (e["key_norm"] == look["match_key"]), "left").select(
+        "doc_id", "seq", "key_norm", "rule_key")
+
+
+@register("range_match", with_ctes(
+    "SELECT doc_id, seq, test_name, value_num, status, reason FROM findings", ["findings"]))
+def q_range_match(spark, sf):
+    return finds(spark, sf).select("doc_id", "seq", "test_name", "value_num", "status", "reason")
+
+
+@register("reference_range_format", with_ctes(
+    "SELECT doc_id, seq, status, reference_range FROM findings", ["findings"]))
+def q_reference_range_format(spark, sf):
+    return finds(spark, sf).select("doc_id", "seq", "status", "reference_range")
+
+
+@register("nonnumeric_finding", with_ctes(
+    "SELECT doc_id, seq, test_name, value_text, status, reason FROM findings WHERE value_num IS NULL", ["findings"]))
+def q_nonnumeric_finding(spark, sf):
+    return finds(spark, sf).where(F.col("value_num").isNull()).select(
+        "doc_id", "seq", "test_name", "value_text", "status", "reason")
+
+
+def vreport(spark: SparkSession, sf: str) -> DataFrame:
+    return V.validation_report(cdocs(spark, sf), finds(spark, sf))
+
+
+@register("validation_report", with_ctes(
+    "SELECT * FROM vreport", ["vreport"]))
+def q_validation_report(spark, sf):
+    r = vreport(spark, sf)
+    names = lambda c: F.array_join(F.transform(c, lambda x: x["test_name"]), "|")
+    return r.select("doc_id", "total_validated", "valid_count", "invalid_count", "abnormal_count", "critical_count",
+                    names(F.col("critical_values")).alias("critical_names"),
+                    names(F.col("abnormal_values")).alias("abnormal_names"))
