@@ -197,3 +197,84 @@ SELECT d.doc_id,
   coalesce(string_agg(f.test_name, '|' ORDER BY f.seq) FILTER (WHERE f.status = 'critical'), '') AS critical_names,
   coalesce(string_agg(f.test_name, '|' ORDER BY f.seq) FILTER (WHERE f.status = 'abnormal'), '') AS abnormal_names
 FROM cdocs d LEFT JOIN findings f USING (doc_id) GROUP BY d.doc_id""")
+
+# --- summaries ------------------------------------------------------------------
+def _layman_rows():
+    rows = []
+    for k, (m, l, e) in _fv.MEDICAL_TO_LAYMAN.items():
+        rows.append(("medical_to_layman", k, m, l, e))
+    for k, (m, l, e) in _fv.TEST_RESULT_TEMPLATES.items():
+        rows.append(("test_results", k, m, l, e))
+    return rows
+
+
+cte("layman", [], "SELECT * FROM " + fx._values(_layman_rows(), ["section", "key", "medical", "layman", "explanation"]))
+cte("meds", ["ents"], f"""
+SELECT doc_id, seq, name,
+  CASE WHEN value_num IS NOT NULL AND value_num <> 0 THEN CAST(value_num AS VARCHAR)
+       WHEN value_num IS NULL AND value_text <> '' THEN value_text ELSE '{_fv.NOT_SPECIFIED}' END AS dosage,
+  nullif(unit, '') AS unit, '{_fv.AS_PRESCRIBED}' AS frequency
+FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, lower(trim(name)) ORDER BY seq) AS rn FROM ents WHERE type = 'medication')
+WHERE rn = 1""")
+cte("eroll", ["cdocs", "ents", "meds"], """
+SELECT d.doc_id,
+  (SELECT count(*) FROM ents e WHERE e.doc_id = d.doc_id AND e.type = 'test_result') AS test_count,
+  (SELECT count(*) FROM ents e WHERE e.doc_id = d.doc_id AND e.type = 'vital_sign') AS vital_count,
+  (SELECT count(*) FROM meds m WHERE m.doc_id = d.doc_id) AS med_count,
+  (SELECT string_agg(m.name, ', ' ORDER BY m.seq) FROM meds m WHERE m.doc_id = d.doc_id) AS med_names
+FROM cdocs d""")
+_rule_case = "CASE " + " ".join(
+    f"WHEN contains(lower(test_name), '{n}') AND contains(lower(coalesce(reason, '')), '{r}') THEN '{lab}'"
+    for n, r, lab in _fv.DIAGNOSIS_RULES) + " END"
+cte("abn", ["findings"], f"""
+SELECT *, CASE status WHEN 'critical' THEN 0 ELSE 1 END AS srank, {_rule_case} AS rule_diag
+FROM findings WHERE status IN ('critical', 'abnormal')""")
+cte("diag_rows", ["abn", "ents"], """
+SELECT DISTINCT doc_id, diagnosis FROM (
+  SELECT doc_id, rule_diag AS diagnosis FROM abn WHERE rule_diag IS NOT NULL
+  UNION ALL
+  SELECT doc_id, array_to_string(list_transform(string_split(lower(name), ' '), lambda w: upper(w[1]) || w[2:]), ' ')
+  FROM ents WHERE type = 'condition')""")
+cte("diag_x", ["diag_rows", "layman"], """
+SELECT r.doc_id, r.diagnosis, coalesce(l.layman || ': ' || l.explanation, r.diagnosis) AS expl
+FROM diag_rows r LEFT JOIN layman l
+  ON l.section = 'medical_to_layman' AND l.key = replace(lower(split_part(r.diagnosis, ' (', 1)), ' ', '_')""")
+cte("diags", ["diag_x"], """
+SELECT doc_id, string_agg(diagnosis, '|' ORDER BY diagnosis) AS diagnoses,
+       string_agg(expl, ' ' ORDER BY diagnosis) AS health
+FROM diag_x GROUP BY doc_id""")
+cte("kf", ["abn"], """
+SELECT doc_id, string_agg(
+  (CASE status WHEN 'critical' THEN 'CRITICAL: ' ELSE 'ABNORMAL: ' END) || test_name || ' = ' ||
+  CAST(value_num AS VARCHAR) || coalesce(' ' || nullif(unit, ''), '') || ' (' || coalesce(reason, 'None') || ')',
+  '|' ORDER BY srank, seq) AS key_findings,
+  count(*) FILTER (WHERE status = 'critical') AS n_crit, count(*) FILTER (WHERE status = 'abnormal') AS n_abn
+FROM abn GROUP BY doc_id""")
+cte("summary", ["cdocs", "classification", "eroll", "kf", "diags", "layman"], """
+SELECT d.doc_id,
+  'Report: ' || d.file_name || chr(10) ||
+  'Type: ' || c.document_type || ' (confidence: ' ||
+     CAST(CAST(CASE WHEN c.confidence * 100 - floor(c.confidence * 100) = 0.5
+                    THEN CASE WHEN CAST(floor(c.confidence * 100) AS BIGINT) % 2 = 0 THEN floor(c.confidence * 100)
+                              ELSE floor(c.confidence * 100) + 1 END
+                    ELSE round(c.confidence * 100) END AS BIGINT) AS VARCHAR) || '%)' ||
+  CASE WHEN r.test_count + r.vital_count + r.med_count > 0 THEN chr(10) || 'Data extracted: ' ||
+    array_to_string(list_filter([
+      CASE WHEN r.test_count > 0 THEN CAST(r.test_count AS VARCHAR) || ' test result(s)' END,
+      CASE WHEN r.vital_count > 0 THEN CAST(r.vital_count AS VARCHAR) || ' vital sign(s)' END,
+      CASE WHEN r.med_count > 0 THEN CAST(r.med_count AS VARCHAR) || ' medication(s)' END], lambda x: x IS NOT NULL), ', ')
+    ELSE '' END ||
+  CASE WHEN coalesce(k.n_crit, 0) > 0 THEN chr(10) || 'Critical findings: ' || CAST(k.n_crit AS VARCHAR) || ' value(s) requiring immediate attention' ELSE '' END ||
+  CASE WHEN coalesce(k.n_abn, 0) > 0 THEN chr(10) || 'Abnormal findings: ' || CAST(k.n_abn AS VARCHAR) || ' value(s)' ELSE '' END ||
+  CASE WHEN coalesce(k.n_crit, 0) = 0 AND coalesce(k.n_abn, 0) = 0 THEN chr(10) || 'All validated findings are within normal ranges' ELSE '' END
+  AS document_summary,
+  coalesce(k.key_findings, 'All findings within normal limits') AS key_findings,
+  coalesce(g.diagnoses, '') AS diagnoses,
+  (SELECT explanation FROM layman WHERE section = 'test_results' AND key =
+     CASE WHEN coalesce(k.n_crit, 0) > 0 THEN 'critical' WHEN coalesce(k.n_abn, 0) > 0 THEN 'abnormal' ELSE 'normal' END)
+  || CASE WHEN r.med_count > 0 THEN chr(10) || chr(10) || 'Current medications mentioned in the report: ' || r.med_names || '.' ELSE '' END
+  || CASE WHEN g.health IS NOT NULL THEN chr(10) || chr(10) || 'Health findings: ' || g.health ELSE '' END
+  AS layman_explanation,
+  g.health
+FROM cdocs d JOIN classification c USING (doc_id) JOIN eroll r USING (doc_id)
+LEFT JOIN kf k USING (doc_id) LEFT JOIN diags g USING (doc_id)""")

@@ -300,3 +300,89 @@ def q_validation_report(spark, sf):
     return r.select("doc_id", "total_validated", "valid_count", "invalid_count", "abnormal_count", "critical_count",
                     names(F.col("critical_values")).alias("critical_names"),
                     names(F.col("abnormal_values")).alias("abnormal_names"))
+
+
+# --------------------------------------------------------------- summaries --
+from scribeflow.operators import summarize as S  # noqa: E402
+from scribeflow.sources.reference import default_dictionaries, layman_table  # noqa: E402
+
+
+def layman(spark: SparkSession) -> DataFrame:
+    return layman_table(default_dictionaries(spark)["layman_terms"])
+
+
+def summaries(spark: SparkSession, sf: str) -> DataFrame:
+    docs = cdocs(spark, sf)
+    cls = C.classify(docs, phrases(spark))
+    return S.summarize(docs, cls, entities(spark, sf), vreport(spark, sf), layman(spark))
+
+
+@register("abnormal_union", with_ctes(
+    "SELECT doc_id, string_agg(test_name || ':' || status, '|' ORDER BY srank, seq) AS abnormal_values FROM abn GROUP BY doc_id",
+    ["abn"]))
+def q_abnormal_union(spark, sf):
+    s = summaries(spark, sf).where(F.size("abnormal_values") > 0)
+    return s.select("doc_id", F.array_join(F.transform("abnormal_values", lambda f: F.concat(
+        f["test_name"], F.lit(":"), f["status"])), "|").alias("abnormal_values"))
+
+
+@register("medication_list", with_ctes("SELECT doc_id, seq, name, dosage, unit, frequency FROM meds", ["meds"]))
+def q_medication_list(spark, sf):
+    s = summaries(spark, sf).select("doc_id", F.explode("medications").alias("m"))
+    return s.select("doc_id", "m.seq", "m.name", "m.dosage", "m.unit", "m.frequency")
+
+
+@register("diagnosis_rules", with_ctes(
+    "SELECT doc_id, seq, test_name, rule_diag AS diagnosis FROM abn WHERE rule_diag IS NOT NULL", ["abn"]))
+def q_diagnosis_rules(spark, sf):
+    r = vreport(spark, sf).select("doc_id", F.explode(F.concat("critical_values", "abnormal_values")).alias("f"))
+    return r.select("doc_id", "f.seq", "f.test_name", S.diagnosis_of(F.col("f")).alias("diagnosis")).where(
+        F.col("diagnosis").isNotNull())
+
+
+@register("diagnosis_set", with_ctes("SELECT doc_id, diagnoses FROM summary", ["summary"]))
+def q_diagnosis_set(spark, sf):
+    return summaries(spark, sf).select("doc_id", _join("diagnoses").alias("diagnoses"))
+
+
+@register("key_findings", with_ctes("SELECT doc_id, key_findings FROM summary", ["summary"]))
+def q_key_findings(spark, sf):
+    return summaries(spark, sf).select("doc_id", _join("key_findings").alias("key_findings"))
+
+
+@register("format_value_unit", with_ctes(
+    "SELECT doc_id, seq, trim(concat_ws(' ', nullif(coalesce(CAST(value_num AS VARCHAR), value_text, 'None'), ''), "
+    "nullif(unit, ''))) AS value_unit FROM findings", ["findings"]))
+def q_format_value_unit(spark, sf):
+    f = finds(spark, sf)
+    return f.select("doc_id", "seq", S.format_value_unit(F.col("value_text"), F.col("value_num"), F.col("unit")).alias("value_unit"))
+
+
+@register("document_summary", with_ctes("SELECT doc_id, document_summary FROM summary", ["summary"]))
+def q_document_summary(spark, sf):
+    return summaries(spark, sf).select("doc_id", "document_summary")
+
+
+@register("layman_join", with_ctes("SELECT doc_id, diagnosis, expl FROM diag_x", ["diag_x"]))
+def q_layman_join(spark, sf):
+    lm = S.layman_map(layman(spark))
+    s = summaries(spark, sf).select("doc_id", F.explode("diagnoses").alias("diagnosis"))
+    return s.select("doc_id", "diagnosis", F.coalesce(F.element_at(lm, S.diagnosis_key(F.col("diagnosis"))),
+                                                      F.col("diagnosis")).alias("expl"))
+
+
+@register("layman_explanation", with_ctes("SELECT doc_id, layman_explanation FROM summary", ["summary"]))
+def q_layman_explanation(spark, sf):
+    return summaries(spark, sf).select("doc_id", "layman_explanation")
+
+
+@register("summary_text_format", with_ctes("""
+SELECT doc_id, trim(
+  repeat('=', 80) || chr(10) || document_summary || chr(10) || repeat('=', 80) || chr(10) || chr(10) ||
+  chr(10) || 'KEY FINDINGS:' || chr(10) || '  • ' || replace(key_findings, '|', chr(10) || '  • ') || chr(10) ||
+  chr(10) || 'POTENTIAL DIAGNOSES:' || CASE WHEN diagnoses = '' THEN '' ELSE chr(10) || '  • ' || replace(diagnoses, '|', chr(10) || '  • ') END || chr(10) ||
+  chr(10) || 'PATIENT-FRIENDLY EXPLANATION:' || chr(10) || layman_explanation || chr(10), chr(10) || ' ') || chr(10) AS summary_text
+FROM summary""", ["summary"]))
+def q_summary_text_format(spark, sf):
+    s = summaries(spark, sf)
+    return S.format_summary_text(s, ("document_summary", "key_findings", "diagnoses", "layman_explanation"))
