@@ -278,3 +278,37 @@ SELECT d.doc_id,
   g.health
 FROM cdocs d JOIN classification c USING (doc_id) JOIN eroll r USING (doc_id)
 LEFT JOIN kf k USING (doc_id) LEFT JOIN diags g USING (doc_id)""")
+
+# --- OCR word tables --------------------------------------------------------------
+from scribeflow.functions.text import PY_WS as _PY_WS  # noqa: E402
+
+_STRIP = _sql_str(f"^{_PY_WS}+|{_PY_WS}+$")
+cte("ocr_kept", ["ocr_words"], f"""
+SELECT * FROM (SELECT *, regexp_replace(text, {_STRIP}, '', 'g') AS word FROM ocr_words) WHERE word <> ''""")
+cte("ocr_seg", ["ocr_kept"], """
+SELECT *, sum(CASE WHEN new_line THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id, page_number ORDER BY seq
+                                                         ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS line_id
+FROM (SELECT *, (pb IS NULL OR pb <> block_num OR pp <> par_num OR pl <> line_num) AS new_line,
+                (pb IS NULL OR pb <> block_num OR pp <> par_num) AS new_par
+      FROM (SELECT *, lag(block_num) OVER w AS pb, lag(par_num) OVER w AS pp, lag(line_num) OVER w AS pl
+            FROM ocr_kept WINDOW w AS (PARTITION BY doc_id, page_number ORDER BY seq)))""")
+cte("ocr_tlines", ["ocr_seg"], """
+SELECT doc_id, page_number, line_id, string_agg(word, ' ' ORDER BY seq) AS line, arg_min(new_par, seq) AS new_par
+FROM ocr_seg GROUP BY doc_id, page_number, line_id""")
+cte("ocr_ptext", ["ocr_tlines"], f"""
+SELECT doc_id, page_number, regexp_replace(string_agg(
+    (CASE WHEN line_id = 1 THEN '' WHEN new_par THEN chr(10) || chr(10) ELSE chr(10) END) || line, '' ORDER BY line_id),
+  {_STRIP}, '', 'g') AS raw_text
+FROM ocr_tlines GROUP BY doc_id, page_number""")
+cte("ocr_pstats", ["ocr_words"], f"""
+SELECT doc_id, page_number,
+  coalesce(least(avg(c) FILTER (WHERE c > 0) / 100.0, 1.0), 0.0) AS conf_mean,
+  count(DISTINCT CASE WHEN block_num > 0 THEN (block_num, par_num, line_num) END) AS n_lines
+FROM (SELECT *, TRY_CAST(regexp_replace(conf, {_STRIP}, '', 'g') AS DOUBLE) AS c FROM ocr_words)
+GROUP BY doc_id, page_number""")
+cte("ocr_pages", ["ocr_pstats", "ocr_ptext"], """
+SELECT s.doc_id, CAST(row_number() OVER (PARTITION BY s.doc_id ORDER BY s.page_number) AS INTEGER) AS page_number,
+  s.page_number AS source_page, coalesce(t.raw_text, '') AS raw_text,
+  CASE WHEN coalesce(t.raw_text, '') = '' THEN 0.0 ELSE s.conf_mean END AS confidence,
+  CAST(CASE WHEN coalesce(t.raw_text, '') = '' THEN 0 ELSE s.n_lines END AS INTEGER) AS num_lines
+FROM ocr_pstats s LEFT JOIN ocr_ptext t USING (doc_id, page_number)""")

@@ -386,3 +386,56 @@ FROM summary""", ["summary"]))
 def q_summary_text_format(spark, sf):
     s = summaries(spark, sf)
     return S.format_summary_text(s, ("document_summary", "key_findings", "diagnoses", "layman_explanation"))
+
+
+# --------------------------------------------------------------------- OCR --
+from scribeflow.operators import ocr_text as O  # noqa: E402
+
+
+@register("ocr_word_filter", with_ctes("SELECT doc_id, page_number, seq, word FROM ocr_kept", ["ocr_kept"]))
+def q_ocr_word_filter(spark, sf):
+    return O.clean_words(fx.ocr_words(spark, sf)).select("doc_id", "page_number", "seq", "word")
+
+
+@register("ocr_line_segments", with_ctes(
+    "SELECT doc_id, page_number, seq, CAST(line_id AS BIGINT) AS line_id, new_par FROM ocr_seg", ["ocr_seg"]))
+def q_ocr_line_segments(spark, sf):
+    s = O.line_segments(fx.ocr_words(spark, sf))
+    return s.select("doc_id", "page_number", "seq", F.col("line_id").cast("long").alias("line_id"), "new_par")
+
+
+@register("ocr_page_text", with_ctes("SELECT doc_id, page_number, raw_text FROM ocr_ptext", ["ocr_ptext"]))
+def q_ocr_page_text(spark, sf):
+    return O.page_text(fx.ocr_words(spark, sf))
+
+
+@register("ocr_page_confidence", with_ctes(
+    "SELECT doc_id, source_page, confidence FROM ocr_pages", ["ocr_pages"]))
+def q_ocr_page_confidence(spark, sf):
+    return O.pages(fx.ocr_words(spark, sf)).select("doc_id", "source_page", "confidence")
+
+
+@register("ocr_page_line_count", with_ctes(
+    "SELECT doc_id, source_page, num_lines FROM ocr_pages", ["ocr_pages"]))
+def q_ocr_page_line_count(spark, sf):
+    return O.pages(fx.ocr_words(spark, sf)).select("doc_id", "source_page", "num_lines")
+
+
+@register("page_renumber", with_ctes(
+    "SELECT doc_id, source_page, page_number FROM ocr_pages", ["ocr_pages"]))
+def q_page_renumber(spark, sf):
+    return O.pages(fx.ocr_words(spark, sf)).select("doc_id", "source_page", "page_number")
+
+
+@register("doc_full_text", with_ctes(
+    "SELECT doc_id, string_agg(raw_text, " + "'\n\n--- Page Break ---\n\n'".replace("\n", "' || chr(10) || '") +
+    " ORDER BY page_number) AS full_text FROM ocr_pages GROUP BY doc_id", ["ocr_pages"]))
+def q_doc_full_text(spark, sf):
+    return O.full_text(O.pages(fx.ocr_words(spark, sf)))
+
+
+@register("doc_ocr_stats", with_ctes(
+    "SELECT doc_id, count(*) AS page_count, avg(confidence) AS avg_confidence, CAST(sum(num_lines) AS BIGINT) AS total_lines "
+    "FROM ocr_pages GROUP BY doc_id", ["ocr_pages"]))
+def q_doc_ocr_stats(spark, sf):
+    return O.ocr_stats(O.pages(fx.ocr_words(spark, sf)))
