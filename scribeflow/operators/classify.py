@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scribeflow import fixed_values as fv
+from scribeflow.functions.text import py_float_str
 from scribeflow.operators.tokens import match_dictionary
 from scribeflow.sources.reference import type_totals
 
@@ -82,7 +83,9 @@ def classify_scored(docs: DataFrame, norm: DataFrame, min_confidence: float = fv
         conf.alias("confidence"),
         F.when(F.col("b").isNull() | low, F.array().cast("array<string>")).otherwise(F.col("b.keywords")).alias("keywords_found"),
         F.when(~low & (conf > 1.0), F.concat(
-            F.lit("Classification failed: confidence "), conf.cast("string"), F.lit(" is above 1.0"))
+            F.lit("Classification failed: 1 validation error for DocumentClassification\nconfidence\n"
+                  "  Input should be less than or equal to 1 [type=less_than_equal, input_value="),
+            py_float_str(conf), F.lit(", input_type=float]"))
         ).alias("class_error"),
     )
 

@@ -70,7 +70,7 @@ def match_dictionary(
     text_col: str = "text",
     id_col: str = "doc_id",
     keep: tuple[str, ...] = (),
-    want_offsets: bool = False,
+    want_offsets: bool | Column = False,
     window_labels: tuple[str, ...] = (),
     window_chars: int = 50,
 ) -> DataFrame:
@@ -82,7 +82,8 @@ def match_dictionary(
     phrase in tokens.
 
     Returns per hit: doc_id, tok_pos, span_text (as written) + payload columns
-    (+ start_char, end_char when ``want_offsets``; + ``after`` = the
+    (+ start_char, end_char when ``want_offsets`` - a Column limits them to
+    the hits it is true for; + ``after`` = the
     ``window_chars`` characters after the span for rows whose ``label`` is in
     ``window_labels``).
     """
@@ -115,9 +116,11 @@ def match_dictionary(
                     F.when(F.col("n") == 1, F.col("z.s0.i")))
     out = hits.withColumn("span_text", span).withColumn("first_piece", first_i).withColumn("last_piece", last_i)
     extra = []
-    if want_offsets:
-        start = F.char_length(F.array_join(F.slice("pieces", 1, F.col("first_piece")), ""))
-        out = out.withColumn("start_char", start.cast("long"))
+    if want_offsets is not False:
+        start = F.char_length(F.array_join(F.slice("pieces", 1, F.col("first_piece")), "")).cast("long")
+        if isinstance(want_offsets, Column):
+            start = F.when(want_offsets, start)
+        out = out.withColumn("start_char", start)
         out = out.withColumn("end_char", (F.col("start_char") + F.char_length("span_text")).cast("long"))
         extra += ["start_char", "end_char"]
     if window_labels:

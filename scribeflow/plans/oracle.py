@@ -312,3 +312,33 @@ SELECT s.doc_id, CAST(row_number() OVER (PARTITION BY s.doc_id ORDER BY s.page_n
   CASE WHEN coalesce(t.raw_text, '') = '' THEN 0.0 ELSE s.conf_mean END AS confidence,
   CAST(CASE WHEN coalesce(t.raw_text, '') = '' THEN 0 ELSE s.n_lines END AS INTEGER) AS num_lines
 FROM ocr_pstats s LEFT JOIN ocr_ptext t USING (doc_id, page_number)""")
+
+# --- pipeline composition, packaging ------------------------------------------------
+_SUPPORTED = ", ".join(_sql_str(t) for t in _fv.SUPPORTED_FILE_TYPES)
+cte("acc", ["notes"], f"""
+SELECT * FROM (SELECT n.*, lower(CASE WHEN strpos(file_name, '.') > 0 THEN regexp_extract(file_name, '(\\.[^.]*)$', 1) ELSE '' END) AS file_type
+               FROM notes n) WHERE file_type IN ({_SUPPORTED})""")
+cte("pipe", ["acc", "classification", "vreport", "summary"], """
+SELECT a.doc_id, a.file_name, e.error_code,
+  CASE WHEN e.error_code IS NULL THEN 'success' ELSE 'failed' END AS processing_status,
+  CASE WHEN e.error_code IS NULL THEN c.document_type ELSE 'unknown' END AS document_type,
+  CASE WHEN e.error_code IS NULL THEN c.confidence ELSE CAST(0.0 AS DOUBLE) END AS classification_confidence,
+  CASE WHEN e.error_code IS NULL THEN v.total_validated ELSE 0 END AS total_validated,
+  CASE WHEN e.error_code IS NULL THEN v.valid_count ELSE 0 END AS valid_count,
+  CASE WHEN e.error_code IS NULL THEN v.invalid_count ELSE 0 END AS invalid_count,
+  CASE WHEN e.error_code IS NULL THEN v.abnormal_count ELSE 0 END AS abnormal_count,
+  CASE WHEN e.error_code IS NULL THEN v.critical_count ELSE 0 END AS critical_count,
+  CASE WHEN e.error_code IS NULL THEN s.document_summary ELSE '' END AS document_summary,
+  CASE WHEN e.error_code IS NULL THEN s.key_findings ELSE '' END AS key_findings,
+  CASE WHEN e.error_code IS NULL THEN s.diagnoses ELSE '' END AS diagnoses,
+  e.error_stage, e.message
+FROM acc a
+LEFT JOIN classification c USING (doc_id)
+LEFT JOIN vreport v USING (doc_id)
+LEFT JOIN summary s USING (doc_id)
+LEFT JOIN (
+  SELECT a2.doc_id,
+    CASE WHEN a2.text = '' THEN 'PIPELINE_ERROR' WHEN c2.over_one THEN 'CLASSIFICATION_ERROR' END AS error_code,
+    CASE WHEN a2.text = '' OR c2.over_one THEN 'ClassificationStage' END AS error_stage,
+    CASE WHEN a2.text = '' THEN 'Stage ''ClassificationStage'' missing required input: Required field ''scrubbed_text'' is empty' END AS message
+  FROM acc a2 LEFT JOIN classification c2 USING (doc_id)) e USING (doc_id)""")

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from scribeflow.operators import classify as C
 from scribeflow.operators.tokens import tokenize
+from scribeflow.plans.materialize import materialize, memo
 from scribeflow.plans.oracle import VALUE_RE, with_ctes
 from scribeflow.sources import fixtures as fx
 from scribeflow.sources.reference import doc_phrase_table, json_value, type_totals
@@ -42,9 +43,19 @@ def phrases(spark: SparkSession) -> DataFrame:
     return doc_phrase_table(json_value(spark, fx.doc_keywords_fixture()))
 
 
+def notes(spark: SparkSession, sf: str) -> DataFrame:
+    """The derived notes view, written once per session (test input)."""
+    return memo(spark, ("notes", sf), lambda: materialize(fx.notes(spark, sf), "notes"))
+
+
+def trows(spark: SparkSession, sf: str) -> DataFrame:
+    """The derived table-rows view, written once per session (test input)."""
+    return memo(spark, ("table_rows", sf), lambda: materialize(fx.table_rows(spark, sf), "table_rows"))
+
+
 def cdocs(spark: SparkSession, sf: str) -> DataFrame:
     """Notes that pass the classification gate (non-empty text)."""
-    return fx.notes(spark, sf).where(F.col("text") != "")
+    return notes(spark, sf).where(F.col("text") != "")
 
 
 def pmatches(spark: SparkSession, sf: str) -> DataFrame:
@@ -129,7 +140,7 @@ def known_tests(spark: SparkSession) -> DataFrame:
 
 
 def docs_meta(spark: SparkSession, sf: str) -> DataFrame:
-    return fx.notes(spark, sf).select("doc_id", "file_name", file_type_of(F.col("file_name")).alias("file_type"), "text")
+    return notes(spark, sf).select("doc_id", "file_name", file_type_of(F.col("file_name")).alias("file_type"), "text")
 
 
 def text_ents(spark: SparkSession, sf: str) -> DataFrame:
@@ -137,7 +148,7 @@ def text_ents(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def tab_ents(spark: SparkSession, sf: str) -> DataFrame:
-    return X.table_entities(fx.table_rows(spark, sf), docs_meta(spark, sf), known_tests(spark))
+    return X.table_entities(trows(spark, sf), docs_meta(spark, sf), known_tests(spark))
 
 
 def entities(spark: SparkSession, sf: str) -> DataFrame:
@@ -224,7 +235,7 @@ WHERE n.doc_id IN (SELECT doc_id FROM table_rows)
 GROUP BY n.doc_id, n.file_name""", ["notes", "tab_ents", "table_rows"]))
 def q_table_source_gate(spark, sf):
     t = tab_ents(spark, sf)
-    d = fx.notes(spark, sf).join(fx.table_rows(spark, sf).select("doc_id").distinct(), "doc_id", "left_semi")
+    d = notes(spark, sf).join(trows(spark, sf).select("doc_id").distinct(), "doc_id", "left_semi")
     return d.join(t, "doc_id", "left").groupBy(d["doc_id"], "file_name").agg(
         F.count(t["doc_id"]).alias("n_table_entities"))
 
@@ -439,3 +450,109 @@ def q_doc_full_text(spark, sf):
     "FROM ocr_pages GROUP BY doc_id", ["ocr_pages"]))
 def q_doc_ocr_stats(spark, sf):
     return O.ocr_stats(O.pages(fx.ocr_words(spark, sf)))
+
+
+# ---------------------------------------------------- pipeline / packaging --
+from scribeflow.operators import control as K  # noqa: E402
+from scribeflow.operators import package as P  # noqa: E402
+from scribeflow.plans import pipeline as PL  # noqa: E402
+from scribeflow.sources.files import split_supported  # noqa: E402
+
+
+def fixture_dicts(spark: SparkSession) -> PL.Dictionaries:
+    lab, ent = fx.lexicon_sources_fixture()
+    r, rr, ra = rules(spark)
+    return PL.Dictionaries(phrases=phrases(spark), lexicon=lexicon(spark), known_tests=known_tests(spark),
+                           rules=r, ranges=rr, aliases=ra, layman=layman(spark))
+
+
+NOTE_STAGES = ["phi_scrubbing", "classification", "extraction", "validation", "summarization", "packaging"]
+
+
+def pipeline_result(spark: SparkSession, sf: str, stages=None) -> PL.PipelineResult:
+    key = (spark.sparkContext.applicationId, sf, tuple(stages or NOTE_STAGES))
+    if key not in _PIPE:
+        _PIPE[key] = _pipeline(spark, sf, stages)
+    return _PIPE[key]
+
+
+_PIPE: dict = {}
+
+
+def _pipeline(spark: SparkSession, sf: str, stages=None) -> PL.PipelineResult:
+    docs = notes(spark, sf).select("doc_id", "file_name", file_type_of(F.col("file_name")).alias("file_type"),
+                        (F.col("doc_id") + 1000).alias("file_size_bytes"), F.col("text").alias("full_text"))
+    accepted, _ = split_supported(docs)
+    return PL.run(accepted, fixture_dicts(spark), active_stages=stages or NOTE_STAGES,
+                  table_rows=trows(spark, sf))
+
+
+def reports(spark: SparkSession, sf: str) -> DataFrame:
+    return pipeline_result(spark, sf).reports
+
+
+@register("pipeline_compose", with_ctes("""
+SELECT doc_id, file_name, processing_status, document_type, classification_confidence, total_validated, valid_count,
+       invalid_count, abnormal_count, critical_count, document_summary, key_findings, diagnoses FROM pipe""", ["pipe"]))
+def q_pipeline_compose(spark, sf):
+    r = reports(spark, sf)
+    return r.select("doc_id", "file_name", "processing_status", "document_type", "classification_confidence",
+                    "validation_summary.*", "summary.document_summary",
+                    _join("summary.key_findings").alias("key_findings"), _join("summary.diagnoses").alias("diagnoses"))
+
+
+@register("required_input_gate", with_ctes(
+    "SELECT doc_id, error_stage, message FROM pipe WHERE error_code = 'PIPELINE_ERROR'", ["pipe"]))
+def q_required_input_gate(spark, sf):
+    d = pipeline_result(spark, sf).documents
+    e = d.select("doc_id", F.explode("errors").alias("e")).where(F.col("e.error_code") == "PIPELINE_ERROR")
+    return e.select("doc_id", F.col("e.stage").alias("error_stage"), F.col("e.message").alias("message"))
+
+
+@register("error_record", with_ctes(
+    "SELECT doc_id, error_code, error_stage, true AS recoverable FROM pipe WHERE error_code IS NOT NULL", ["pipe"]))
+def q_error_record(spark, sf):
+    d = pipeline_result(spark, sf).documents
+    e = d.select("doc_id", F.explode("errors").alias("e"))
+    return e.select("doc_id", F.col("e.error_code").alias("error_code"), F.col("e.stage").alias("error_stage"),
+                    F.col("e.recoverable").alias("recoverable"))
+
+
+@register("status_route", with_ctes(
+    "SELECT processing_status, error_code, CAST(count(*) AS BIGINT) AS n FROM pipe GROUP BY processing_status, error_code",
+    ["pipe"]))
+def q_status_route(spark, sf):
+    d = pipeline_result(spark, sf).documents
+    return d.select("status", F.element_at("errors", 1)["error_code"].alias("error_code")).groupBy(
+        F.col("status").alias("processing_status"), "error_code").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("phi_scrub", with_ctes(
+    "SELECT doc_id, length(text) AS n_chars, text AS scrubbed_text FROM cdocs", ["cdocs"]))
+def q_phi_scrub(spark, sf):
+    from scribeflow.operators.scrub import scrub
+
+    c = cdocs(spark, sf)
+    return c.select("doc_id", F.char_length("text").cast("long").alias("n_chars"), scrub(F.col("text")).alias("scrubbed_text"))
+
+
+@register("entities_by_type", with_ctes("""
+SELECT e.doc_id, e.type || 's' AS type_key, CAST(count(*) AS BIGINT) AS n_items, string_agg(e.name, '|' ORDER BY e.seq) AS names
+FROM ents e JOIN pipe p ON p.doc_id = e.doc_id AND p.processing_status = 'success'
+GROUP BY e.doc_id, e.type""", ["ents", "pipe"]))
+def q_entities_by_type(spark, sf):
+    r = reports(spark, sf).select("doc_id", F.explode("extracted_entities").alias("type_key", "items"))
+    return r.select("doc_id", "type_key", F.size("items").cast("long").alias("n_items"),
+                    F.array_join(F.transform("items", lambda x: x["name"]), "|").alias("names"))
+
+
+@register("report_json", with_ctes("""
+SELECT doc_id, file_name, document_type, processing_status, CAST(total_validated AS BIGINT) AS total_validated,
+       document_summary FROM pipe""", ["pipe"]))
+def q_report_json(spark, sf):
+    j = P.report_json(reports(spark, sf))
+    g = lambda path: F.get_json_object("json", path)
+    return j.select("doc_id", "file_name", g("$.document_type").alias("document_type"),
+                    g("$.processing_status").alias("processing_status"),
+                    g("$.validation_summary.total_validated").cast("long").alias("total_validated"),
+                    g("$.summary.document_summary").alias("document_summary"))
