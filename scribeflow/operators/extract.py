@@ -121,7 +121,7 @@ def table_rows_from_tables(pdf_tables: DataFrame) -> DataFrame:
 def table_entities(table_rows: DataFrame, docs: DataFrame, known_tests: DataFrame) -> DataFrame:
     """Table entities.  ``docs`` has (doc_id, file_type); ``known_tests`` has
     (key_lower) for the blood-test dictionary keys."""
-    c0, c1, c2 = (F.element_at("cells", i) for i in (1, 2, 3))
+    c0, c1, c2 = (F.try_element_at("cells", F.lit(i)) for i in (1, 2, 3))
     r = table_rows.where(F.size("cells") >= 2).select(
         "doc_id", "page_number", "table_index", "row_index",
         F.when(c0.isNull() | (c0 == ""), F.lit("")).otherwise(py_strip(c0)).alias("name"),

@@ -96,10 +96,10 @@ def match_dictionary(
         F.posexplode(F.arrays_zip(*[F.col(f"s{k}") for k in range(m)])).alias("tok_pos", "z"),
     ).withColumn("t0", F.lower(F.col("z.s0.p")))
 
-    dic = dictionary.withColumn("p0", F.element_at("toks", 1))
+    dic = dictionary.withColumn("p0", F.try_element_at("toks", F.lit(1)))
     cond = F.col("t0") == F.col("p0")
     for k in range(1, m):
-        cond = cond & ((F.col("n") <= k) | (F.lower(F.col(f"z.s{k}.p")) == F.element_at("toks", k + 1)))
+        cond = cond & ((F.col("n") <= k) | (F.lower(F.col(f"z.s{k}.p")) == F.try_element_at("toks", F.lit(k + 1))))
     hits = ex.join(dic, cond, "inner")
 
     # span text: tokens as written with the blank (or nothing) between them

@@ -72,7 +72,7 @@ def findings(entities: DataFrame, rules: DataFrame, ranges: DataFrame, aliases:
         lambda r: (~F.isnan(v) & (r["lo"].isNull() | (v >= r["lo"])) & (r["hi"].isNull() | (v < r["hi"])))
         | (F.isnan(v) & r["lo"].isNull() & r["hi"].isNull()),
     )
-    first = F.element_at(hit, 1)
+    first = F.try_element_at(hit, F.lit(1))
     numeric = v.isNotNull()
     status = (
         F.when(~numeric, F.lit("unknown"))

@@ -342,3 +342,19 @@ LEFT JOIN (
     CASE WHEN a2.text = '' OR c2.over_one THEN 'ClassificationStage' END AS error_stage,
     CASE WHEN a2.text = '' THEN 'Stage ''ClassificationStage'' missing required input: Required field ''scrubbed_text'' is empty' END AS message
   FROM acc a2 LEFT JOIN classification c2 USING (doc_id)) e USING (doc_id)""")
+
+# --- sources / dictionaries with usage --------------------------------------------
+cte("files_ing", ["files"], """
+SELECT path, name AS file_name,
+  CASE WHEN rp > 0 AND length(name) - rp > 0 AND length(name) - rp < length(name) - 1
+       THEN lower(substring(name, length(name) - rp + 1)) ELSE '' END AS file_type,
+  CAST(length AS BIGINT) AS file_size_bytes, 'processing' AS status
+FROM (SELECT path, length, regexp_extract(path, '[^/]*$') AS name, strpos(reverse(regexp_extract(path, '[^/]*$')), '.') AS rp
+      FROM files)""")
+cte("csv_keys", ["ents"], """
+SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY first_seq, first_kpos) - 1 AS INTEGER) AS col_pos, key
+FROM (SELECT doc_id, key, arg_min(seq, seq * 16 + kpos) AS first_seq, arg_min(kpos, seq * 16 + kpos) AS first_kpos FROM (
+        SELECT doc_id, seq, 0 AS kpos, 'name' AS key FROM ents WHERE name IS NOT NULL
+        UNION ALL SELECT doc_id, seq, 1, 'value' FROM ents WHERE value_text IS NOT NULL OR value_num IS NOT NULL
+        UNION ALL SELECT doc_id, seq, 2, 'unit' FROM ents WHERE unit IS NOT NULL
+        UNION ALL SELECT doc_id, seq, 3, 'page' FROM ents WHERE page IS NOT NULL) GROUP BY doc_id, key)""")

@@ -234,10 +234,10 @@ FROM notes n LEFT JOIN tab_ents t USING (doc_id)
 WHERE n.doc_id IN (SELECT doc_id FROM table_rows)
 GROUP BY n.doc_id, n.file_name""", ["notes", "tab_ents", "table_rows"]))
 def q_table_source_gate(spark, sf):
-    t = tab_ents(spark, sf)
+    t = tab_ents(spark, sf).select(F.col("doc_id").alias("_tid"))
     d = notes(spark, sf).join(trows(spark, sf).select("doc_id").distinct(), "doc_id", "left_semi")
-    return d.join(t, "doc_id", "left").groupBy(d["doc_id"], "file_name").agg(
-        F.count(t["doc_id"]).alias("n_table_entities"))
+    return d.join(t, d["doc_id"] == t["_tid"], "left").groupBy("doc_id", "file_name").agg(
+        F.count("_tid").alias("n_table_entities"))
 
 
 @register("entity_merge_dedupe", with_ctes(
@@ -523,7 +523,7 @@ def q_error_record(spark, sf):
     ["pipe"]))
 def q_status_route(spark, sf):
     d = pipeline_result(spark, sf).documents
-    return d.select("status", F.element_at("errors", 1)["error_code"].alias("error_code")).groupBy(
+    return d.select("status", F.try_element_at("errors", F.lit(1))["error_code"].alias("error_code")).groupBy(
         F.col("status").alias("processing_status"), "error_code").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -556,3 +556,149 @@ def q_report_json(spark, sf):
                     g("$.processing_status").alias("processing_status"),
                     g("$.validation_summary.total_validated").cast("long").alias("total_validated"),
                     g("$.summary.document_summary").alias("document_summary"))
+
+
+# ------------------------------------------------------------ sources/sinks --
+from scribeflow.plans.materialize import materialize as _mat  # noqa: E402,F401
+from scribeflow.session import scratch_path  # noqa: E402
+from scribeflow.sinks import writers as W  # noqa: E402
+from scribeflow.sources.files import ingest  # noqa: E402
+from scribeflow.sources.reference import load_reference_json, type_totals as _tt  # noqa: E402,F401
+
+_SUPPORTED_SQL = ", ".join("'" + t + "'" for t in __import__("scribeflow.fixed_values", fromlist=["x"]).SUPPORTED_FILE_TYPES)
+
+
+@register("ingest_files", with_ctes("SELECT path, file_name, file_type, file_size_bytes, status FROM files_ing", ["files_ing"]))
+def q_ingest_files(spark, sf):
+    return ingest(fx.files(spark, sf)).drop("doc_id")
+
+
+@register("ingest_supported_split", with_ctes(
+    "SELECT path, file_type IN (" + _SUPPORTED_SQL + ") AS accepted, "
+    "CASE WHEN file_type IN (" + _SUPPORTED_SQL + ") THEN NULL ELSE 'Unsupported file type: ' || file_type END AS message "
+    "FROM files_ing", ["files_ing"]))
+def q_ingest_supported_split(spark, sf):
+    acc, rej = split_supported(ingest(fx.files(spark, sf)))
+    a = acc.select("path", F.lit(True).alias("accepted"), F.lit(None).cast("string").alias("message"))
+    r = rej.select("path", F.lit(False).alias("accepted"), "message")
+    return a.unionByName(r)
+
+
+@register("load_reference_json")
+def q_load_reference_json(spark, sf):
+    # A keyword dictionary derived from the note headers, written as one JSON
+    # document and read back through the dictionary loader (rows-only check).
+    n = notes(spark, sf).where(F.col("text") != "")
+    header = F.substring_index("text", "\n", 1)
+    types = F.element_at(F.array(*[F.lit(t) for t in ("lab_report", "prescription", "patient_history")]),
+                         (F.col("doc_id") % 3 + 1).cast("int"))
+    ph = n.select(types.alias("t"), F.explode(F.split(header, " ; ")).alias("p")).where(F.col("p") != "")
+    per_type = ph.groupBy("t").agg(F.array_sort(F.collect_set("p")).alias("keywords"))
+    doc = per_type.agg(F.to_json(F.map_from_entries(F.collect_list(F.struct(
+        "t", F.struct("keywords", F.array().cast("array<string>").alias("indicators")))))).alias("value"))
+    path = scratch_path(spark, "derived_keywords")
+    doc.coalesce(1).write.mode("overwrite").text(path)
+    loaded = load_reference_json(spark, path)
+    return doc_phrase_table(loaded).select("doc_type", "phrase_lower", "weight", "n")
+
+
+@register("doc_phrase_table", with_ctes("""
+SELECT p.doc_type, p.phrase_lower, p.weight, CAST(len(p.toks) AS INTEGER) AS n,
+       CAST(count(m.doc_id) AS BIGINT) AS n_hits
+FROM phrases p LEFT JOIN pmatch m ON m.doc_type = p.doc_type AND lower(m.span_text) = p.phrase_lower
+GROUP BY p.doc_type, p.phrase_lower, p.weight, len(p.toks)""", ["phrases", "pmatch"]))
+def q_doc_phrase_table(spark, sf):
+    ph = phrases(spark)
+    m = pmatches(spark, sf).select("doc_id", F.col("doc_type").alias("_t"), F.lower("span_text").alias("_pl"))
+    j = ph.join(m, (ph["doc_type"] == m["_t"]) & (ph["phrase_lower"] == m["_pl"]), "left")
+    return j.groupBy("doc_type", "phrase_lower", "weight", "n").agg(F.count("doc_id").alias("n_hits"))
+
+
+@register("entity_lexicon_table", with_ctes("""
+SELECT x.label, x.term, CAST(x.n AS INTEGER) AS n, CAST(count(m.doc_id) AS BIGINT) AS n_hits
+FROM lexicon x LEFT JOIN ematch m ON m.label = x.label AND lower(m.span_text) = lower(x.term)
+GROUP BY x.label, x.term, x.n""", ["lexicon", "ematch"]))
+def q_entity_lexicon_table(spark, sf):
+    lx = lexicon(spark)
+    h = X.gazetteer_hits(cdocs(spark, sf), lx).select("doc_id", F.col("label").alias("_l"), F.lower("span_text").alias("_s"))
+    j = lx.join(h, (lx["label"] == h["_l"]) & (F.lower(lx["term"]) == h["_s"]), "left")
+    return j.groupBy("label", "term", "n").agg(F.count("doc_id").alias("n_hits"))
+
+
+@register("rule_range_table", with_ctes("""
+SELECT r.section, r.key, CAST(r.range_ord AS INTEGER) AS range_ord, r.status, r.lo, r.hi, r.lo_text, r.hi_text, r.reason,
+       CAST(count(f.doc_id) AS BIGINT) AS n_findings
+FROM rule_ranges r LEFT JOIN findings f
+  ON replace(lower(trim(f.test_name)), ' ', '_') = r.key AND f.status = r.status AND f.reason = r.reason
+GROUP BY r.section, r.key, r.range_ord, r.status, r.lo, r.hi, r.lo_text, r.hi_text, r.reason""", ["rule_ranges", "findings"]))
+def q_rule_range_table(spark, sf):
+    from scribeflow.functions.text import normalize_key
+
+    _, rr, _ = rules(spark)
+    f = finds(spark, sf).select("doc_id", normalize_key("test_name").alias("_k"), F.col("status").alias("_s"),
+                                F.col("reason").alias("_r"))
+    j = rr.join(f, (rr["key"] == f["_k"]) & (rr["status"] == f["_s"]) & (rr["reason"] == f["_r"]), "left")
+    return j.groupBy("section", "key", F.col("range_ord").cast("int").alias("range_ord"), "status", "lo", "hi",
+                     "lo_text", "hi_text", "reason").agg(F.count("doc_id").alias("n_findings"))
+
+
+@register("layman_table", with_ctes("""
+SELECT l.section, l.key, l.layman, l.explanation, CAST(count(x.doc_id) AS BIGINT) AS n_used
+FROM layman l LEFT JOIN diag_x x
+  ON l.section = 'medical_to_layman' AND l.key = replace(lower(split_part(x.diagnosis, ' (', 1)), ' ', '_')
+GROUP BY l.section, l.key, l.layman, l.explanation""", ["layman", "diag_x"]))
+def q_layman_table(spark, sf):
+    lt = layman(spark)
+    s = summaries(spark, sf).select("doc_id", F.explode("diagnoses").alias("dg"))
+    s = s.select("doc_id", S.diagnosis_key(F.col("dg")).alias("_k"))
+    j = lt.join(s, (lt["section"] == "medical_to_layman") & (lt["key"] == s["_k"]), "left")
+    return j.groupBy("section", "key", "layman", "explanation").agg(F.count("doc_id").alias("n_used"))
+
+
+@register("table_cells_source", with_ctes("""
+SELECT doc_id, page_number, table_index, CAST(count(*) AS INTEGER) AS row_count, CAST(max(n_cells) AS INTEGER) AS col_count
+FROM table_rows GROUP BY doc_id, page_number, table_index""", ["table_rows"]))
+def q_table_cells_source(spark, sf):
+    t = X.table_rows_from_tables(fx.pdf_tables(spark, sf))
+    return t.select("doc_id", "page_number", "table_index", "row_count", "col_count").distinct()
+
+
+@register("csv_header_union", with_ctes("SELECT doc_id, col_pos, key FROM csv_keys", ["csv_keys"]))
+def q_csv_header_union(spark, sf):
+    e = entities(spark, sf)
+    value = F.when(F.col("value_num").isNotNull(), F.lit("v")).otherwise(F.col("value_text"))
+    rec = F.map_filter(F.create_map(F.lit("name"), F.col("name"), F.lit("value"), value, F.lit("unit"), F.col("unit"),
+                                    F.lit("page"), F.col("page").cast("string")), lambda k, v: v.isNotNull())
+    r = e.select("doc_id", "seq", rec.alias("record"))
+    return W.record_keys(r, "record", ["seq"], by=["doc_id"]).select("doc_id", F.col("col_pos").cast("int"), "key")
+
+
+@register("sink_json")
+def q_sink_json(spark, sf):
+    path = W.write_json(reports(spark, sf), scratch_path(spark, "reports_json"))
+    return spark.read.json(path).select("file_name", "document_type", "processing_status")
+
+
+@register("sink_csv")
+def q_sink_csv(spark, sf):
+    e = pipeline_result(spark, sf).entities
+    flat = W.flatten_records(W.entity_records(e), "record", ["doc_id", "seq"])
+    path = W.write_csv(flat, scratch_path(spark, "entities_csv"))
+    return spark.read.option("header", True).csv(path)
+
+
+@register("sink_text")
+def q_sink_text(spark, sf):
+    st = S.format_summary_text(pipeline_result(spark, sf).summaries,
+                               ("document_summary", "key_findings", "diagnoses", "layman_explanation"))
+    path = W.write_text(st, "summary_text", scratch_path(spark, "summary_text"))
+    return spark.read.text(path, wholetext=False)
+
+
+@register("sink_report_bundle")
+def q_sink_report_bundle(spark, sf):
+    res = pipeline_result(spark, sf)
+    st = S.format_summary_text(res.summaries, ("document_summary", "key_findings", "diagnoses", "layman_explanation"))
+    out = W.write_report_bundle(res.reports, st, scratch_path(spark, "bundle"))
+    j = spark.read.json(out["json"]).groupBy("processing_status").count()
+    return j.select(F.lit("json").alias("format"), "processing_status", F.col("count").alias("n"))

@@ -148,10 +148,10 @@ def rule_tables(lab: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     ranges = rules.select("section", "rule_ord", "key", F.posexplode("r.ranges").alias("range_ord", "x")).select(
         "section", "rule_ord", "key", "range_ord",
         F.col("x.status").alias("status"),
-        F.element_at("x.range", 1).cast("double").alias("lo"),
-        F.element_at("x.range", 2).cast("double").alias("hi"),
-        _json_number_text(F.element_at("x.range", 1)).alias("lo_text"),
-        _json_number_text(F.element_at("x.range", 2)).alias("hi_text"),
+        F.try_element_at("x.range", F.lit(1)).cast("double").alias("lo"),
+        F.try_element_at("x.range", F.lit(2)).cast("double").alias("hi"),
+        _json_number_text(F.try_element_at("x.range", F.lit(1))).alias("lo_text"),
+        _json_number_text(F.try_element_at("x.range", F.lit(2))).alias("hi_text"),
         F.col("x.reason").alias("reason"),
     )
     aliases = rules.select("section", "rule_ord", "key", F.explode("r.aliases").alias("a")).select(
