@@ -84,21 +84,26 @@ def percent0(c) -> Column:
 
 
 def py_float_str(c) -> Column:
-    """Python ``str(float)`` (shortest repr; exponent form below 1e-4 or from 1e16)."""
+    """Python ``str(float)``: the shortest digits that parse back to the same
+    double (tried as ``%.{k}e`` for k = 0..16, first hit wins), printed
+    positionally for 1e-4 <= |x| < 1e16 and in exponent form otherwise."""
     v = col_(c)
-    js = v.cast("string")  # Java form: 123.45, 1.2345E7, 1.0E-5
+    av = F.abs(v)
+    sci = None
+    for k in range(17):
+        cand = F.format_string(f"%.{k}e", av)
+        hit = cand.cast("double") == av
+        sci = F.when(hit, cand) if sci is None else sci.when(hit, cand)
+    mant = F.substring_index(sci, "e", 1)
+    exp10 = F.substring_index(sci, "e", -1).cast("int")
+    digits = F.replace(mant, F.lit("."), F.lit(""))
     neg = F.when(v < 0, F.lit("-")).otherwise(F.lit(""))
-    a = F.abs(v).cast("string")
-    has_e = F.instr(a, "E") > 0
-    mant = F.substring_index(a, "E", 1)
-    exp = F.substring_index(a, "E", -1).cast("int")
-    digits = F.regexp_replace(F.replace(mant, F.lit("."), F.lit("")), "(?<=.)0+$", "")
     return (
         F.when(F.isnan(v), F.lit("nan"))
         .when(v == float("inf"), F.lit("inf"))
         .when(v == float("-inf"), F.lit("-inf"))
-        .when(~has_e, js)
-        .otherwise(F.concat(neg, _from_digits(digits, exp)))
+        .when(v == 0, v.cast("string"))
+        .otherwise(F.concat(neg, _from_digits(digits, exp10)))
     )
 
 
@@ -114,7 +119,7 @@ def _from_digits(digits: Column, exp: Column) -> Column:
     sci_m = F.when(nd > 1, F.concat(digits.substr(1, 1), F.lit("."), digits.substr(F.lit(2), F.lit(1 << 30)))).otherwise(digits)
     sci_e = F.concat(
         F.when(exp < 0, F.lit("-")).otherwise(F.lit("+")),
-        F.lpad(F.abs(exp).cast("string"), 2, "0"),
+        F.when(F.abs(exp) < 10, F.concat(F.lit("0"), F.abs(exp).cast("string"))).otherwise(F.abs(exp).cast("string")),
     )
     sci = F.concat(sci_m, F.lit("e"), sci_e)
     return (

@@ -40,20 +40,26 @@ def gazetteer_hits(docs: DataFrame, lexicon: DataFrame, text_col: str = "text",
 def resolve_spans(hits: DataFrame) -> DataFrame:
     """Keep a non-overlapping subset: longest first, ties to the earliest.
 
-    Hits are cut into clusters of mutually reachable overlaps with a running
-    max of span ends (one window per document over hits only).  Single-hit
-    clusters - nearly all of them - are kept as is; only real clusters are
-    collected and folded (``aggregate``) greedily.
+    Conflicts are found without ordering a document: every hit is expanded to
+    the token positions it covers (at most the longest term) and grouped by
+    (doc, position) - a key no hot document can concentrate.  Hits that share
+    no position with another hit (nearly all) are kept as they are.  Only the
+    conflicting ones are cut into clusters (running max of span ends) and
+    folded greedily with ``aggregate``.
     """
-    h = hits.withColumn("_end", F.col("tok_pos") + F.col("n"))
+    cols = list(hits.columns)
+    h = hits.withColumn("_hid", F.struct("doc_id", "tok_pos", "n", "label"))
+    cover = h.select("doc_id", "_hid", F.explode(F.sequence(F.col("tok_pos"), F.col("tok_pos") + F.col("n") - 1)).alias("_p"))
+    busy = cover.groupBy("doc_id", "_p").agg(F.count(F.lit(1)).alias("_c"), F.collect_list("_hid").alias("_ids")) \
+        .where(F.col("_c") > 1)
+    conflicted = busy.select(F.explode("_ids").alias("_hid")).distinct()
+    h = h.join(conflicted.withColumn("_conf", F.lit(True)), "_hid", "left")
+    single = h.where(F.col("_conf").isNull()).select(*cols)
+    multi = h.where(F.col("_conf").isNotNull()).select(*cols).withColumn("_end", F.col("tok_pos") + F.col("n"))
     w = Window.partitionBy("doc_id").orderBy("tok_pos", F.col("n").desc())
     prev_end = F.max("_end").over(w.rowsBetween(Window.unboundedPreceding, -1))
-    h = h.withColumn("_new", F.when(prev_end.isNull() | (F.col("tok_pos") >= prev_end), 1).otherwise(0))
-    h = h.withColumn("_cl", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    h = h.withColumn("_cn", F.count(F.lit(1)).over(Window.partitionBy("doc_id", "_cl")))
-    cols = [c for c in hits.columns]
-    single = h.where(F.col("_cn") == 1).select(*cols)
-    multi = h.where(F.col("_cn") > 1)
+    multi = multi.withColumn("_new", F.when(prev_end.isNull() | (F.col("tok_pos") >= prev_end), 1).otherwise(0))
+    multi = multi.withColumn("_cl", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
     packed = multi.groupBy("doc_id", "_cl").agg(
         F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("_k"), F.col("tok_pos").alias("_s"),
                                              *[F.col(c) for c in cols if c not in ("doc_id",)]))).alias("a")
@@ -152,7 +158,14 @@ def table_entities(table_rows: DataFrame, docs: DataFrame, known_tests: DataFram
 
 def merge_entities(table_ents: DataFrame | None, text_ents: DataFrame) -> DataFrame:
     """One entity per (doc, type, lower(name)); adds ``seq`` (0-based order of
-    first insertion: table rows first, then text hits)."""
+    first insertion: table rows first, then text hits).
+
+    The dedupe is an aggregation (``max_by`` last table row, ``min_by`` first
+    text hit, ``min`` first insertion), so map-side partial aggregation
+    absorbs a name repeated any number of times.  The per-document ``seq``
+    window then runs over deduplicated entities only, bounded by the
+    dictionary size.
+    """
     parts = []
     if table_ents is not None:
         parts.append(table_ents.withColumn("src_rank", F.lit(0)))
@@ -160,16 +173,17 @@ def merge_entities(table_ents: DataFrame | None, text_ents: DataFrame) -> DataFr
     u = parts[0]
     for p in parts[1:]:
         u = u.unionByName(p)
-    u = u.repartition("doc_id")  # both windows below reuse this partitioning
-    g = Window.partitionBy("doc_id", "type", F.lower("name"))
-    pick = F.when(F.col("src_rank") == 0, -F.col("tok_pos")).otherwise(F.col("tok_pos"))
-    u = u.withColumn("_w", F.row_number().over(g.orderBy("src_rank", pick)))
-    u = u.withColumn("_first", F.min(F.struct("src_rank", "tok_pos")).over(g))
-    u = u.where(F.col("_w") == 1)
-    u = u.withColumn("seq", (F.row_number().over(Window.partitionBy("doc_id").orderBy("_first")) - 1).cast("int"))
-    return u.select(
-        "doc_id", "seq", "type", "name", "value_text", "value_num", "unit", "confidence", "source",
-        "start_char", "end_char", "page",
+    payload = F.struct("name", "value_text", "value_num", "unit", "confidence", "source", "start_char", "end_char", "page")
+    g = u.groupBy("doc_id", "type", F.lower("name").alias("_lname")).agg(
+        F.max_by(payload, F.when(F.col("src_rank") == 0, F.col("tok_pos"))).alias("_tab"),
+        F.min_by(payload, F.when(F.col("src_rank") == 1, F.col("tok_pos"))).alias("_txt"),
+        F.min(F.struct("src_rank", "tok_pos")).alias("_first"),
+    )
+    g = g.select("doc_id", "type", "_first", F.coalesce("_tab", "_txt").alias("e"))
+    seq = (F.row_number().over(Window.partitionBy("doc_id").orderBy("_first")) - 1).cast("int")
+    return g.select(
+        "doc_id", seq.alias("seq"), "type", "e.name", "e.value_text", "e.value_num", "e.unit", "e.confidence",
+        "e.source", "e.start_char", "e.end_char", "e.page",
     )
 
 

@@ -35,24 +35,36 @@ def with_pieces(docs: DataFrame, text_col: str) -> DataFrame:
     )
 
 
+TOKEN_CHUNK = 4096
+
+
 def tokenize(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
     """Token table: (doc_id, tok_idx, piece_idx, start_char, end_char, tok, tok_lower).
 
-    Offsets are code points, 0-based, end exclusive.  They come from a running
-    sum of piece lengths per document (a window over the document's own rows:
-    linear, one shuffle keyed by document).
+    Offsets are code points, 0-based, end exclusive: a two-level prefix sum of
+    piece lengths - inside chunks of ``TOKEN_CHUNK`` pieces, then over chunk
+    totals - so no window ever orders a whole document in one task.
     """
     p = docs.select(F.col(id_col).alias("doc_id"), F.posexplode(
         F.regexp_extract_all(F.col(text_col), F.lit(PIECE_PATTERN), 0)).alias("piece_idx", "tok"))
-    w = Window.partitionBy("doc_id").orderBy("piece_idx")
-    p = p.withColumn("end_char", F.sum(F.char_length("tok")).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    t = p.where(F.col("tok") != " ")
+    p = p.withColumn("_chunk", (F.col("piece_idx") / TOKEN_CHUNK).cast("long")) \
+        .withColumn("_len", F.char_length("tok").cast("long")) \
+        .withColumn("_istok", (F.col("tok") != " ").cast("long"))
+    wc = Window.partitionBy("doc_id", "_chunk").orderBy("piece_idx").rowsBetween(Window.unboundedPreceding, 0)
+    p = p.withColumn("_end_in", F.sum("_len").over(wc)).withColumn("_tok_in", F.sum("_istok").over(wc))
+    chunks = p.groupBy("doc_id", "_chunk").agg(F.sum("_len").alias("_clen"), F.sum("_istok").alias("_ctok"))
+    wb = Window.partitionBy("doc_id").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    base = chunks.select("doc_id", "_chunk",
+                         F.coalesce(F.sum("_clen").over(wb), F.lit(0)).alias("_cbase"),
+                         F.coalesce(F.sum("_ctok").over(wb), F.lit(0)).alias("_tbase"))
+    t = p.where(F.col("tok") != " ").join(base, ["doc_id", "_chunk"])
+    end = F.col("_cbase") + F.col("_end_in")
     return t.select(
         "doc_id",
-        (F.row_number().over(w) - 1).alias("tok_idx"),
+        (F.col("_tbase") + F.col("_tok_in") - 1).alias("tok_idx"),
         "piece_idx",
-        (F.col("end_char") - F.char_length("tok")).cast("long").alias("start_char"),
-        F.col("end_char").cast("long").alias("end_char"),
+        (end - F.col("_len")).alias("start_char"),
+        end.alias("end_char"),
         "tok",
         F.lower("tok").alias("tok_lower"),
     )

@@ -32,6 +32,8 @@ from scribeflow.plans.materialize import materialize
 from scribeflow.sources import reference as R
 
 DEFAULT_STAGES = [k for k, _ in fv.STAGES] + ["packaging"]
+# Documents that arrive with text (no OCR word tables) start at scrubbing.
+TEXT_STAGES = ["phi_scrubbing", "classification", "extraction", "validation", "summarization", "packaging"]
 
 
 @dataclass
