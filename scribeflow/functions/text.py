@@ -83,37 +83,65 @@ def percent0(c) -> Column:
     return F.concat(F.bround(col_(c) * F.lit(100.0), 0).cast("long").cast("string"), F.lit("%"))
 
 
-def py_float_str(c) -> Column:
-    """Python ``str(float)``: the shortest digits that parse back to the same
-    double (tried as ``%.{k}e`` for k = 0..16, first hit wins), printed
-    positionally for 1e-4 <= |x| < 1e16 and in exponent form otherwise."""
-    v = col_(c)
-    av = F.abs(v)
+def let(value: Column, fn) -> Column:
+    """Bind ``value`` once and use it many times inside ``fn`` (a one-element
+    ``transform``), so a large sub-expression is not copied per reference."""
+    return F.element_at(F.transform(F.array(value), fn), 1)
+
+
+def _java_digits(a: Column) -> Column:
+    """Java double text (123.45 / 1.2345E7) -> struct(d digits, e exponent)."""
+    has_e = F.instr(a, "E") > 0
+    mant = F.substring_index(a, "E", 1)
+    jexp = F.when(has_e, F.substring_index(a, "E", -1).cast("int")).otherwise(F.lit(0))
+    return let(F.struct(F.substring_index(mant, ".", 1).alias("i"), F.substring_index(mant, ".", -1).alias("f"),
+                        jexp.alias("x")), lambda m: F.struct(
+        F.regexp_replace(F.regexp_replace(F.concat(m["i"], m["f"]), "^0+", ""), "(?<=.)0+$", "").alias("d"),
+        F.when(m["i"] != "0", F.length(m["i"]) - 1 + m["x"])
+        .otherwise(m["x"] - F.length(F.regexp_extract(m["f"], "^0*", 0)) - 1).alias("e")))
+
+
+def _sci_digits(av: Column) -> Column:
+    """Shortest of 13..17 significant digits that round-trips -> struct(d, e)."""
     sci = None
-    for k in range(17):
+    for k in range(12, 17):
         cand = F.format_string(f"%.{k}e", av)
         hit = cand.cast("double") == av
         sci = F.when(hit, cand) if sci is None else sci.when(hit, cand)
-    mant = F.substring_index(sci, "e", 1)
-    exp10 = F.substring_index(sci, "e", -1).cast("int")
-    digits = F.replace(mant, F.lit("."), F.lit(""))
-    neg = F.when(v < 0, F.lit("-")).otherwise(F.lit(""))
-    return (
-        F.when(F.isnan(v), F.lit("nan"))
-        .when(v == float("inf"), F.lit("inf"))
-        .when(v == float("-inf"), F.lit("-inf"))
-        .when(v == 0, v.cast("string"))
-        .otherwise(F.concat(neg, _from_digits(digits, exp10)))
-    )
+    return let(sci, lambda s: F.struct(
+        F.regexp_replace(F.replace(F.substring_index(s, "e", 1), F.lit("."), F.lit("")), "(?<=.)0+$", "").alias("d"),
+        F.substring_index(s, "e", -1).cast("int").alias("e")))
+
+
+def py_float_str(c) -> Column:
+    """Python ``str(float)``: shortest digits that parse back to the same
+    double, printed positionally for 1e-4 <= |x| < 1e16, else in exponent
+    form.  Java's own digits are used when they are at most 15 long; longer
+    ones (where JDK 17 is not always shortest) are retried as ``%.{k}e``
+    with 13..17 significant digits, first round trip wins."""
+
+    def body(v):
+        av = F.abs(v)
+        de = let(_java_digits(av.cast("string")), lambda j: F.when(F.length(j["d"]) <= 15, j).otherwise(_sci_digits(av)))
+        neg = F.when(v < 0, F.lit("-")).otherwise(F.lit(""))
+        return (
+            F.when(F.isnan(v), F.lit("nan"))
+            .when(v == float("inf"), F.lit("inf"))
+            .when(v == float("-inf"), F.lit("-inf"))
+            .when(v == 0, v.cast("string"))
+            .otherwise(F.concat(neg, let(de, lambda x: _from_digits(x["d"], x["e"]))))
+        )
+
+    return let(col_(c).cast("double"), body)
 
 
 def _from_digits(digits: Column, exp: Column) -> Column:
     nd = F.length(digits)
-    # positional, exp >= 0 (only reached for 1e7 <= x < 1e16)
+    # positional, exp >= 0
     int_part = F.rpad(digits, F.greatest(exp + 1, nd), "0").substr(F.lit(1), exp + 1)
     rest = F.when(nd > exp + 1, digits.substr(exp + 2, F.lit(1 << 30))).otherwise(F.lit("0"))
     positional_pos = F.concat(int_part, F.lit("."), rest)
-    # positional, -4 <= exp < 0 (only reached for 1e-4 <= x < 1e-3)
+    # positional, -4 <= exp < 0
     positional_neg = F.concat(F.lit("0."), F.repeat(F.lit("0"), -exp - 1), digits)
     # scientific: d[.ddd]e+XX
     sci_m = F.when(nd > 1, F.concat(digits.substr(1, 1), F.lit("."), digits.substr(F.lit(2), F.lit(1 << 30)))).otherwise(digits)
