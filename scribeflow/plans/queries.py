@@ -702,3 +702,22 @@ def q_sink_report_bundle(spark, sf):
     out = W.write_report_bundle(res.reports, st, scratch_path(spark, "bundle"))
     j = spark.read.json(out["json"]).groupBy("processing_status").count()
     return j.select(F.lit("json").alias("format"), "processing_status", F.col("count").alias("n"))
+
+
+# --------------------------------------------------------------- streaming --
+@register("stream_pipeline")
+def q_stream_pipeline(spark, sf):
+    """Notes arrive as parquet files; the stream reports them batch by batch
+    (rows-only check: one report per accepted note)."""
+    from scribeflow.streaming.stream import document_stream, start_report_stream
+
+    src = scratch_path(spark, "stream_in")
+    out = scratch_path(spark, "stream_out")
+    docs = notes(spark, sf).select("doc_id", "file_name", file_type_of(F.col("file_name")).alias("file_type"),
+                                   (F.col("doc_id") + 1000).alias("file_size_bytes"), F.col("text").alias("full_text"))
+    accepted, _ = split_supported(docs)
+    accepted.repartition(4).write.parquet(src)
+    q = start_report_stream(document_stream(spark, src, max_files_per_trigger=2), fixture_dicts(spark), out,
+                            checkpoint=scratch_path(spark, "stream_ckpt"), available_now=True)
+    q.awaitTermination()
+    return spark.read.parquet(out).select("doc_id", "file_name", "processing_status", "document_type", "batch_id")

@@ -117,3 +117,18 @@ def test_sinks_round_trip(spark, tmp_path):
     header = open(next((tmp_path / "b" / "csv").glob("part-*.csv"))).readline().strip()
     assert header == "doc_id,seq,name,value,unit,confidence,source"
     assert set(out) == {"json", "csv"}
+
+
+def test_stream_reports_each_document_once(spark, tmp_path):
+    from scribeflow.streaming.stream import document_stream, start_report_stream
+
+    src = str(tmp_path / "in")
+    rows = [(i, f"n{i}.png", ".png", 1, f"glucose: {i} mg/dL dosage") for i in range(12)]
+    _docs(spark, rows).repartition(3).write.parquet(src)
+    out = str(tmp_path / "out")
+    q = start_report_stream(document_stream(spark, src, max_files_per_trigger=1), PL.Dictionaries.defaults(spark),
+                            out, checkpoint=str(tmp_path / "ck"), available_now=True)
+    q.awaitTermination()
+    got = spark.read.parquet(out)
+    assert got.count() == 12 and got.select("doc_id").distinct().count() == 12
+    assert got.select("batch_id").distinct().count() >= 2
