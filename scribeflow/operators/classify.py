@@ -97,3 +97,48 @@ def classify(docs: DataFrame, phrases: DataFrame, text_col: str = "text",
         matches = phrase_matches(docs, phrases, text_col)
     norm = normalize_scores(keyword_scores(matches), type_totals(phrases))
     return classify_scored(docs, norm, min_confidence)
+
+
+def classify_pivot(doc_ids: DataFrame, matches: DataFrame, types: list[tuple[str, int, float]],
+                   min_confidence: float = fv.MIN_CONFIDENCE) -> DataFrame:
+    """Same result as ``classify`` in one aggregation.
+
+    With the (few) document types and their reachable totals known from the
+    dictionary, every type's score is a conditional sum in a single
+    ``groupBy(doc_id)`` (map-side partial aggregation intact); the arg-max
+    and threshold are then plain expressions - one shuffle instead of two
+    plus joins.  ``types`` is [(doc_type, type_ord, total)].
+    """
+    types = sorted(types, key=lambda t: t[1])
+    aggs = []
+    for i, (t, _, _) in enumerate(types):
+        is_t = F.col("doc_type") == t
+        aggs.append(F.sum(F.when(is_t, F.col("weight"))).alias(f"_s{i}"))
+        aggs.append(F.collect_set(F.when(is_t, F.col("span_text"))).alias(f"_k{i}"))
+    per_doc = matches.groupBy("doc_id").agg(*aggs)
+    j = doc_ids.select("doc_id").join(per_doc, "doc_id", "left")
+    best = None
+    for i, (t, _, total) in enumerate(types):
+        norm = F.coalesce(F.col(f"_s{i}"), F.lit(0.0)) / F.lit(total) if total > 0 else F.lit(0.0)
+        cand = F.struct(norm.alias("norm"), F.lit(-i).alias("neg_ord"), F.lit(t).alias("doc_type"),
+                        F.array_sort(F.coalesce(F.col(f"_k{i}"), F.array().cast("array<string>"))).alias("keywords"),
+                        F.col(f"_s{i}").isNotNull().alias("hit"))
+        best = cand if best is None else F.greatest(best, cand)
+    if best is None:
+        return doc_ids.select("doc_id", F.lit("unknown").alias("document_type"), F.lit(0.0).alias("confidence"),
+                              F.array().cast("array<string>").alias("keywords_found"),
+                              F.lit(None).cast("string").alias("class_error"))
+    j = j.withColumn("_b", best)
+    conf = F.col("_b.norm")
+    low = (conf < F.lit(min_confidence)) | ~F.col("_b.hit")
+    return j.select(
+        "doc_id",
+        F.when(low, F.lit("unknown")).otherwise(F.col("_b.doc_type")).alias("document_type"),
+        F.when(F.col("_b.hit"), conf).otherwise(F.lit(0.0)).alias("confidence"),
+        F.when(low, F.array().cast("array<string>")).otherwise(F.col("_b.keywords")).alias("keywords_found"),
+        F.when(~low & (conf > 1.0), F.concat(
+            F.lit("Classification failed: 1 validation error for DocumentClassification\nconfidence\n"
+                  "  Input should be less than or equal to 1 [type=less_than_equal, input_value="),
+            py_float_str(conf), F.lit(", input_type=float]"))
+        ).alias("class_error"),
+    )

@@ -89,12 +89,14 @@ def value_unit(after_col: str = "after") -> tuple:
     return F.when(~year, v), F.when(~year, u)
 
 
-def text_entities(docs: DataFrame, lexicon: DataFrame, text_col: str = "text", hits: DataFrame | None = None) -> DataFrame:
+def text_entities(docs: DataFrame, lexicon: DataFrame, text_col: str = "text", hits: DataFrame | None = None,
+                  resolve: bool = True) -> DataFrame:
     """Text entities: (doc_id, type, name, value_text, value_num, unit,
-    confidence, source, start_char, end_char, page, tok_pos)."""
+    confidence, source, start_char, end_char, page, tok_pos).  ``resolve``
+    may be turned off when the lexicon provably yields no overlapping hits."""
     if hits is None:
         hits = gazetteer_hits(docs, lexicon, text_col)
-    r = resolve_spans(hits).where(F.col("label").isin(fv.ENTITY_TYPES))
+    r = (resolve_spans(hits) if resolve else hits).where(F.col("label").isin(fv.ENTITY_TYPES))
     val, unit = value_unit("after")
     return r.select(
         "doc_id",

@@ -30,6 +30,7 @@ from scribeflow.operators.scrub import scrub
 from scribeflow.operators.tokens import match_dictionary
 from scribeflow.plans.materialize import materialize
 from scribeflow.sources import reference as R
+from scribeflow.sources.local import local_df
 
 DEFAULT_STAGES = [k for k, _ in fv.STAGES] + ["packaging"]
 # Documents that arrive with text (no OCR word tables) start at scrubbing.
@@ -60,6 +61,61 @@ class Dictionaries:
             layman=R.layman_table(layman_terms),
         )
 
+    def localize(self, limit: int = R.BROADCAST_ROW_LIMIT) -> "Dictionaries":
+        """Size-check every table and keep a local copy of it.
+
+        Dictionaries come from bounded reference files; once checked they are
+        held as local relations, so joins against them are broadcast without
+        re-running the JSON flattening in every plan.
+        """
+        if getattr(self, "_local", False):
+            return self
+        names = ("phrases", "lexicon", "known_tests", "rules", "ranges", "aliases", "layman")
+        # one job for all tables: tag each row, serialise it, union, collect
+        tagged = None
+        for name in names:
+            df = getattr(self, name)
+            t = df.select(F.lit(name).alias("_t"), F.to_json(F.struct(*df.columns)).alias("_j"))
+            tagged = t if tagged is None else tagged.unionByName(t)
+        rows = tagged.limit(limit * len(names) + 1).collect()
+        import json
+
+        out = {}
+        for name in names:
+            df = getattr(self, name)
+            recs = [json.loads(r["_j"]) for r in rows if r["_t"] == name]
+            if len(recs) > limit:
+                raise ValueError(f"dictionary table {name} has more than {limit} rows")
+            data = [tuple(rec.get(f.name) for f in df.schema.fields) for rec in recs]
+            out[name] = local_df(df.sparkSession, data, df.schema)
+        d = Dictionaries(**out)
+        d._local = True
+        d._lexicon_rows = [(rec["label"], tuple(rec["toks"])) for rec in
+                           (json.loads(r["_j"]) for r in rows if r["_t"] == "lexicon")]
+        return d
+
+    def lexicon_can_overlap(self) -> bool:
+        """Can two lexicon hits ever overlap?  Only if a term's token sequence
+        occurs inside another's, a proper suffix of one is a proper prefix of
+        another (itself included), or one sequence carries two labels."""
+        rows = getattr(self, "_lexicon_rows", None)
+        if rows is None:
+            rows = [(r["label"], tuple(r["toks"])) for r in self.lexicon.collect()]
+        seqs = {}
+        for label, toks in rows:
+            seqs.setdefault(toks, set()).add(label)
+        if any(len(v) > 1 for v in seqs.values()):
+            return True
+        terms = list(seqs)
+        for a in terms:
+            for b in terms:
+                if a != b and len(a) < len(b) and any(b[i:i + len(a)] == a for i in range(len(b) - len(a) + 1)):
+                    return True
+                for k in range(1, min(len(a), len(b))):
+                    if a[-k:] == b[:k]:
+                        return True
+        return False
+
     @staticmethod
     def defaults(spark: SparkSession) -> "Dictionaries":
         d = R.default_dictionaries(spark)
@@ -110,6 +166,7 @@ def run(
     written once to the shared checkpoint folder and read back.
     """
     keep = materialize if stage_tables else (lambda df, name: df)
+    dicts = dicts.localize()
     stages = list(active_stages or DEFAULT_STAGES)
     known = {k for k, _ in fv.STAGES}
     warnings = [f"Unknown stage '{s}' in settings. Skipped." for s in stages if s not in known and s != "packaging"]
@@ -171,8 +228,8 @@ def run(
         hits = keep(hits, "hits")
     if has_cls:
         matches = C.weigh_hits(hits.where(F.col("kind") == "phrase"), dicts.phrases)
-        cls = C.classify(d.where(~text_empty).select("doc_id"), dicts.phrases, matches=matches,
-                         min_confidence=min_confidence)
+        types = [(r["doc_type"], r["type_ord"], r["total"]) for r in R.type_totals(dicts.phrases).collect()]
+        cls = C.classify_pivot(d.where(~text_empty).select("doc_id"), matches, types, min_confidence)
         d = d.join(cls, "doc_id", "left")
         gate_cols["classification_run"] = K.stage_error("classification", F.col("class_error"))
 
@@ -194,7 +251,7 @@ def run(
         "doc_id", "document_type", "confidence", "keywords_found") if has_cls else None
     if "extraction" in stages:
         ent_hits = hits.where(F.col("kind") == "entity").drop("kind", "label_ord")
-        txt = X.text_entities(tdocs, dicts.lexicon, hits=ent_hits)
+        txt = X.text_entities(tdocs, dicts.lexicon, hits=ent_hits, resolve=dicts.lexicon_can_overlap())
         tab = None
         if table_rows is not None:
             tab = X.table_entities(table_rows, d.select("doc_id", "file_type"), dicts.known_tests)
@@ -215,6 +272,5 @@ def run(
 
 
 def _empty_entities(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
-        [], "doc_id long, seq int, type string, name string, value_text string, value_num double, unit string, "
-            "confidence double, source string, start_char long, end_char long, page int")
+    return local_df(spark, [], "doc_id long, seq int, type string, name string, value_text string, value_num double, "
+                               "unit string, confidence double, source string, start_char long, end_char long, page int")

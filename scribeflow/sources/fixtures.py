@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from scribeflow.sources.local import local_df
+
 # Fixture lexicon (i, label, term, unit); i = 12 is noise kept out of the lexicon.
 LEX = [
     (0, "test_result", "hemoglobin", "g/dL"),
@@ -91,11 +93,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def lex_df(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(LEX, "i int, label string, term string, unit string")
+    return local_df(spark, LEX, "i int, label string, term string, unit string")
 
 
 def phr_df(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(PHR, "t int, doc_type string, phrase string, weight double, ord int")
+    return local_df(spark, PHR, "t int, doc_type string, phrase string, weight double, ord int")
 
 
 def doc_keywords_fixture() -> dict:
@@ -128,7 +130,7 @@ def lexicon_sources_fixture() -> tuple[dict, dict]:
 def json_df(spark: SparkSession, obj: dict) -> DataFrame:
     """One-row DataFrame holding a JSON document as text (the shape a
     ``wholetext`` read of a dictionary file gives)."""
-    return spark.createDataFrame([(json.dumps(obj),)], "value string")
+    return local_df(spark, [(json.dumps(obj),)], "value string")
 
 
 def note_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -272,9 +274,7 @@ def files(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = o.select(
         F.concat(F.lit("/in/note_"), k.cast("string"), suffix).alias("path"), (k + 1000).alias("length")
     )
-    extra = spark.createDataFrame(
-        [(f"/in/{n}", 7 + i) for i, n in enumerate(EXTRA_FILES)], "path string, length long"
-    )
+    extra = local_df(spark, [(f"/in/{n}", 7 + i) for i, n in enumerate(EXTRA_FILES)], "path string, length long")
     return base.unionByName(extra)
 
 

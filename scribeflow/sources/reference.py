@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from scribeflow import fixed_values as fv
 from scribeflow.functions.text import PY_WS, PIECE_PATTERN, py_float_str, py_strip
+from scribeflow.sources.local import local_df
 
 # Dictionaries above this many rows are not broadcast (shuffle join instead).
 BROADCAST_ROW_LIMIT = 200_000
@@ -32,7 +33,7 @@ def load_reference_json(spark: SparkSession, path: str) -> DataFrame:
 
 def json_value(spark: SparkSession, obj: dict) -> DataFrame:
     """In-memory counterpart of ``load_reference_json`` for a dict."""
-    return spark.createDataFrame([("<memory>", json.dumps(obj))], "path string, value string")
+    return local_df(spark, [("<memory>", json.dumps(obj))], "path string, value string")
 
 
 def default_dictionaries(spark: SparkSession) -> dict[str, DataFrame]:
