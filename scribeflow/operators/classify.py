@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scribeflow import fixed_values as fv
-from scribeflow.functions.text import py_float_str
 from scribeflow.operators.tokens import match_dictionary
 from scribeflow.sources.reference import type_totals
 
@@ -85,7 +84,7 @@ def classify_scored(docs: DataFrame, norm: DataFrame, min_confidence: float = fv
         F.when(~low & (conf > 1.0), F.concat(
             F.lit("Classification failed: 1 validation error for DocumentClassification\nconfidence\n"
                   "  Input should be less than or equal to 1 [type=less_than_equal, input_value="),
-            py_float_str(conf), F.lit(", input_type=float]"))
+            conf.cast("string"), F.lit(", input_type=float]"))
         ).alias("class_error"),
     )
 
@@ -139,6 +138,6 @@ def classify_pivot(doc_ids: DataFrame, matches: DataFrame, types: list[tuple[str
         F.when(~low & (conf > 1.0), F.concat(
             F.lit("Classification failed: 1 validation error for DocumentClassification\nconfidence\n"
                   "  Input should be less than or equal to 1 [type=less_than_equal, input_value="),
-            py_float_str(conf), F.lit(", input_type=float]"))
+            conf.cast("string"), F.lit(", input_type=float]"))
         ).alias("class_error"),
     )

@@ -89,11 +89,37 @@ def value_unit(after_col: str = "after") -> tuple:
     return F.when(~year, v), F.when(~year, u)
 
 
+def lexicon_can_overlap(lexicon: DataFrame, limit: int = 200_000) -> bool:
+    """Can two hits of this (bounded) lexicon overlap?  Only if one token
+    sequence occurs inside another, a proper suffix of one is a proper prefix
+    of another (itself included), or one sequence carries two labels."""
+    rows = lexicon.select("label", "toks").limit(limit + 1).collect()
+    if len(rows) > limit:
+        return True
+    seqs: dict[tuple, set] = {}
+    for r in rows:
+        seqs.setdefault(tuple(r["toks"]), set()).add(r["label"])
+    if any(len(v) > 1 for v in seqs.values()):
+        return True
+    terms = list(seqs)
+    for a in terms:
+        for b in terms:
+            if a != b and len(a) < len(b) and any(b[i:i + len(a)] == a for i in range(len(b) - len(a) + 1)):
+                return True
+            for k in range(1, min(len(a), len(b))):
+                if a[-k:] == b[:k]:
+                    return True
+    return False
+
+
 def text_entities(docs: DataFrame, lexicon: DataFrame, text_col: str = "text", hits: DataFrame | None = None,
-                  resolve: bool = True) -> DataFrame:
+                  resolve: bool | None = None) -> DataFrame:
     """Text entities: (doc_id, type, name, value_text, value_num, unit,
-    confidence, source, start_char, end_char, page, tok_pos).  ``resolve``
-    may be turned off when the lexicon provably yields no overlapping hits."""
+    confidence, source, start_char, end_char, page, tok_pos).  Overlap
+    resolution runs unless the lexicon provably yields no overlapping hits
+    (``resolve=None`` decides from the lexicon)."""
+    if resolve is None:
+        resolve = lexicon_can_overlap(lexicon)
     if hits is None:
         hits = gazetteer_hits(docs, lexicon, text_col)
     r = (resolve_spans(hits) if resolve else hits).where(F.col("label").isin(fv.ENTITY_TYPES))

@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from scribeflow.functions.text import PIECE_PATTERN
+from scribeflow.plans.materialize import spread_if_narrow
 
 
 def with_pieces(docs: DataFrame, text_col: str) -> DataFrame:
@@ -100,7 +101,8 @@ def match_dictionary(
     ``window_labels``).
     """
     m = max(1, int(max_n))
-    d = with_pieces(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_text"), *keep), "_text")
+    src = spread_if_narrow(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_text"), *keep))
+    d = with_pieces(src, "_text")
     shifted = [F.slice("tk", k + 1, F.greatest(F.size("tk") - k, F.lit(0))).alias(f"s{k}") for k in range(m)]
     d = d.select("doc_id", "pieces", *keep, *shifted)
     ex = d.select(
@@ -108,10 +110,10 @@ def match_dictionary(
         F.posexplode(F.arrays_zip(*[F.col(f"s{k}") for k in range(m)])).alias("tok_pos", "z"),
     ).withColumn("t0", F.lower(F.col("z.s0.p")))
 
-    dic = dictionary.withColumn("p0", F.try_element_at("toks", F.lit(1)))
+    dic = dictionary.withColumn("p0", F.element_at("toks", 1))
     cond = F.col("t0") == F.col("p0")
     for k in range(1, m):
-        cond = cond & ((F.col("n") <= k) | (F.lower(F.col(f"z.s{k}.p")) == F.try_element_at("toks", F.lit(k + 1))))
+        cond = cond & ((F.col("n") <= k) | (F.lower(F.col(f"z.s{k}.p")) == F.element_at("toks", k + 1)))
     hits = ex.join(dic, cond, "inner")
 
     # span text: tokens as written with the blank (or nothing) between them

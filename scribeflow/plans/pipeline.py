@@ -90,31 +90,10 @@ class Dictionaries:
             out[name] = local_df(df.sparkSession, data, df.schema)
         d = Dictionaries(**out)
         d._local = True
-        d._lexicon_rows = [(rec["label"], tuple(rec["toks"])) for rec in
-                           (json.loads(r["_j"]) for r in rows if r["_t"] == "lexicon")]
         return d
 
     def lexicon_can_overlap(self) -> bool:
-        """Can two lexicon hits ever overlap?  Only if a term's token sequence
-        occurs inside another's, a proper suffix of one is a proper prefix of
-        another (itself included), or one sequence carries two labels."""
-        rows = getattr(self, "_lexicon_rows", None)
-        if rows is None:
-            rows = [(r["label"], tuple(r["toks"])) for r in self.lexicon.collect()]
-        seqs = {}
-        for label, toks in rows:
-            seqs.setdefault(toks, set()).add(label)
-        if any(len(v) > 1 for v in seqs.values()):
-            return True
-        terms = list(seqs)
-        for a in terms:
-            for b in terms:
-                if a != b and len(a) < len(b) and any(b[i:i + len(a)] == a for i in range(len(b) - len(a) + 1)):
-                    return True
-                for k in range(1, min(len(a), len(b))):
-                    if a[-k:] == b[:k]:
-                        return True
-        return False
+        return X.lexicon_can_overlap(self.lexicon)
 
     @staticmethod
     def defaults(spark: SparkSession) -> "Dictionaries":

@@ -45,12 +45,12 @@ def phrases(spark: SparkSession) -> DataFrame:
 
 def notes(spark: SparkSession, sf: str) -> DataFrame:
     """The derived notes view, written once per session (test input)."""
-    return memo(spark, ("notes", sf), lambda: materialize(fx.notes(spark, sf), "notes"))
+    return memo(spark, ("notes", sf), lambda: materialize(fx.notes(spark, sf), "notes", spread=True))
 
 
 def trows(spark: SparkSession, sf: str) -> DataFrame:
     """The derived table-rows view, written once per session (test input)."""
-    return memo(spark, ("table_rows", sf), lambda: materialize(fx.table_rows(spark, sf), "table_rows"))
+    return memo(spark, ("table_rows", sf), lambda: materialize(fx.table_rows(spark, sf), "table_rows", spread=True))
 
 
 def cdocs(spark: SparkSession, sf: str) -> DataFrame:
