@@ -70,12 +70,12 @@ FROM toks t JOIN (SELECT doc_id, pidx, sum(length(piece)) OVER (PARTITION BY doc
   USING (doc_id, pidx)""", ["toks", "pieces"]))
 def q_tokenize(spark, sf):
     t = tokenize(cdocs(spark, sf), "text")
-    return t.select("doc_id", "tok_idx", "piece_idx", "tok", "start_char", "end_char")
+    return t.select("doc_id", "tok_idx", F.col("piece_idx").cast("long").alias("piece_idx"), "tok", "start_char", "end_char")
 
 
 @register("phrase_match", with_ctes("SELECT doc_id, pos AS tok_pos, doc_type, span_text, weight FROM pmatch", ["pmatch"]))
 def q_phrase_match(spark, sf):
-    return pmatches(spark, sf).select("doc_id", "tok_pos", "doc_type", "span_text", "weight")
+    return pmatches(spark, sf).select("doc_id", F.col("tok_pos").cast("long").alias("tok_pos"), "doc_type", "span_text", "weight")
 
 
 @register("keyword_score", with_ctes("SELECT doc_id, doc_type, score FROM kscores", ["kscores"]))
@@ -173,11 +173,13 @@ def q_gazetteer_match(spark, sf):
     return h.select("doc_id", F.col("tok_pos").cast("long").alias("tok_pos"), "label", "span_text", "start_char", "end_char")
 
 
-@register("span_overlap_resolve")
+@register("span_overlap_resolve", with_ctes(
+    "SELECT doc_id, pos AS tok_pos, label, span_text FROM ematch", ["ematch"]))
 def q_span_overlap_resolve(spark, sf):
-    # Rows-only: the fixture lexicon has no nested terms; pytest covers overlaps.
+    # The conflict search always runs here; the fixture lexicon cannot overlap,
+    # so every hit must survive (overlapping lexicons are covered in pytest).
     h = X.gazetteer_hits(cdocs(spark, sf), lexicon(spark))
-    return X.resolve_spans(h).select("doc_id", "tok_pos", "label", "span_text")
+    return X.resolve_spans(h).select("doc_id", F.col("tok_pos").cast("long").alias("tok_pos"), "label", "span_text")
 
 
 @register("entity_label_filter", with_ctes(
