@@ -40,7 +40,27 @@ def _join(c) -> F.Column:
 
 # ---------------------------------------------------------------- contexts --
 def phrases(spark: SparkSession) -> DataFrame:
-    return doc_phrase_table(json_value(spark, fx.doc_keywords_fixture()))
+    return _dicts(spark).phrases
+
+
+def _dicts(spark: SparkSession):
+    """Fixture dictionaries, flattened from their JSON shapes once per session
+    and kept as size-checked literal tables."""
+    from scribeflow.plans import pipeline as PL
+
+    def build():
+        lab, ent = fx.lexicon_sources_fixture()
+        r, rr, ra = rule_tables(json_value(spark, fx.RULES_JSON))
+        d = PL.Dictionaries(
+            phrases=doc_phrase_table(json_value(spark, fx.doc_keywords_fixture())),
+            lexicon=entity_lexicon_table(json_value(spark, lab), json_value(spark, ent)),
+            known_tests=X.known_tests_from_lab(json_value(spark, lab)),
+            rules=r, ranges=rr, aliases=ra,
+            layman=layman_table(default_dictionaries(spark)["layman_terms"]),
+        )
+        return d.localize()
+
+    return memo(spark, ("fixture_dicts",), build)
 
 
 def notes(spark: SparkSession, sf: str) -> DataFrame:
@@ -130,13 +150,11 @@ from scribeflow.sources.reference import entity_lexicon_table, rule_tables  # no
 
 
 def lexicon(spark: SparkSession) -> DataFrame:
-    lab, ent = fx.lexicon_sources_fixture()
-    return entity_lexicon_table(json_value(spark, lab), json_value(spark, ent))
+    return _dicts(spark).lexicon
 
 
 def known_tests(spark: SparkSession) -> DataFrame:
-    lab, _ = fx.lexicon_sources_fixture()
-    return X.known_tests_from_lab(json_value(spark, lab))
+    return _dicts(spark).known_tests
 
 
 def docs_meta(spark: SparkSession, sf: str) -> DataFrame:
@@ -157,7 +175,8 @@ def entities(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def rules(spark: SparkSession):
-    return rule_tables(json_value(spark, fx.RULES_JSON))
+    d = _dicts(spark)
+    return d.rules, d.ranges, d.aliases
 
 
 def finds(spark: SparkSession, sf: str) -> DataFrame:
@@ -321,7 +340,7 @@ from scribeflow.sources.reference import default_dictionaries, layman_table  # n
 
 
 def layman(spark: SparkSession) -> DataFrame:
-    return layman_table(default_dictionaries(spark)["layman_terms"])
+    return _dicts(spark).layman
 
 
 def summaries(spark: SparkSession, sf: str) -> DataFrame:
@@ -462,10 +481,7 @@ from scribeflow.sources.files import split_supported  # noqa: E402
 
 
 def fixture_dicts(spark: SparkSession) -> PL.Dictionaries:
-    lab, ent = fx.lexicon_sources_fixture()
-    r, rr, ra = rules(spark)
-    return PL.Dictionaries(phrases=phrases(spark), lexicon=lexicon(spark), known_tests=known_tests(spark),
-                           rules=r, ranges=rr, aliases=ra, layman=layman(spark))
+    return _dicts(spark)
 
 
 NOTE_STAGES = ["phi_scrubbing", "classification", "extraction", "validation", "summarization", "packaging"]
