@@ -739,3 +739,16 @@ def q_stream_pipeline(spark, sf):
                             checkpoint=scratch_path(spark, "stream_ckpt"), available_now=True)
     q.awaitTermination()
     return spark.read.parquet(out).select("doc_id", "file_name", "processing_status", "document_type", "batch_id")
+
+
+@register("pipeline_ocr")
+def q_pipeline_ocr(spark, sf):
+    """The default stage list end to end: OCR word tables (derived from
+    ``documents``) -> page text -> scrub -> classify -> extract -> validate ->
+    summarize -> reports (rows-only: one report per document)."""
+    d = fx.table(spark, sf, "documents").select(
+        "doc_id", F.concat(F.lit("scan_"), F.col("doc_id").cast("string"), F.lit(".png")).alias("file_name"),
+        F.lit(".png").alias("file_type"), F.col("n_chars").alias("file_size_bytes"))
+    res = PL.run(d, fixture_dicts(spark), active_stages=PL.DEFAULT_STAGES, ocr_words=fx.ocr_words(spark, sf))
+    return res.reports.select("doc_id", "file_name", "processing_status", "document_type",
+                              "classification_confidence", "validation_summary.total_validated")
