@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from scribeflow.operators import classify as C
 from scribeflow.operators.tokens import tokenize
 from scribeflow.plans.materialize import materialize, memo
-from scribeflow.plans.oracle import VALUE_RE, with_ctes
+from scribeflow.plans.oracle import PIECE_RE, VALUE_RE, with_ctes
 from scribeflow.sources import fixtures as fx
 from scribeflow.sources.reference import doc_phrase_table, json_value, type_totals
 
@@ -336,6 +336,14 @@ def q_validation_report(spark, sf):
 
 # --------------------------------------------------------------- summaries --
 from scribeflow.operators import summarize as S  # noqa: E402
+from scribeflow.plans.oracle import cte as _cte  # noqa: E402
+
+_cte("stext", ["summary"], """SELECT doc_id, trim(
+  repeat('=', 80) || chr(10) || document_summary || chr(10) || repeat('=', 80) || chr(10) || chr(10) ||
+  chr(10) || 'KEY FINDINGS:' || chr(10) || '  • ' || replace(key_findings, '|', chr(10) || '  • ') || chr(10) ||
+  chr(10) || 'POTENTIAL DIAGNOSES:' || CASE WHEN diagnoses = '' THEN '' ELSE chr(10) || '  • ' || replace(diagnoses, '|', chr(10) || '  • ') END || chr(10) ||
+  chr(10) || 'PATIENT-FRIENDLY EXPLANATION:' || chr(10) || layman_explanation || chr(10), chr(10) || ' ') || chr(10) AS summary_text
+FROM summary""")
 from scribeflow.sources.reference import default_dictionaries, layman_table  # noqa: E402
 
 
@@ -408,13 +416,7 @@ def q_layman_explanation(spark, sf):
     return summaries(spark, sf).select("doc_id", "layman_explanation")
 
 
-@register("summary_text_format", with_ctes("""
-SELECT doc_id, trim(
-  repeat('=', 80) || chr(10) || document_summary || chr(10) || repeat('=', 80) || chr(10) || chr(10) ||
-  chr(10) || 'KEY FINDINGS:' || chr(10) || '  • ' || replace(key_findings, '|', chr(10) || '  • ') || chr(10) ||
-  chr(10) || 'POTENTIAL DIAGNOSES:' || CASE WHEN diagnoses = '' THEN '' ELSE chr(10) || '  • ' || replace(diagnoses, '|', chr(10) || '  • ') END || chr(10) ||
-  chr(10) || 'PATIENT-FRIENDLY EXPLANATION:' || chr(10) || layman_explanation || chr(10), chr(10) || ' ') || chr(10) AS summary_text
-FROM summary""", ["summary"]))
+@register("summary_text_format", with_ctes("SELECT doc_id, summary_text FROM stext", ["stext"]))
 def q_summary_text_format(spark, sf):
     s = summaries(spark, sf)
     return S.format_summary_text(s, ("document_summary", "key_findings", "diagnoses", "layman_explanation"))
@@ -602,7 +604,12 @@ def q_ingest_supported_split(spark, sf):
     return a.unionByName(r)
 
 
-@register("load_reference_json")
+@register("load_reference_json", with_ctes(
+    "SELECT DISTINCT t AS doc_type, lower(trim(p)) AS phrase_lower, CAST(1.0 AS DOUBLE) AS weight, "
+    "CAST(len(list_filter(regexp_extract_all(lower(trim(p)), " + PIECE_RE + "), lambda x: x <> ' ')) AS INTEGER) AS n "
+    "FROM (SELECT CASE doc_id % 3 WHEN 0 THEN 'lab_report' WHEN 1 THEN 'prescription' ELSE 'patient_history' END AS t, "
+    "unnest(string_split(split_part(text, chr(10), 1), ' ; ')) AS p FROM notes WHERE text <> '') WHERE trim(p) <> ''",
+    ["notes"]))
 def q_load_reference_json(spark, sf):
     # A keyword dictionary derived from the note headers, written as one JSON
     # document and read back through the dictionary loader (rows-only check).
@@ -691,13 +698,19 @@ def q_csv_header_union(spark, sf):
     return W.record_keys(r, "record", ["seq"], by=["doc_id"]).select("doc_id", F.col("col_pos").cast("int"), "key")
 
 
-@register("sink_json")
+@register("sink_json", with_ctes(
+    "SELECT doc_id, file_name, document_type, processing_status FROM pipe", ["pipe"]))
 def q_sink_json(spark, sf):
     path = W.write_json(reports(spark, sf), scratch_path(spark, "reports_json"))
-    return spark.read.json(path).select("file_name", "document_type", "processing_status")
+    return spark.read.json(path).select("doc_id", "file_name", "document_type", "processing_status")
 
 
-@register("sink_csv")
+@register("sink_csv", with_ctes("""
+SELECT CAST(e.doc_id AS VARCHAR) AS doc_id, CAST(e.seq AS VARCHAR) AS seq, e.name,
+  nullif(coalesce(CAST(e.value_num AS VARCHAR), e.value_text), '') AS value, nullif(e.unit, '') AS unit,
+  CASE WHEN e.src_rank = 0 THEN '0.98' ELSE '0.9' END AS confidence,
+  CASE WHEN e.src_rank = 0 THEN 'pdf_table' ELSE 'text_ruler' END AS source
+FROM ents e JOIN pipe p ON p.doc_id = e.doc_id AND p.processing_status = 'success'""", ["ents", "pipe"]))
 def q_sink_csv(spark, sf):
     e = pipeline_result(spark, sf).entities
     flat = W.flatten_records(W.entity_records(e), "record", ["doc_id", "seq"])
@@ -705,7 +718,9 @@ def q_sink_csv(spark, sf):
     return spark.read.option("header", True).csv(path)
 
 
-@register("sink_text")
+@register("sink_text", with_ctes(
+    "SELECT unnest(string_split(t.summary_text, chr(10))) AS value FROM stext t "
+    "JOIN pipe p ON p.doc_id = t.doc_id AND p.processing_status = 'success'", ["stext", "pipe"]))
 def q_sink_text(spark, sf):
     st = S.format_summary_text(pipeline_result(spark, sf).summaries,
                                ("document_summary", "key_findings", "diagnoses", "layman_explanation"))
@@ -713,7 +728,8 @@ def q_sink_text(spark, sf):
     return spark.read.text(path, wholetext=False)
 
 
-@register("sink_report_bundle")
+@register("sink_report_bundle", with_ctes(
+    "SELECT 'json' AS format, processing_status, count(*) AS n FROM pipe GROUP BY processing_status", ["pipe"]))
 def q_sink_report_bundle(spark, sf):
     res = pipeline_result(spark, sf)
     st = S.format_summary_text(res.summaries, ("document_summary", "key_findings", "diagnoses", "layman_explanation"))
@@ -723,7 +739,8 @@ def q_sink_report_bundle(spark, sf):
 
 
 # --------------------------------------------------------------- streaming --
-@register("stream_pipeline")
+@register("stream_pipeline", with_ctes(
+    "SELECT doc_id, file_name, processing_status, document_type FROM pipe", ["pipe"]))
 def q_stream_pipeline(spark, sf):
     """Notes arrive as parquet files; the stream reports them batch by batch
     (rows-only check: one report per accepted note)."""
@@ -738,7 +755,7 @@ def q_stream_pipeline(spark, sf):
     q = start_report_stream(document_stream(spark, src, max_files_per_trigger=2), fixture_dicts(spark), out,
                             checkpoint=scratch_path(spark, "stream_ckpt"), available_now=True)
     q.awaitTermination()
-    return spark.read.parquet(out).select("doc_id", "file_name", "processing_status", "document_type", "batch_id")
+    return spark.read.parquet(out).select("doc_id", "file_name", "processing_status", "document_type")
 
 
 @register("pipeline_ocr")
