@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from scribeflow import fixed_values as fv
 from scribeflow.operators.tokens import match_dictionary
-from scribeflow.sources.reference import type_totals
+from scribeflow.sources.reference import bcast, type_totals
 
 
 def phrase_dictionary(phrases: DataFrame) -> DataFrame:
@@ -35,7 +35,7 @@ def phrase_matches(docs: DataFrame, phrases: DataFrame, text_col: str = "text",
     """All phrase hits: (doc_id, tok_pos, doc_type, type_ord, span_text, weight)."""
     dic = phrase_dictionary(phrases)
     m = max_tokens(dic)
-    dic_b = F.broadcast(dic) if broadcast else dic
+    dic_b = bcast(dic) if broadcast else dic
     hits = match_dictionary(docs, dic_b, m, text_col=text_col)
     return weigh_hits(hits, phrases, broadcast)
 
@@ -44,7 +44,7 @@ def weigh_hits(hits: DataFrame, phrases: DataFrame, broadcast: bool = True) -> D
     """Weight per occurrence = weight of the phrase spelled like the span
     (lower-cased) under that type, 1.0 when none is."""
     w = phrases.select(F.col("doc_type").alias("label"), F.col("phrase_lower").alias("_pl"), F.col("weight").alias("_w"))
-    w = F.broadcast(w) if broadcast else w
+    w = bcast(w) if broadcast else w
     j = hits.join(w, (hits["label"] == w["label"]) & (F.lower(hits["span_text"]) == w["_pl"]), "left")
     return j.select(
         hits["doc_id"], "tok_pos", hits["label"].alias("doc_type"), F.col("label_ord").alias("type_ord"),
@@ -61,7 +61,7 @@ def keyword_scores(matches: DataFrame) -> DataFrame:
 
 
 def normalize_scores(scores: DataFrame, totals: DataFrame) -> DataFrame:
-    t = F.broadcast(totals.select("doc_type", "total"))
+    t = bcast(totals.select("doc_type", "total"))
     return scores.join(t, "doc_type").withColumn(
         "norm", F.when(F.col("total") > 0, F.col("score") / F.col("total")).otherwise(F.lit(0.0))
     )

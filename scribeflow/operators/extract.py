@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from scribeflow import fixed_values as fv
 from scribeflow.functions.text import py_float, py_strip
 from scribeflow.operators.tokens import match_dictionary
+from scribeflow.sources.reference import bcast
 
 VALUE_RE = "(?iuU)" + fv.VALUE_PATTERN
 _POS_SCALE = 1_000_000
@@ -32,7 +33,7 @@ def gazetteer_hits(docs: DataFrame, lexicon: DataFrame, text_col: str = "text",
     dic = lexicon_dictionary(lexicon)
     m = int(dic.agg(F.max("n")).first()[0] or 1)
     return match_dictionary(
-        docs, F.broadcast(dic) if broadcast else dic, m, text_col=text_col,
+        docs, bcast(dic) if broadcast else dic, m, text_col=text_col,
         want_offsets=True, window_labels=tuple(fv.VALUE_LABELS), window_chars=fv.VALUE_WINDOW,
     )
 
@@ -162,7 +163,7 @@ def table_entities(table_rows: DataFrame, docs: DataFrame, known_tests: DataFram
         F.when(c1.isNull() | (c1 == ""), F.lit("")).otherwise(py_strip(c1)).alias("vs"),
         F.when((F.size("cells") > 2) & c2.isNotNull() & (c2 != ""), py_strip(c2)).alias("unit"),
     )
-    keys = F.broadcast(known_tests.select(F.col("key_lower").alias("_k")).distinct())
+    keys = bcast(known_tests.select(F.col("key_lower").alias("_k")).distinct())
     r = r.join(keys, F.lower(r["name"]) == keys["_k"], "left_semi")
     pdf_docs = docs.where(F.col("file_type") == ".pdf").select("doc_id")
     r = r.join(pdf_docs, "doc_id", "left_semi")

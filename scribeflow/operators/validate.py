@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from scribeflow import fixed_values as fv
 from scribeflow.functions.text import normalize_key
+from scribeflow.sources.reference import bcast
 
 FINDING_COLS = ["doc_id", "seq", "test_name", "value_text", "value_num", "unit", "status", "reason", "reference_range"]
 
@@ -58,10 +59,10 @@ def findings(entities: DataFrame, rules: DataFrame, ranges: DataFrame, aliases:
     section = F.when(F.col("type") == "test_result", F.lit("blood_tests")).when(
         F.col("type") == "vital_sign", F.lit("vital_signs"))
     e = entities.withColumn("section", section).withColumn("key_norm", normalize_key("name"))
-    secs = F.broadcast(sections_with_rules(rules).select(F.col("section").alias("_s1"), F.lit(True).alias("_has")))
-    look = F.broadcast(rule_lookup_table(rules, aliases).select(
+    secs = bcast(sections_with_rules(rules).select(F.col("section").alias("_s1"), F.lit(True).alias("_has")))
+    look = bcast(rule_lookup_table(rules, aliases).select(
         F.col("section").alias("_s2"), F.col("match_key").alias("_mk"), "rule_key"))
-    arrs = F.broadcast(rule_range_arrays(ranges).select(
+    arrs = bcast(rule_range_arrays(ranges).select(
         F.col("section").alias("_s3"), F.col("rule_key").alias("_rk"), "ranges", "normal_range"))
     e = e.join(secs, e["section"] == secs["_s1"], "left")
     e = e.join(look, (e["section"] == look["_s2"]) & (e["key_norm"] == look["_mk"]), "left")

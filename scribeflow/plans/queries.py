@@ -18,7 +18,7 @@ from scribeflow.operators.tokens import tokenize
 from scribeflow.plans.materialize import materialize, memo
 from scribeflow.plans.oracle import PIECE_RE, VALUE_RE, with_ctes
 from scribeflow.sources import fixtures as fx
-from scribeflow.sources.reference import doc_phrase_table, json_value, type_totals
+from scribeflow.sources.reference import bcast, doc_phrase_table, json_value, type_totals
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -282,7 +282,7 @@ def q_ruleset_route(spark, sf):
     r, _, _ = rules(spark)
     e = entities(spark, sf)
     sec = F.when(F.col("type") == "test_result", "blood_tests").when(F.col("type") == "vital_sign", "vital_signs")
-    s = F.broadcast(V.sections_with_rules(r))
+    s = bcast(V.sections_with_rules(r))
     e = e.withColumn("sec", sec)
     return e.join(s, e["sec"] == s["section"], "left").select("doc_id", "seq", "type", F.col("section").alias("ruleset"))
 
@@ -295,7 +295,7 @@ def q_rule_lookup(spark, sf):
     r, _, ra = rules(spark)
     e = entities(spark, sf).where(F.col("value_num").isNotNull()).withColumn("key_norm", normalize_key("name"))
     sec = F.when(F.col("type") == "test_result", "blood_tests").when(F.col("type") == "vital_sign", "vital_signs")
-    look = F.broadcast(V.rule_lookup_table(r, ra))
+    look = bcast(V.rule_lookup_table(r, ra))
     e = e.withColumn("sec", sec)
     return e.join(look, (e["sec"] == look["section"]) & (e["key_norm"] == look["match_key"]), "left").select(
         "doc_id", "seq", "key_norm", "rule_key")

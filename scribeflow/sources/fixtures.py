@@ -137,7 +137,7 @@ def note_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity"
     )
-    lx = F.broadcast(lex_df(spark))
+    lx = F.broadcast(lex_df(spark))  # 13-row literal table
     q = F.col("l_quantity").cast("int")
     term = F.when(F.col("l_suppkey") % 2 == 0, F.upper("term")).otherwise(F.col("term"))
     sep = F.element_at(F.array(*[F.lit(s) for s in SEPARATORS]), (F.col("l_linenumber") % 5 + 1).cast("int"))

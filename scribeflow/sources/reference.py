@@ -57,6 +57,21 @@ def broadcast_checked(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT) -> DataFr
     return F.broadcast(df) if n <= limit else df
 
 
+BROADCAST_BYTES_LIMIT = 64 * 1024 * 1024
+
+
+def bcast(df: DataFrame, limit_bytes: int = BROADCAST_BYTES_LIMIT) -> DataFrame:
+    """Broadcast hint for a dictionary side whose optimizer size estimate
+    (the statistic Spark's own broadcast threshold uses) is within the limit;
+    otherwise the plain DataFrame, leaving Spark to plan a shuffle join."""
+    try:
+        raw = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+        size = int(raw if isinstance(raw, int) else str(raw))
+    except Exception:  # noqa: BLE001 - no estimate: do not force a broadcast
+        return df
+    return F.broadcast(df) if size <= limit_bytes else df
+
+
 def _lower_tokens(text) -> F.Column:
     """Lower-cased tokens of a phrase with the document tokenizer (the single
     blank pieces are dropped)."""
