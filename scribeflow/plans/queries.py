@@ -354,7 +354,10 @@ def layman(spark: SparkSession) -> DataFrame:
 def summaries(spark: SparkSession, sf: str) -> DataFrame:
     docs = cdocs(spark, sf)
     cls = C.classify(docs, phrases(spark))
-    return S.summarize(docs, cls, entities(spark, sf), vreport(spark, sf), layman(spark))
+    ents = materialize(entities(spark, sf), "entities")  # read by findings and by the rollup
+    r, rr, ra = rules(spark)
+    rep = V.validation_report(docs, V.findings(ents, r, rr, ra))
+    return S.summarize(docs, cls, ents, rep, layman(spark))
 
 
 @register("abnormal_union", with_ctes(
