@@ -32,7 +32,6 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     from scribeflow.session import local_session
     from scribeflow.plans import queries as Q
-    from scribeflow.sources import fixtures as fx
 
     spark = local_session(cpus, app="scribeflow-bench")
     # Input preparation (deriving the clinical notes from the driver tables)

@@ -479,7 +479,6 @@ def q_doc_ocr_stats(spark, sf):
 
 
 # ---------------------------------------------------- pipeline / packaging --
-from scribeflow.operators import control as K  # noqa: E402
 from scribeflow.operators import package as P  # noqa: E402
 from scribeflow.plans import pipeline as PL  # noqa: E402
 from scribeflow.sources.files import split_supported  # noqa: E402
@@ -582,11 +581,10 @@ def q_report_json(spark, sf):
 
 
 # ------------------------------------------------------------ sources/sinks --
-from scribeflow.plans.materialize import materialize as _mat  # noqa: E402,F401
 from scribeflow.session import scratch_path  # noqa: E402
 from scribeflow.sinks import writers as W  # noqa: E402
 from scribeflow.sources.files import ingest  # noqa: E402
-from scribeflow.sources.reference import load_reference_json, type_totals as _tt  # noqa: E402,F401
+from scribeflow.sources.reference import load_reference_json  # noqa: E402
 
 _SUPPORTED_SQL = ", ".join("'" + t + "'" for t in __import__("scribeflow.fixed_values", fromlist=["x"]).SUPPORTED_FILE_TYPES)
 

@@ -1,6 +1,5 @@
 """Operators on hand-made inputs with hand-computed expectations."""
 
-import math
 
 from pyspark.sql import functions as F
 

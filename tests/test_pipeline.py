@@ -5,7 +5,6 @@ import random
 
 import pytest
 
-from pyspark.sql import functions as F
 
 from scribeflow.operators import ocr_text as O
 from scribeflow.plans import pipeline as PL
