@@ -42,11 +42,13 @@ def build_reports(docs: DataFrame, cls: DataFrame | None, ents: DataFrame | None
     """Report rows: doc_id, file_name, document_type, classification_confidence,
     extracted_entities, validation_summary, summary, processing_status,
     processing_time_ms, stage_timings, errors, warnings."""
-    r = docs.select("doc_id", "file_name", F.col("status").alias("processing_status"), "errors", "warnings")
+    inline_cls = cls is None and "document_type" in docs.columns
+    r = docs.select("doc_id", "file_name", F.col("status").alias("processing_status"), "errors", "warnings",
+                    *(["document_type", "confidence"] if inline_cls else []))
     empty_map = F.create_map().cast(f"map<string,array<{ITEM}>>")
-    if cls is not None:
+    if not inline_cls and cls is not None:
         r = r.join(cls.select("doc_id", "document_type", "confidence"), "doc_id", "left")
-    else:
+    elif not inline_cls:
         r = r.withColumn("document_type", F.lit(None).cast("string")).withColumn("confidence", F.lit(None).cast("double"))
     if ents is not None:
         r = r.join(entities_by_type(ents), "doc_id", "left")

@@ -108,11 +108,14 @@ def summarize(docs: DataFrame, classification: DataFrame | None, entities: DataF
     diagnoses, layman_explanation).
 
     ``report`` has (doc_id, critical_values, abnormal_values); a document
-    without a report row gets "No validation report available".
+    without a report row gets "No validation report available".  With
+    ``classification=None`` the document rows may carry ``document_type`` /
+    ``confidence`` themselves (null = classification did not finish).
     """
     sentences = status_sentences(layman)
     lmap = layman_map(layman)
-    d = docs.select("doc_id", "file_name")
+    keep = [c for c in ("document_type", "confidence") if classification is None and c in docs.columns]
+    d = docs.select("doc_id", "file_name", *keep)
     d = d.join(entity_rollup(entities), "doc_id", "left")
     if report is not None:
         d = d.join(report.select("doc_id", "critical_values", "abnormal_values").withColumn("_rep", F.lit(True)),
@@ -124,6 +127,8 @@ def summarize(docs: DataFrame, classification: DataFrame | None, entities: DataF
     if classification is not None:
         d = d.join(classification.select("doc_id", "document_type", "confidence").withColumn("_cls", F.lit(True)),
                    "doc_id", "left")
+    elif "document_type" in docs.columns:
+        d = d.withColumn("_cls", F.when(F.col("document_type").isNotNull(), F.lit(True)))
     else:
         d = d.select("*", F.lit(None).cast("string").alias("document_type"), F.lit(None).cast("double").alias("confidence"),
                      F.lit(None).cast("boolean").alias("_cls"))

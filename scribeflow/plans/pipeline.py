@@ -246,7 +246,7 @@ def run(
 
     from scribeflow.operators.package import build_reports
 
-    reports = build_reports(d, cls_out, ents, rep, summ)
+    reports = build_reports(d, None, ents, rep, summ)
     return PipelineResult(reports, d, ents, finds, rep, summ, cls_out, pages)
 
 
