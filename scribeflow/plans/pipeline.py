@@ -14,6 +14,7 @@ The document text itself is scanned once and never shuffled.
 
 from __future__ import annotations
 
+import logging
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -32,6 +33,8 @@ from scribeflow.plans.materialize import materialize
 from scribeflow.sources import reference as R
 from scribeflow.sources.local import local_df
 
+log = logging.getLogger(__name__)
+
 DEFAULT_STAGES = [k for k, _ in fv.STAGES] + ["packaging"]
 # Documents that arrive with text (no OCR word tables) start at scrubbing.
 TEXT_STAGES = ["phi_scrubbing", "classification", "extraction", "validation", "summarization", "packaging"]
@@ -148,7 +151,10 @@ def run(
     dicts = dicts.localize()
     stages = list(active_stages or DEFAULT_STAGES)
     known = {k for k, _ in fv.STAGES}
-    warnings = [f"Unknown stage '{s}' in settings. Skipped." for s in stages if s not in known and s != "packaging"]
+    for s_ in stages:
+        if s_ not in known and s_ != "packaging":
+            # reported in the log only; the document's warnings list stays empty
+            log.warning("Unknown stage '%s' in settings. Skipping.", s_)
     stages = [s for s in [k for k, _ in fv.STAGES] if s in stages]
     order = list(stages)
     spark = documents.sparkSession
@@ -158,7 +164,9 @@ def run(
     gate_cols: dict[str, Column] = {}
     pages = None
     d = documents.select(*meta_cols)
-    if "ocr" in stages and ocr_words is not None:
+    # processed images exist only when the preprocessing stage ran; a word
+    # table stands for them
+    if "ocr" in stages and ocr_words is not None and "preprocessing" in stages:
         pages = keep(O.pages(ocr_words), "pages")
         text = O.full_text(pages).select("doc_id", F.col("full_text").alias("text"))
         has = pages.select("doc_id").distinct().withColumn("_has_pages", F.lit(True))
@@ -179,7 +187,7 @@ def run(
         empty_ids = text.where(F.coalesce(F.col("text"), F.lit("")) == "").select("doc_id").withColumn("_empty", F.lit(True))
         d = d.join(empty_ids, "doc_id", "left")
         text_empty = F.col("_empty").isNotNull()
-        if "ocr" in stages and ocr_words is not None:
+        if "_has_pages" in d.columns:
             text_empty = text_empty | F.col("_has_pages").isNull()
     else:
         text = text.where(F.lit(False))
@@ -219,7 +227,7 @@ def run(
         d = d.withColumn("document_type", F.when(ok, F.col("document_type"))) \
             .withColumn("confidence", F.when(ok, F.col("confidence"))) \
             .withColumn("keywords_found", F.when(ok, F.col("keywords_found")))
-    d = d.withColumn("warnings", F.array(*[F.lit(w) for w in warnings]).cast("array<string>"))
+    d = d.withColumn("warnings", F.array().cast("array<string>"))
     d = d.drop(*[c for c in ("_empty", "_has_pages", "class_error") if c in d.columns])
     d = keep(d, "doc_state")
 

@@ -40,7 +40,7 @@ def test_gates_status_and_defaults(spark):
     assert d4["extracted_entities"]["conditions"][0]["name"] == "hypertension"
     assert d4["summary"]["diagnoses"] == ["Hypertension"]
     assert d4["validation_summary"]["valid_count"] == 2
-    assert d4["warnings"] == ["Unknown stage 'bogus' in settings. Skipped."]
+    assert d4["warnings"] == []          # unknown stages are only logged
 
 
 def test_summarization_without_validation_fails(spark):
@@ -163,3 +163,16 @@ def test_ingest_lists_empty_files(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "c.jpeg").write_bytes(b"")
     assert ingest(read_file_listing(spark, str(tmp_path / "in"))).count() == 1
+
+
+def test_ocr_without_preprocessing_has_no_images(spark):
+    docs = _docs(spark, [(1, "r.png", ".png", 1, None)])
+    words = spark.createDataFrame([(1, 1, 1, 1, 1, 1, "90", "glucose")],
+                                  "doc_id long, page_number int, seq long, block_num int, par_num int, line_num int, "
+                                  "conf string, text string")
+    res = PL.run(docs, PL.Dictionaries.defaults(spark), ocr_words=words,
+                 active_stages=["ocr", "phi_scrubbing", "classification", "extraction", "validation", "summarization"])
+    r = res.reports.first()
+    assert r["processing_status"] == "failed"
+    assert r["errors"][0]["message"] == ("Stage 'OCRStage' missing required input: "
+                                         "Required field 'processed_image_paths' is empty")
