@@ -358,3 +358,53 @@ FROM (SELECT doc_id, key, arg_min(seq, seq * 16 + kpos) AS first_seq, arg_min(kp
         UNION ALL SELECT doc_id, seq, 1, 'value' FROM ents WHERE value_text IS NOT NULL OR value_num IS NOT NULL
         UNION ALL SELECT doc_id, seq, 2, 'unit' FROM ents WHERE unit IS NOT NULL
         UNION ALL SELECT doc_id, seq, 3, 'page' FROM ents WHERE page IS NOT NULL) GROUP BY doc_id, key)""")
+
+# --- the same text chain over documents rebuilt from OCR pages ---------------------
+import re as _re  # noqa: E402
+
+_CHAIN = ["pieces", "toks", "tokw", "pmatch_raw", "pmatch", "kscores", "nscores", "best", "classification",
+          "poff", "ematch", "text_ents_raw", "text_ents", "ents", "ents_k", "fbest", "findings", "vreport"]
+
+
+def _clone(name: str, suffix: str, rename: dict[str, str]) -> None:
+    deps, sql = CTES[name]
+
+    def sub(m):
+        return m.group(1) + rename.get(m.group(2), m.group(2))
+
+    new_sql = _re.sub(r"\b(FROM\s+|JOIN\s+)([A-Za-z_][A-Za-z0-9_]*)\b", sub, sql)
+    CTES[name + suffix] = ([rename.get(d, d) for d in deps], new_sql)
+
+
+# word tables derived from the notes text by the same rule (notes carry the
+# fixture words, so the OCR path is exercised with real matches)
+_OCR = ["ocr_lines", "ocr_words", "ocr_kept", "ocr_seg", "ocr_tlines", "ocr_ptext", "ocr_pstats", "ocr_pages"]
+_REN_N = {n: n + "_n" for n in _OCR}
+_REN_N["documents"] = "notes"
+for _n in _OCR:
+    _clone(_n, "_n", _REN_N)
+CTES["ocr_lines_n"] = (["notes"], CTES["ocr_lines_n"][1])
+
+_PB = "chr(10) || chr(10) || '--- Page Break ---' || chr(10) || chr(10)"
+cte("odocs", ["notes", "ocr_pages_n"], f"""
+SELECT d.doc_id, coalesce(t.text, '') AS text FROM notes d
+LEFT JOIN (SELECT doc_id, string_agg(raw_text, {_PB} ORDER BY page_number) AS text FROM ocr_pages_n GROUP BY doc_id) t
+  USING (doc_id)""")
+cte("ocdocs", ["odocs"], "SELECT doc_id, text FROM odocs WHERE text <> ''")
+cte("ents_u_o", ["text_ents_o"], """
+SELECT doc_id, 1 AS src_rank, type, name, value_text, CAST(NULL AS DOUBLE) AS value_num, unit,
+       CAST(NULL AS INTEGER) AS page, pos FROM text_ents_o""")
+_REN = {n: n + "_o" for n in _CHAIN}
+_REN.update({"cdocs": "ocdocs", "ents_u": "ents_u_o"})
+for _n in _CHAIN:
+    if _n in CTES:
+        _clone(_n, "_o", _REN)
+cte("pipe_o", ["odocs", "classification_o", "vreport_o"], """
+SELECT o.doc_id, 'scan_' || CAST(o.doc_id AS VARCHAR) || '.png' AS file_name,
+  CASE WHEN o.text = '' OR coalesce(c.over_one, false) THEN 'failed' ELSE 'success' END AS processing_status,
+  CASE WHEN o.text = '' OR coalesce(c.over_one, false) THEN 'unknown' ELSE c.document_type END AS document_type,
+  CASE WHEN o.text = '' OR coalesce(c.over_one, false) THEN CAST(0.0 AS DOUBLE) ELSE c.confidence END
+    AS classification_confidence,
+  CAST(CASE WHEN o.text = '' OR coalesce(c.over_one, false) THEN 0 ELSE v.total_validated END AS BIGINT)
+    AS total_validated
+FROM odocs o LEFT JOIN classification_o c USING (doc_id) LEFT JOIN vreport_o v USING (doc_id)""")

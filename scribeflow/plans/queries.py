@@ -759,14 +759,17 @@ def q_stream_pipeline(spark, sf):
     return spark.read.parquet(out).select("doc_id", "file_name", "processing_status", "document_type")
 
 
-@register("pipeline_ocr")
+@register("pipeline_ocr", with_ctes(
+    "SELECT doc_id, file_name, processing_status, document_type, classification_confidence, total_validated "
+    "FROM pipe_o", ["pipe_o"]))
 def q_pipeline_ocr(spark, sf):
-    """The default stage list end to end: OCR word tables (derived from
-    ``documents``) -> page text -> scrub -> classify -> extract -> validate ->
-    summarize -> reports (rows-only: one report per document)."""
-    d = fx.table(spark, sf, "documents").select(
-        "doc_id", F.concat(F.lit("scan_"), F.col("doc_id").cast("string"), F.lit(".png")).alias("file_name"),
-        F.lit(".png").alias("file_type"), F.col("n_chars").alias("file_size_bytes"))
-    res = PL.run(d, fixture_dicts(spark), active_stages=PL.DEFAULT_STAGES, ocr_words=fx.ocr_words(spark, sf))
+    """The default stage list end to end: word tables (derived from the notes
+    text by the OCR fixture rule) -> page text -> scrub -> classify ->
+    extract -> validate -> summarize -> reports."""
+    n = notes(spark, sf)
+    d = n.select("doc_id", F.concat(F.lit("scan_"), F.col("doc_id").cast("string"), F.lit(".png")).alias("file_name"),
+                 F.lit(".png").alias("file_type"), F.char_length("text").cast("long").alias("file_size_bytes"))
+    words = fx.ocr_words_from(n.select("doc_id", "text"))
+    res = PL.run(d, fixture_dicts(spark), active_stages=PL.DEFAULT_STAGES, ocr_words=words)
     return res.reports.select("doc_id", "file_name", "processing_status", "document_type",
-                              "classification_confidence", "validation_summary.total_validated")
+                              "classification_confidence", "validation_summary.total_validated")
\ No newline at end of file

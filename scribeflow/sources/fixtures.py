@@ -244,10 +244,15 @@ def documents_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ocr_words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """ocr_words(doc_id, page_number, seq, block_num, par_num, line_num, conf, text)."""
+    """ocr_words(doc_id, page_number, seq, block_num, par_num, line_num, conf, text)
+    from ``documents.text``."""
     from scribeflow.plans.materialize import spread_if_narrow
 
-    d = spread_if_narrow(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return ocr_words_from(spread_if_narrow(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
+def ocr_words_from(d: DataFrame) -> DataFrame:
+    """The word-table rule of FIXTURES.md applied to any (doc_id, text)."""
     lines = d.select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("ln", "line"))
     words = lines.select("doc_id", "ln", F.posexplode(F.split("line", " ", -1)).alias("wi", "word"))
     ln, wi = F.col("ln"), F.col("wi")
