@@ -211,3 +211,32 @@ def test_summary_texts(spark):
     assert d2["key_findings"] == ["No validation report available"]
     assert d2["document_summary"] == "Report: b.jpg\nType: unknown (confidence: 44%)\nAll validated findings are within normal ranges"
     assert d2["layman_explanation"] == fv.TEST_RESULT_TEMPLATES["normal"][2]
+
+
+def test_hot_document_many_repeats(spark):
+    """One document mentioning the same entity 3 000 times (a hot key): one
+    entity (first text hit wins) with the right offsets; a second hot document
+    whose phrase score passes 1.0 fails classification and gets no entities."""
+    import time
+
+    from scribeflow.plans import pipeline as PL
+
+    text = " ".join(f"metformin - {i % 97 + 1}" for i in range(3000))   # no classification keyword
+    hot2 = " ".join(f"glucose: {i % 97 + 1} mg/dL dosage" for i in range(2000))
+    docs = spark.createDataFrame([(1, "hot.png", ".png", 1, text), (2, "cold.png", ".png", 1, "glucose: 3 mg/dL"),
+                                  (3, "hot2.png", ".png", 1, hot2)],
+                                 "doc_id long, file_name string, file_type string, file_size_bytes long, full_text string")
+    t0 = time.time()
+    res = PL.run(docs, PL.Dictionaries.defaults(spark), active_stages=PL.TEXT_STAGES)
+    ents = {(r["doc_id"], r["name"]): r for r in res.entities.collect()}
+    assert set(ents) == {(1, "metformin"), (2, "glucose")}
+    assert ents[(1, "metformin")]["value_text"] == "1" and ents[(1, "metformin")]["start_char"] == 0
+    hits = X.gazetteer_hits(docs.select("doc_id", F.col("full_text").alias("text")).where("doc_id = 1"),
+                            PL.Dictionaries.defaults(spark).lexicon)
+    last = hits.orderBy(F.col("tok_pos").desc()).first()
+    assert last["start_char"] == text.rindex("metformin") and last["end_char"] == last["start_char"] + 9
+    rep = {r["doc_id"]: r for r in res.reports.collect()}
+    assert rep[3]["processing_status"] == "failed"            # 2 000 x dosage(2) / 30 > 1.0
+    assert rep[3]["errors"][0]["error_code"] == "CLASSIFICATION_ERROR"
+    assert rep[1]["processing_status"] == "success" and rep[2]["processing_status"] == "success"
+    assert time.time() - t0 < 120
