@@ -104,9 +104,23 @@ def match_dictionary(
     src = spread_if_narrow(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_text"), *keep))
     d = with_pieces(src, "_text")
     shifted = [F.slice("tk", k + 1, F.greatest(F.size("tk") - k, F.lit(0))).alias(f"s{k}") for k in range(m)]
-    d = d.select("doc_id", "pieces", *keep, *shifted)
+    off = []
+    if want_offsets is not False:
+        # once per document: start offset of every block of _B pieces
+        # (_B ~ sqrt(pieces), so the appends stay linear in the document)
+        d = d.withColumn("_B", F.greatest(F.lit(512), F.ceil(F.sqrt(F.size("pieces"))).cast("int")))
+        cum = F.aggregate(
+            "pieces",
+            F.struct(F.array().cast("array<long>").alias("c"), F.lit(0).cast("long").alias("s"), F.lit(0).alias("k")),
+            lambda st, p: F.struct(
+                F.when(st["k"] % F.col("_B") == 0, F.array_append(st["c"], st["s"])).otherwise(st["c"]).alias("c"),
+                (st["s"] + F.char_length(p)).alias("s"),
+                (st["k"] + 1).alias("k")),
+            lambda st: st["c"])
+        off = ["_B", cum.alias("_cum")]
+    d = d.select("doc_id", "pieces", *keep, *shifted, *off)
     ex = d.select(
-        "doc_id", "pieces", *keep,
+        "doc_id", "pieces", *keep, *(["_B", "_cum"] if off else []),
         F.posexplode(F.arrays_zip(*[F.col(f"s{k}") for k in range(m)])).alias("tok_pos", "z"),
     ).withColumn("t0", F.lower(F.col("z.s0.p")))
 
@@ -131,7 +145,11 @@ def match_dictionary(
     out = hits.withColumn("span_text", span).withColumn("first_piece", first_i).withColumn("last_piece", last_i)
     extra = []
     if want_offsets is not False:
-        start = F.char_length(F.array_join(F.slice("pieces", 1, F.col("first_piece")), "")).cast("long")
+        # block start (precomputed) + at most one block of pieces: no HOF per hit
+        fp, bsz = F.col("first_piece"), F.col("_B")
+        blk = (fp / bsz).cast("int")
+        start = (F.element_at("_cum", blk + 1)
+                 + F.char_length(F.array_join(F.slice("pieces", blk * bsz + 1, fp - blk * bsz), ""))).cast("long")
         if isinstance(want_offsets, Column):
             start = F.when(want_offsets, start)
         out = out.withColumn("start_char", start)

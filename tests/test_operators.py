@@ -214,14 +214,14 @@ def test_summary_texts(spark):
 
 
 def test_hot_document_many_repeats(spark):
-    """One document mentioning the same entity 3 000 times (a hot key): one
+    """One document mentioning the same entity 20 000 times (a hot key): one
     entity (first text hit wins) with the right offsets; a second hot document
     whose phrase score passes 1.0 fails classification and gets no entities."""
     import time
 
     from scribeflow.plans import pipeline as PL
 
-    text = " ".join(f"metformin - {i % 97 + 1}" for i in range(3000))   # no classification keyword
+    text = " ".join(f"metformin - {i % 97 + 1}" for i in range(20000))   # no classification keyword
     hot2 = " ".join(f"glucose: {i % 97 + 1} mg/dL dosage" for i in range(2000))
     docs = spark.createDataFrame([(1, "hot.png", ".png", 1, text), (2, "cold.png", ".png", 1, "glucose: 3 mg/dL"),
                                   (3, "hot2.png", ".png", 1, hot2)],
