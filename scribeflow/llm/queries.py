@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from scribeflow.llm import packing, sharding, token_output
+from scribeflow.llm import fm_dedup, packing, rlbwt_dedup, sharding, token_output
 from scribeflow.llm.common import tables
 
 
@@ -26,13 +26,23 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.pieces(docs, vocabulary("byte_bpe_50k.json")))
 
 
+def op8_fm_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fm_dedup.dedup(tables(spark, sf_dir, "documents"))
+
+
 def op9_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.round_trip(tables(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
 
+def op10_rlbwt_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rlbwt_dedup.dedup(tables(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_sharding": op2_sharding,
     "op6_packing": op6_packing,
+    "op8_fm_dedup": op8_fm_dedup,
     "op9_token_output": op9_token_output,
+    "op10_rlbwt_dedup": op10_rlbwt_dedup,
 }
 ORACLE: dict[str, str] = {}
