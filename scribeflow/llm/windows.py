@@ -34,9 +34,11 @@ from pyspark.sql import functions as F
 from scribeflow.llm.common import _BASE, _INVERSE, _powers, mix, stage, texts
 
 WINDOW = 50
-#: Text bytes for each bucket, shard and part.
+#: Text bytes for each anchor bucket and document part.
 PART_BYTES = 8 << 20
 LEAST_PARTS = 32
+#: Shards for each part: an index takes many times the memory of its text.
+SHARDS_PER_PART = 4
 #: Windows of a segment: text that repeats itself would make endless ones.
 LONGEST_RUN = 64
 #: Symbols whose hashes are held at a time.
@@ -173,7 +175,7 @@ def _repeated(anchors: DataFrame, parts: int) -> DataFrame:
     return anchors.groupBy("bucket").applyInPandas(bucket, "part int, blob binary")
 
 
-def _segments(docs: DataFrame, told: DataFrame, alphabet: Alphabet, parts: int) -> DataFrame:
+def _segments(dealt: DataFrame, told: DataFrame, alphabet: Alphabet, parts: int) -> DataFrame:
     """The segments of repeated anchors, by shard; copies of a text sent by one task are sent once."""
 
     def meet(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
@@ -183,15 +185,15 @@ def _segments(docs: DataFrame, told: DataFrame, alphabet: Alphabet, parts: int)
             hits.append(full) if len(full) else copies.update(r.tolist())
         wanted = np.unique(np.concatenate(hits))
         out: list[tuple[int, bytes]] = []
-        left = left.drop_duplicates("rk")
-        left = left[~left["rk"].isin(copies)]
-        table = pa.RecordBatch.from_arrays([pa.array(left["rk"], pa.int64()), pa.array(left["doc_id"], pa.int64()), pa.array(left["text"], pa.large_string())],
+        # rows without a doc_id have no place in the order, so they take no part
+        left = left[left["doc_id"].notna() & ~left["rk"].isin(copies)].drop_duplicates("rk")
+        table = pa.RecordBatch.from_arrays([pa.array(left["rk"], pa.int64()), pa.array(left["doc_id"].astype("int64")), pa.array(left["text"], pa.large_string())],
                                            names=["rk", "doc_id", "text"])
         for rk, ids, raw in _rows(iter([table])):
             symbols, offsets = alphabet.split(raw)
             anchor, row, start, end = segments(symbols, offsets, alphabet)
-            shard = _bucket(anchor, parts)
-            full = (shard << 32) | (anchor & _LOW).astype(np.int64)
+            full = (_bucket(anchor, parts) << 32) | (anchor & _LOW).astype(np.int64)
+            shard = (mix(anchor) % np.uint64(parts * SHARDS_PER_PART)).astype(np.int64)
             found = np.searchsorted(wanted, full)
             hit = np.flatnonzero((found < len(wanted)) & (wanted[np.minimum(found, len(wanted) - 1)] == full)) if len(wanted) else np.zeros(0, np.int64)
             keys, docs_ = np.array(rk, np.int64), np.array(ids, np.int64)
@@ -204,9 +206,7 @@ def _segments(docs: DataFrame, told: DataFrame, alphabet: Alphabet, parts: int)
                                      lengths.astype("<u4"), symbols[flat])))
         return pd.DataFrame(out, columns=["shard", "blob"]).astype({"shard": "int32"})
 
-    # rows without a doc_id have no place in the order, so they take no part
-    known = docs.where("doc_id is not null").withColumn("part", F.pmod("rk", F.lit(parts)).cast("int"))
-    return known.groupBy("part").cogroup(told.groupBy("part")).applyInPandas(meet, "shard int, blob binary")
+    return dealt.groupBy("part").cogroup(told.groupBy("part")).applyInPandas(meet, "shard int, blob binary")
 
 
 def suffix_order(text: np.ndarray, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
@@ -221,11 +221,12 @@ def suffix_order(text: np.ndarray, window: int = WINDOW) -> tuple[np.ndarray, np
     for j in range(per):
         key *= top
         key[:n - j] += text[j:].astype(np.int64) + 1
-    order = np.argsort(key, kind="stable")
-    sorted_key = key[order]
-    fresh = np.concatenate(([True], sorted_key[1:] != sorted_key[:-1]))
-    rank = np.empty(n, np.int64)
-    rank[order] = np.maximum.accumulate(np.where(fresh, np.arange(n), 0))
+    order = np.argsort(key, kind="stable").astype(np.int32)
+    key = key[order]
+    fresh = np.concatenate(([True], key[1:] != key[:-1]))
+    del key
+    rank = np.empty(n, np.int32)
+    rank[order] = np.maximum.accumulate(np.where(fresh, np.arange(n, dtype=np.int32), 0))
     depth = per
     ranks_at = {depth: rank.copy()}
     while True:
@@ -237,7 +238,7 @@ def suffix_order(text: np.ndarray, window: int = WINDOW) -> tuple[np.ndarray, np
             break
         own = order[where]
         nxt = own + depth
-        second = np.where(nxt < n, rank[np.minimum(nxt, n - 1)] + 1, 0)
+        second = np.where(nxt < n, rank[np.minimum(nxt, n - 1)] + 1, 0).astype(np.int64)
         sub = np.argsort(rank[own] * np.int64(n + 1) + second, kind="stable")
         own, second = own[sub], second[sub]
         order[where] = own
@@ -288,9 +289,9 @@ def _matched(sent: DataFrame, index: Callable, dtype: str, parts: int) -> DataFr
         first = np.full(len(named), -1)
         first[which[::-1]] = np.arange(len(which))[::-1]
         m = size[first]
-        dense = np.unique(symbols, return_inverse=True)[1].astype(np.int64) + 1 if width > 1 else symbols.astype(np.int64) + 1
+        dense = np.unique(symbols, return_inverse=True)[1].astype(np.int32) + 1 if width > 1 else symbols.astype(np.int32) + 1
         starts = np.concatenate(([0], np.cumsum(m + 1)[:-1]))
-        text = np.zeros(int((m + 1).sum()), np.int64)  # 0 ends each segment
+        text = np.zeros(int((m + 1).sum()), np.int32)  # 0 ends each segment
         into = np.repeat(starts - np.concatenate(([0], np.cumsum(m)[:-1])), m) + np.arange(m.sum())
         text[into] = dense[np.repeat(begin[first] - np.concatenate(([0], np.cumsum(m)[:-1])), m) + np.arange(m.sum())]
         order, same = suffix_order(text)
@@ -353,9 +354,10 @@ def removed(docs: DataFrame, alphabet: Alphabet, index: Callable, dtype: str, cu
     marked = stage(marks.select("part", "rks").mapInArrow(mark, "part int, blob binary"), f"{name}-copies")
     known = own.where("doc_id is not null").select("rk", "doc_id", "text")
     told = _repeated(_anchors(known, alphabet, parts), parts).unionByName(marked)
-    sent = _segments(known, told, alphabet, parts)
-    found = stage(_matched(sent, index, dtype, parts).withColumn("copy", F.lit(False))
-                  .unionByName(marked.withColumn("copy", F.lit(True))), f"{name}-found")
+    # the texts are dealt out once: both cogroups below read the same exchange
+    dealt = own.withColumn("part", F.pmod("rk", F.lit(parts)).cast("int"))
+    sent = _segments(dealt, told, alphabet, parts)
+    found = _matched(sent, index, dtype, parts).withColumn("copy", F.lit(False)).unionByName(marked.withColumn("copy", F.lit(True)))
 
     def finish(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         rk, lo, hi, copied = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], set()
@@ -383,5 +385,4 @@ def removed(docs: DataFrame, alphabet: Alphabet, index: Callable, dtype: str, cu
                 spans.append((np.zeros(0, np.int64), np.zeros(0, np.int64)))
         return cut(left, raw, spans)
 
-    dealt = own.withColumn("part", F.pmod("rk", F.lit(parts)).cast("int"))
     return dealt.groupBy("part").cogroup(found.groupBy("part")).applyInPandas(finish, schema)
