@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from scribeflow.llm import fm_dedup, packing, rlbwt_dedup, sharding, token_output
+from scribeflow.llm import fm_dedup, ngram_join, packing, rlbwt_dedup, sharding, token_output
 from scribeflow.llm.common import tables
 
 
@@ -21,6 +21,10 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(tables(spark, sf_dir, "documents"), sharding.layout())
 
 
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(tables(spark, sf_dir, "documents"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = tables(spark, sf_dir, "documents")
     return packing.pack(packing.pieces(docs, vocabulary("byte_bpe_50k.json")))
@@ -40,6 +44,7 @@ def op10_rlbwt_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_sharding": op2_sharding,
+    "op3_ngram_join": op3_ngram_join,
     "op6_packing": op6_packing,
     "op8_fm_dedup": op8_fm_dedup,
     "op9_token_output": op9_token_output,
