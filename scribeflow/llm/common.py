@@ -120,13 +120,18 @@ def word_spans(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
     return starts, ends, np.searchsorted(starts, offsets)
 
 
+class SpanHash:
+    """64-bit hashes of byte spans, from prefix sums of a polynomial over the bytes."""
+
+    def __init__(self, raw: np.ndarray, lower: bool = False):
+        self.pre = np.zeros(len(raw) + 1, dtype=np.uint64)
+        np.cumsum(_BYTE_CODE[_LOWER[raw] if lower else raw] * _powers(_BASE, len(raw)), out=self.pre[1:])
+        self.back = _powers(_INVERSE, len(raw) + 1)
+
+    def __call__(self, starts: np.ndarray, ends: np.ndarray, salt: int = 0) -> np.ndarray:
+        return mix((self.pre[ends] - self.pre[starts]) * self.back[starts] + (ends - starts + salt).astype(np.uint64))
+
+
 def word_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = False) -> np.ndarray:
-    """A 64-bit hash of each word, from prefix sums of a polynomial over its bytes."""
-    if len(starts) == 0:
-        return np.zeros(0, np.uint64)
-    if lower:
-        raw = _LOWER[raw]
-    pre = np.zeros(len(raw) + 1, dtype=np.uint64)
-    np.cumsum(_BYTE_CODE[raw] * _powers(_BASE, len(raw)), out=pre[1:])
-    back = _powers(_INVERSE, len(raw) + 1)
-    return mix((pre[ends] - pre[starts]) * back[starts] + (ends - starts).astype(np.uint64))
+    """A 64-bit hash of each word."""
+    return SpanHash(raw, lower)(starts, ends) if len(starts) else np.zeros(0, np.uint64)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from scribeflow.llm import fm_dedup, ngram_join, packing, rlbwt_dedup, sharding, token_output
+from scribeflow.llm import fm_dedup, ngram_join, packing, rlbwt_dedup, sharding, token_output, toxicity
 from scribeflow.llm.common import tables
 
 
@@ -17,6 +17,11 @@ def vocabulary(name: str) -> str:
     return str(public_tokenizers.path(name))
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = tables(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, tables(spark, sf_dir, "labels")))
+
+
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(tables(spark, sf_dir, "documents"), sharding.layout())
 
@@ -43,6 +48,7 @@ def op10_rlbwt_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
     "op2_sharding": op2_sharding,
     "op3_ngram_join": op3_ngram_join,
     "op6_packing": op6_packing,
