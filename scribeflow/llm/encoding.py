@@ -22,9 +22,9 @@ _CALL = 2000
 _SIMPLE = re.compile("[\\x20-\\x7e\\t\\n\\r\\u00c0-\\u00ff]*")
 #: How the two public vocabularies cut words, over the characters above (the
 #: first after lower-casing).
-_WORD_CUT = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\\u00df-\\u00f6\\u00f8-\\u00ff]+|[0-9]|[^\\sa-z0-9\\u00df-\\u00f6\\u00f8-\\u00ff]+")
+_WORD_CUT = re.compile("[a-z\\u00df-\\u00f6\\u00f8-\\u00ff]+|[0-9]|'(?:s|t|re|ve|m|ll|d)|[^\\sa-z0-9\\u00df-\\u00f6\\u00f8-\\u00ff]+")
 _LETTERS = "A-Za-z\\u00c0-\\u00d6\\u00d8-\\u00f6\\u00f8-\\u00ff"
-_BYTE_CUT = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTERS}]+| ?[0-9]+| ?[^\\s0-9{_LETTERS}]+|\\s+(?!\\S)|\\s+")
+_BYTE_CUT = re.compile(f" ?[{_LETTERS}]+| ?[0-9]+|'(?:s|t|re|ve|m|ll|d)| ?[^\\s0-9{_LETTERS}]+|\\s+(?!\\S)|\\s+")
 _ENCODERS: dict[tuple[str, bool], "Encoder"] = {}
 
 
