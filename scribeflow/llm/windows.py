@@ -92,10 +92,10 @@ def segments(symbols: np.ndarray, offsets: np.ndarray, alphabet: Alphabet,
     return tuple(np.concatenate(x) for x in zip(*out))  # type: ignore[return-value]
 
 
-def _rows(batches: Iterator[pa.RecordBatch], most: int = 1 << 22) -> Iterator[tuple[list, list, list[bytes]]]:
-    """Rows with up to ``most`` bytes of text at a time (one long text may be more)."""
+def _rows(batches: Iterator[pa.RecordBatch], most: int = 1 << 22, second: str = "doc_id") -> Iterator[tuple[list, list, list[bytes]]]:
+    """rk, another column and text of rows with up to ``most`` bytes of text at a time (one long text may be more)."""
     for batch in batches:
-        rk, ids = batch.column("rk").to_pylist(), batch.column("doc_id").to_pylist()
+        rk, ids = batch.column("rk").to_pylist(), batch.column(second).to_pylist()
         col = batch.column("text").cast(pa.large_binary())
         size = 0
         a = 0
@@ -135,16 +135,16 @@ def _bucket(anchor: np.ndarray, parts: int) -> np.ndarray:
 
 def _anchors(docs: DataFrame, alphabet: Alphabet, parts: int) -> DataFrame:
     def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rk, _, raw in _rows(batches):
+        for rk, tk, raw in _rows(batches, second="tk"):
             symbols, offsets = alphabet.split(raw)
             anchor, row, _, _ = segments(symbols, offsets, alphabet)
-            keys = np.array(rk, np.int64)
+            keys, texts_ = np.array(rk, np.int64), np.array(tk, np.int64)
             names, blobs = [], []
             for b, own in _by(_bucket(anchor, parts)):
                 rows, local = np.unique(row[own], return_inverse=True)
                 names.append(b)
-                blobs.append(_join(keys[rows], local.astype("<u2" if len(rows) < 1 << 16 else "<u4"), (anchor[own] & _LOW).astype("<u4"))
-                             if len(rows) < 1 << 16 else _join(keys[row[own]], np.zeros(0, "<u2"), (anchor[own] & _LOW).astype("<u4")))
+                blobs.append(_join(keys[rows], texts_[rows], local.astype("<u2" if len(rows) < 1 << 16 else "<u4").view("u1"),
+                                   (anchor[own] & _LOW).astype("<u4")))
             if names:
                 yield _batch("bucket", names, blobs)
 
@@ -152,21 +152,31 @@ def _anchors(docs: DataFrame, alphabet: Alphabet, parts: int) -> DataFrame:
 
 
 def _repeated(anchors: DataFrame, parts: int) -> DataFrame:
-    """For each document part, the rows and those of their anchors that other rows have too."""
+    """For each document part, the rows and those of their anchors that other texts have too."""
 
     def bucket(key, group: pd.DataFrame) -> pd.DataFrame:
-        low, rk = [], []
+        low, rk, tk = [], [], []
         for blob in group["blob"]:
-            rows, local, anchor = _parse(blob, "<i8", "<u2", "<u4")
-            rk.append(rows[local] if len(local) else rows)
+            rows, texts_, local, anchor = _parse(blob, "<i8", "<i8", "u1", "<u4")
+            local = local.view("<u2" if len(local) == 2 * len(anchor) else "<u4")
+            rk.append(rows[local])
+            tk.append(texts_[local])
             low.append(anchor)
-        a, r = np.concatenate(low), np.concatenate(rk)
-        order = np.lexsort((r, a))
-        a, r = a[order], r[order]
-        new = np.concatenate(([True], a[1:] != a[:-1]))
-        other = new | np.concatenate(([True], r[1:] != r[:-1]))
+        a, r, t = np.concatenate(low), np.concatenate(rk), np.concatenate(tk)
+        # what stands alone goes first: most anchors do
+        order = np.argsort(a)
+        a = a[order]
+        again = np.zeros(len(a) + 1, bool)
+        again[1:-1] = a[1:] == a[:-1]
+        many = again[1:] | again[:-1]
+        a, r, t = a[many], r[order[many]], t[order[many]]
+        order = np.lexsort((r, t, a))
+        a, r, t = a[order], r[order], t[order]
+        new = np.concatenate(([True], a[1:] != a[:-1]))[:len(a)]
+        other = new | np.concatenate(([True], t[1:] != t[:-1]))[:len(a)]
+        single = other | np.concatenate(([True], r[1:] != r[:-1]))[:len(a)]
         group_of = np.cumsum(new) - 1
-        keep = other & (np.bincount(group_of, weights=other)[group_of] > 1)
+        keep = single & (np.bincount(group_of, weights=other)[group_of] > 1) if len(a) else single
         a, r = a[keep], r[keep]
         full = (np.int64(key[0]) << np.int64(32)) | a.astype(np.int64)
         out = [(p, _join(r[own], full[own])) for p, own in _by(r % parts)]
@@ -221,7 +231,7 @@ def suffix_order(text: np.ndarray, window: int = WINDOW) -> tuple[np.ndarray, np
     for j in range(per):
         key *= top
         key[:n - j] += text[j:].astype(np.int64) + 1
-    order = np.argsort(key, kind="stable").astype(np.int32)
+    order = np.argsort(key).astype(np.int32)
     key = key[order]
     fresh = np.concatenate(([True], key[1:] != key[:-1]))
     del key
@@ -239,7 +249,7 @@ def suffix_order(text: np.ndarray, window: int = WINDOW) -> tuple[np.ndarray, np
         own = order[where]
         nxt = own + depth
         second = np.where(nxt < n, rank[np.minimum(nxt, n - 1)] + 1, 0).astype(np.int64)
-        sub = np.argsort(rank[own] * np.int64(n + 1) + second, kind="stable")
+        sub = np.argsort(rank[own] * np.int64(n + 1) + second)
         own, second = own[sub], second[sub]
         order[where] = own
         prior = rank[own]
@@ -352,7 +362,7 @@ def removed(docs: DataFrame, alphabet: Alphabet, index: Callable, dtype: str, cu
                              [_join(np.array(x, np.int64), np.zeros(0, np.int64)) for x in batch.column("rks").to_pylist()])
 
     marked = stage(marks.select("part", "rks").mapInArrow(mark, "part int, blob binary"), f"{name}-copies")
-    known = own.where("doc_id is not null").select("rk", "doc_id", "text")
+    known = own.where("doc_id is not null").select("rk", F.xxhash64("text").alias("tk"), "text")
     told = _repeated(_anchors(known, alphabet, parts), parts).unionByName(marked)
     # the texts are dealt out once: both cogroups below read the same exchange
     dealt = own.withColumn("part", F.pmod("rk", F.lit(parts)).cast("int"))
