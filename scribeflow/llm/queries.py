@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from scribeflow.llm import fm_dedup, ngram_join, packing, rlbwt_dedup, sharding, token_output, toxicity
+from scribeflow.llm import decontaminate, fm_dedup, licenses, ngram_join, packing, rlbwt_dedup, sharding, token_output, toxicity
 from scribeflow.llm.common import tables
 
 
@@ -30,6 +30,14 @@ def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join(tables(spark, sf_dir, "documents"))
 
 
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(tables(spark, sf_dir, "documents"), tables(spark, sf_dir, "benchmark"))
+
+
+def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(tables(spark, sf_dir, "documents"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = tables(spark, sf_dir, "documents")
     return packing.pack(packing.pieces(docs, vocabulary("byte_bpe_50k.json")))
@@ -51,6 +59,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_sharding": op2_sharding,
     "op3_ngram_join": op3_ngram_join,
+    "op5_decontaminate": op5_decontaminate,
+    "op7_licenses": op7_licenses,
     "op6_packing": op6_packing,
     "op8_fm_dedup": op8_fm_dedup,
     "op9_token_output": op9_token_output,
