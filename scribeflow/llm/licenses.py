@@ -103,18 +103,28 @@ def pieces(raw: list[bytes]) -> Pieces:
     return Pieces(h, np.append(cut, len(h)), row, np.arange(len(cut)) - first[row])
 
 
-def grams(p: Pieces) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Piece and number of every distinct hashed 1- and 2-gram, and each piece's scale: a word
-    said over and over counts once."""
+def _numbers(p: Pieces) -> tuple[np.ndarray, np.ndarray]:
+    """Piece and number of every hashed 1- and 2-gram."""
     n = np.diff(p.offsets)
     of = np.repeat(np.arange(len(n)), n)
     with np.errstate(over="ignore"):
         two = mix(p.words[:-1] * np.uint64(3) + p.words[1:])
     same = of[1:] == of[:-1] if len(of) else np.zeros(0, bool)
     number = np.concatenate((p.words, two[same])) >> np.uint64(64 - BITS)
-    key = np.unique(np.concatenate((of, of[1:][same])) * _SIZE + number.astype(np.int64))
+    return np.concatenate((of, of[1:][same])), number.astype(np.int64)
+
+
+def grams(p: Pieces, wanted: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Piece and number of every distinct hashed 1- and 2-gram of the wanted pieces, and each
+    piece's scale: a word said over and over counts once."""
+    piece, number = _numbers(p)
+    if wanted is not None:
+        keep = wanted[piece]
+        piece, number = piece[keep], number[keep]
+    key = np.sort(piece * _SIZE + number)
+    key = key[np.concatenate(([True], key[1:] != key[:-1]))[:len(key)]]
     piece, number = key // _SIZE, key % _SIZE
-    return piece, number, 1 / np.sqrt(np.maximum(np.bincount(piece, minlength=len(n)) / 2, 1))
+    return piece, number, 1 / np.sqrt(np.maximum(np.bincount(piece, minlength=len(p.row)) / 2, 1))
 
 
 def threes(p: Pieces, k: int) -> np.ndarray:
@@ -243,12 +253,19 @@ def sample(docs: DataFrame, most: int = SAMPLE_PIECES) -> list[bytes]:
     return [r["line"].encode() for r in drawn.select(F.substring("line", 1, 600).alias("line")).collect()]
 
 
+def _weighed(p: Pieces, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    piece, number = _numbers(p)
+    return piece, weights[number]
+
+
 def scan_rows(raw: list[bytes], model: Model) -> list[tuple[int, int, str, float, float, int]]:
     """Row, piece, family, probability, share of the templates' 3-grams, words; for notices."""
     p = pieces(raw)
     if not len(p.row):
         return []
-    piece, number, scale = grams(p)
+    # no piece scores higher than all its positive weights together
+    most = np.bincount(*_weighed(p, np.maximum(model.notice, 0)), minlength=len(p.row)) + model.notice_bias
+    piece, number, scale = grams(p, most >= np.log(NOTICE / (1 - NOTICE)))
     z = np.bincount(piece, weights=model.notice[number], minlength=len(scale)) * scale + model.notice_bias
     found = np.flatnonzero(z >= np.log(NOTICE / (1 - NOTICE)))
     out = []
