@@ -10,11 +10,13 @@ Heavy sets scan inverted lists.  In any fixed order of all shingles the first co
 a linked pair stands so early in both that the two places sum to at most (a + b) / 7, so only
 prefixes are listed.  The order is by hash, with very frequent shingles moved back:
 
-1. every text sends its shingles (long texts: those with a small hash) to buckets, which tell
-   the texts which of theirs other texts have too, and which are in more than ``HOT`` texts;
-2. with that order fixed, the texts list their prefixes; shingles that no other text has are
-   left out;
-3. pairs from the lists are checked on the whole sets.
+1. every text sends its shingles (long texts: those with a small hash) with their places in
+   hash order to buckets, which tell the texts which of theirs other texts have too, and which
+   are in more than ``HOT`` texts;
+2. from that the places in the final order follow, and the texts list their prefixes; shingles
+   that no other text has are left out;
+3. pairs from the lists are checked on the whole sets, first one for each node, then those
+   whose nodes are not connected yet.
 
 The lists of frequent shingles, such as those of a large group of near copies, are not paired
 out: each member is checked against the list's pivot.  Members that end in the pivot's
@@ -41,7 +43,7 @@ from pyspark.sql import functions as F
 
 from scribeflow.llm.common import mix, stage, word_hashes, word_spans
 from scribeflow.llm.components import components
-from scribeflow.llm.windows import _batch, _by, _join, _parse, _rows
+from scribeflow.llm.windows import _by, _join, _parse, _rows
 
 WORDS = 5
 #: A shingle in more texts than this has a pivot instead of pairs.
@@ -49,6 +51,8 @@ HOT = 64
 #: Long texts list shingles below this share of all hashes; short ones list all.
 SHARE = 0.4
 LONG, SHORT = 64, 86
+#: Wanted nodes up to here are broadcast, to send only their texts; beyond, all texts are sent.
+BROADCAST_NODES = 1_000_000
 PART_BYTES = 8 << 20
 LEAST_PARTS = 32
 _EDGE = np.uint64(int(SHARE * 2**64))
@@ -109,140 +113,163 @@ def shingle_sets(raw: list[bytes], words: int = WORDS) -> tuple[np.ndarray, np.n
     return row, token, np.bincount(row, minlength=len(raw))
 
 
+_SHORT, _KNOWN, _UNKNOWN = range(3)
+_NODES, _LIGHT, _SHINGLES, _POSTINGS, _PIVOTS = range(5)
+
+
 def _entries(row: np.ndarray, token: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Each shingle once for the lists of long texts and once for those of short ones, by the
-    text's size: row, list kind, hash, key, and whether step 1 knows how frequent it is."""
-    long, short = np.flatnonzero(n[row] >= LONG), np.flatnonzero(n[row] < SHORT)
-    kind = np.concatenate((np.ones(len(long), np.uint64), np.zeros(len(short), np.uint64)))
-    pick = np.concatenate((long, short))
-    t = token[pick]
-    return row[pick], kind, t, mix(t + kind * _ODD), (kind == 0) | (t < _EDGE)
+    """The shingles that a text sends, for the lists of long texts and for those of short ones, by
+    its size: row, key, code, and place in hash order.  Long texts send those below ``SHARE``
+    of all hashes, and as many more as their prefix asks for."""
+    bounds = np.searchsorted(row, np.arange(len(n) + 1))
+    place = np.arange(len(row)) - bounds[row]
+    long, short = n[row] >= LONG, n[row] < SHORT
+    known = token < _EDGE
+    some = np.flatnonzero(long & (known | (place < prefix(n[row]))))
+    all_ = np.flatnonzero(short)
+    pick = np.concatenate((some, all_))
+    code = np.concatenate((np.where(known[some], _KNOWN, _UNKNOWN), np.full(len(all_), _SHORT)))
+    return row[pick], mix(token[pick] + (code != _SHORT).astype(np.uint64) * _ODD), code, place[pick]
 
 
 def _full(key: np.ndarray, parts: int) -> np.ndarray:
     return (((key >> np.uint64(32)) % np.uint64(parts)).astype(np.int64) << 32) | (key & _LOW).astype(np.int64)
 
 
-def _listed(docs: DataFrame, parts: int) -> DataFrame:
-    def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for tk, _, raw in _rows(batches):
-            row, token, n = shingle_sets(raw)
-            row, _, _, key, known = _entries(row, token, n)
-            full, row, keys = _full(key[known], parts), row[known], np.array(tk, np.int64)
-            names, blobs = [], []
-            for b, own in _by(full >> 32):
-                names.append(b)
-                rows, local = np.unique(row[own], return_inverse=True)
-                blobs.append(_join(keys[rows], local.astype("<u4" if len(rows) >> 16 else "<u2").view(np.uint8),
-                                   (full[own] & 0xFFFFFFFF).astype("<u4")))
-            if names:
-                yield _batch("bucket", names, blobs)
-
-    return docs.mapInArrow(part, "bucket int, blob binary")
-
-
-def _told(listed: DataFrame, parts: int) -> DataFrame:
-    """For each part, the keys that two or more texts have, and the pivots of the hot ones."""
-
-    def bucket(key, group: pd.DataFrame) -> pd.DataFrame:
-        low, tk = [], []
-        for blob in group["blob"]:
-            keys, local, own = _parse(blob, "<i8", "u1", "<u4")
-            tk.append(keys[local.view("<u2" if len(local) == 2 * len(own) else "<u4")])
-            low.append(own)
-        a, t = np.concatenate(low), np.concatenate(tk)
-        order = np.lexsort((t, a))
-        a, t = a[order], t[order]
-        new = np.concatenate(([True], a[1:] != a[:-1]))
-        other = new | np.concatenate(([True], t[1:] != t[:-1]))
-        a, t = a[other], t[other]
-        start = np.flatnonzero(np.concatenate(([True], a[1:] != a[:-1])))
-        size = np.diff(np.append(start, len(a)))
-        size, least = np.repeat(size, size), np.repeat(t[start], size)
-        full = (np.int64(key[0]) << np.int64(32)) | a.astype(np.int64)
-        out = []
-        many = np.flatnonzero(size > 1)
-        for p, own in _by(t[many] % parts):
-            own = many[own]
-            keys, first = np.unique(full[own], return_index=True)
-            hot = size[own][first] > HOT
-            out.append((p, _join(keys[~hot], keys[hot], least[own][first][hot])))
-        return pd.DataFrame(out, columns=["part", "blob"]).astype({"part": "int32"})
-
-    return listed.groupBy("bucket").applyInPandas(bucket, "part int, blob binary")
+def _narrow(x: np.ndarray) -> np.ndarray:
+    """Counts in 2 or 4 bytes, as bytes."""
+    return x.astype("<u4" if len(x) and int(x.max()) >> 16 else "<u2").view(np.uint8)
 
 
-def _find(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-    """Place of each key in the sorted ``wanted``, or -1."""
-    if not len(wanted):
-        return np.full(len(keys), -1)
-    at = np.minimum(np.searchsorted(wanted, keys), len(wanted) - 1)
-    return np.where(wanted[at] == keys, at, -1)
+def _wide(x: np.ndarray, n: int) -> np.ndarray:
+    return x.view("<u2" if len(x) == 2 * n else "<u4").astype(np.int64)
 
 
-_NODES, _POSTINGS, _PIVOTS, _LIGHT = range(4)
+def _light_subsets(tk: list[int], token: np.ndarray, bounds: np.ndarray, n: np.ndarray) -> list[tuple[int, int, int]]:
+    """Subset, whether the set is the smaller one of its pairs, node."""
+    light = boundary()
+    out = []
+    for r in np.flatnonzero((n > 0) & (n <= light)).tolist():
+        own = token[bounds[r]:bounds[r + 1]].tolist()
+        for a, b, c in _subsets(len(own)):
+            if b <= light:
+                out += [(hash((a, b, *some)), int(len(own) == a), tk[r]) for some in combinations(own, c)]
+    return out
 
 
-def _prefixes(dealt: DataFrame, told: DataFrame, parts: int) -> DataFrame:
-    """By kind: the nodes (key, size, fingerprint), the postings, pairs with pivots, and the
-    subsets of light sets."""
-    light = boundary()
+def _sent(docs: DataFrame, parts: int) -> DataFrame:
+    """By kind: the nodes (key, size, fingerprint), the subsets of light sets, and the shingles
+    (of nodes with key and size: node, place and code, rest of the key)."""
 
-    def meet(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        got = [_parse(blob, "<i8", "<i8", "<i8") for blob in right["blob"]]
-        none = np.zeros(0, np.int64)
-        repeated = np.unique(np.concatenate([none, *(x[0] for x in got)]))
-        hot, first = np.unique(np.concatenate([none, *(x[1] for x in got)]), return_index=True)
-        pivots = np.concatenate([none, *(x[2] for x in got)])[first]
-        left = left.drop_duplicates("rk")
-        table = pa.RecordBatch.from_arrays([pa.array(left["rk"], pa.int64()), pa.array(left["rk"], pa.int64()), pa.array(left["text"], pa.large_string())],
-                                           names=["rk", "doc_id", "text"])
-        out: list[tuple[int, int, bytes]] = []
-        for tk, _, raw in _rows(iter([table])):
+    def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for tk, _, raw in _rows(batches):
+            rows: dict[int, int] = {}
+            for k, t in enumerate(tk):
+                rows.setdefault(t, k)
+            tk, raw = list(rows), [raw[k] for k in rows.values()]
             keys = np.array(tk, np.int64)
             row, token, n = shingle_sets(raw)
             with np.errstate(over="ignore"):
                 print_ = np.zeros(len(raw), np.uint64)
                 np.add.at(print_, row, mix(token ^ _ODD))
                 print_ = mix(print_ + n.astype(np.uint64))
-            out.append((_NODES, 0, _join(keys, n.astype("<i8"), print_.view(np.int64))))
-            # light sets
-            small = np.flatnonzero((n > 0) & (n <= light))
-            bounds = np.searchsorted(row, np.arange(len(raw) + 1))
-            cuts: list[tuple[int, int, int]] = []
-            for r in small.tolist():
-                own = token[bounds[r]:bounds[r + 1]].tolist()
-                for a, b, c in _subsets(len(own)):
-                    if b <= light:
-                        for some in combinations(own, c):
-                            cuts.append((hash((a, b, *some)), int(len(own) == a), tk[r]))
+            out = [(_NODES, tk[0] % parts, _join(keys, n.astype("<i8"), print_.view(np.int64)))]
+            cuts = _light_subsets(tk, token, np.searchsorted(row, np.arange(len(raw) + 1)), n)
             if cuts:
-                s, f, t = (np.array(x, np.int64) for x in zip(*cuts))
-                out.append((_LIGHT, 0, _join(s, f, t)))
-            # prefixes in the final order
-            row, kind, token, hashed, known = _entries(row, token, n)
-            full = _full(hashed, parts)
-            at_hot = np.where(known, _find(full, hot), -1)
-            late = np.where(known, np.where(at_hot >= 0, 1, 0), 2)
-            order = np.lexsort((token, late, kind, row))
-            row, kind, full, at_hot, late = (x[order] for x in (row, kind, full, at_hot, late))
-            begin = np.flatnonzero(np.concatenate(([True], (row[1:] != row[:-1]) | (kind[1:] != kind[:-1]))))[:len(row)]
-            place = np.arange(len(row)) - np.repeat(begin, np.diff(np.append(begin, len(row))))
-            keep = place < prefix(n[row])
-            wanted = keep & ((late == 2) | ((late == 0) & (_find(full, repeated) >= 0)))
-            post = np.flatnonzero(wanted)
-            for b, own in _by(full[post] >> 32):
-                own = post[own]
-                out.append((_POSTINGS, b, _join(keys[row[own]], n[row[own]].astype("<u4"), place[own].astype("<u4"),
+                out.append((_LIGHT, tk[0] % parts, _join(*(np.array(x, np.int64) for x in zip(*cuts)))))
+            row, key, code, place = _entries(row, token, n)
+            full = _full(key, parts)
+            known = np.bincount(row[code == _KNOWN], minlength=len(raw))
+            for b, own in _by(full >> 32):
+                some, local = np.unique(row[own], return_inverse=True)
+                out.append((_SHINGLES, b, _join(keys[some], n[some].astype("<u4"), known[some].astype("<u4"), _narrow(local), _narrow(place[own] * 4 + code[own]),
                                                 (full[own] & 0xFFFFFFFF).astype("<u4"))))
-            own = np.flatnonzero(keep & (late == 1))
-            if len(own):
-                pairs = pd.DataFrame({"p": pivots[at_hot[own]], "t": keys[row[own]], "i": place[own], "n": n[row[own]]})
-                pairs = pairs[pairs["p"] != pairs["t"]].groupby(["p", "t"], as_index=False).min()
-                out.append((_PIVOTS, 0, _join(*(pairs[c].to_numpy(np.int64) for c in ("p", "t", "i", "n")))))
+            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int32()), pa.array([x[1] for x in out], pa.int32()),
+                                              pa.array([x[2] for x in out], pa.binary())], names=["kind", "bucket", "blob"])
+
+    return docs.mapInArrow(part, "kind int, bucket int, blob binary")
+
+
+def _told(sent: DataFrame, parts: int) -> DataFrame:
+    """For each part, the shingles of its nodes that two or more texts have, with the pivots of
+    the hot ones.  Nodes and light sets pass through."""
+
+    def bucket(key, group: pd.DataFrame) -> pd.DataFrame:
+        out = [(kind, 0, blob) for kind, blob in zip(group["kind"], group["blob"]) if kind != _SHINGLES]
+        low, tk, size, known, place = [], [], [], [], []
+        for blob in group["blob"][group["kind"] == _SHINGLES]:
+            keys, n, of, local, at, own = _parse(blob, "<i8", "<u4", "<u4", "u1", "u1", "<u4")
+            local = _wide(local, len(own))
+            tk.append(keys[local])
+            size.append(n[local])
+            known.append(of[local])
+            place.append(_wide(at, len(own)))
+            low.append(own)
+        if low:
+            a = np.concatenate(low)
+            order = np.argsort(a)
+            a = a[order]
+            again = np.zeros(len(a) + 1, bool)
+            again[1:-1] = a[1:] == a[:-1]
+            many = again[1:] | again[:-1]
+            a, order = a[many], order[many]
+            t, n, u, at = (np.concatenate(x)[order] for x in (tk, size, known, place))
+            order = np.lexsort((t, a))
+            a, t, n, u, at = (x[order] for x in (a, t, n, u, at))
+            new = np.concatenate(([True], (a[1:] != a[:-1]) | (t[1:] != t[:-1])))[:len(a)]
+            a, t, n, u, at = (x[new] for x in (a, t, n, u, at))
+            start = np.flatnonzero(np.concatenate(([True], a[1:] != a[:-1])))[:len(a)]
+            held = np.diff(np.append(start, len(a)))
+            least, held = np.repeat(t[start], held), np.repeat(held, held)
+            keep = held > 1
+            a, t, n, u, at, least = (x[keep] for x in (a, t, n, u, at, least))
+            hot = (held[keep] > HOT) & (at % 4 != _UNKNOWN)
+            full = (np.int64(key[0]) << np.int64(32)) | a.astype(np.int64)
+            for p, own in _by(t % parts):
+                some, local = np.unique(t[own], return_inverse=True)
+                first = np.zeros(len(some), np.int64)
+                first[local] = own
+                out.append((_SHINGLES, p, _join(some, n[first].astype("<u4"), u[first].astype("<u4"), local.astype("<u4"), at[own].astype("<u4"), full[own],
+                                                hot[own].astype("u1"), least[own][hot[own]])))
+        return pd.DataFrame(out, columns=["kind", "part", "blob"]).astype({"kind": "int32", "part": "int32"})
+
+    return sent.groupBy("bucket").applyInPandas(bucket, "kind int, part int, blob binary")
+
+
+def _prefixes(told: DataFrame) -> DataFrame:
+    """By kind: the postings of the prefixes, and pairs with pivots."""
+
+    def part(group: pd.DataFrame) -> pd.DataFrame:
+        got = []
+        for blob in group["blob"]:
+            some, n, known, local, at, full, hot, least = _parse(blob, "<i8", "<u4", "<u4", "<u4", "<u4", "<i8", "u1", "<i8")
+            pivot = np.zeros(len(at), np.int64)
+            pivot[hot == 1] = least
+            got.append((some[local], n[local].astype(np.int64), known[local].astype(np.int64), at.astype(np.int64), full, hot == 1, pivot))
+        tk, n, known, at, full, hot, pivot = (np.concatenate(x) for x in zip(*got))
+        place, code = at // 4, at % 4
+        lists = np.where(code == _SHORT, 0, 1)
+        order = np.lexsort((place, lists, tk))
+        tk, n, known, place, full, hot, pivot, lists, code = (x[order] for x in (tk, n, known, place, full, hot, pivot, lists, code))
+        begin = np.flatnonzero(np.concatenate(([True], (tk[1:] != tk[:-1]) | (lists[1:] != lists[:-1]))))
+        size = np.diff(np.append(begin, len(tk)))
+        # hot ones move behind the others that the text sent as known; those not told are not hot
+        moved = np.cumsum(hot) - hot
+        moved -= np.repeat(moved[begin], size)
+        all_hot = np.repeat(np.add.reduceat(hot.astype(np.int64), begin), size)
+        final = np.where(code == _UNKNOWN, place, np.where(hot, np.where(code == _SHORT, n, known) - all_hot + moved, place - moved))
+        out = []
+        keep = np.flatnonzero(~hot & (final < prefix(n)))
+        for b, own in _by(full[keep] >> 32):
+            own = keep[own]
+            out.append((_POSTINGS, b, _join(tk[own], n[own].astype("<u4"), final[own].astype("<u4"), (full[own] & 0xFFFFFFFF).astype("<u4"))))
+        own = np.flatnonzero(hot & (final < prefix(n)) & (pivot != tk))
+        if len(own):
+            pairs = pd.DataFrame({"p": pivot[own], "t": tk[own], "i": final[own], "n": n[own]}).groupby(["p", "t"], as_index=False).min()
+            out.append((_PIVOTS, 0, _join(*(pairs[c].to_numpy(np.int64) for c in ("p", "t", "i", "n")))))
         return pd.DataFrame(out, columns=["kind", "bucket", "blob"]).astype({"kind": "int32", "bucket": "int32"})
 
-    return dealt.groupBy("part").cogroup(told.groupBy("part")).applyInPandas(meet, "kind int, bucket int, blob binary")
+    return told.where(F.col("kind") == _SHINGLES).groupBy("part").applyInPandas(part, "kind int, bucket int, blob binary")
 
 
 def _unfold(made: DataFrame, kind: int, names: list[str]) -> DataFrame:
@@ -294,56 +321,86 @@ def _paired(made: DataFrame) -> DataFrame:
     return made.where(F.col("kind") == _POSTINGS).groupBy("bucket").applyInPandas(bucket, "a long, b long")
 
 
-def _whole_sets(dealt: DataFrame, wanted: DataFrame, parts: int) -> DataFrame:
-    """The sets (as sorted hashes) of the wanted nodes."""
+def _packed(token: np.ndarray) -> bytes:
+    """Hashes as 6 bytes each, in order."""
+    return np.ascontiguousarray((token >> np.uint64(16)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]).tobytes()
+
+
+def _unpacked(raw: memoryview) -> np.ndarray:
+    out = np.zeros((len(raw) // 6, 8), np.uint8)
+    out[:, :6] = np.frombuffer(raw, np.uint8).reshape(-1, 6)
+    return out.view("<u8").ravel()
+
+
+def _whole_sets(own: DataFrame, pairs: DataFrame, parts: int, name: str) -> DataFrame:
+    """Of each node in ``pairs`` (hub, tk): hub, tk and the set as sorted hashes."""
+    wanted = stage(pairs.select("hub", "tk").union(pairs.select("hub", F.col("hub").alias("tk"))).distinct(), f"{name}-wanted")
+    nodes = wanted.select("tk").distinct()
+    few = own.select("rk", "text")
+    if nodes.count() <= BROADCAST_NODES:
+        few = few.join(F.broadcast(nodes), few["rk"] == nodes["tk"], "left_semi")
+    few = few.withColumn("part", F.pmod("rk", F.lit(parts)).cast("int"))
+    ask = wanted.withColumn("part", F.pmod("tk", F.lit(parts)).cast("int"))
 
     def meet(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        left = left[left["rk"].isin(set(right["tk"]))].drop_duplicates("rk")
+        hubs: dict[int, list[int]] = {}
+        for h, t in zip(right["hub"].tolist(), right["tk"].tolist()):
+            hubs.setdefault(t, []).append(h)
+        left = left[left["rk"].isin(hubs)].drop_duplicates("rk")
         table = pa.RecordBatch.from_arrays([pa.array(left["rk"], pa.int64()), pa.array(left["rk"], pa.int64()), pa.array(left["text"], pa.large_string())],
                                            names=["rk", "doc_id", "text"])
         out = []
         for tk, _, raw in _rows(iter([table])):
             row, token, n = shingle_sets(raw)
             bounds = np.searchsorted(row, np.arange(len(raw) + 1))
-            out += [(t, token[bounds[r]:bounds[r + 1]].tobytes()) for r, t in enumerate(tk)]
-        return pd.DataFrame(out, columns=["tk", "tokens"]).astype({"tk": "int64"})
+            for r, t in enumerate(tk):
+                tokens = _packed(token[bounds[r]:bounds[r + 1]])
+                out += [(h, t, tokens) for h in hubs[t]]
+        return pd.DataFrame(out, columns=["hub", "tk", "tokens"]).astype({"hub": "int64", "tk": "int64"})
 
-    ask = wanted.withColumn("part", F.pmod("tk", F.lit(parts)).cast("int"))
-    return dealt.groupBy("part").cogroup(ask.groupBy("part")).applyInPandas(meet, "tk long, tokens binary")
+    return stage(few.groupBy("part").cogroup(ask.groupBy("part")).applyInPandas(meet, "hub long, tk long, tokens binary"), f"{name}-sets")
 
 
-def _checked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """a, b, common shingles, sizes and whether the pair links."""
+def _checked(own: DataFrame, pairs: DataFrame, parts: int, name: str) -> DataFrame:
+    """hub, tk, common shingles, sizes and whether the pair links, for pairs (hub, tk).  A set goes
+    to each of its hubs, and there meets the hub's own."""
+    sets = _whole_sets(own, pairs, parts, name)
 
     def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x, y = batch.column("x"), batch.column("y")
             common, na, nb = [], [], []
             for k in range(batch.num_rows):
-                s, t = np.frombuffer(x[k].as_buffer(), np.uint64), np.frombuffer(y[k].as_buffer(), np.uint64)
+                s, t = _unpacked(memoryview(x[k].as_buffer())), _unpacked(memoryview(y[k].as_buffer()))
                 at = np.minimum(np.searchsorted(t, s), len(t) - 1)
                 common.append(int((t[at] == s).sum()))
                 na.append(len(s))
                 nb.append(len(t))
             c, na, nb = (np.array(v, np.int64) for v in (common, na, nb))
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), *(pa.array(v) for v in (c, na, nb)),
-                                              pa.array(7 * c >= 3 * (na + nb))], names=["a", "b", "common", "na", "nb", "linked"])
+            yield pa.RecordBatch.from_arrays([batch.column("hub"), batch.column("tk"), *(pa.array(v) for v in (c, na, nb)),
+                                              pa.array(7 * c >= 3 * (na + nb))], names=["hub", "tk", "common", "nh", "n", "linked"])
+
+    left = sets.where("hub <> tk").select("hub", "tk", F.col("tokens").alias("y"))
+    right = sets.where("hub = tk").select("hub", F.col("tokens").alias("x"))
+    return stage(left.join(right, "hub").mapInArrow(part, "hub long, tk long, common long, nh long, n long, linked boolean"), f"{name}-checked")
+
+
+def _named(comps: DataFrame, column: str, name: str) -> DataFrame:
+    return comps.select(F.col("node").alias(column), F.col("component").alias(name))
+
 
-    left, right = sets.withColumnsRenamed({"tk": "a", "tokens": "x"}), sets.withColumnsRenamed({"tk": "b", "tokens": "y"})
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(
-        part, "a long, b long, common long, na long, nb long, linked boolean")
+def _apart(pairs: DataFrame, comps: DataFrame) -> DataFrame:
+    """Pairs (a, b) whose nodes are in different components."""
+    return (pairs.join(_named(comps, "a", "ca"), "a", "left").join(_named(comps, "b", "cb"), "b", "left")
+            .where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b"))
 
 
 def _across(pivoted: DataFrame, checked: DataFrame, comps: DataFrame) -> DataFrame:
     """Pairs of members of one pivot in different components that may still link."""
-    c = comps.select("node", "component")
-    with_p = checked.select(F.col("a").alias("p"), F.col("b").alias("t"), "common", F.col("na").alias("np")).union(
-        checked.select(F.col("b").alias("p"), F.col("a").alias("t"), "common", F.col("nb").alias("np")))
-    rows = (pivoted.join(with_p, ["p", "t"])
-            .join(c.withColumnsRenamed({"node": "t", "component": "ct"}), "t", "left")
-            .join(c.withColumnsRenamed({"node": "p", "component": "cp"}), "p", "left")
+    rows = (pivoted.join(checked.select(F.col("hub").alias("p"), F.col("tk").alias("t"), "common", "nh"), ["p", "t"])
+            .join(_named(comps, "t", "ct"), "t", "left").join(_named(comps, "p", "cp"), "p", "left")
             .select("p", "t", "i", "n", F.coalesce("ct", "t").alias("c"), F.coalesce("cp", "p").alias("pc"),
-                    (1 - F.col("common") / (F.col("n") + F.col("np") - F.col("common"))).alias("d")))
+                    (1 - F.col("common") / (F.col("n") + F.col("nh") - F.col("common"))).alias("d")))
     rows = stage(rows.withColumn("early", 7 * F.col("i") <= F.col("n")), "members")
     other = rows.where("c <> pc")
     u, v = other.alias("u"), rows.alias("v")
@@ -361,26 +418,28 @@ def join(docs: DataFrame) -> DataFrame:
     own = own.withColumn("rk", F.xxhash64("text"))
     total = own.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     parts = max(LEAST_PARTS, total // PART_BYTES)
-    dealt = own.withColumn("part", F.pmod("rk", F.lit(parts)).cast("int"))
-    made = stage(_prefixes(dealt, _told(_listed(own, parts), parts), parts), "prefixes")
-    nodes = _unfold(made, _NODES, ["tk", "n", "print"])
-    pivoted = _unfold(made, _PIVOTS, ["p", "t", "i", "n"]).groupBy("p", "t").agg(F.min("i").alias("i"), F.first("n").alias("n"))
-    pairs = stage(_paired(made).union(pivoted.select(F.least("p", "t").alias("a"), F.greatest("p", "t").alias("b"))).distinct(), "pairs")
-    wanted = pairs.select(F.col("a").alias("tk")).union(pairs.select("b")).distinct()
-    sets = stage(_whole_sets(dealt, wanted, parts), "sets")
-    checked = stage(_checked(pairs, sets), "checked")
+    told = stage(_told(_sent(own, parts), parts), "told")
+    made = stage(_prefixes(told), "prefixes")
+    nodes = _unfold(told, _NODES, ["tk", "n", "print"]).distinct()
+    pivoted = stage(_unfold(made, _PIVOTS, ["p", "t", "i", "n"]).groupBy("p", "t").agg(F.min("i").alias("i"), F.first("n").alias("n")), "pivoted")
+    pairs = stage(_paired(made).distinct(), "pairs")
     # links that need no check: shared subsets of light sets, and equal sets
-    light = _unfold(made, _LIGHT, ["s", "small", "tk"])
+    light = _unfold(told, _LIGHT, ["s", "small", "tk"])
     hubs = light.groupBy("s").agg(F.min(F.when(F.col("small") == 1, F.col("tk"))).alias("hub")).where("hub is not null")
     linked = light.join(hubs, "s").select(F.col("hub").alias("a"), F.col("tk").alias("b"))
     same = nodes.where("n > 0").groupBy("n", "print").agg(F.min("tk").alias("hub"), F.count("*").alias("k")).where("k > 1")
-    linked = linked.union(nodes.join(same, ["n", "print"]).select(F.col("hub").alias("a"), F.col("tk").alias("b")))
-    edges = stage(linked.union(checked.where("linked").select("a", "b")).where("a <> b").distinct(), "links")
+    linked = stage(linked.union(nodes.join(same, ["n", "print"]).select(F.col("hub").alias("a"), F.col("tk").alias("b")))
+                   .where("a <> b").distinct(), "links")
+    # one pair for each node, and all with pivots; most clusters are connected then
+    first = pairs.groupBy("b").agg(F.min("a").alias("hub")).select("hub", F.col("b").alias("tk"))
+    checked = _checked(own, first.union(pivoted.select(F.col("p").alias("hub"), F.col("t").alias("tk"))).distinct(), parts, "first")
+    edges = linked.union(checked.where("linked").select(F.col("hub").alias("a"), F.col("tk").alias("b")))
     comps = stage(components(edges), "comps")
-    more = stage(_across(pivoted, checked, comps).join(pairs, ["a", "b"], "left_anti"), "across")
-    if more.limit(1).count():
-        extra = stage(_checked(more, sets), "checked-across")
-        comps = stage(components(edges.union(extra.where("linked").select("a", "b"))), "comps")
+    done = checked.select(F.least("hub", "tk").alias("a"), F.greatest("hub", "tk").alias("b"))
+    rest = stage(_apart(pairs, comps).union(_across(pivoted, checked, comps)).distinct().join(done, ["a", "b"], "left_anti"), "rest")
+    if not rest.isEmpty():
+        more = _checked(own, rest.select(F.col("a").alias("hub"), F.col("b").alias("tk")), parts, "rest")
+        comps = stage(components(edges.union(more.where("linked").select(F.col("hub").alias("a"), F.col("tk").alias("b")))), "comps")
     ids = own.select("doc_id", F.col("rk").alias("tk"))
     least = ids.groupBy("tk").agg(F.min("doc_id").alias("own"))
     named = (nodes.where("n > 0").join(least, "tk").join(comps.withColumnRenamed("node", "tk"), "tk", "left")

@@ -27,7 +27,7 @@ from scribeflow.llm.common import SpanHash, mix, texts, word_spans
 from scribeflow.llm.windows import _rows
 
 #: Bound of the training sample.
-SAMPLE_ROWS = 20_000
+SAMPLE_ROWS = 8_000
 FOLDS = 5
 BITS = 20
 #: Word beginnings that are features of their own, in bytes.
@@ -272,9 +272,10 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> M
               .mapInArrow(part, "doc_id long, label long, numbers binary, votes binary").toArrow())
     order = np.argsort(sample["doc_id"].to_numpy(), kind="stable")  # the same fit whatever order tasks end in
     label = sample["label"].to_numpy()[order].astype(int)
-    numbers = [np.frombuffer(sample["numbers"][int(k)].as_py(), "<i4").astype(np.int64) for k in order]
-    row = np.repeat(np.arange(len(order)), [len(x) for x in numbers])
-    number = np.concatenate([np.zeros(0, np.int64), *numbers])
+    numbers = [np.frombuffer(sample["numbers"][int(k)].as_py(), "<i4") for k in order]
+    row = np.repeat(np.arange(len(order), dtype=np.int32), [len(x) for x in numbers])
+    number = np.concatenate([np.zeros(0, np.int32), *numbers])
+    del numbers
     patterns = np.array([np.frombuffer(sample["votes"][int(k)].as_py(), np.int8) for k in order], np.int8).reshape(-1, len(PATTERNS))
     lexicons = [number_of(x) for x in LEXICONS.values()] + mined_lexicons(row, number, label)
     votes = np.concatenate((label[:, None].astype(np.int8), lexicon_votes(row, number, len(order), lexicons), patterns), axis=1)
