@@ -23,11 +23,6 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def pick(df: DataFrame, *names: str) -> DataFrame:
-    """Only the named columns, so that extra columns never clash with ours."""
-    return df.select(*[df[n] for n in names])
-
-
 def texts(docs: DataFrame) -> DataFrame:
     """``doc_id`` (long) and ``text`` (string, null becomes empty)."""
     return docs.select(docs["doc_id"].cast("long").alias("doc_id"),
@@ -97,13 +92,9 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 
-def text_column(batch: pa.RecordBatch, name: str = "text") -> tuple[np.ndarray, np.ndarray]:
-    """All UTF-8 bytes of a string column and the row offsets into them."""
-    col = batch.column(batch.schema.get_field_index(name)).cast(pa.large_binary())
-    _, offs, data = col.buffers()
-    offsets = np.frombuffer(offs, dtype=np.int64)[col.offset:col.offset + len(col) + 1]
-    raw = np.frombuffer(data, dtype=np.uint8) if data is not None else np.zeros(0, np.uint8)
-    return raw[offsets[0]:offsets[-1]], offsets - offsets[0]
+def text_bytes(batch: pa.RecordBatch, name: str = "text") -> list[bytes]:
+    """The UTF-8 bytes of a string column; null is empty."""
+    return [x or b"" for x in batch.column(batch.schema.get_field_index(name)).cast(pa.large_binary()).to_pylist()]
 
 
 def word_spans(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scribeflow.llm.common import mix, texts, word_hashes, word_spans
+from scribeflow.llm.common import slices, text_bytes, texts, word_hashes, word_spans
 from scribeflow.llm.windows import _rows
 
 BITS = 13
@@ -302,20 +302,23 @@ def search_rows(raw: list[bytes], items: Items, latent: Latent) -> list[tuple[in
             if n >= SURE * m or (n >= LIKELY * m and answer >= LIKELY)]
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, latent: Latent | None = None) -> DataFrame:
-    """doc_id, item_id, common_words, item_words, answer_share of every document that holds an item."""
-    spark = docs.sparkSession
-    latent = latent or fit(docs)
+def item_blocks(docs: DataFrame, benchmark: DataFrame) -> list:
+    """The items in blocks of bounded size, each broadcast with the latent space."""
+    latent = fit(docs)
     rows = benchmark.select(benchmark["item_id"].cast("long").alias("item_id"), benchmark["text"].cast("string").alias("text")).where(
         "text is not null").orderBy("item_id", "text")
-    out = None
     blocks: list[list[tuple[int, str]]] = [[]]
-    for r in rows.toLocalIterator():  # a block at a time
+    for r in rows.toLocalIterator():
         if len(blocks[-1]) == BLOCK_ITEMS:
             blocks.append([])
         blocks[-1].append((r["item_id"], r["text"]))
-    for block in blocks:
-        sent = spark.sparkContext.broadcast((prepare(block, latent), latent))
+    return [docs.sparkSession.sparkContext.broadcast((prepare(block, latent), latent)) for block in blocks]
+
+
+def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """doc_id, item_id, common_words, item_words, answer_share of every document that holds an item."""
+    out = None
+    for sent in item_blocks(docs, benchmark):
 
         def part(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             items, space = sent.value
@@ -332,6 +335,17 @@ def leaks(docs: DataFrame, benchmark: DataFrame, latent: Latent | None = None) -
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that leak no item, all columns."""
-    bad = leaks(docs, benchmark).select(F.col("doc_id").alias("_leak_id")).distinct()
-    return docs.join(bad, docs["doc_id"].cast("long") == F.col("_leak_id"), "left_anti")
+    """The rows of ``docs`` that leak no item, all columns, without a shuffle."""
+    out = docs
+    for sent in item_blocks(docs, benchmark):
+
+        def part(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+            items, space = sent.value
+            for batch in slices(batches):
+                keep = np.ones(batch.num_rows, bool)
+                if items.ids:
+                    keep[[r for r, *_ in search_rows(text_bytes(batch), items, space)]] = False
+                yield batch.filter(pa.array(keep))
+
+        out = out.mapInArrow(part, docs.schema)
+    return out

@@ -413,7 +413,7 @@ def _across(pivoted: DataFrame, checked: DataFrame, comps: DataFrame) -> DataFra
 
 
 def join(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles and component_id of every row."""
+    """doc_id, n_shingles, component_id and text_hash of every row."""
     own = docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.coalesce(docs["text"].cast("string"), F.lit("")).alias("text"))
     own = own.withColumn("rk", F.xxhash64("text"))
     total = own.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
@@ -448,4 +448,22 @@ def join(docs: DataFrame) -> DataFrame:
     of_node = named.select("tk", "n", "component").join(names, "component").select("tk", F.col("n").alias("n_shingles"), "component_id")
     return ids.join(of_node, "tk", "left").select(
         "doc_id", F.coalesce("n_shingles", F.lit(0).cast("long")).alias("n_shingles"),
-        F.when(F.col("n_shingles").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+        F.when(F.col("n_shingles").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
+        F.col("tk").alias("text_hash"))
+
+
+def one_each(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` without those that link, over any number of steps, to one of a smaller
+    doc_id; all columns.  Repeated rows become one; rows without words or doc_id stay."""
+    gone = join(docs).where("doc_id is not null and doc_id <> component_id").select(
+        F.col("doc_id").alias("_gone_id"), F.col("text_hash").alias("_gone_text")).distinct()
+    gone = stage(gone, "gone")
+    few = gone.count() <= BROADCAST_NODES
+    rows = docs.join(F.broadcast(gone) if few else gone,
+                     (docs["doc_id"].cast("long") == F.col("_gone_id"))
+                     & (F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit(""))) == F.col("_gone_text")), "left_anti")
+    again = stage(docs.groupBy(docs["doc_id"].cast("long").alias("_again_id")).count().where("_again_id is not null and count > 1").select("_again_id"), "again")
+    if again.isEmpty():
+        return rows
+    repeated = rows.join(again, rows["doc_id"].cast("long") == F.col("_again_id"), "left_semi").dropDuplicates(["doc_id", "text"])
+    return rows.join(again, rows["doc_id"].cast("long") == F.col("_again_id"), "left_anti").unionByName(repeated)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from scribeflow.llm import decontaminate, fm_dedup, licenses, ngram_join, packing, rlbwt_dedup, sharding, token_output, toxicity
+from scribeflow.llm import bm25, decontaminate, fm_dedup, licenses, ngram_join, packing, rlbwt_dedup, sharding, token_output, toxicity
 from scribeflow.llm.common import tables
 
 
@@ -30,6 +30,10 @@ def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join(tables(spark, sf_dir, "documents"))
 
 
+def op4_bm25(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bm25.search(tables(spark, sf_dir, "documents"))
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(tables(spark, sf_dir, "documents"), tables(spark, sf_dir, "benchmark"))
 
@@ -59,6 +63,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_sharding": op2_sharding,
     "op3_ngram_join": op3_ngram_join,
+    "op4_bm25": op4_bm25,
     "op5_decontaminate": op5_decontaminate,
     "op7_licenses": op7_licenses,
     "op6_packing": op6_packing,

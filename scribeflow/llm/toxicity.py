@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scribeflow.llm.common import SpanHash, mix, texts, word_spans
+from scribeflow.llm.common import SpanHash, mix, slices, text_bytes, texts, word_spans
 from scribeflow.llm.windows import _rows
 
 #: Bound of the training sample.
@@ -282,12 +282,11 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> M
     return train(row, number, LabelModel(votes).posterior(votes) if len(votes) else np.zeros(0))
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """doc_id, held_out, score, predicted of every row."""
-    spark = docs.sparkSession
+def scorer(spark, model: Model):
+    """What a task calls to get a function from texts to scores."""
     sent = spark.sparkContext.broadcast((np.flatnonzero(model.weights).astype(np.int32), model.weights[model.weights != 0], model.intercept))
 
-    def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def start():
         at, w, b = sent.value
         weights = np.zeros(_SIZE, np.float32)
         weights[at] = w
@@ -295,16 +294,37 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
         used = weights != 0
         for n in REPEATS:
             used |= weights[again(np.arange(_SIZE), n)] != 0
-        for _, ids, raw in _rows(batches):
+
+        def score(raw: list[bytes]) -> np.ndarray:
             row, number = features(raw, used)
             z = np.bincount(row, weights=weights[number], minlength=len(raw)) + b
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(1 / (1 + np.exp(-np.clip(z, -30, 30))))], names=["doc_id", "score"])
+            return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+
+        return score
+
+    return start
+
+
+def score(docs: DataFrame, model: Model) -> DataFrame:
+    """doc_id, held_out, score, predicted of every row."""
+    score_of = scorer(docs.sparkSession, model)
+
+    def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        score = score_of()
+        for _, ids, raw in _rows(batches):
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(score(raw))], names=["doc_id", "score"])
 
     scored = texts(docs).withColumn("rk", F.lit(0).cast("long")).mapInArrow(part, "doc_id long, score double")
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
 def kept(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that are not predicted toxic, all columns."""
-    bad = score(docs, fit(docs, labels)).where("predicted = 1").select("doc_id").distinct()
-    return docs.join(bad.withColumnRenamed("doc_id", "_toxic_id"), docs["doc_id"].cast("long") == F.col("_toxic_id"), "left_anti")
+    """The rows of ``docs`` that are not predicted toxic, all columns, without a shuffle."""
+    score_of = scorer(docs.sparkSession, fit(docs, labels))
+
+    def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        score = score_of()
+        for batch in slices(batches):
+            yield batch.filter(pa.array(score(text_bytes(batch)) < 0.5))
+
+    return docs.mapInArrow(part, docs.schema)
