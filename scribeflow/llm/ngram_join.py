@@ -15,8 +15,10 @@ prefixes are listed.  The order is by hash, with very frequent shingles moved ba
    are in more than ``HOT`` texts;
 2. from that the places in the final order follow, and the texts list their prefixes; shingles
    that no other text has are left out;
-3. pairs from the lists are checked on the whole sets, first one for each node, then those
-   whose nodes are not connected yet.
+3. pairs from the lists that share enough of their prefixes are checked on the whole sets, first
+   one for each node, then those whose nodes are not connected yet.  Up to where the first of
+   two prefixes ends, all common shingles are known, so the sets have at most as many more as
+   are left of one of them.
 
 The lists of frequent shingles, such as those of a large group of near copies, are not paired
 out: each member is checked against the list's pivot.  Members that end in the pivot's
@@ -259,14 +261,21 @@ def _prefixes(told: DataFrame) -> DataFrame:
         all_hot = np.repeat(np.add.reduceat(hot.astype(np.int64), begin), size)
         final = np.where(code == _UNKNOWN, place, np.where(hot, np.where(code == _SHORT, n, known) - all_hot + moved, place - moved))
         out = []
-        keep = np.flatnonzero(~hot & (final < prefix(n)))
+        # how many shingles may be shared at all: those told, and those not sent
+        reach = np.repeat(np.add.reduceat((code != _UNKNOWN).astype(np.int64), begin), size) + np.where(code == _SHORT, 0, n - known)
+        inside = (final < prefix(n)) & (4 * reach >= 3 * n)
+        # shingles of the prefix whose lists are not paired out whole
+        loose = np.repeat(np.add.reduceat((inside & (hot | (code == _UNKNOWN))).astype(np.int64), begin), size)
+        keep = np.flatnonzero(~hot & inside)
         for b, own in _by(full[keep] >> 32):
             own = keep[own]
-            out.append((_POSTINGS, b, _join(tk[own], n[own].astype("<u4"), final[own].astype("<u4"), (full[own] & 0xFFFFFFFF).astype("<u4"))))
-        own = np.flatnonzero(hot & (final < prefix(n)) & (pivot != tk))
+            out.append((_POSTINGS, b, _join(tk[own], n[own].astype("<u4"), final[own].astype("<u4"), loose[own].astype("<u4"), reach[own].astype("<u4"),
+                                            code[own].astype("u1"), (full[own] & 0xFFFFFFFF).astype("<u4"))))
+        own = np.flatnonzero(hot & inside & (pivot != tk))
         if len(own):
-            pairs = pd.DataFrame({"p": pivot[own], "t": tk[own], "i": final[own], "n": n[own]}).groupby(["p", "t"], as_index=False).min()
-            out.append((_PIVOTS, 0, _join(*(pairs[c].to_numpy(np.int64) for c in ("p", "t", "i", "n")))))
+            pairs = pd.DataFrame({"p": pivot[own], "t": tk[own], "i": final[own], "n": n[own], "r": reach[own]})
+            pairs = pairs.groupby(["p", "t"], as_index=False).agg({"i": "min", "n": "max", "r": "max"})
+            out.append((_PIVOTS, 0, _join(*(pairs[c].to_numpy(np.int64) for c in ("p", "t", "i", "n", "r")))))
         return pd.DataFrame(out, columns=["kind", "bucket", "blob"]).astype({"kind": "int32", "bucket": "int32"})
 
     return told.where(F.col("kind") == _SHINGLES).groupBy("part").applyInPandas(part, "kind int, bucket int, blob binary")
@@ -283,15 +292,26 @@ def _unfold(made: DataFrame, kind: int, names: list[str]) -> DataFrame:
     return made.where(F.col("kind") == kind).select("blob").mapInArrow(part, ", ".join(f"{x} long" for x in names))
 
 
-def pairs_of_lists(token: np.ndarray, tk: np.ndarray, n: np.ndarray, place: np.ndarray, light: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of one bucket's lists whose sizes and places allow a link.  One place of a pair is
-    at most a seventh of its size, so only such members are met with their list."""
+def shortfall(n: np.ndarray, m: np.ndarray, loose_n: np.ndarray, loose_m: np.ndarray) -> np.ndarray:
+    """How many common shingles sets of sizes n and m must have among the paired ones of their
+    prefixes, for a link to be possible."""
+    c = (3 * (n + m) + 6) // 7
+    return c - np.maximum(n - prefix(n), m - prefix(m)) - np.minimum(loose_n, loose_m)
+
+
+def pairs_of_lists(token: np.ndarray, tk: np.ndarray, n: np.ndarray, place: np.ndarray, loose: np.ndarray, reach: np.ndarray,
+                   code: np.ndarray, light: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """Pairs a < b of one bucket's lists whose sizes allow a link, whether this shingle can be
+    their first common one, and their ``shortfall``.  Of a linked pair's places of the first common
+    shingle one is at most a seventh of its size.  Lists of shingles of unknown frequency may be
+    long, so there only such members are met with their list."""
     early = 7 * place <= n
+    whole = code != _UNKNOWN
     order = np.lexsort((tk, ~early, token))
-    token, tk, n, place, early = (x[order] for x in (token, tk, n, place, early))
+    token, tk, n, place, early, whole, loose, reach, code = (x[order] for x in (token, tk, n, place, early, whole, loose, reach, code))
     start = np.flatnonzero(np.concatenate(([True], token[1:] != token[:-1])))[:len(token)]
     end = np.repeat(np.append(start[1:], len(token)), np.diff(np.append(start, len(token))))
-    lead = np.flatnonzero(early)
+    lead = np.flatnonzero(early | whole)
     todo = end[lead] - lead - 1
     lead, todo = lead[todo > 0], todo[todo > 0]
     total = np.cumsum(todo)
@@ -302,23 +322,33 @@ def pairs_of_lists(token: np.ndarray, tk: np.ndarray, n: np.ndarray, place: np.n
         a = np.repeat(lead[at:stop], m)
         b = a + 1 + np.arange(m.sum()) - np.repeat(np.cumsum(m) - m, m)
         lo, hi = np.minimum(n[a], n[b]), np.maximum(n[a], n[b])
-        ok = (7 * (place[a] + place[b]) <= n[a] + n[b]) & (4 * lo >= 3 * hi) & (hi > light) & (tk[a] != tk[b])
-        a, b = tk[a[ok]], tk[b[ok]]
-        yield np.minimum(a, b), np.maximum(a, b)
+        # pairs of long texts are found in their own lists
+        ok = (4 * lo >= 3 * hi) & (hi > light) & (tk[a] != tk[b]) & ((code[a] != _SHORT) | (lo < LONG))
+        ok &= 7 * np.minimum(reach[a], reach[b]) >= 3 * (lo + hi)
+        a, b = a[ok], b[ok]
+        first = 7 * (place[a] + place[b]) <= n[a] + n[b]
+        counted = whole[a] & whole[b]
+        yield (np.minimum(tk[a], tk[b]), np.maximum(tk[a], tk[b]), first.astype(np.int64), counted.astype(np.int64),
+               shortfall(n[a], n[b], loose[a], loose[b]))
         at = stop
 
 
 def _paired(made: DataFrame) -> DataFrame:
+    """Pairs (a, b) that may link."""
     light = boundary()
 
     def bucket(group: pd.DataFrame) -> pd.DataFrame:
-        got = [_parse(blob, "<i8", "<u4", "<u4", "<u4") for blob in group["blob"]]
-        tk, n, place, token = (np.concatenate(x).astype(np.int64) for x in zip(*got))
-        found = [np.stack(x, axis=1) for x in pairs_of_lists(token, tk, n, place, light)]
-        both = np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64)
-        return pd.DataFrame({"a": both[:, 0], "b": both[:, 1]})
+        got = [_parse(blob, "<i8", "<u4", "<u4", "<u4", "<u4", "u1", "<u4") for blob in group["blob"]]
+        tk, n, place, loose, reach, code, token = (np.concatenate(x).astype(np.int64) for x in zip(*got))
+        found = [pd.DataFrame(dict(zip(("a", "b", "first", "shared", "least"), x)))
+                 for x in pairs_of_lists(token, tk, n, place, loose, reach, code, light)]
+        if not found:
+            return pd.DataFrame(columns=["a", "b", "first", "shared", "least"]).astype("int64")
+        return pd.concat(found).groupby(["a", "b"], as_index=False).agg({"first": "max", "shared": "sum", "least": "max"})
 
-    return made.where(F.col("kind") == _POSTINGS).groupBy("bucket").applyInPandas(bucket, "a long, b long")
+    rows = made.where(F.col("kind") == _POSTINGS).groupBy("bucket").applyInPandas(bucket, "a long, b long, first long, shared long, least long")
+    return (rows.groupBy("a", "b").agg(F.max("first").alias("first"), F.sum("shared").alias("shared"), F.max("least").alias("least"))
+            .where("first = 1 and shared >= least").select("a", "b"))
 
 
 def _packed(token: np.ndarray) -> bytes:
@@ -399,14 +429,15 @@ def _across(pivoted: DataFrame, checked: DataFrame, comps: DataFrame) -> DataFra
     """Pairs of members of one pivot in different components that may still link."""
     rows = (pivoted.join(checked.select(F.col("hub").alias("p"), F.col("tk").alias("t"), "common", "nh"), ["p", "t"])
             .join(_named(comps, "t", "ct"), "t", "left").join(_named(comps, "p", "cp"), "p", "left")
-            .select("p", "t", "i", "n", F.coalesce("ct", "t").alias("c"), F.coalesce("cp", "p").alias("pc"),
+            .select("p", "t", "i", "n", "r", F.coalesce("ct", "t").alias("c"), F.coalesce("cp", "p").alias("pc"),
                     (1 - F.col("common") / (F.col("n") + F.col("nh") - F.col("common"))).alias("d")))
     rows = stage(rows.withColumn("early", 7 * F.col("i") <= F.col("n")), "members")
     other = rows.where("c <> pc")
     u, v = other.alias("u"), rows.alias("v")
     may = ((F.col("u.p") == F.col("v.p")) & (F.col("u.c") != F.col("v.c")) & (F.abs(F.col("u.d") - F.col("v.d")) <= 0.2501)
            & (7 * (F.col("u.i") + F.col("v.i")) <= F.col("u.n") + F.col("v.n"))
-           & (4 * F.least("u.n", "v.n") >= 3 * F.greatest("u.n", "v.n")))
+           & (4 * F.least("u.n", "v.n") >= 3 * F.greatest("u.n", "v.n"))
+           & (7 * F.least("u.r", "v.r") >= 3 * (F.col("u.n") + F.col("v.n"))))
     both = [x.join(y, may).select(F.least("u.t", "v.t").alias("a"), F.greatest("u.t", "v.t").alias("b"))
             for x, y in ((u.where("u.early"), v), (u.where("not u.early"), v.where("v.early")))]
     return both[0].union(both[1]).distinct()
@@ -421,8 +452,9 @@ def join(docs: DataFrame) -> DataFrame:
     told = stage(_told(_sent(own, parts), parts), "told")
     made = stage(_prefixes(told), "prefixes")
     nodes = _unfold(told, _NODES, ["tk", "n", "print"]).distinct()
-    pivoted = stage(_unfold(made, _PIVOTS, ["p", "t", "i", "n"]).groupBy("p", "t").agg(F.min("i").alias("i"), F.first("n").alias("n")), "pivoted")
-    pairs = stage(_paired(made).distinct(), "pairs")
+    pivoted = stage(_unfold(made, _PIVOTS, ["p", "t", "i", "n", "r"]).groupBy("p", "t").agg(
+        F.min("i").alias("i"), F.max("n").alias("n"), F.max("r").alias("r")), "pivoted")
+    pairs = stage(_paired(made), "pairs")
     # links that need no check: shared subsets of light sets, and equal sets
     light = _unfold(told, _LIGHT, ["s", "small", "tk"])
     hubs = light.groupBy("s").agg(F.min(F.when(F.col("small") == 1, F.col("tk"))).alias("hub")).where("hub is not null")
