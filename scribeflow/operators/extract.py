@@ -21,7 +21,12 @@ from scribeflow.operators.tokens import match_dictionary
 from scribeflow.sources.reference import bcast
 
 VALUE_RE = "(?iuU)" + fv.VALUE_PATTERN
-_POS_SCALE = 1_000_000
+
+
+def position(page, table, row):
+    """Where an entity stands: by page, table and row, or by token alone."""
+    cols = [(F.col(c) if isinstance(c, str) else c).cast("long") for c in (page, table, row)]
+    return F.struct(*[c.alias(n) for c, n in zip(cols, ("page", "table", "row"))])
 
 
 def lexicon_dictionary(lexicon: DataFrame) -> DataFrame:
@@ -102,14 +107,13 @@ def lexicon_can_overlap(lexicon: DataFrame, limit: int = 200_000) -> bool:
         seqs.setdefault(tuple(r["toks"]), set()).add(r["label"])
     if any(len(v) > 1 for v in seqs.values()):
         return True
-    terms = list(seqs)
-    for a in terms:
-        for b in terms:
-            if a != b and len(a) < len(b) and any(b[i:i + len(a)] == a for i in range(len(b) - len(a) + 1)):
-                return True
-            for k in range(1, min(len(a), len(b))):
-                if a[-k:] == b[:k]:
-                    return True
+    prefixes = {t[:k] for t in seqs for k in range(1, len(t))}
+    for t in seqs:
+        n = len(t)
+        if any(t[k:] in prefixes for k in range(1, n)):
+            return True
+        if any(t[i:j] in seqs for i in range(n) for j in range(i + 1, n + 1) if j - i < n):
+            return True
     return False
 
 
@@ -137,7 +141,7 @@ def text_entities(docs: DataFrame, lexicon: DataFrame, text_col: str = "text", h
         "start_char",
         "end_char",
         F.lit(None).cast("int").alias("page"),
-        F.col("tok_pos").cast("long").alias("tok_pos"),
+        position(F.lit(0), F.lit(0), "tok_pos").alias("tok_pos"),
     )
 
 
@@ -168,7 +172,6 @@ def table_entities(table_rows: DataFrame, docs: DataFrame, known_tests: DataFram
     pdf_docs = docs.where(F.col("file_type") == ".pdf").select("doc_id")
     r = r.join(pdf_docs, "doc_id", "left_semi")
     num = py_float(F.col("vs"))
-    pos = (F.col("page_number").cast("long") * _POS_SCALE + F.col("table_index")) * _POS_SCALE + F.col("row_index")
     return r.select(
         "doc_id",
         F.lit("test_result").alias("type"),
@@ -181,7 +184,7 @@ def table_entities(table_rows: DataFrame, docs: DataFrame, known_tests: DataFram
         F.lit(None).cast("long").alias("start_char"),
         F.lit(None).cast("long").alias("end_char"),
         F.col("page_number").cast("int").alias("page"),
-        pos.alias("tok_pos"),
+        position("page_number", "table_index", "row_index").alias("tok_pos"),
     )
 
 

@@ -4,7 +4,8 @@ Line segmentation is adjacency, not grouping: a new line starts whenever the
 (block, paragraph, line) triple differs from the previous kept word of the
 page, found with ``lag`` over the page ordered by ``seq`` and numbered with a
 running sum.  The window's hash partitioning on (doc, page) is reused by the
-two following aggregations (lines, then pages), so the stage shuffles once.
+two following aggregations (lines, then pages); the page statistics and the
+renumbering shuffle on their own keys.
 """
 
 from __future__ import annotations
@@ -57,7 +58,7 @@ def page_stats(words: DataFrame) -> DataFrame:
     """(doc_id, page_number, conf_mean, n_lines) over all rows of the page
     (blank and structural rows included)."""
     c = py_float(py_strip("conf"))
-    valid = F.when(c >= 0, c)
+    valid = F.when((c >= 0) & ~F.isnan(c), c)
     return words.groupBy(*PAGE).agg(
         F.avg(F.when(valid > 0, valid)).alias("_avg"),
         F.count_distinct(F.when(F.col("block_num") > 0, F.struct("block_num", "par_num", "line_num"))).alias("n_lines"),

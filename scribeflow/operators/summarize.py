@@ -9,12 +9,13 @@ bounded dictionary table.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from scribeflow import fixed_values as fv
 from scribeflow.functions.text import py_float_str, py_strip, percent0, title_case
-from scribeflow.sources.reference import BROADCAST_ROW_LIMIT
 
 
 # ----------------------------------------------------------- expressions --
@@ -53,25 +54,17 @@ def diagnosis_key(d: Column) -> Column:
 
 
 def layman_map(layman: DataFrame) -> Column:
-    """medical_to_layman as a literal map key -> 'layman: explanation'.
-
-    The dictionary is a bounded reference file (checked against the
-    broadcast limit); it is turned into a constant so lookups inside array
-    transforms need no join.
-    """
-    rows = layman.where(F.col("section") == "medical_to_layman").limit(BROADCAST_ROW_LIMIT + 1).collect()
-    if len(rows) > BROADCAST_ROW_LIMIT:
-        raise ValueError("layman dictionary too large for a literal map")
-    if not rows:
-        return F.create_map().cast("map<string,string>")
-    kv = []
-    for r in rows:
-        kv += [F.lit(r["key"]), F.lit(f"{r['layman']}: {r['explanation']}")]
-    return F.create_map(*kv)
+    """medical_to_layman as a map key -> 'layman: explanation', sent as one JSON string, so
+    that lookups inside array transforms need no join.  Only keys that a diagnosis can have are
+    kept (``diagnosis_key`` lower-cases and has no blanks), whatever the dictionary holds."""
+    key = F.col("key")
+    rows = layman.where((F.col("section") == "medical_to_layman") & (key == F.lower(key)) & ~F.contains(key, F.lit(" "))).collect()
+    text = json.dumps({r["key"]: f"{r['layman']}: {r['explanation']}" for r in rows}, ensure_ascii=False)
+    return F.from_json(F.lit(text), "map<string,string>")
 
 
 def status_sentences(layman: DataFrame) -> dict[str, str]:
-    rows = layman.where(F.col("section") == "test_results").limit(BROADCAST_ROW_LIMIT).collect()
+    rows = layman.where((F.col("section") == "test_results") & F.col("key").isin(*fv.DEFAULT_STATUS_SENTENCE)).collect()
     got = {r["key"]: r["explanation"] for r in rows if r["explanation"] is not None}
     return {k: got.get(k, d) for k, d in fv.DEFAULT_STATUS_SENTENCE.items()}
 

@@ -21,7 +21,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from scribeflow.functions.text import PIECE_PATTERN
-from scribeflow.plans.materialize import spread_if_narrow
 
 
 def with_pieces(docs: DataFrame, text_col: str) -> DataFrame:
@@ -101,7 +100,7 @@ def match_dictionary(
     ``window_labels``).
     """
     m = max(1, int(max_n))
-    src = spread_if_narrow(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_text"), *keep))
+    src = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_text"), *keep)
     d = with_pieces(src, "_text")
     shifted = [F.slice("tk", k + 1, F.greatest(F.size("tk") - k, F.lit(0))).alias(f"s{k}") for k in range(m)]
     off = []

@@ -8,8 +8,6 @@ lost executor costs a re-read instead of a re-tokenization.
 
 from __future__ import annotations
 
-import time
-
 from pyspark.sql import DataFrame, SparkSession
 
 from scribeflow.session import scratch_path
@@ -17,9 +15,6 @@ from scribeflow.session import scratch_path
 _MEMO: dict[tuple, DataFrame] = {}
 
 
-TIMINGS: list[tuple[str, float]] = []
-
-
 def materialize(df: DataFrame, name: str, spread: bool = False) -> DataFrame:
     """Write ``df`` under the checkpoint folder and read it back.  ``spread``
     writes one file per core so a small, CPU-heavy table (test input) is not
@@ -28,9 +23,7 @@ def materialize(df: DataFrame, name: str, spread: bool = False) -> DataFrame:
     if spread:
         df = df.repartition(spark.sparkContext.defaultParallelism)
     path = scratch_path(spark, name)
-    t0 = time.perf_counter()
     df.write.mode("overwrite").parquet(path)
-    TIMINGS.append((name, time.perf_counter() - t0))
     return spark.read.parquet(path)
 
 
@@ -40,16 +33,3 @@ def memo(spark: SparkSession, key: tuple, build) -> DataFrame:
     if k not in _MEMO:
         _MEMO[k] = build()
     return _MEMO[k]
-
-
-def spread_if_narrow(df: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Hash-repartition a source that arrives in fewer splits than the
-    cluster has cores (e.g. one file with one row group) before CPU-heavy
-    per-row work.  Large inputs already have many splits and pass through
-    untouched, so no shuffle is added at scale."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    try:
-        n = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - streaming or unplannable input
-        return df
-    return df.repartition(cores, key) if n < cores else df

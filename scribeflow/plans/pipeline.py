@@ -9,7 +9,8 @@ tokenize + explode + broadcast-join pass over a combined dictionary.
 
 Shuffles (all keyed by ``doc_id`` or on hits only): classification scores,
 entity dedupe windows, validation report, summary rollup, report assembly.
-The document text itself is scanned once and never shuffled.
+Text that arrives with the documents is never shuffled; text from OCR word
+tables is put together by a shuffle on its pages.
 """
 
 from __future__ import annotations
@@ -54,7 +55,14 @@ class Dictionaries:
     def from_json(doc_keywords: DataFrame, lab_ranges: DataFrame | None, medical_entities: DataFrame | None,
                   layman_terms: DataFrame, rules_json: DataFrame | None = None) -> "Dictionaries":
         """Build every table from JSON-text DataFrames (``load_reference_json``).
-        ``rules_json`` defaults to ``lab_ranges`` (same file in the reference)."""
+        ``rules_json`` defaults to ``lab_ranges`` (same file in the reference).  A dictionary
+        whose text is not JSON raises; without the lab or entity dictionary the lexicon is smaller."""
+        for name, df in (("document_keywords", doc_keywords), ("lab_ranges", lab_ranges), ("medical_entities", medical_entities),
+                         ("layman_terms", layman_terms), ("rules", rules_json)):
+            if df is not None:
+                R.assert_parsed(df, name)
+        if lab_ranges is None:
+            lab_ranges = R.json_value(doc_keywords.sparkSession, {})
         rules, ranges, aliases = R.rule_tables(rules_json if rules_json is not None else lab_ranges)
         return Dictionaries(
             phrases=R.doc_phrase_table(doc_keywords),
@@ -65,30 +73,34 @@ class Dictionaries:
         )
 
     def localize(self, limit: int = R.BROADCAST_ROW_LIMIT) -> "Dictionaries":
-        """Size-check every table and keep a local copy of it.
-
-        Dictionaries come from bounded reference files; once checked they are
-        held as local relations, so joins against them are broadcast without
-        re-running the JSON flattening in every plan.
+        """Keep a copy of every table, so that the JSON is not flattened again in every plan:
+        as a local relation up to ``limit`` rows, as a stage table beyond (which is joined by
+        shuffle where it is too large to broadcast).
         """
         if getattr(self, "_local", False):
             return self
         names = ("phrases", "lexicon", "known_tests", "rules", "ranges", "aliases", "layman")
-        # one job for all tables: tag each row, serialise it, union, collect
-        tagged = None
+        # one job counts all tables, another fetches the small ones
+        counts = None
         for name in names:
+            c = getattr(self, name).agg(F.count("*").alias("n")).select(F.lit(name).alias("t"), "n")
+            counts = c if counts is None else counts.unionByName(c)
+        small = {r["t"] for r in counts.collect() if r["n"] <= limit}
+        tagged = None
+        for name in small:
             df = getattr(self, name)
             t = df.select(F.lit(name).alias("_t"), F.to_json(F.struct(*df.columns)).alias("_j"))
             tagged = t if tagged is None else tagged.unionByName(t)
-        rows = tagged.limit(limit * len(names) + 1).collect()
+        rows = tagged.collect() if tagged is not None else []
         import json
 
         out = {}
         for name in names:
             df = getattr(self, name)
+            if name not in small:
+                out[name] = materialize(df, f"dictionary-{name}")
+                continue
             recs = [json.loads(r["_j"]) for r in rows if r["_t"] == name]
-            if len(recs) > limit:
-                raise ValueError(f"dictionary table {name} has more than {limit} rows")
             data = [tuple(rec.get(f.name) for f in df.schema.fields) for rec in recs]
             out[name] = local_df(df.sparkSession, data, df.schema)
         d = Dictionaries(**out)
@@ -155,8 +167,13 @@ def run(
         if s_ not in known and s_ != "packaging":
             # reported in the log only; the document's warnings list stays empty
             log.warning("Unknown stage '%s' in settings. Skipping.", s_)
-    stages = [s for s in [k for k, _ in fv.STAGES] if s in stages]
+    # stages run in the order they are configured in; a name given twice runs once
+    stages = [s for s in dict.fromkeys(stages) if s in known]
     order = list(stages)
+
+    def before(first: str, then: str) -> bool:
+        return first in order and (then not in order or order.index(first) < order.index(then))
+
     spark = documents.sparkSession
     meta_cols = [c for c in ("doc_id", "file_name", "file_type", "file_size_bytes") if c in documents.columns]
 
@@ -166,7 +183,7 @@ def run(
     d = documents.select(*meta_cols)
     # processed images exist only when the preprocessing stage ran; a word
     # table stands for them
-    if "ocr" in stages and ocr_words is not None and "preprocessing" in stages:
+    if "ocr" in stages and ocr_words is not None and before("preprocessing", "ocr"):
         pages = keep(O.pages(ocr_words), "pages")
         text = O.full_text(pages).select("doc_id", F.col("full_text").alias("text"))
         has = pages.select("doc_id").distinct().withColumn("_has_pages", F.lit(True))
@@ -192,11 +209,14 @@ def run(
     else:
         text = text.where(F.lit(False))
         text_empty = F.lit(True)
-    if "classification" in stages:
-        gate_cols["classification"] = K.gate_error("classification", "scrubbed_text", F.lit(False), text_empty)
-    if "extraction" in stages:
-        gate_cols["extraction"] = K.gate_error("extraction", "scrubbed_text", F.lit(False), text_empty)
-    if "summarization" in stages and "validation" not in stages:
+    # text that is recognized after scrubbing, or scrubbed after a stage that reads it, is still empty there
+    if "ocr" in stages and not before("ocr", "phi_scrubbing"):
+        text_empty = F.lit(True)
+    empty_at = {s: text_empty if before("phi_scrubbing", s) else F.lit(True) for s in ("classification", "extraction")}
+    for s in ("classification", "extraction"):
+        if s in stages:
+            gate_cols[s] = K.gate_error(s, "scrubbed_text", F.lit(False), empty_at[s])
+    if "summarization" in stages and not before("validation", "summarization"):
         gate_cols["summarization"] = K.gate_error("summarization", "validation_report", F.lit(True), F.lit(False))
 
     # ---- one matching pass over the text serves both text stages ----------
@@ -216,7 +236,7 @@ def run(
     if has_cls:
         matches = C.weigh_hits(hits.where(F.col("kind") == "phrase"), dicts.phrases)
         types = [(r["doc_type"], r["type_ord"], r["total"]) for r in R.type_totals(dicts.phrases).collect()]
-        cls = C.classify_pivot(d.where(~text_empty).select("doc_id"), matches, types, min_confidence)
+        cls = C.classify_pivot(d.where(~empty_at["classification"]).select("doc_id"), matches, types, min_confidence)
         d = d.join(cls, "doc_id", "left")
         gate_cols["classification_run"] = K.stage_error("classification", F.col("class_error"))
 

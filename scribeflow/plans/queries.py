@@ -34,6 +34,11 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
+def _row_key() -> F.Column:
+    """A table row's place as one number, for the comparison (the engine orders by the struct)."""
+    return (F.col("tok_pos.page") * 1_000_000 + F.col("tok_pos.table")) * 1_000_000 + F.col("tok_pos.row")
+
+
 def _join(c) -> F.Column:
     return F.array_join(c, "|")
 
@@ -230,14 +235,14 @@ def q_value_unit_extract(spark, sf):
     "WHERE type IN ('test_result','vital_sign','medication')", ["text_ents"]))
 def q_year_guard(spark, sf):
     t = text_ents(spark, sf).where(F.col("type").isin("test_result", "vital_sign", "medication"))
-    return t.select("doc_id", "tok_pos", "type", "name", "value_text", "unit")
+    return t.select("doc_id", F.col("tok_pos.row").alias("tok_pos"), "type", "name", "value_text", "unit")
 
 
 @register("table_row_filter", with_ctes(
     "SELECT doc_id, page AS page_number, pos AS row_key, name FROM tab_ents", ["tab_ents"]))
 def q_table_row_filter(spark, sf):
     t = tab_ents(spark, sf)
-    return t.select("doc_id", F.col("page").alias("page_number"), F.col("tok_pos").alias("row_key"), "name")
+    return t.select("doc_id", F.col("page").alias("page_number"), _row_key().alias("row_key"), "name")
 
 
 @register("table_row_project", with_ctes(
@@ -245,7 +250,7 @@ def q_table_row_filter(spark, sf):
     "'pdf_table' AS source, page FROM tab_ents", ["tab_ents"]))
 def q_table_row_project(spark, sf):
     t = tab_ents(spark, sf)
-    return t.select("doc_id", F.col("tok_pos").alias("row_key"), "name", "value_text", "value_num", "unit",
+    return t.select("doc_id", _row_key().alias("row_key"), "name", "value_text", "value_num", "unit",
                     "confidence", "source", "page")
 
 

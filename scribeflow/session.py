@@ -39,8 +39,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
     On a cluster ``spark.checkpoint.dir`` points at shared storage and is
-    used as is.  Only when it is unset (tests, local runs) do we pick a
-    scratch folder of our own.
+    used as is; without it we raise, as executors would write to their own
+    disks.  Only a local master, which has one disk, gets a folder of our own.
     """
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     sc_dir = spark.sparkContext.getCheckpointDir()
@@ -50,6 +50,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return conf_dir
     if sc_dir:
         return sc_dir
+    if not spark.sparkContext.master.split("[")[0] == "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     local_dir = tempfile.mkdtemp(prefix="scribeflow-ckpt-")
     spark.conf.set("spark.checkpoint.dir", local_dir)
     spark.sparkContext.setCheckpointDir(local_dir)

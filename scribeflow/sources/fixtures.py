@@ -189,10 +189,10 @@ def notes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def table_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """table_rows(doc_id, page_number, table_index, row_index, cells) for .PDF notes."""
+    """table_rows(doc_id, page_number, table_index, row_index, cells) for the notes of all file types."""
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice"
-    ).where(F.col("l_orderkey") % 4 == 0)
+    )
     q = F.col("l_quantity").cast("int")
     s10 = F.col("l_suppkey") % 10
     term = F.when(F.col("l_suppkey") % 2 == 0, F.upper("term")).otherwise(F.col("term"))
@@ -246,9 +246,7 @@ def documents_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ocr_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ocr_words(doc_id, page_number, seq, block_num, par_num, line_num, conf, text)
     from ``documents.text``."""
-    from scribeflow.plans.materialize import spread_if_narrow
-
-    return ocr_words_from(spread_if_narrow(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    return ocr_words_from(table(spark, sf_dir, "documents").select("doc_id", "text").repartition("doc_id"))
 
 
 def ocr_words_from(d: DataFrame) -> DataFrame:
@@ -353,8 +351,7 @@ SELECT l.l_orderkey AS doc_id, l.l_linenumber // 4 + 1 AS page_number, 0 AS tabl
        ELSE CAST(CAST(l.l_quantity AS INTEGER) AS VARCHAR) || '.' || CAST(l.l_suppkey % 10 AS VARCHAR) END AS c1,
   CASE WHEN l.l_partkey % 7 = 0 THEN NULL ELSE x.unit END AS c2,
   CASE WHEN l.l_linenumber % 7 = 6 THEN 1 ELSE 3 END AS n_cells
-FROM lineitem l JOIN lex x ON l.l_partkey % 13 = x.i
-WHERE l.l_orderkey % 4 = 0"""),
+FROM lineitem l JOIN lex x ON l.l_partkey % 13 = x.i"""),
     "ocr_lines": ([], """
 SELECT doc_id, generate_subscripts(ls, 1) - 1 AS ln, unnest(ls) AS line
 FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents)"""),

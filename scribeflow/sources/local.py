@@ -1,46 +1,38 @@
-"""Small literal tables built on the JVM side.
+"""Small tables built on the JVM side.
 
 ``spark.createDataFrame(list)`` ships rows through a Python RDD, so every
 later job over such a table starts Python workers.  Dictionaries and fixture
-lookups are tiny and fixed, so they are expressed as literal arrays expanded
-with ``inline`` - planned and executed entirely in the JVM.
+lookups are sent as one JSON string and expanded with ``from_json`` and
+``inline``: one expression whatever the number of rows, planned and executed
+entirely in the JVM.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def _lit(v, dt: T.DataType):
+def _plain(v, dt: T.DataType):
+    """A value as JSON has it; structs by field name."""
     if v is None:
-        return F.lit(None).cast(dt)
+        return None
     if isinstance(dt, T.ArrayType):
-        if not v:
-            return F.array().cast(dt)
-        return F.array(*[_lit(x, dt.elementType) for x in v])
+        return [_plain(x, dt.elementType) for x in v]
     if isinstance(dt, T.StructType):
-        if isinstance(v, dict):
-            v = [v.get(f.name) for f in dt.fields]
-        return F.struct(*[_lit(x, f.dataType).alias(f.name) for x, f in zip(v, dt.fields)])
+        get = v.get if isinstance(v, dict) else dict(zip(dt.names, v)).get
+        return {f.name: _plain(get(f.name), f.dataType) for f in dt.fields}
     if isinstance(dt, T.MapType):
-        if not v:
-            return F.create_map().cast(dt)
-        kv = []
-        for k, x in v.items():
-            kv += [_lit(k, dt.keyType), _lit(x, dt.valueType)]
-        return F.create_map(*kv)
-    return F.lit(v).cast(dt)
+        return {k: _plain(x, dt.valueType) for k, x in v.items()}
+    return v
 
 
 def local_df(spark: SparkSession, rows, schema: str | T.StructType) -> DataFrame:
     st = schema if isinstance(schema, T.StructType) else T._parse_datatype_string(schema)
     if not isinstance(st, T.StructType):
         raise ValueError("schema must be a struct")
-    rows = [tuple(r) for r in rows]
-    base = spark.range(1)
-    if not rows:
-        return base.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in st.fields]).where(F.lit(False))
-    structs = [F.struct(*[_lit(v, f.dataType).alias(f.name) for v, f in zip(r, st.fields)]) for r in rows]
-    return base.select(F.inline(F.array(*structs)))
+    text = json.dumps([_plain(tuple(r), st) for r in rows], ensure_ascii=False)
+    return spark.range(1).select(F.inline(F.from_json(F.lit(text), T.ArrayType(st))))

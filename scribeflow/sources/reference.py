@@ -23,14 +23,20 @@ BROADCAST_ROW_LIMIT = 200_000
 
 def load_reference_json(spark: SparkSession, path: str) -> DataFrame:
     """One row per JSON file: (path, value).  A missing file raises at read
-    time; a corrupt file yields null from ``from_json`` downstream (callers
-    check with ``assert_parsed``)."""
+    time; a corrupt file is found by ``assert_parsed``."""
     return (
         spark.read.text(path, wholetext=True)
         .select(F.input_file_name().alias("path"), "value")
     )
 
 
+def assert_parsed(df: DataFrame, name: str) -> None:
+    """Raise when a dictionary's text is not a JSON object."""
+    good = F.try_parse_json(F.col("value"))
+    if df.where(good.isNull() | ~F.coalesce(F.schema_of_variant(good).startswith("OBJECT"), F.lit(False))).count():
+        raise ValueError(f"dictionary {name} is not a JSON object")
+
+
 def json_value(spark: SparkSession, obj: dict) -> DataFrame:
     """In-memory counterpart of ``load_reference_json`` for a dict."""
     return local_df(spark, [("<memory>", json.dumps(obj))], "path string, value string")
