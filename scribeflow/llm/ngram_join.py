@@ -40,7 +40,7 @@ from math import comb
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scribeflow.llm.common import mix, stage, word_hashes, word_spans
@@ -53,6 +53,9 @@ HOT = 64
 #: Long texts list shingles below this share of all hashes; short ones list all.
 SHARE = 0.4
 LONG, SHORT = 64, 86
+#: Members outside their pivot's component are tried with about so many inside, so many times,
+#: before all that may link are checked.
+TRIES, TURNS = 4, 3
 #: Wanted nodes up to here are broadcast, to send only their texts; beyond, all texts are sent.
 BROADCAST_NODES = 1_000_000
 PART_BYTES = 8 << 20
@@ -425,20 +428,41 @@ def _apart(pairs: DataFrame, comps: DataFrame) -> DataFrame:
             .where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b"))
 
 
-def _across(pivoted: DataFrame, checked: DataFrame, comps: DataFrame) -> DataFrame:
-    """Pairs of members of one pivot in different components that may still link."""
+def _members(pivoted: DataFrame, checked: DataFrame) -> DataFrame:
+    """The members of each pivot, with their distance from it."""
     rows = (pivoted.join(checked.select(F.col("hub").alias("p"), F.col("tk").alias("t"), "common", "nh"), ["p", "t"])
-            .join(_named(comps, "t", "ct"), "t", "left").join(_named(comps, "p", "cp"), "p", "left")
-            .select("p", "t", "i", "n", "r", F.coalesce("ct", "t").alias("c"), F.coalesce("cp", "p").alias("pc"),
-                    (1 - F.col("common") / (F.col("n") + F.col("nh") - F.col("common"))).alias("d")))
-    rows = stage(rows.withColumn("early", 7 * F.col("i") <= F.col("n")), "members")
-    other = rows.where("c <> pc")
-    u, v = other.alias("u"), rows.alias("v")
-    may = ((F.col("u.p") == F.col("v.p")) & (F.col("u.c") != F.col("v.c")) & (F.abs(F.col("u.d") - F.col("v.d")) <= 0.2501)
-           & (7 * (F.col("u.i") + F.col("v.i")) <= F.col("u.n") + F.col("v.n"))
-           & (4 * F.least("u.n", "v.n") >= 3 * F.greatest("u.n", "v.n"))
-           & (7 * F.least("u.r", "v.r") >= 3 * (F.col("u.n") + F.col("v.n"))))
-    both = [x.join(y, may).select(F.least("u.t", "v.t").alias("a"), F.greatest("u.t", "v.t").alias("b"))
+            .select("p", "t", "i", "n", "r", (1 - F.col("common") / (F.col("n") + F.col("nh") - F.col("common"))).alias("d")))
+    return stage(rows.withColumn("early", 7 * F.col("i") <= F.col("n")), "members")
+
+
+def _placed(members: DataFrame, comps: DataFrame) -> DataFrame:
+    """The members with their component and their pivot's."""
+    return (members.join(_named(comps, "t", "ct"), "t", "left").join(_named(comps, "p", "cp"), "p", "left")
+            .withColumns({"c": F.coalesce("ct", "t"), "pc": F.coalesce("cp", "p")}).drop("ct", "cp"))
+
+
+def _may() -> Column:
+    """Whether members u and v of one pivot may link, by components, distances, places, sizes and reach."""
+    return ((F.col("u.p") == F.col("v.p")) & (F.col("u.c") != F.col("v.c")) & (F.abs(F.col("u.d") - F.col("v.d")) <= 0.2501)
+            & (7 * (F.col("u.i") + F.col("v.i")) <= F.col("u.n") + F.col("v.n"))
+            & (4 * F.least("u.n", "v.n") >= 3 * F.greatest("u.n", "v.n"))
+            & (7 * F.least("u.r", "v.r") >= 3 * (F.col("u.n") + F.col("v.n"))))
+
+
+def _some(placed: DataFrame, turn: int) -> DataFrame:
+    """Each member outside its pivot's component with a few inside, other ones each turn."""
+    inside = placed.where("c = pc")
+    buckets = inside.groupBy("p").agg(F.ceil(F.count("*") / TRIES).alias("buckets"))
+    own = F.pmod(F.xxhash64("t", F.lit(turn)), F.col("buckets"))
+    u = placed.where("c <> pc").join(buckets, "p").withColumn("own", own).alias("u")
+    v = inside.join(buckets, "p").withColumn("own", own).alias("v")
+    return u.join(v, _may() & (F.col("u.own") == F.col("v.own"))).select(F.col("v.t").alias("hub"), F.col("u.t").alias("tk")).distinct()
+
+
+def _across(placed: DataFrame) -> DataFrame:
+    """Pairs of members of one pivot in different components that may still link."""
+    u, v = placed.where("c <> pc").alias("u"), placed.alias("v")
+    both = [x.join(y, _may()).select(F.least("u.t", "v.t").alias("a"), F.greatest("u.t", "v.t").alias("b"))
             for x, y in ((u.where("u.early"), v), (u.where("not u.early"), v.where("v.early")))]
     return both[0].union(both[1]).distinct()
 
@@ -465,13 +489,27 @@ def join(docs: DataFrame) -> DataFrame:
     # one pair for each node, and all with pivots; most clusters are connected then
     first = pairs.groupBy("b").agg(F.min("a").alias("hub")).select("hub", F.col("b").alias("tk"))
     checked = _checked(own, first.union(pivoted.select(F.col("p").alias("hub"), F.col("t").alias("tk"))).distinct(), parts, "first")
-    edges = linked.union(checked.where("linked").select(F.col("hub").alias("a"), F.col("tk").alias("b")))
+    def found(rows: DataFrame) -> DataFrame:
+        return rows.where("linked").select(F.col("hub").alias("a"), F.col("tk").alias("b"))
+
+    def seen(rows: DataFrame) -> DataFrame:
+        return rows.select(F.least("hub", "tk").alias("a"), F.greatest("hub", "tk").alias("b"))
+
+    edges, done = linked.union(found(checked)), seen(checked)
     comps = stage(components(edges), "comps")
-    done = checked.select(F.least("hub", "tk").alias("a"), F.greatest("hub", "tk").alias("b"))
-    rest = stage(_apart(pairs, comps).union(_across(pivoted, checked, comps)).distinct().join(done, ["a", "b"], "left_anti"), "rest")
+    members = _members(pivoted, checked)
+    # what did not link to its pivot mostly links to another member of the pivot's component
+    for turn in range(TURNS):
+        few = stage(_some(_placed(members, comps), turn), "some")
+        if few.isEmpty():
+            break
+        more = _checked(own, few, parts, f"turn{turn}")
+        edges, done = edges.union(found(more)), done.union(seen(more))
+        comps = stage(components(edges), "comps")
+    rest = stage(_apart(pairs, comps).union(_across(_placed(members, comps))).distinct().join(done, ["a", "b"], "left_anti"), "rest")
     if not rest.isEmpty():
         more = _checked(own, rest.select(F.col("a").alias("hub"), F.col("b").alias("tk")), parts, "rest")
-        comps = stage(components(edges.union(more.where("linked").select(F.col("hub").alias("a"), F.col("tk").alias("b")))), "comps")
+        comps = stage(components(edges.union(found(more))), "comps")
     ids = own.select("doc_id", F.col("rk").alias("tk"))
     least = ids.groupBy("tk").agg(F.min("doc_id").alias("own"))
     named = (nodes.where("n > 0").join(least, "tk").join(comps.withColumnRenamed("node", "tk"), "tk", "left")
