@@ -27,6 +27,15 @@ def materialize(df: DataFrame, name: str, spread: bool = False) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def release(df: DataFrame) -> None:
+    """Delete the stage table that ``df`` was read from."""
+    spark = df.sparkSession
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    for part in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        path = hadoop.Path(part)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def memo(spark: SparkSession, key: tuple, build) -> DataFrame:
     """Reuse one materialized table per (application, key)."""
     k = (spark.sparkContext.applicationId,) + key

@@ -30,7 +30,7 @@ from scribeflow.operators import summarize as S
 from scribeflow.operators import validate as V
 from scribeflow.operators.scrub import scrub
 from scribeflow.operators.tokens import match_dictionary
-from scribeflow.plans.materialize import materialize
+from scribeflow.plans.materialize import materialize, release
 from scribeflow.sources import reference as R
 from scribeflow.sources.local import local_df
 
@@ -135,6 +135,12 @@ class PipelineResult:
     summaries: DataFrame | None
     classification: DataFrame | None
     pages: DataFrame | None
+    stage_tables: tuple[DataFrame, ...] = ()
+
+    def release(self) -> None:
+        """Delete the stage tables of this run; its DataFrames can't be read any more."""
+        for df in self.stage_tables:
+            release(df)
 
 
 def run(
@@ -159,7 +165,14 @@ def run(
     (pages, hits, per-document state, entities, validation report) are
     written once to the shared checkpoint folder and read back.
     """
-    keep = materialize if stage_tables else (lambda df, name: df)
+    kept: list[DataFrame] = []
+
+    def keep(df: DataFrame, name: str) -> DataFrame:
+        if not stage_tables:
+            return df
+        kept.append(materialize(df, name))
+        return kept[-1]
+
     dicts = dicts.localize()
     stages = list(active_stages or DEFAULT_STAGES)
     known = {k for k, _ in fv.STAGES}
@@ -275,7 +288,7 @@ def run(
     from scribeflow.operators.package import build_reports
 
     reports = build_reports(d, None, ents, rep, summ)
-    return PipelineResult(reports, d, ents, finds, rep, summ, cls_out, pages)
+    return PipelineResult(reports, d, ents, finds, rep, summ, cls_out, pages, tuple(kept))
 
 
 def _empty_entities(spark: SparkSession) -> DataFrame:

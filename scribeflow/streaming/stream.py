@@ -42,6 +42,7 @@ def start_report_stream(stream: DataFrame, dicts: PL.Dictionaries, output: str,
             return
         res = PL.run(batch, dicts, active_stages=stages)
         res.reports.write.mode("overwrite").parquet(os.path.join(output, f"batch_id={batch_id}"))
+        res.release()
 
     w = stream.writeStream.foreachBatch(run_batch).option("checkpointLocation", ckpt)
     if available_now:

@@ -1,5 +1,6 @@
 """Pipeline control flow, packaging and sinks on small hand-made documents."""
 
+import itertools
 import json
 import random
 
@@ -71,24 +72,15 @@ def test_tables_numeric_values_and_ocr_stage(spark):
     assert r[2]["errors"][0]["message"].endswith("Required field 'processed_image_paths' is empty")
 
 
-def _py_page_text(words):
-    lines, cur, last = [], [], (-1, -1, -1)
-    for (b, p, ln, t) in words:
-        t = t.strip()
-        if not t:
-            continue
-        if (b, p, ln) != last:
-            if cur:
-                lines.append(" ".join(cur))
-            cur = [t]
-            if (b, p) != last[:2] and lines and lines[-1] != "":
-                lines.append("")
-        else:
-            cur.append(t)
-        last = (b, p, ln)
-    if cur:
-        lines.append(" ".join(cur))
-    return "\n".join(lines).strip()
+def _expected_text(words):
+    """Runs of equal triples among the words that are not blank: a run is a line, and a run of
+    equal (block, paragraph) pairs is a paragraph."""
+    kept = [((b, p), ln, t.strip()) for b, p, ln, t in words if t.strip()]
+    paragraphs = []
+    for _, par in itertools.groupby(kept, key=lambda w: w[0]):
+        lines = [" ".join(t for *_, t in run) for _, run in itertools.groupby(par, key=lambda w: w[1])]
+        paragraphs.append("\n".join(lines))
+    return "\n\n".join(paragraphs)
 
 
 def test_line_segmentation_matches_python_model(spark):
@@ -99,7 +91,7 @@ def test_line_segmentation_matches_python_model(spark):
               for _ in range(rnd.randint(1, 25))]
         for i, (b, p, ln, t) in enumerate(ws):
             rows.append((1, page, i, b, p, ln, "50", t))
-        expect[page] = _py_page_text(ws)
+        expect[page] = _expected_text(ws)
     w = spark.createDataFrame(rows, "doc_id long, page_number int, seq long, block_num int, par_num int, "
                                     "line_num int, conf string, text string")
     got = {r["page_number"]: r["raw_text"] for r in O.page_text(w).collect()}
