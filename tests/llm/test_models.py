@@ -99,6 +99,13 @@ def test_bm25_is_exact(docs, rows):
     assert asked >= 2
 
 
+def test_bm25_asks_whole_texts(spark):
+    rows = [(20, " ".join(f"q{k}" for k in range(60)), "en", "s", 1)]
+    rows += [(100 + 20 * k + 1, f"q{k} other{k}", "en", "s", 1) for k in range(60)]
+    got = bm25.search(spark.createDataFrame(rows, SCHEMA), k=100).collect()
+    assert {r["doc_id"] for r in got if r["query_id"] == 20} == {r[0] for r in rows}
+
+
 def test_bm25_empty(none):
     assert bm25.search(none).count() == 0
 
