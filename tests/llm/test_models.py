@@ -106,6 +106,17 @@ def test_bm25_asks_whole_texts(spark):
     assert {r["doc_id"] for r in got if r["query_id"] == 20} == {r[0] for r in rows}
 
 
+def test_bm25_reads_only_postings_of_taken_blocks():
+    docs, per = 40 * bm25.BLOCK_DOCS, 4
+    row = np.repeat(np.arange(docs), per)
+    term = np.tile(np.arange(per), docs)
+    tf = np.where(row < 2 * bm25.BLOCK_DOCS, 50, 1)
+    index = bm25.Index(np.arange(docs), np.full(docs, 100), row, term, tf, 100.0)
+    ids, scores = index.top(np.arange(per), np.ones(per), 5)
+    assert ids.tolist() == [0, 1, 2, 3, 4] and np.allclose(scores, per * 50 * 2.2 / 51.2)
+    assert index.read < len(row) / 2
+
+
 def test_bm25_empty(none):
     assert bm25.search(none).count() == 0
 
