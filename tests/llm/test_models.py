@@ -187,3 +187,11 @@ def test_licences(spark, none):
     assert all(f in got[k] for k, f in want.items())
     assert got[903] == {"unknown"} and not {k for k in got if k not in want} - {903, 904}
     assert licenses.scan(none).count() == 0
+
+
+def test_licence_sample_comes_from_whole_lines(spark):
+    rows = [(k, " ".join(f"word{n}" for n in range(300)), "en", "s", 1) for k in range(40)]
+    drawn = licenses.sample(spark.createDataFrame(rows, SCHEMA))
+    words = [w for x in drawn for w in x.decode().split()]
+    assert len(drawn) == 40 and max(len(x.split()) for x in drawn) == licenses.PIECE
+    assert {"word0", "word100", "word299"} <= set(words)
