@@ -7,6 +7,12 @@ Pieces that may be notices go to a softmax regression over the licence families
 training did not see.  A predicted family counts when the piece's word 3-grams are found in
 the family's templates; a notice without such a family is reported as ``unknown``.
 
+A notice may lie anywhere in a line.  Where 3-grams of the templates (or whole templates of two
+words) lie close together in a line, they form a stretch, which is scored like a piece of its own,
+whatever stands around it and across the pieces' limits.  A stretch counts for a family if it also
+has a 3-gram that few families share; without a family it is ``unknown`` if it and the ``AFTER``
+words behind it are a notice.  A stretch is reported under the piece that it begins in.
+
 The classifiers are trained on variations of the templates and on a bounded sample of the
 corpus's own pieces (``SAMPLE_PIECES``, drawn by hash from any place of their lines; of a piece at
 most ``SAMPLE_CHARS`` characters, of the made examples' vocabulary the first 2 000 pieces).  Defined results: null and empty texts
@@ -34,6 +40,10 @@ SAMPLE_PIECES, SAMPLE_CHARS = 20_000, 4096
 NOTICE = 0.5
 #: A family needs this calibrated probability, and this share of the piece's 3-grams.
 SURE, SHARED = 0.5, 0.4
+#: A stretch goes on over this many words without a template 3-gram.
+GAP, AFTER = 6, 6
+#: A 3-gram tells a family from others if at most so many families have it.
+FEW = 4
 UNKNOWN = "unknown"
 _SIZE = 1 << BITS
 _PUNCTUATION = bytes(32 if chr(c) in ".,;:!?\"()[]|*#/" else c for c in range(256))
@@ -82,12 +92,14 @@ def templates() -> dict[str, list[str]]:
 
 @dataclass
 class Pieces:
-    """Word hashes of all pieces, the pieces' offsets, their rows and their numbers in the row."""
+    """Word hashes of all pieces, the pieces' offsets, their rows and numbers in the row, and the
+    lines' offsets."""
 
     words: np.ndarray
     offsets: np.ndarray
     row: np.ndarray
     number: np.ndarray
+    lines: np.ndarray
 
 
 def pieces(raw: list[bytes]) -> Pieces:
@@ -101,7 +113,7 @@ def pieces(raw: list[bytes]) -> Pieces:
     line = np.searchsorted(rows[1:], cut, side="right")
     row = np.repeat(np.arange(len(raw)), [len(x) for x in lines])[line]
     first = np.searchsorted(row, np.arange(len(raw)))
-    return Pieces(h, np.append(cut, len(h)), row, np.arange(len(cut)) - first[row])
+    return Pieces(h, np.append(cut, len(h)), row, np.arange(len(cut)) - first[row], rows)
 
 
 def _numbers(p: Pieces) -> tuple[np.ndarray, np.ndarray]:
@@ -143,6 +155,7 @@ class Model:
     bias: np.ndarray
     temperature: float
     known: dict[str, np.ndarray]
+    telling: dict[str, np.ndarray]
 
 
 def _examples(vocabulary: list[str], rng: np.random.Generator, copies: int = 6) -> tuple[list[str], np.ndarray]:
@@ -209,10 +222,13 @@ def train(others: list[bytes], seed: int = 7) -> Model:
     for family, texts_ in templates().items():
         own = pieces([x.encode() for x in texts_])
         known[family] = np.unique(np.concatenate([threes(own, k) for k in range(len(own.row))]))
-    everything = np.unique(np.concatenate(list(known.values())))
+    everything, shared = np.unique(np.concatenate(list(known.values())), return_counts=True)
+    telling = {f: x[shared[np.searchsorted(everything, x)] <= FEW] for f, x in known.items()}
     plain = pieces(others)
     # pieces of the corpus that look like templates are no counterexamples
-    alike = {int(plain.row[k]) for k in range(len(plain.row)) if np.isin(threes(plain, k), everything).mean() >= 0.3}
+    tells = np.unique(np.concatenate(list(telling.values())))
+    alike = {int(plain.row[k]) for k in range(len(plain.row))
+             if np.isin(own := threes(plain, k), everything).mean() >= 0.3 or np.isin(own, tells).any()}
     clean = [o for k, o in enumerate(others) if len(o) and k not in alike]
     vocabulary = sorted({w for o in clean[:2000] for w in o.decode("utf-8", "ignore").split()})[:4000] or ["work", "open", "free", "data"]
     made, label = _examples(vocabulary, rng)
@@ -241,7 +257,7 @@ def train(others: list[bytes], seed: int = 7) -> Model:
         loss = float((np.log(np.exp(s).sum(1)) - s[np.arange(len(s)), label[check]]).mean())
         if loss < best:
             best, temperature = loss, float(t)
-    return Model((w2[:, 1] - w2[:, 0]).astype(np.float32), float(b2[1] - b2[0]), wk, bk, temperature, known)
+    return Model((w2[:, 1] - w2[:, 0]).astype(np.float32), float(b2[1] - b2[0]), wk, bk, temperature, known, telling)
 
 
 def sample(docs: DataFrame, most: int = SAMPLE_PIECES) -> list[bytes]:
@@ -263,11 +279,46 @@ def _weighed(p: Pieces, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return piece, weights[number]
 
 
-def scan_rows(raw: list[bytes], model: Model) -> list[tuple[int, int, str, float, float, int]]:
-    """Row, piece, family, probability, share of the templates' 3-grams, words; for notices."""
-    p = pieces(raw)
-    if not len(p.row):
-        return []
+def _near(grams_: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Places of the hashes that are wanted."""
+    table = np.zeros(_SIZE, bool)
+    table[(wanted >> np.uint64(64 - BITS)).astype(np.int64)] = True
+    at = np.flatnonzero(table[(grams_ >> np.uint64(64 - BITS)).astype(np.int64)])
+    return at[np.isin(grams_[at], wanted)]
+
+
+def stretches(p: Pieces, model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First word, end and line of the stretches of template 3-grams in each line."""
+    w, wanted = p.words, np.unique(np.concatenate(list(model.known.values())))
+    line = np.repeat(np.arange(len(p.lines) - 1), np.diff(p.lines))
+    begin, length = [], []
+    with np.errstate(over="ignore"):
+        # as ``threes`` has them; a template of two words is one hash
+        for n, hashes in ((3, mix(w[:-2] * np.uint64(9) + w[1:-1] * np.uint64(3) + w[2:])), (2, mix(w[:-1] + w[1:]))):
+            at = _near(hashes, wanted)
+            begin.append(at[line[at] == line[at + n - 1]])
+            length.append(np.full(len(begin[-1]), n))
+    begin, length = np.concatenate(begin), np.concatenate(length)
+    order = np.argsort(begin, kind="stable")
+    begin, end = begin[order], (begin + length)[order]
+    if not len(begin):
+        return begin, end, begin
+    end = np.maximum.accumulate(end)
+    new = np.concatenate(([True], (line[begin[1:]] != line[begin[:-1]]) | (begin[1:] - end[:-1] > GAP)))
+    first = np.flatnonzero(new)
+    return begin[first], end[np.append(first[1:], len(end)) - 1], line[begin[first]]
+
+
+def _cut(p: Pieces, begin: np.ndarray, end: np.ndarray) -> Pieces:
+    """Ranges of words as pieces, with row and number of the piece that they begin in."""
+    n = end - begin
+    offsets = np.concatenate(([0], np.cumsum(n)))
+    of = np.searchsorted(p.offsets, begin, side="right") - 1
+    return Pieces(p.words[np.repeat(begin - offsets[:-1], n) + np.arange(offsets[-1])], offsets, p.row[of], p.number[of], offsets)
+
+
+def _judged(p: Pieces, model: Model, telling: bool = False) -> list[tuple[int, str, float, float]]:
+    """Piece, family, probability and share of the templates' 3-grams of the notices."""
     # no piece scores higher than all its positive weights together
     most = np.bincount(*_weighed(p, np.maximum(model.notice, 0)), minlength=len(p.row)) + model.notice_bias
     piece, number, scale = grams(p, most >= np.log(NOTICE / (1 - NOTICE)))
@@ -287,13 +338,48 @@ def scan_rows(raw: list[bytes], model: Model) -> list[tuple[int, int, str, float
             # the likeliest family whose template agrees; notices of two families may share words
             ranked = [FAMILIES[c] for c in np.argsort(-q, kind="stable")]
             name = ranked[0]
-            if name == UNKNOWN or q.max() < SURE or share[name] < SHARED:
+            if name == UNKNOWN or q.max() < SURE or share[name] < SHARED or (telling and not np.isin(own3, model.telling[name]).any()):
                 name = UNKNOWN
-            n = int(p.offsets[k + 1] - p.offsets[k])
-            out.append((int(p.row[k]), int(p.number[k]), name, float(q.max()), max(share.values()) if name == UNKNOWN else share[name], n))
+            out.append((k, name, float(q.max()), max(share.values()) if name == UNKNOWN else share[name]))
     return out
 
 
+def scan_rows(raw: list[bytes], model: Model) -> list[tuple[int, int, str, float, float, int]]:
+    """Row, piece, family, probability, share of the templates' 3-grams, words; for notices."""
+    p = pieces(raw)
+    if not len(p.row):
+        return []
+    out = {}
+
+    def add(q: Pieces, k: int, *rest) -> None:
+        out.setdefault((int(q.row[k]), int(q.number[k]), rest[0]), (*rest, int(q.offsets[k + 1] - q.offsets[k])))
+
+    whole = _judged(p, model)
+    named = np.zeros(len(p.row), bool)
+    named[[k for k, name, *_ in whole if name != UNKNOWN]] = True
+    begin, end, line = stretches(p, model)
+    # what a piece with a family has wholly is settled
+    first, last = (np.searchsorted(p.offsets, x, side="right") - 1 for x in (begin, end - 1))
+    open_ = ~(named[first] & (first == last))
+    begin, end, line, first, last = begin[open_], end[open_], line[open_], first[open_], last[open_]
+    inside, left = _cut(p, begin, end), np.ones(len(begin), bool)
+    settled = named.copy()
+    for k, name, *rest in _judged(inside, model, telling=True) if len(begin) else []:
+        if name != UNKNOWN:
+            left[k], settled[first[k]:last[k] + 1] = False, True
+            add(inside, k, name, *rest)
+    # a piece is not unknown for the part of a notice that it has
+    for k, name, *rest in whole:
+        if name != UNKNOWN or not settled[k]:
+            add(p, k, name, *rest)
+    left &= ~named[first]
+    if left.any():
+        longer = _cut(p, begin[left], np.minimum(end[left] + AFTER, p.lines[line[left] + 1]))
+        for k, _, *rest in _judged(longer, model, telling=True):
+            add(longer, k, UNKNOWN, *rest)
+    return [(r, n, *rest) for (r, n, _), rest in out.items()]
+
+
 def scan(docs: DataFrame, model: Model | None = None) -> DataFrame:
     """doc_id, piece, family, probability, template_share, n_words of every notice."""
     model = model or train(sample(docs))

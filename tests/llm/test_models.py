@@ -189,6 +189,25 @@ def test_licences(spark, none):
     assert licenses.scan(none).count() == 0
 
 
+def test_licences_inside_long_lines(spark):
+    rng = random.Random(8)
+    notices = {"MIT": "Released under the MIT License.", "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
+               "GPL": "This work is licensed under the GNU General Public License, version 3.", "CC-BY-NC": "Licensed under CC BY-NC 4.0."}
+    rows, want = [], {}
+    for k in range(120):
+        w = _words(rng, rng.randint(20, 300))
+        if k % 3 == 0:
+            family = list(notices)[k // 3 % 4]
+            at = (20, 62, rng.randrange(len(w)))[k // 12 % 3]  # 62: across the limit of a piece
+            w[at:at], want[k] = notices[family].split(), family
+        rows.append((k, " ".join(w), "en", "s", 1))
+    got = defaultdict(set)
+    for r in licenses.scan(spark.createDataFrame(rows, SCHEMA)).collect():
+        if r["family"] != licenses.UNKNOWN:
+            got[r["doc_id"]].add(r["family"])
+    assert got == {k: {f} for k, f in want.items()}
+
+
 def test_licence_sample_comes_from_whole_lines(spark):
     rows = [(k, " ".join(f"word{n}" for n in range(300)), "en", "s", 1) for k in range(40)]
     drawn = licenses.sample(spark.createDataFrame(rows, SCHEMA))
