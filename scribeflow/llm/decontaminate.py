@@ -13,9 +13,14 @@
    document leaks an item if it holds ``SURE`` of the item's words in order, or ``LIKELY`` of them
    and of the answer, the item's last sentence.
 
+4. Items of fewer than ``LEAST`` words, or of words of more than ``LONG`` bytes on the average (as
+   in scripts without blanks), are also searched exactly: a document leaks one that it holds as
+   the same words one after another; in a script without blanks, as the same characters.  Such
+   an item's common words are all its words.
+
 The items go out in blocks of bounded size, each against all texts.  Defined results: null and
-empty texts and items leak nothing; items of fewer than ``LEAST`` words are too short to tell and
-are not searched; repeated rows are found alike; empty tables give no rows.
+empty texts and items, and items without a word, leak nothing; repeated rows are found alike;
+empty tables give no rows.
 """
 
 from __future__ import annotations
@@ -30,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scribeflow.llm.common import slices, text_bytes, texts, word_hashes, word_spans
+from scribeflow.llm.common import mix, slices, text_bytes, texts, word_hashes, word_spans
 from scribeflow.llm.windows import _rows
 
 BITS = 13
@@ -43,6 +48,8 @@ COSINE = 0.42
 SHARED = 0.6
 SURE, LIKELY = 0.75, 0.55
 LEAST = 8
+#: Words of more bytes on the average are no words: the script has no blanks.
+LONG = 24
 BLOCK_ITEMS = 2000
 _SIZE = 1 << BITS
 _CHUNKS = 64
@@ -169,6 +176,71 @@ def window_of(n: int) -> int:
     return 32 if n >= 56 else 16 if n >= 24 else 8
 
 
+def _plain(raw: bytes) -> bytes:
+    """Lower-cased (A-Z), without white space and common punctuation."""
+    return b"".join(raw.translate(_PUNCTUATION).lower().split())
+
+
+def _without_blanks(raw: bytes) -> bool:
+    """Whether the bytes beyond ASCII lie in words of more than ``LONG`` bytes on the average, or
+    the item is written in Han, Kana, Thai, Lao, Khmer or Burmese letters."""
+    text = raw.decode("utf-8", "ignore")
+    if _NO_BLANKS.search(text):
+        return True
+    parts = raw.translate(_PUNCTUATION).split()
+    return bool(parts) and not raw.isascii() and len(_plain(raw)) > LONG * len(parts)
+
+
+#: Thai, Lao, Burmese, Khmer; Kana, Han (and beyond the first plane).
+_NO_BLANKS = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
+
+
+class Exact:
+    """Short items by their length and the hash of their word sequence, and the characters of
+    items in scripts without blanks."""
+
+    def __init__(self, rows: list[tuple[int, bytes]]):
+        self.by_length: dict[int, dict[int, list[int]]] = {}
+        self.strings: list[tuple[int, int, bytes]] = []
+        for k, raw in rows:
+            h = words([raw])[0]
+            if len(h) and _without_blanks(raw):
+                self.strings.append((k, len(h), _plain(raw)))
+            elif 0 < len(h) < LEAST:
+                self.by_length.setdefault(len(h), {}).setdefault(int(sequences(h, len(h))[0]), []).append(k)
+        self.wanted = {n: np.array(sorted(x), np.uint64) for n, x in self.by_length.items()}
+
+    def __len__(self) -> int:
+        return len(self.by_length) + len(self.strings)
+
+    def search(self, raw: list[bytes], h: np.ndarray, rows: np.ndarray) -> Iterator[tuple[int, int, int, int, float]]:
+        for n, wanted in self.wanted.items():
+            s = sequences(h, n)
+            at = np.flatnonzero(np.isin(s, wanted))
+            row = np.searchsorted(rows[1:], at, side="right")
+            ok = at + n <= rows[1:][row]
+            for r, x in sorted(set(zip(row[ok].tolist(), s[at[ok]].tolist()))):
+                for k in self.by_length[n][x]:
+                    yield r, k, n, n, 1.0
+        if self.strings:
+            for r, x in enumerate(raw):
+                # an item in such a script has bytes beyond ASCII
+                text = b"" if x.isascii() else _plain(x)
+                for k, n, own in self.strings if text else []:
+                    at = text.find(own)
+                    if at >= 0:
+                        yield r, k, n, n, 1.0
+
+
+def sequences(h: np.ndarray, n: int) -> np.ndarray:
+    """A hash of every n words one after another."""
+    out = np.zeros(max(0, len(h) - n + 1), np.uint64)
+    with np.errstate(over="ignore"):
+        for k in range(n):
+            out = mix(out * np.uint64(3) + h[k:k + len(out)])
+    return out
+
+
 @dataclass
 class Items:
     """A block of items: ids, word hashes, where the answer begins, and by window size the
@@ -180,6 +252,7 @@ class Items:
     answers: list[int]
     by_window: dict[int, tuple[np.ndarray, np.ndarray]]
     has: np.ndarray
+    exact: Exact
 
 
 def answer_start(text: str) -> int:
@@ -210,7 +283,7 @@ def prepare(rows: list[tuple[int, str]], latent: Latent) -> Items:
     for size, own in by.items():
         v = np.stack([latent.vectors[feature(hashes[k])].sum(0) for k in own])
         out[size] = (np.array(own), (v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-12)).astype(np.float32))
-    return Items(ids, hashes, [set(h.tolist()) for h in hashes], answers, out, has)
+    return Items(ids, hashes, [set(h.tolist()) for h in hashes], answers, out, has, Exact([(k, (text or "").encode()) for k, text in rows]))
 
 
 def lcs(item: np.ndarray, text: np.ndarray) -> np.ndarray:
@@ -298,8 +371,10 @@ def search_rows(raw: list[bytes], items: Items, latent: Latent) -> list[tuple[in
             n, answer = int(used.sum()), float(used[items.answers[k]:].mean())
             if n > best.get((r, k), (0, 0, 0.0))[0]:
                 best[r, k] = (n, m, answer)
-    return [(r, items.ids[k], n, m, answer) for (r, k), (n, m, answer) in best.items()
-            if n >= SURE * m or (n >= LIKELY * m and answer >= LIKELY)]
+    found = [(r, items.ids[k], n, m, answer) for (r, k), (n, m, answer) in best.items()
+             if n >= SURE * m or (n >= LIKELY * m and answer >= LIKELY)]
+    seen = {x[:2] for x in found}
+    return found + [x for x in items.exact.search(raw, h, rows) if x[:2] not in seen]
 
 
 def item_blocks(docs: DataFrame, benchmark: DataFrame) -> list:
@@ -323,7 +398,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         def part(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             items, space = sent.value
             for _, ids, raw in _rows(batches):
-                found = [(ids[r], *rest) for r, *rest in search_rows(raw, items, space)] if items.ids else []
+                found = [(ids[r], *rest) for r, *rest in search_rows(raw, items, space)] if items.ids or len(items.exact) else []
                 if found:
                     yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*found), (pa.int64(),) * 4 + (pa.float64(),))],
                                                      names=["doc_id", "item_id", "common_words", "item_words", "answer_share"])
@@ -343,7 +418,7 @@ def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             items, space = sent.value
             for batch in slices(batches):
                 keep = np.ones(batch.num_rows, bool)
-                if items.ids:
+                if items.ids or len(items.exact):
                     keep[[r for r, *_ in search_rows(text_bytes(batch), items, space)]] = False
                 yield batch.filter(pa.array(keep))
 

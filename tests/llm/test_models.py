@@ -214,3 +214,18 @@ def test_licence_sample_comes_from_whole_lines(spark):
     words = [w for x in drawn for w in x.decode().split()]
     assert len(drawn) == 40 and max(len(x.split()) for x in drawn) == licenses.PIECE
     assert {"word0", "word100", "word299"} <= set(words)
+
+
+def test_decontamination_finds_short_items_and_scripts_without_blanks(spark):
+    rng = random.Random(4)
+    items = [(1, "What is zeta?"), (2, "Kelvin"), (3, "\u5149\u5408\u4f5c\u7528\u5728\u53f6\u7eff\u4f53\u4e2d\u8fdb\u884c"), (4, "one two three four five six seven"),
+             (5, "\u0e19\u0e49\u0e33\u0e40\u0e14\u0e37\u0e2d\u0e14"), (6, "...")]
+    plain = [" ".join(_words(rng, 30)) for _ in range(12)]
+    rows = [(0, plain[0]), (1, plain[1] + " what is ZETA " + plain[2]), (2, plain[2] + " kelvin."), (3, "\u524d" + items[2][1] + "\u540e " + plain[3]),
+            (4, plain[4] + " one two three four, five six seven " + plain[5]), (5, items[4][1] + plain[5]), (6, plain[6] + " what zeta is"),
+            (7, plain[7] + " one two three four five six"), (8, "what is"), (9, "zeta"), (10, "\u5149\u5408"), (11, None)]
+    docs = spark.createDataFrame([(k, t, "en", "s", 1) for k, t in rows], SCHEMA).repartition(2)
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    want = {(1, 1), (2, 2), (3, 3), (4, 4), (5, 5)}
+    assert {(r["doc_id"], r["item_id"]) for r in decontaminate.leaks(docs, bench).collect()} == want
+    assert {r["doc_id"] for r in decontaminate.clean(docs, bench).collect()} == {k for k, _ in rows} - {d for d, _ in want}
