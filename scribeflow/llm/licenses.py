@@ -227,8 +227,10 @@ def train(others: list[bytes], seed: int = 7) -> Model:
     plain = pieces(others)
     # pieces of the corpus that look like templates are no counterexamples
     tells = np.unique(np.concatenate(list(telling.values())))
-    alike = {int(plain.row[k]) for k in range(len(plain.row))
-             if np.isin(own := threes(plain, k), everything).mean() >= 0.3 or np.isin(own, tells).any()}
+    own = [threes(plain, k) for k in range(len(plain.row))]
+    flat, at = np.concatenate([np.zeros(0, np.uint64), *own]), np.concatenate(([0], np.cumsum([len(x) for x in own], dtype=np.int64)))
+    common, tell = (np.diff(np.concatenate(([0], np.cumsum(np.isin(flat, x))))[at]) for x in (everything, tells))
+    alike = set(plain.row[(common >= 0.3 * np.diff(at)) | (tell > 0)].tolist())
     clean = [o for k, o in enumerate(others) if len(o) and k not in alike]
     vocabulary = sorted({w for o in clean[:2000] for w in o.decode("utf-8", "ignore").split()})[:4000] or ["work", "open", "free", "data"]
     made, label = _examples(vocabulary, rng)
