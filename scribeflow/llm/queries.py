@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from scribeflow.llm import bm25, decontaminate, fm_dedup, licenses, ngram_join, packing, rlbwt_dedup, sharding, token_output, toxicity
+from scribeflow.llm import (bm25, chat, collocations, decontaminate, fm_dedup, licenses, ngram_join, packing, rlbwt_dedup, sharding,
+                            token_output, toxicity, whitening)
 from scribeflow.llm.common import tables
 
 
@@ -59,6 +61,23 @@ def op10_rlbwt_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rlbwt_dedup.dedup(tables(spark, sf_dir, "documents"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = whitening.whiten(tables(spark, sf_dir, "embeddings"))
+    return out.withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(tables(spark, sf_dir, "documents"))
+
+
+def op13_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    talk = tables(spark, sf_dir, "conversations")
+    probe = spark.createDataFrame([(-1, k, role, "</s>[INST] ok [/INST]") for k, role in enumerate(("user", "assistant"))],
+                                  "conv_id long, turn long, role string, text string")
+    records = talk.select("conv_id", "turn", "role", "text").unionByName(probe)
+    return chat.round_trip(chat.canonical(records, "conv_id"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_sharding": op2_sharding,
@@ -70,5 +89,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_fm_dedup": op8_fm_dedup,
     "op9_token_output": op9_token_output,
     "op10_rlbwt_dedup": op10_rlbwt_dedup,
+    "op11_whitening": op11_whitening,
+    "op12_collocations": op12_collocations,
+    "op13_chat": op13_chat,
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op12_collocations": collocations.ORACLE}
