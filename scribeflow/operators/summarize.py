@@ -2,20 +2,18 @@
 
 Per document everything is computed with array expressions over a single
 ``groupBy(doc_id)`` of the entities and the validation report row, so the
-stage adds one shuffle keyed by document.  Dictionary lookups that happen
-inside array transforms (layman terms) use a literal map built from the
-bounded dictionary table.
+stage adds one shuffle keyed by document.  Layman terms are joined: a row for
+each diagnosis, which keeps the partitioning by document.
 """
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from scribeflow import fixed_values as fv
 from scribeflow.functions.text import py_float_str, py_strip, percent0, title_case
+from scribeflow.sources.reference import bcast
 
 
 # ----------------------------------------------------------- expressions --
@@ -53,14 +51,20 @@ def diagnosis_key(d: Column) -> Column:
     return F.replace(F.lower(F.substring_index(d, " (", 1)), F.lit(" "), F.lit("_"))
 
 
-def layman_map(layman: DataFrame) -> Column:
-    """medical_to_layman as a map key -> 'layman: explanation', sent as one JSON string, so
-    that lookups inside array transforms need no join.  Only keys that a diagnosis can have are
-    kept (``diagnosis_key`` lower-cases and has no blanks), whatever the dictionary holds."""
+def layman_terms(layman: DataFrame) -> DataFrame:
+    """(term_key, term_text): what a diagnosis key is explained by.  Only keys that a diagnosis can
+    have are kept (``diagnosis_key`` lower-cases and has no blanks)."""
     key = F.col("key")
-    rows = layman.where((F.col("section") == "medical_to_layman") & (key == F.lower(key)) & ~F.contains(key, F.lit(" "))).collect()
-    text = json.dumps({r["key"]: f"{r['layman']}: {r['explanation']}" for r in rows}, ensure_ascii=False)
-    return F.from_json(F.lit(text), "map<string,string>")
+    return layman.where((F.col("section") == "medical_to_layman") & (key == F.lower(key)) & ~F.contains(key, F.lit(" "))).groupBy(
+        key.alias("term_key")).agg(F.max_by(F.concat("layman", F.lit(": "), "explanation"), F.col("explanation")).alias("term_text"))
+
+
+def explained(rows: DataFrame, diagnosis: str, layman: DataFrame, out: str) -> DataFrame:
+    """``rows`` with the explanation of the diagnosis in ``out``, the diagnosis itself where there is
+    none: a join with the dictionary, broadcast only if its counted size allows."""
+    terms = bcast(layman_terms(layman))
+    return (rows.join(terms, diagnosis_key(F.col(diagnosis)) == F.col("term_key"), "left")
+            .withColumn(out, F.coalesce("term_text", diagnosis)).drop("term_key", "term_text"))
 
 
 def status_sentences(layman: DataFrame) -> dict[str, str]:
@@ -83,7 +87,7 @@ def entity_rollup(entities: DataFrame) -> DataFrame:
         F.col("seq"), F.col("name"),
         F.coalesce(val, F.lit(fv.NOT_SPECIFIED)).alias("dosage"),
         F.nullif(F.col("unit"), F.lit("")).alias("unit"),
-        F.lit(fv.AS_PRESCRIBED).alias("frequency"),
+        F.coalesce(F.nullif(F.col("frequency"), F.lit("")) if "frequency" in entities.columns else F.lit(None), F.lit(fv.AS_PRESCRIBED)).alias("frequency"),
         F.col("confidence"),
     )
     return e.groupBy("doc_id").agg(
@@ -106,7 +110,6 @@ def summarize(docs: DataFrame, classification: DataFrame | None, entities: DataF
     ``confidence`` themselves (null = classification did not finish).
     """
     sentences = status_sentences(layman)
-    lmap = layman_map(layman)
     keep = [c for c in ("document_type", "confidence") if classification is None and c in docs.columns]
     d = docs.select("doc_id", "file_name", *keep)
     d = d.join(entity_rollup(entities), "doc_id", "left")
@@ -164,19 +167,20 @@ def summarize(docs: DataFrame, classification: DataFrame | None, entities: DataF
     med_sentence = F.when(n_meds > 0, F.concat(
         F.lit("Current medications mentioned in the report: "),
         F.array_join(F.transform(meds, lambda m: m["name"]), ", "), F.lit(".")))
-    explained = F.transform(diags, lambda x: F.coalesce(F.element_at(lmap, diagnosis_key(x)), x))
-    health = F.when(F.size(diags) > 0, F.concat(F.lit("Health findings: "), F.array_join(explained, " ")))
-    layman_text = F.concat_ws("\n\n", status_sentence, med_sentence, health)
-
-    return d.select(
+    d = d.select(
         "doc_id",
-        doc_summary.alias("document_summary"),
-        key_findings.alias("key_findings"),
-        abnormal_union.alias("abnormal_values"),
-        meds.alias("medications"),
-        diags.alias("diagnoses"),
-        layman_text.alias("layman_explanation"),
-    )
+        F.struct(doc_summary.alias("document_summary"), key_findings.alias("key_findings"), abnormal_union.alias("abnormal_values"),
+                 meds.alias("medications"), diags.alias("diagnoses"), status_sentence.alias("status_sentence"),
+                 med_sentence.alias("med_sentence")).alias("row"))
+    # a row for each diagnosis, joined with the terms and put together again; all by doc_id, as before
+    each = d.select("doc_id", "row", F.posexplode_outer("row.diagnoses").alias("place", "diagnosis"))
+    each = explained(each, "diagnosis", layman, "said")
+    d = each.groupBy("doc_id").agg(F.any_value("row").alias("row"), F.array_sort(F.collect_list(
+        F.when(F.col("place").isNotNull(), F.struct("place", "said")))).alias("said"))
+    health = F.when(F.size("said") > 0, F.concat(F.lit("Health findings: "), F.array_join(F.transform("said", lambda x: x["said"]), " ")))
+    return d.select(
+        "doc_id", "row.document_summary", "row.key_findings", "row.abnormal_values", "row.medications", "row.diagnoses",
+        F.concat_ws("\n\n", "row.status_sentence", "row.med_sentence", health).alias("layman_explanation"))
 
 
 def format_summary_text(summary: DataFrame, sections: tuple[str, ...] = (

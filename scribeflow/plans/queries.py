@@ -413,10 +413,8 @@ def q_document_summary(spark, sf):
 
 @register("layman_join", with_ctes("SELECT doc_id, diagnosis, expl FROM diag_x", ["diag_x"]))
 def q_layman_join(spark, sf):
-    lm = S.layman_map(layman(spark))
     s = summaries(spark, sf).select("doc_id", F.explode("diagnoses").alias("diagnosis"))
-    return s.select("doc_id", "diagnosis", F.coalesce(F.element_at(lm, S.diagnosis_key(F.col("diagnosis"))),
-                                                      F.col("diagnosis")).alias("expl"))
+    return S.explained(s, "diagnosis", layman(spark), "expl")
 
 
 @register("layman_explanation", with_ctes("SELECT doc_id, layman_explanation FROM summary", ["summary"]))
@@ -777,4 +775,7 @@ def q_pipeline_ocr(spark, sf):
     words = fx.ocr_words_from(n.select("doc_id", "text"))
     res = PL.run(d, fixture_dicts(spark), active_stages=PL.DEFAULT_STAGES, ocr_words=words)
     return res.reports.select("doc_id", "file_name", "processing_status", "document_type",
-                              "classification_confidence", "validation_summary.total_validated")
\ No newline at end of file
+                              "classification_confidence", "validation_summary.total_validated")
+
+# Modules that register further queries with the helpers above.
+from scribeflow.plans import arrival_queries, store_queries, timeline_queries  # noqa: E402,F401

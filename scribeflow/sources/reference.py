@@ -64,18 +64,26 @@ def broadcast_checked(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT) -> DataFr
 
 
 BROADCAST_BYTES_LIMIT = 64 * 1024 * 1024
-
-
-def bcast(df: DataFrame, limit_bytes: int = BROADCAST_BYTES_LIMIT) -> DataFrame:
-    """Broadcast hint for a dictionary side whose optimizer size estimate
-    (the statistic Spark's own broadcast threshold uses) is within the limit;
-    otherwise the plain DataFrame, leaving Spark to plan a shuffle join."""
-    try:
-        raw = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-        size = int(raw if isinstance(raw, int) else str(raw))
-    except Exception:  # noqa: BLE001 - no estimate: do not force a broadcast
-        return df
-    return F.broadcast(df) if size <= limit_bytes else df
+_SIZES: dict[tuple, tuple[int, int]] = {}
+
+
+def measured(df: DataFrame) -> tuple[int, int]:
+    """Rows and bytes of a dictionary table, counted.  The optimizer's estimate cannot be trusted
+    here: a table expanded from one JSON literal counts as a few bytes, whatever it holds.  Counted
+    once for each plan and application."""
+    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash())
+    if key not in _SIZES:
+        row = F.octet_length(F.to_json(F.struct(*(F.col(f"`{c}`") for c in df.columns)))) if df.columns else F.lit(0)
+        n, size = df.agg(F.count("*"), F.sum(row.cast("long"))).first()
+        _SIZES[key] = n, size or 0
+    return _SIZES[key]
+
+
+def bcast(df: DataFrame, limit_bytes: int = BROADCAST_BYTES_LIMIT, limit_rows: int = BROADCAST_ROW_LIMIT) -> DataFrame:
+    """Broadcast hint for a dictionary side whose counted rows and bytes are within the limits;
+    beyond them a shuffle join is asked for, as the optimizer would broadcast by its estimate."""
+    n, size = measured(df)
+    return F.broadcast(df) if n <= limit_rows and size <= limit_bytes else df.hint("merge")
 
 
 def _lower_tokens(text) -> F.Column:
