@@ -45,7 +45,7 @@ FIRST_RANKS = 2000
 SENT_WORDS = (1 << 21) - 2
 #: Bytes of text that a task counts at a time, bytes of words compared at a time, new windows
 #: that a partition merges at a time, and words for each partition that merges.
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 COMPARED_BYTES = 1 << 20
 MERGED = 1 << 20
 BUCKET_WORDS = 8 << 20
