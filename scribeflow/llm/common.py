@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from scribeflow.plans.materialize import release as drop_table
 from scribeflow.session import scratch_path
 
 #: Rows turned into Python objects at a time, so an Arrow batch of long texts is never held twice.
@@ -23,6 +24,12 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(*stages: DataFrame) -> None:
+    """Delete stage tables that nothing reads any more."""
+    for df in stages:
+        drop_table(df)
+
+
 def texts(docs: DataFrame) -> DataFrame:
     """``doc_id`` (long) and ``text`` (string, null becomes empty)."""
     return docs.select(docs["doc_id"].cast("long").alias("doc_id"),

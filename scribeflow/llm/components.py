@@ -8,29 +8,40 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scribeflow.llm.common import stage
+from scribeflow.llm.common import release, stage
 
 
-def _forest(edges: DataFrame) -> DataFrame:
-    """Of each partition's edges, one from each node to the least node it reaches there: the same
-    components, with fewer edges and shorter ways."""
+def forest(left: list[int], right: list[int]) -> list[tuple[int, int]]:
+    """Of some edges, one from each node to the least node it reaches: the same components, with
+    fewer edges and shorter ways."""
+    parent: dict[int, int] = {}
 
-    def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parent: dict[int, int] = {}
+    def top(x: int) -> int:
+        root = x
+        while (up := parent.setdefault(root, root)) != root:
+            root = up
+        while parent[x] != root:
+            parent[x], x = root, parent[x]
+        return root
+
+    for a, b in zip(left, right):
+        a, b = top(a), top(b)
+        parent[max(a, b)] = min(a, b)
+    return [(x, r) for x in list(parent) if (r := top(x)) != x]
 
-        def top(x: int) -> int:
-            root = x
-            while (up := parent.setdefault(root, root)) != root:
-                root = up
-            while parent[x] != root:
-                parent[x], x = root, parent[x]
-            return root
 
+def _forest(edges: DataFrame) -> DataFrame:
+    """The forest of each partition's edges."""
+
+    def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        left: list[int] = []
+        right: list[int] = []
         for batch in batches:
-            for a, b in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist()):
-                a, b = top(a), top(b)
-                parent[max(a, b)] = min(a, b)
-        found = [(x, r) for x in list(parent) if (r := top(x)) != x]
+            left += batch.column("a").to_pylist()
+            right += batch.column("b").to_pylist()
+            if len(left) > 1 << 20:
+                left, right = (list(x) for x in zip(*forest(left, right)))
+        found = forest(left, right)
         yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
     return edges.select("a", "b").mapInArrow(part, "a long, b long")
@@ -57,7 +68,8 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
         large = _star(_both(now)).where("a > u and a <> b").select("a", "b")
         kept = large.union(_star(_both(now)).where("a = u and a <> b").select("a", "b")).distinct()
         small = _star(kept).where("a <> b").select("a", "b").distinct()
-        now = stage(_forest(small), name)
+        before, now = now, stage(_forest(small), name)
+        release(before)
         new = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if tuple(new) == sign:
             break

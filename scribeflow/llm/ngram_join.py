@@ -22,9 +22,9 @@ prefixes are listed.  The order is by hash, with very frequent shingles moved ba
 
 The lists of frequent shingles, such as those of a large group of near copies, are not paired
 out: each member is checked against the list's pivot.  Members that end in the pivot's
-component need no further check among themselves; the others are then checked against all
-members of another component that the places, sizes and the triangle inequality over the
-pivot allow.  So no link between components is lost.
+component need no further check among themselves; the others are tried with a few members inside,
+and what is still outside meets all members in blocks whose common shingles are counted by matrix
+products.  So no link between components is lost, and no pairs within a group are listed.
 
 Equal texts are one node, and sets that are equal link at once.  Defined results: texts without
 words (null, empty) have no shingles and link with nothing; repeated rows share a node; a null
@@ -43,9 +43,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scribeflow.llm.common import mix, stage, word_hashes, word_spans
-from scribeflow.llm.components import components
+from scribeflow.llm.common import mix, release, stage, word_hashes, word_spans
+from scribeflow.llm.components import components, forest
 from scribeflow.llm.windows import _by, _join, _parse, _rows
+from scribeflow.operators.timeline import free_name
 
 WORDS = 5
 #: A shingle in more texts than this has a pivot instead of pairs.
@@ -53,9 +54,10 @@ HOT = 64
 #: Long texts list shingles below this share of all hashes; short ones list all.
 SHARE = 0.4
 LONG, SHORT = 64, 86
-#: Members outside their pivot's component are tried with about so many inside, so many times,
-#: before all that may link are checked.
-TRIES, TURNS = 4, 3
+#: Members outside their pivot's component are tried with about so many inside, before the rest of
+#: them meet all, in blocks of at most so many sets and shingles.
+TRIES = 8
+BLOCK_SETS, BLOCK_TOKENS = 4096, 4 << 20
 #: Wanted nodes up to here are broadcast, to send only their texts; beyond, all texts are sent.
 BROADCAST_NODES = 1_000_000
 PART_BYTES = 8 << 20
@@ -64,6 +66,8 @@ _EDGE = np.uint64(int(SHARE * 2**64))
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _LOW = np.uint64(0xFFFFFFFF)
 _PAIRS = 1 << 20
+#: Shingles that are columns of a matrix at a time.
+_COLUMNS = 2048
 
 
 def needed(a: int, b: int) -> int:
@@ -365,9 +369,9 @@ def _unpacked(raw: memoryview) -> np.ndarray:
     return out.view("<u8").ravel()
 
 
-def _whole_sets(own: DataFrame, pairs: DataFrame, parts: int, name: str) -> DataFrame:
-    """Of each node in ``pairs`` (hub, tk): hub, tk and the set as sorted hashes."""
-    wanted = stage(pairs.select("hub", "tk").union(pairs.select("hub", F.col("hub").alias("tk"))).distinct(), f"{name}-wanted")
+def _whole_sets(own: DataFrame, wanted: DataFrame, parts: int, name: str) -> DataFrame:
+    """Of each node in ``wanted`` (hub, tk): hub, tk and the set as sorted hashes."""
+    wanted = stage(wanted.select("hub", "tk").distinct(), f"{name}-wanted")
     nodes = wanted.select("tk").distinct()
     few = own.select("rk", "text")
     if nodes.count() <= BROADCAST_NODES:
@@ -391,13 +395,15 @@ def _whole_sets(own: DataFrame, pairs: DataFrame, parts: int, name: str) -> Data
                 out += [(h, t, tokens) for h in hubs[t]]
         return pd.DataFrame(out, columns=["hub", "tk", "tokens"]).astype({"hub": "int64", "tk": "int64"})
 
-    return stage(few.groupBy("part").cogroup(ask.groupBy("part")).applyInPandas(meet, "hub long, tk long, tokens binary"), f"{name}-sets")
+    sets = stage(few.groupBy("part").cogroup(ask.groupBy("part")).applyInPandas(meet, "hub long, tk long, tokens binary"), f"{name}-sets")
+    release(wanted)
+    return sets
 
 
 def _checked(own: DataFrame, pairs: DataFrame, parts: int, name: str) -> DataFrame:
     """hub, tk, common shingles, sizes and whether the pair links, for pairs (hub, tk).  A set goes
     to each of its hubs, and there meets the hub's own."""
-    sets = _whole_sets(own, pairs, parts, name)
+    sets = _whole_sets(own, pairs.select("hub", "tk").union(pairs.select("hub", F.col("hub").alias("tk"))), parts, name)
 
     def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -415,7 +421,9 @@ def _checked(own: DataFrame, pairs: DataFrame, parts: int, name: str) -> DataFra
 
     left = sets.where("hub <> tk").select("hub", "tk", F.col("tokens").alias("y"))
     right = sets.where("hub = tk").select("hub", F.col("tokens").alias("x"))
-    return stage(left.join(right, "hub").mapInArrow(part, "hub long, tk long, common long, nh long, n long, linked boolean"), f"{name}-checked")
+    out = stage(left.join(right, "hub").mapInArrow(part, "hub long, tk long, common long, nh long, n long, linked boolean"), f"{name}-checked")
+    release(sets)
+    return out
 
 
 def _named(comps: DataFrame, column: str, name: str) -> DataFrame:
@@ -449,22 +457,84 @@ def _may() -> Column:
             & (7 * F.least("u.r", "v.r") >= 3 * (F.col("u.n") + F.col("v.n"))))
 
 
-def _some(placed: DataFrame, turn: int) -> DataFrame:
-    """Each member outside its pivot's component with a few inside, other ones each turn."""
+def _some(placed: DataFrame) -> DataFrame:
+    """Each member outside its pivot's component with a few inside."""
     inside = placed.where("c = pc")
     buckets = inside.groupBy("p").agg(F.ceil(F.count("*") / TRIES).alias("buckets"))
-    own = F.pmod(F.xxhash64("t", F.lit(turn)), F.col("buckets"))
+    own = F.pmod(F.xxhash64("t"), F.col("buckets"))
     u = placed.where("c <> pc").join(buckets, "p").withColumn("own", own).alias("u")
     v = inside.join(buckets, "p").withColumn("own", own).alias("v")
     return u.join(v, _may() & (F.col("u.own") == F.col("v.own"))).select(F.col("v.t").alias("hub"), F.col("u.t").alias("tk")).distinct()
 
 
-def _across(placed: DataFrame) -> DataFrame:
-    """Pairs of members of one pivot in different components that may still link."""
-    u, v = placed.where("c <> pc").alias("u"), placed.alias("v")
-    both = [x.join(y, _may()).select(F.least("u.t", "v.t").alias("a"), F.greatest("u.t", "v.t").alias("b"))
-            for x, y in ((u.where("u.early"), v), (u.where("not u.early"), v.where("v.early")))]
-    return both[0].union(both[1]).distinct()
+def common_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """How many shingles each left set shares with each right one."""
+    out = np.zeros((len(left), len(right)), np.float32)
+    flat = [np.concatenate(x) if x else np.zeros(0, np.uint64) for x in (left, right)]
+    both = np.intersect1d(*flat)
+    row, code = [], []
+    for sets, tokens in zip((left, right), flat):
+        at = np.searchsorted(both, tokens)
+        there = at < len(both)
+        there[there] = both[at[there]] == tokens[there]
+        r = np.repeat(np.arange(len(sets)), [len(x) for x in sets])[there]
+        order = np.argsort(at[there], kind="stable")
+        row.append(r[order])
+        code.append(at[there][order])
+    for a in range(0, len(both), _COLUMNS):
+        m = []
+        for r, c, n in zip(row, code, out.shape):
+            x, y = np.searchsorted(c, (a, a + _COLUMNS))
+            own = np.zeros((n, min(_COLUMNS, len(both) - a)), np.float32)
+            own[r[x:y], c[x:y] - a] = 1
+            m.append(own)
+        out += m[0] @ m[1].T
+    return out
+
+
+def _across(own: DataFrame, placed: DataFrame, parts: int) -> DataFrame:
+    """Links (a, b) between the members of a pivot that its component has not got, and all its
+    members.  Both are cut into blocks; two blocks meet in one task, as the rows of two matrices
+    whose product counts the common shingles.  So a member is one row for each block it meets,
+    whatever the number of pairs, and of the links found a spanning forest goes on."""
+    outside = F.col("c") != F.col("pc")
+    blocks = lambda x: F.greatest(F.ceil(F.count_if(x) / BLOCK_SETS), F.ceil(F.sum(F.when(x, F.col("n"))) / BLOCK_TOKENS)).cast("int")
+    cut = placed.groupBy("p").agg(blocks(outside).alias("nu"), blocks(F.lit(True)).alias("nv")).where("nu > 0")
+    lists = placed.join(cut, "p").select("p", "t", "c", "nu", "nv", outside.alias("u"))
+    mine = lambda n, salt: F.pmod(F.xxhash64("t", F.lit(salt)), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    rows = (lists.where("u").select("p", "t", "c", F.lit(True).alias("left"), mine("nu", 1).alias("x"), every("nv").alias("y"))
+            .unionByName(lists.select("p", "t", "c", F.lit(False).alias("left"), mine("nv", 2).alias("y"), every("nu").alias("x"))))
+    rows = stage(rows.select(F.xxhash64("p", "x", "y").alias("hub"), F.col("t").alias("tk"), "c", "left"), "blocks")
+    sets = _whole_sets(own, rows, parts, "blocks")
+
+    def block(about: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
+        tokens = {t: _unpacked(memoryview(x)) for t, x in zip(held["tk"].tolist(), held["tokens"])}
+        about = about.drop_duplicates(["tk", "left"])
+        left, right = about[about["left"]], about[~about["left"]]
+        c = common_counts([tokens[t] for t in left["tk"]], [tokens[t] for t in right["tk"]])
+        n, m = (np.array([len(tokens[t]) for t in x["tk"]], np.int64) for x in (left, right))
+        i, j = np.nonzero((7 * c >= 3 * (n[:, None] + m[None, :])) & (left["c"].to_numpy()[:, None] != right["c"].to_numpy()[None, :]))
+        return pd.DataFrame(forest(left["tk"].to_numpy()[i].tolist(), right["tk"].to_numpy()[j].tolist()), columns=["a", "b"]).astype("int64")
+
+    links = stage(rows.groupBy("hub").cogroup(sets.groupBy("hub")).applyInPandas(block, "a long, b long"), "block-links")
+    release(rows, sets)
+    return links
+
+
+def _linked(comps: DataFrame, edges: DataFrame, name: str) -> DataFrame:
+    """The components once ``edges`` are added: only edges between different ones are walked."""
+    between = stage(edges.join(_named(comps, "a", "ca"), "a", "left").join(_named(comps, "b", "cb"), "b", "left")
+                    .select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")).where("a <> b").distinct(), f"{name}-between")
+    if between.isEmpty():
+        return comps
+    over = components(between, name)
+    moved = comps.join(over.select(F.col("node").alias("component"), F.col("component").alias("up")), "component", "left").select(
+        "node", F.coalesce("up", "component").alias("component"))
+    new = over.join(comps.select("node"), "node", "left_anti")
+    out = stage(moved.unionByName(new), name)
+    release(between)
+    return out
 
 
 def join(docs: DataFrame) -> DataFrame:
@@ -475,10 +545,11 @@ def join(docs: DataFrame) -> DataFrame:
     parts = max(LEAST_PARTS, total // PART_BYTES)
     told = stage(_told(_sent(own, parts), parts), "told")
     made = stage(_prefixes(told), "prefixes")
-    nodes = _unfold(told, _NODES, ["tk", "n", "print"]).distinct()
+    nodes = stage(_unfold(told, _NODES, ["tk", "n", "print"]).distinct(), "nodes")
     pivoted = stage(_unfold(made, _PIVOTS, ["p", "t", "i", "n", "r"]).groupBy("p", "t").agg(
         F.min("i").alias("i"), F.max("n").alias("n"), F.max("r").alias("r")), "pivoted")
     pairs = stage(_paired(made), "pairs")
+    release(made)
     # links that need no check: shared subsets of light sets, and equal sets
     light = _unfold(told, _LIGHT, ["s", "small", "tk"])
     hubs = light.groupBy("s").agg(F.min(F.when(F.col("small") == 1, F.col("tk"))).alias("hub")).where("hub is not null")
@@ -486,6 +557,7 @@ def join(docs: DataFrame) -> DataFrame:
     same = nodes.where("n > 0").groupBy("n", "print").agg(F.min("tk").alias("hub"), F.count("*").alias("k")).where("k > 1")
     linked = stage(linked.union(nodes.join(same, ["n", "print"]).select(F.col("hub").alias("a"), F.col("tk").alias("b")))
                    .where("a <> b").distinct(), "links")
+    release(told)
     # one pair for each node, and all with pivots; most clusters are connected then
     first = pairs.groupBy("b").agg(F.min("a").alias("hub")).select("hub", F.col("b").alias("tk"))
     checked = _checked(own, first.union(pivoted.select(F.col("p").alias("hub"), F.col("t").alias("tk"))).distinct(), parts, "first")
@@ -495,21 +567,22 @@ def join(docs: DataFrame) -> DataFrame:
     def seen(rows: DataFrame) -> DataFrame:
         return rows.select(F.least("hub", "tk").alias("a"), F.greatest("hub", "tk").alias("b"))
 
-    edges, done = linked.union(found(checked)), seen(checked)
-    comps = stage(components(edges), "comps")
+    comps = stage(components(linked.union(found(checked))), "comps")
     members = _members(pivoted, checked)
     # what did not link to its pivot mostly links to another member of the pivot's component
-    for turn in range(TURNS):
-        few = stage(_some(_placed(members, comps), turn), "some")
-        if few.isEmpty():
-            break
-        more = _checked(own, few, parts, f"turn{turn}")
-        edges, done = edges.union(found(more)), done.union(seen(more))
-        comps = stage(components(edges), "comps")
-    rest = stage(_apart(pairs, comps).union(_across(_placed(members, comps))).distinct().join(done, ["a", "b"], "left_anti"), "rest")
+    few = stage(_some(_placed(members, comps)), "some")
+    if not few.isEmpty():
+        more = _checked(own, few, parts, "some")
+        comps = _linked(comps, found(more), "some-comps")
+        release(more)
+    placed = stage(_placed(members, comps), "placed")
+    if not placed.where("c <> pc").isEmpty():
+        comps = _linked(comps, _across(own, placed, parts), "across-comps")
+    rest = stage(_apart(pairs, comps).join(seen(checked), ["a", "b"], "left_anti"), "rest")
     if not rest.isEmpty():
         more = _checked(own, rest.select(F.col("a").alias("hub"), F.col("b").alias("tk")), parts, "rest")
-        comps = stage(components(edges.union(found(more))), "comps")
+        comps = _linked(comps, found(more), "rest-comps")
+    release(checked, members, placed, pairs, pivoted)
     ids = own.select("doc_id", F.col("rk").alias("tk"))
     least = ids.groupBy("tk").agg(F.min("doc_id").alias("own"))
     named = (nodes.where("n > 0").join(least, "tk").join(comps.withColumnRenamed("node", "tk"), "tk", "left")
@@ -525,15 +598,17 @@ def join(docs: DataFrame) -> DataFrame:
 def one_each(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` without those that link, over any number of steps, to one of a smaller
     doc_id; all columns.  Repeated rows become one; rows without words or doc_id stay."""
+    gone_id, gone_text, again_id = (free_name(x, docs) for x in ("gone_id", "gone_text", "again_id"))
     gone = join(docs).where("doc_id is not null and doc_id <> component_id").select(
-        F.col("doc_id").alias("_gone_id"), F.col("text_hash").alias("_gone_text")).distinct()
+        F.col("doc_id").alias(gone_id), F.col("text_hash").alias(gone_text)).distinct()
     gone = stage(gone, "gone")
     few = gone.count() <= BROADCAST_NODES
     rows = docs.join(F.broadcast(gone) if few else gone,
-                     (docs["doc_id"].cast("long") == F.col("_gone_id"))
-                     & (F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit(""))) == F.col("_gone_text")), "left_anti")
-    again = stage(docs.groupBy(docs["doc_id"].cast("long").alias("_again_id")).count().where("_again_id is not null and count > 1").select("_again_id"), "again")
+                     (docs["doc_id"].cast("long") == F.col(gone_id))
+                     & (F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit(""))) == F.col(gone_text)), "left_anti")
+    again = docs.groupBy(docs["doc_id"].cast("long").alias(again_id)).agg(F.count("*").alias("n")).where(F.col(again_id).isNotNull() & (F.col("n") > 1))
+    again = stage(again.select(again_id), "again")
     if again.isEmpty():
         return rows
-    repeated = rows.join(again, rows["doc_id"].cast("long") == F.col("_again_id"), "left_semi").dropDuplicates(["doc_id", "text"])
-    return rows.join(again, rows["doc_id"].cast("long") == F.col("_again_id"), "left_anti").unionByName(repeated)
+    repeated = rows.join(again, rows["doc_id"].cast("long") == F.col(again_id), "left_semi").dropDuplicates(["doc_id", "text"])
+    return rows.join(again, rows["doc_id"].cast("long") == F.col(again_id), "left_anti").unionByName(repeated)

@@ -4,7 +4,8 @@ import pytest
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 #: Extra columns whose names the operators use inside.
-CLASHES = ["rk", "tk", "part", "blob", "shard", "score", "kind", "bucket", "rest", "label"]
+CLASHES = ["rk", "tk", "part", "blob", "shard", "score", "kind", "bucket", "rest", "label",
+           "none", "_gone_id", "gone_id", "gone_text", "_again_id", "again_id", "n", "place", "block", "term", "own", "c0"]
 
 
 def corpus(n: int = 60, seed: int = 5) -> list[tuple]:

@@ -1,6 +1,7 @@
 """Substring dedup and the n-gram join against brute force."""
 
 import hashlib
+import random
 import re
 from collections import Counter
 
@@ -130,3 +131,40 @@ def test_components(spark):
 def test_empty_tables(none):
     assert fm_dedup.dedup(none).count() == 0 and rlbwt_dedup.dedup(none).count() == 0
     assert ngram_join.join(none).count() == 0 and ngram_join.one_each(none).count() == 0
+
+
+def test_ngram_join_of_one_large_group(spark):
+    """330 near copies of one text, some too far from most others; the default bound of long lists."""
+    rng = random.Random(11)
+    base = [f"b{k}" for k in range(120)]
+    rows = []
+    for k in range(330):
+        words = list(base)
+        for _ in range(rng.choice([1, 1, 2, 3, 4, 5])):
+            words[rng.randrange(len(words))] = f"x{rng.randrange(40)}"
+        rows.append((1000 + k, " ".join(words), "en", "s", 1))
+    got = {r["doc_id"]: r["component_id"] for r in ngram_join.join(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")).collect()}
+    sets = [{tuple(t.split()[i:i + 5]) for i in range(116)} for _, t, *_ in rows]
+    parent = list(range(len(rows)))
+
+    def top(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i in range(len(rows)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if 100 * both >= 75 * (len(sets[i]) + len(sets[j]) - both):
+                parent[max(top(i), top(j))] = min(top(i), top(j))
+    assert got == {1000 + k: 1000 + top(k) for k in range(len(rows))}
+    assert len(set(got.values())) > 5
+
+
+def test_common_counts():
+    import numpy as np
+
+    rng = np.random.default_rng(2)
+    sets = [np.unique(rng.integers(0, 60, n).astype(np.uint64) << np.uint64(40)) for n in (0, 5, 40, 90, 1)]
+    c = ngram_join.common_counts(sets, sets[1:])
+    assert c.shape == (5, 4) and all(c[i, j] == len(np.intersect1d(sets[i], sets[j + 1])) for i in range(5) for j in range(4))
