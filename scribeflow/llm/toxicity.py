@@ -278,6 +278,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> M
     del numbers
     patterns = np.array([np.frombuffer(sample["votes"][int(k)].as_py(), np.int8) for k in order], np.int8).reshape(-1, len(PATTERNS))
     lexicons = [number_of(x) for x in LEXICONS.values()] + mined_lexicons(row, number, label)
+    del sample
     votes = np.concatenate((label[:, None].astype(np.int8), lexicon_votes(row, number, len(order), lexicons), patterns), axis=1)
     return train(row, number, LabelModel(votes).posterior(votes) if len(votes) else np.zeros(0))
 
