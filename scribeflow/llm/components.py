@@ -11,6 +11,10 @@ from pyspark.sql import functions as F
 from scribeflow.llm.common import release, stage
 
 
+#: Edges that one task links, in some hundred MB.
+ONE_TASK = 500_000
+
+
 def forest(left: list[int], right: list[int]) -> list[tuple[int, int]]:
     """Of some edges, one from each node to the least node it reaches: the same components, with
     fewer edges and shorter ways."""
@@ -58,13 +62,18 @@ def _star(near: DataFrame) -> DataFrame:
     return met.select("a", "b", "u").union(least.select("a", F.col("m").alias("b"), F.col("a").alias("u")))
 
 
-def components(edges: DataFrame, name: str = "components") -> DataFrame:
+def components(edges: DataFrame, name: str = "components", one_task: int = ONE_TASK) -> DataFrame:
     """node, component (the least node reachable) for the nodes of ``edges`` (a, b: long).
     A round joins the edges twice with the nodes; what meets in a partition is linked there and then,
-    and the rounds grow with the logarithm of the longest chain."""
+    and the rounds grow with the logarithm of the longest chain.  Up to ``one_task`` edges meet in
+    one partition, which links them all."""
     now = stage(_forest(edges.where("a <> b")).distinct(), name)
     sign = None
     while True:
+        if sign is None and now.count() <= one_task:
+            before, now = now, stage(_forest(now.coalesce(1)), name)
+            release(before)
+            break
         large = _star(_both(now)).where("a > u and a <> b").select("a", "b")
         kept = large.union(_star(_both(now)).where("a = u and a <> b").select("a", "b")).distinct()
         small = _star(kept).where("a <> b").select("a", "b").distinct()

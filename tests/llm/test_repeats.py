@@ -122,9 +122,10 @@ def test_one_of_each_group_stays(docs, rows):
     assert sorted(r["doc_id"] for r in got.collect() if r["doc_id"] is not None) == sorted(want)
 
 
-def test_components(spark):
+@pytest.mark.parametrize("one_task", [0, 1000])
+def test_components(spark, one_task):
     edges = [(1, 2), (2, 3), (3, 4), (4, 5), (5, 6), (10, 11), (11, 12), (20, 19), (7, 7), (6, 5)]
-    got = {r["node"]: r["component"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    got = {r["node"]: r["component"] for r in components(spark.createDataFrame(edges, "a long, b long"), one_task=one_task).collect()}
     assert got == {1: 1, 2: 1, 3: 1, 4: 1, 5: 1, 6: 1, 10: 10, 11: 10, 12: 10, 19: 19, 20: 19}
 
 
