@@ -123,3 +123,31 @@ def test_empty_tables(none):
     assert sharding.assign(none, sharding.layout()).count() == 0
     assert token_output.round_trip(none, vocabulary("word_bpe_49k.json"), 1).count() == 0
     assert packing.pack(packing.pieces(none, vocabulary("byte_bpe_50k.json"))).count() == 0
+
+
+def test_the_search_wins_bins_over_best_fit():
+    """Triplets that fill their bins exactly: best fit wastes bins, and so do all the first packings."""
+    import numpy as np
+
+    for seed in range(4):
+        rng = np.random.default_rng(seed)
+        a, b = rng.integers(520, 900, 60), rng.integers(520, 760, 60)
+        lengths = np.concatenate((a, b, 2048 - a - b)).astype(np.int64)
+        first = packing.seeded(lengths, 2048, None)
+        alone = packing.evolve(lengths, [first], seed, generations=0)
+        best = packing.evolve(lengths, [first], seed)
+        assert packing.lower_bound(lengths, 2048) == 60 and np.bincount(best, weights=lengths).max() <= 2048 and len(best) == 180
+        assert best.max() <= alone.max() - 2 and alone.max() <= first.max()
+
+
+def test_groups_above_the_bound_go_to_the_islands(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    a, b = rng.integers(520, 900, 80), rng.integers(520, 760, 80)
+    lengths = np.concatenate((a, b, 2048 - a - b)).tolist()
+    df = spark.createDataFrame([(k, 0, 0, int(n), 0) for k, n in enumerate(lengths)], "doc_id long, piece int, start long, length long, ids_crc32 long")
+    got = packing.pack(df, group_pieces=1000).collect()
+    first = packing.seeded(np.array(lengths), 2048, None)
+    assert sorted(r["doc_id"] for r in got) == list(range(240))
+    assert len({r["sequence_id"] for r in got}) < first.max() + 1
