@@ -65,10 +65,14 @@ def test_label_model_learns_voters():
     assert tree[3] == 1 or tree[1] == 3
 
 
-def test_bm25_is_exact(docs, rows):
+def test_bm25_is_exact(spark, rows):
+    # a repeated row, and a second text of one id, are asked too
+    own = [r for r in rows if r[0] is not None and r[0] % 20 == 0 and r[1]]
+    rows = rows + [own[0], own[0], (own[1][0], "another text with the words of " + own[0][1], "en", "s", 1)]
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(3)
     got = defaultdict(list)
     for r in bm25.search(docs, k=7).collect():
-        got[r["query_id"]].append((r["rank"], r["doc_id"], r["score"]))
+        got[r["query_id"], r["query"]].append((r["rank"], r["doc_id"], r["score"]))
     named = [(d, t or "") for d, t, *_ in rows if d is not None]
     counts = []
     for d, t in named:
@@ -77,26 +81,20 @@ def test_bm25_is_exact(docs, rows):
     n, mean = sum(x > 0 for x in length), sum(length) / sum(x > 0 for x in length)
     df = Counter(w for _, c in counts for w in c)
     weight = {w: float(bm25.idf(np.array(df[w]), n)) for w in df}
-    asked = 0
-    for d in {d for d, _ in named if d % 20 == 0}:
-        own = Counter()
-        for e, c in counts:
-            if e == d:
-                own.update(c)
-        if not own or sum(e == d for e, _ in counts) > 1:
-            continue
-        asked += 1
-        terms = sorted(sorted(own, key=lambda w: (-own[w] * weight[w], w))[:bm25.QUERY_WORDS])
+    asked = {(d, t) for d, t in named if d % 20 == 0 and bm25.words([t.encode()])[0].size}
+    assert {(d, int(bm25.query_keys(np.array([d]), [t.encode()])[0])) for d, t in asked} == set(got)
+    for d, t in asked:
+        terms = set(bm25.words([t.encode()])[0].view(np.int64).tolist())
         scores = []
         for (e, c), m in zip(counts, length):
             s = sum(weight[w] * (c[w] * 2.2 / (c[w] + 1.2 * (0.25 + 0.75 * m / mean))) for w in terms if w in c)
             if s:
                 scores.append((-s, e))
         want = sorted(scores)[:7]
-        mine = sorted(got[d])
+        mine = sorted(got[d, int(bm25.query_keys(np.array([d]), [t.encode()])[0])])
         assert [x[0] for x in mine] == list(range(1, len(want) + 1))
         assert np.allclose([x[2] for x in mine], [-s for s, _ in want], rtol=1e-9)
-    assert asked >= 2
+    assert len(asked) >= 4 and len({d for d, _ in asked}) < len(asked)
 
 
 def test_bm25_asks_whole_texts(spark):
