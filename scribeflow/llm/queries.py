@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scribeflow.llm import (bm25, chat, collocations, decontaminate, fm_dedup, licenses, ngram_join, packing, rlbwt_dedup, sharding,
+from scribeflow.llm import (bm25, chat, collocations, decontaminate, fm_dedup, licenses, ngram_join, oracle, packing, rlbwt_dedup, sharding,
                             token_output, toxicity, whitening)
 from scribeflow.llm.common import tables
 
@@ -29,7 +29,7 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_join.join(tables(spark, sf_dir, "documents"))
+    return ngram_join.join(tables(spark, sf_dir, "documents")).drop("text_hash")
 
 
 def op4_bm25(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -93,4 +93,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op12_collocations": op12_collocations,
     "op13_chat": op13_chat,
 }
-ORACLE: dict[str, str] = {"op12_collocations": collocations.ORACLE}
+ORACLE: dict[str, str] = {"op3_ngram_join": oracle.NGRAM_JOIN, "op8_fm_dedup": oracle.WORD_REPEATS, "op12_collocations": collocations.ORACLE}
