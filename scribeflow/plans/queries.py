@@ -722,24 +722,36 @@ def q_sink_csv(spark, sf):
     return spark.read.option("header", True).csv(path)
 
 
-@register("sink_text", with_ctes(
-    "SELECT unnest(string_split(t.summary_text, chr(10))) AS value FROM stext t "
-    "JOIN pipe p ON p.doc_id = t.doc_id AND p.processing_status = 'success'", ["stext", "pipe"]))
+_cte("rtext", ["pipe", "summary"], """SELECT p.doc_id, p.file_name, p.processing_status, trim(
+  repeat('=', 80) || chr(10) || p.document_summary || chr(10) || repeat('=', 80) || chr(10) || chr(10) || chr(10) || 'KEY FINDINGS:' ||
+  CASE WHEN p.key_findings = '' THEN '' ELSE chr(10) || '  • ' || replace(p.key_findings, '|', chr(10) || '  • ') END || chr(10) || chr(10) ||
+  'POTENTIAL DIAGNOSES:' || CASE WHEN p.diagnoses = '' THEN '' ELSE chr(10) || '  • ' || replace(p.diagnoses, '|', chr(10) || '  • ') END || chr(10) ||
+  chr(10) || 'PATIENT-FRIENDLY EXPLANATION:' || chr(10) ||
+  CASE WHEN p.processing_status = 'success' THEN s.layman_explanation ELSE '' END || chr(10), chr(10) || ' ') || chr(10) AS summary_text
+FROM pipe p LEFT JOIN summary s ON s.doc_id = p.doc_id""")
+
+
+@register("sink_text", with_ctes("SELECT doc_id, file_name, summary_text FROM rtext", ["rtext"]))
 def q_sink_text(spark, sf):
-    st = S.format_summary_text(pipeline_result(spark, sf).summaries,
-                               ("document_summary", "key_findings", "diagnoses", "layman_explanation"))
-    path = W.write_text(st, "summary_text", scratch_path(spark, "summary_text"))
-    return spark.read.text(path, wholetext=False)
+    path = W.write_summaries(W.report_texts(reports(spark, sf)), scratch_path(spark, "summary_text"))
+    return spark.read.json(path).select("doc_id", "file_name", "summary_text")
 
 
-@register("sink_report_bundle", with_ctes(
-    "SELECT 'json' AS format, processing_status, count(*) AS n FROM pipe GROUP BY processing_status", ["pipe"]))
+@register("sink_report_bundle", with_ctes("""
+SELECT 'json' AS format, doc_id, processing_status AS told, 1 AS n FROM pipe
+UNION ALL SELECT 'summary', doc_id, summary_text, 1 FROM rtext
+UNION ALL SELECT 'csv', e.doc_id, string_agg(e.name, '|' ORDER BY e.seq), count(*) FROM ents e
+  JOIN pipe p ON p.doc_id = e.doc_id AND p.processing_status = 'success' GROUP BY e.doc_id""", ["pipe", "rtext", "ents"]))
 def q_sink_report_bundle(spark, sf):
+    """All parts of the bundle, read back."""
     res = pipeline_result(spark, sf)
-    st = S.format_summary_text(res.summaries, ("document_summary", "key_findings", "diagnoses", "layman_explanation"))
-    out = W.write_report_bundle(res.reports, st, scratch_path(spark, "bundle"))
-    j = spark.read.json(out["json"]).groupBy("processing_status").count()
-    return j.select(F.lit("json").alias("format"), "processing_status", F.col("count").alias("n"))
+    out = W.write_report_bundle(res.reports, scratch_path(spark, "bundle"), entities_list=res.entities)
+    j = spark.read.json(out["json"]).select(F.lit("json").alias("format"), "doc_id", F.col("processing_status").alias("told"), F.lit(1).cast("long").alias("n"))
+    t = spark.read.json(out["summary"]).select(F.lit("summary").alias("format"), "doc_id", F.col("summary_text").alias("told"), F.lit(1).cast("long").alias("n"))
+    c = spark.read.option("header", True).csv(out["csv"]).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(
+        F.array_sort(F.collect_list(F.struct(F.col("seq").cast("int"), "name"))).alias("names"), F.count("*").alias("n"))
+    c = c.select(F.lit("csv").alias("format"), "doc_id", _join(F.transform("names", lambda x: x["name"])).alias("told"), "n")
+    return j.unionByName(t).unionByName(c)
 
 
 # --------------------------------------------------------------- streaming --

@@ -10,6 +10,7 @@ reported exactly once.
 
 from __future__ import annotations
 
+import hashlib
 import os
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,7 +35,8 @@ def start_report_stream(stream: DataFrame, dicts: PL.Dictionaries, output: str,
                         available_now: bool = False, processing_time: str | None = None) -> StreamingQuery:
     """Start the stream; returns the running query."""
     spark = stream.sparkSession
-    ckpt = checkpoint or os.path.join(ensure_checkpoint_dir(spark), "report-stream")
+    # by its output, so that two streams never share a log of offsets
+    ckpt = checkpoint or os.path.join(ensure_checkpoint_dir(spark), "report-stream-" + hashlib.sha256(output.encode()).hexdigest()[:16])
     stages = active_stages or PL.TEXT_STAGES
 
     def run_batch(batch: DataFrame, batch_id: int) -> None:

@@ -104,12 +104,25 @@ def test_sinks_round_trip(spark, tmp_path):
 
     docs = _docs(spark, [(1, "a.pdf", ".pdf", 1, "glucose: 5 mg/dL and metformin - 500 mg")])
     res = PL.run(docs, PL.Dictionaries.defaults(spark), active_stages=PL.TEXT_STAGES)
-    out = W.write_report_bundle(res.reports, None, str(tmp_path / "b"), entities_list=res.entities)
+    out = W.write_report_bundle(res.reports, str(tmp_path / "b"), entities_list=res.entities)
     rec = json.loads(open(next((tmp_path / "b" / "json").glob("part-*.json"))).readline())
     assert rec["file_name"] == "a.pdf" and "test_results" in rec["extracted_entities"]
     header = open(next((tmp_path / "b" / "csv").glob("part-*.csv"))).readline().strip()
     assert header == "doc_id,seq,name,value,unit,confidence,source"
-    assert set(out) == {"json", "csv"}
+    assert set(out) == {"json", "csv", "summary"}
+    text = json.loads(open(next((tmp_path / "b" / "summary").glob("part-*.json"))).readline())
+    assert text["doc_id"] == 1 and "KEY FINDINGS:" in text["summary_text"]
+
+
+def test_failed_documents_have_a_text_too(spark):
+    from scribeflow.sinks import writers as W
+
+    docs = _docs(spark, [(1, "a.pdf", ".pdf", 1, "glucose: 5 mg/dL"), (2, "b.pdf", ".pdf", 1, "")])
+    res = PL.run(docs, PL.Dictionaries.defaults(spark), active_stages=PL.TEXT_STAGES)
+    got = {r["doc_id"]: (r["file_name"], r["summary_text"]) for r in W.report_texts(res.reports).collect()}
+    assert {r["doc_id"]: r["processing_status"] for r in res.reports.collect()} == {1: "success", 2: "failed"}
+    line = "=" * 80
+    assert got[2] == ("b.pdf", f"{line}\n\n{line}\n\n\nKEY FINDINGS:\n\nPOTENTIAL DIAGNOSES:\n\nPATIENT-FRIENDLY EXPLANATION:\n")
 
 
 def test_stream_reports_each_document_once(spark, tmp_path):
