@@ -43,9 +43,11 @@ RANK = 32
 #: Bound of the sample that the index space is fitted on.
 FIT_ROWS = 20_000
 PASSAGE = 32
-COSINE = 0.42
+COSINE = 0.38
 #: Share of a candidate window's words that the item must have.
-SHARED = 0.6
+SHARED = 0.5
+#: Words around a candidate window that are compared, in lengths of the item.
+AROUND = 2
 SURE, LIKELY = 0.75, 0.55
 LEAST = 8
 #: Words of more bytes on the average are no words: the script has no blanks.
@@ -356,17 +358,18 @@ def search_rows(raw: list[bytes], items: Items, latent: Latent) -> list[tuple[in
     best: dict[tuple[int, int], tuple[int, int, float]] = {}
     for size, starts, ks in candidates(h, rows, items, latent):
         row = np.searchsorted(rows[1:], starts, side="right")
-        seen: dict[tuple[int, int], int] = {}
+        reached: dict[tuple[int, int], int] = {}
         for r, s, k in zip(row.tolist(), starts.tolist(), ks.tolist()):
             item = items.hashes[k]
             m = len(item)
-            lo, hi = max(int(rows[r]), s - m), min(int(rows[r + 1]), s + size + m)
-            if seen.get((r, k), -1) >= hi:
+            lo, hi = max(int(rows[r]), s - AROUND * m), min(int(rows[r + 1]), s + size + AROUND * m)
+            if s < reached.get((r, k), -1):
                 continue
             near = h[lo:hi]
             if len(items.sets[k].intersection(near.tolist())) < LIKELY * len(items.sets[k]):
                 continue
-            seen[r, k] = s + m // 2  # the next windows look at the same place
+            # what starts here up to half an item on ends before ``hi``, and was looked at
+            reached[r, k] = s + m // 2
             used = lcs(item, near)
             n, answer = int(used.sum()), float(used[items.answers[k]:].mean())
             if n > best.get((r, k), (0, 0, 0.0))[0]:
