@@ -12,6 +12,9 @@ Merge: one entity per (doc, type, lower(name)); table rows beat text, the
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -43,6 +46,23 @@ def gazetteer_hits(docs: DataFrame, lexicon: DataFrame, text_col: str = "text",
     )
 
 
+def _walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The hits that take free token positions, of clusters that come one after another, each in
+    order of preference; linear, as a hit covers a term's few positions."""
+    cluster, taken = None, set()
+    for batch in batches:
+        keep = []
+        for *key, start, n in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "_cl", "tok_pos", "n"))):
+            if key != cluster:
+                cluster, taken = key, set()
+            span = range(start, start + n)
+            free = taken.isdisjoint(span)
+            if free:
+                taken.update(span)
+            keep.append(free)
+        yield batch.filter(pa.array(keep, pa.bool_()))
+
+
 def resolve_spans(hits: DataFrame) -> DataFrame:
     """Keep a non-overlapping subset: longest first, ties to the earliest.
 
@@ -51,7 +71,7 @@ def resolve_spans(hits: DataFrame) -> DataFrame:
     (doc, position) - a key no hot document can concentrate.  Hits that share
     no position with another hit (nearly all) are kept as they are.  Only the
     conflicting ones are cut into clusters (running max of span ends) and
-    folded greedily with ``aggregate``.
+    walked once, against the token positions taken so far.
     """
     cols = list(hits.columns)
     h = hits.withColumn("_hid", F.struct("doc_id", "tok_pos", "n", "label"))
@@ -66,21 +86,10 @@ def resolve_spans(hits: DataFrame) -> DataFrame:
     prev_end = F.max("_end").over(w.rowsBetween(Window.unboundedPreceding, -1))
     multi = multi.withColumn("_new", F.when(prev_end.isNull() | (F.col("tok_pos") >= prev_end), 1).otherwise(0))
     multi = multi.withColumn("_cl", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    packed = multi.groupBy("doc_id", "_cl").agg(
-        F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("_k"), F.col("tok_pos").alias("_s"),
-                                             *[F.col(c) for c in cols if c not in ("doc_id",)]))).alias("a")
-    )
-    empty = F.filter("a", lambda x: F.lit(False))
-    kept = F.aggregate(
-        "a", empty,
-        lambda acc, x: F.when(
-            F.exists(acc, lambda y: (x["tok_pos"] < y["tok_pos"] + y["n"]) & (y["tok_pos"] < x["tok_pos"] + x["n"])),
-            acc,
-        ).otherwise(F.concat(acc, F.array(x))),
-    )
-    resolved = packed.select("doc_id", F.explode(kept).alias("x")).select(
-        "doc_id", *[F.col(f"x.{c}").alias(c) for c in cols if c != "doc_id"]
-    )
+    # longest first, then earliest, then by label and text
+    order = ["doc_id", "_cl", "_k", "tok_pos", *(c for c in ("label", "span_text") if c in cols)]
+    ordered = multi.withColumn("_k", -F.col("n")).repartition("doc_id", "_cl").sortWithinPartitions(*order)
+    resolved = ordered.mapInArrow(_walk, ordered.schema).select(*cols)
     return single.unionByName(resolved)
 
 

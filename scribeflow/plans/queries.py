@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from scribeflow.operators import classify as C
 from scribeflow.operators.tokens import tokenize
 from scribeflow.plans.materialize import materialize, memo
-from scribeflow.plans.oracle import PIECE_RE, VALUE_RE, with_ctes
+from scribeflow.plans.oracle import PIECE_RE, VALUE_RE, cte, with_ctes
 from scribeflow.sources import fixtures as fx
 from scribeflow.sources.reference import bcast, doc_phrase_table, json_value, type_totals
 
@@ -197,13 +197,29 @@ def q_gazetteer_match(spark, sf):
     return h.select("doc_id", F.col("tok_pos").cast("long").alias("tok_pos"), "label", "span_text", "start_char", "end_char")
 
 
-@register("span_overlap_resolve", with_ctes(
-    "SELECT doc_id, pos AS tok_pos, label, span_text FROM ematch", ["ematch"]))
+#: Terms that lie inside one another: (label, term, tokens).
+NESTED_TERMS = [("symptom", "shortness of breath", 3), ("symptom", "of breath", 2), ("symptom", "breath", 1), ("condition", "heart disease", 2),
+                ("condition", "disease", 1), ("symptom", "chest pain", 2), ("symptom", "pain", 1), ("condition", "hypertension", 1)]
+cte("nested_terms", [], "SELECT * FROM " + fx._values(NESTED_TERMS, ["label", "term", "n"]))
+cte("nested_hits", ["tokw", "nested_terms"], """
+SELECT t.doc_id, t.pos, x.label, CAST(x.n AS INTEGER) AS n FROM tokw t JOIN nested_terms x
+  ON (x.n = 1 AND x.term = t.tl) OR (x.n = 2 AND x.term = t.tl || ' ' || t.tl1) OR (x.n = 3 AND x.term = t.tl || ' ' || t.tl1 || ' ' || t.tl2)""")
+cte("nested_longer", ["nested_hits"], """
+SELECT * FROM nested_hits WHERE n = 3
+UNION ALL SELECT h.* FROM nested_hits h WHERE h.n = 2 AND NOT EXISTS (
+  SELECT 1 FROM nested_hits k WHERE k.n = 3 AND k.doc_id = h.doc_id AND k.pos < h.pos + h.n AND h.pos < k.pos + k.n)""")
+
+
+@register("span_overlap_resolve", with_ctes("""
+SELECT doc_id, pos AS tok_pos, label, n FROM nested_longer
+UNION ALL SELECT h.doc_id, h.pos, h.label, h.n FROM nested_hits h WHERE h.n = 1 AND NOT EXISTS (
+  SELECT 1 FROM nested_longer k WHERE k.doc_id = h.doc_id AND k.pos < h.pos + h.n AND h.pos < k.pos + k.n)""", ["nested_longer", "nested_hits"]))
 def q_span_overlap_resolve(spark, sf):
-    # The conflict search always runs here; the fixture lexicon cannot overlap,
-    # so every hit must survive (overlapping lexicons are covered in pytest).
-    h = X.gazetteer_hits(cdocs(spark, sf), lexicon(spark))
-    return X.resolve_spans(h).select("doc_id", F.col("tok_pos").cast("long").alias("tok_pos"), "label", "span_text")
+    """Hits of a lexicon whose terms lie inside one another: the longest stay."""
+    ent = {"medications": {}, "conditions": [t for x, t, _ in NESTED_TERMS if x == "condition"], "symptoms": [t for x, t, _ in NESTED_TERMS if x == "symptom"]}
+    lex = entity_lexicon_table(json_value(spark, {"blood_tests": {}, "vital_signs": {}}), json_value(spark, ent))
+    h = X.gazetteer_hits(cdocs(spark, sf), lex)
+    return X.resolve_spans(h).select("doc_id", F.col("tok_pos").cast("long").alias("tok_pos"), "label", F.col("n").cast("int").alias("n"))
 
 
 @register("entity_label_filter", with_ctes(
