@@ -38,6 +38,7 @@ def start_report_stream(stream: DataFrame, dicts: PL.Dictionaries, output: str,
     # by its output, so that two streams never share a log of offsets
     ckpt = checkpoint or os.path.join(ensure_checkpoint_dir(spark), "report-stream-" + hashlib.sha256(output.encode()).hexdigest()[:16])
     stages = active_stages or PL.TEXT_STAGES
+    dicts = dicts.localize()  # once for all batches
 
     def run_batch(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
