@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scribeflow.llm.common import _BASE, _INVERSE, _powers, mix, stage, texts
+from scribeflow.llm.common import _BASE, _INVERSE, _powers, mix, stage, trim
 
 WINDOW = 50
 #: Text bytes for each anchor bucket and document part.
@@ -104,6 +104,7 @@ def _rows(batches: Iterator[pa.RecordBatch], most: int = 1 << 22, second: str =
             if size >= most or b == batch.num_rows - 1:
                 yield rk[a:b + 1], ids[a:b + 1], col.slice(a, b + 1 - a).to_pylist()
                 a, size = b + 1, 0
+    trim()
 
 
 def _by(keys: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
