@@ -33,8 +33,8 @@ GROUP_PIECES = 4000
 ISLANDS = 2
 EPOCHS = 2
 POPULATION = 6
-#: An epoch's generations are so many pieces' worth: more of them for small groups.
-EFFORT, LEAST_GENERATIONS = 24_000, 4
+#: Generations of an epoch, whatever the size of the group.
+GENERATIONS = 150
 #: Share of a parent's bins, best filled first, that a crossover injects, share of children that
 #: are mutated too, and rounds of replacement, of so many pieces each, before best fit.
 INJECTED, MUTATED, REPLACEMENTS, REPLACED = 0.3, 0.3, 2, 64
@@ -170,13 +170,11 @@ def lower_bound(lengths: np.ndarray, capacity: int) -> int:
 
 
 def evolve(lengths: np.ndarray, elites: list[np.ndarray], seed: int, capacity: int = CAPACITY,
-           population: int = POPULATION, generations: int | None = None) -> np.ndarray:
+           population: int = POPULATION, generations: int = GENERATIONS) -> np.ndarray:
     """The best packing of an island's population after some generations.  It ends early at
     the lower bound of bins, which no packing can beat."""
     rng = np.random.default_rng(seed)
     bound = lower_bound(lengths, capacity)
-    if generations is None:
-        generations = max(LEAST_GENERATIONS, EFFORT // max(1, len(lengths)))
     own = list(elites)
     while len(own) < population:
         own.append(seeded(lengths, capacity, rng))
