@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from scribeflow.plans.queries import register
 from scribeflow.plans.timeline_queries import table
 from scribeflow.session import scratch_path
+from scribeflow.sources.reference import by_key
 from scribeflow.streaming import arrivals
 
 DAYS_A_BATCH, DELAY = 6, "2 days"
@@ -109,7 +110,7 @@ def q_stream_document_assembly(spark, sf):
     lines = table(spark, sf, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.min("l_partkey").alias("l_partkey"))
     n = lines.groupBy("l_orderkey").agg(F.count("*").alias("n_pages"))
     batch = ((F.col("l_orderkey") * 31 + F.col("l_linenumber") * 7) % 6).cast("int")
-    pages = (lines.join(n, "l_orderkey").where(~((F.col("l_orderkey") % 10 == 3) & (F.col("l_linenumber") == 1)))
+    pages = (lines.join(by_key(n), "l_orderkey").where(~((F.col("l_orderkey") % 10 == 3) & (F.col("l_linenumber") == 1)))
              .select(F.col("l_orderkey").alias("doc_id"), F.col("l_linenumber").alias("page"), "n_pages",
                      F.concat(F.lit("part "), F.col("l_partkey").cast("string")).alias("text"),
                      F.timestamp_seconds(F.lit(1704067200) + batch * 3600).alias("at"), batch.alias("batch")))
