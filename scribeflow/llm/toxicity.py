@@ -1,12 +1,16 @@
 """Toxicity by weak supervision.
 
-Many voters, lexicons and patterns, vote toxic, clean or nothing on a bounded sample of texts
-(``SAMPLE_ROWS`` rows, drawn by hash from the rows outside the held-out fold).  A generative
-label model estimates, by EM, how often the hidden class is toxic and how each voter votes in
-each class; correlated voters are tied in a tree, where a voter's vote depends on the class
-and on its parent's vote.  A given label is one more voter, so wrong labels count for less.
-A sparse linear classifier is trained on the model's posteriors and scores every whole text;
-its inputs are the text's words and marks alone.
+Many voters, lexicons and patterns, vote toxic, clean or nothing on every text outside the
+held-out fold.  A generative label model estimates, by EM, how often the hidden class is toxic
+and how each voter votes in each class; correlated voters are tied in a tree, where a voter's
+vote depends on the class and on its parent's vote.  A given label is one more voter, so wrong
+labels count for less.  A sparse linear classifier is trained on the model's posteriors and
+scores every whole text; its inputs are the text's words and marks alone.
+
+The fit reads each text once: its feature numbers, packed, are joined with its label and kept in
+a stage table.  Sums over it (features in toxic and clean texts, equal rows of votes) are made in
+tasks, and so is each step of EM and of the classifier; the driver adds sums whose size depends
+on the voters and features, not on the rows.
 
 Defined results: a null or empty text gets the classifier's prior score; repeated rows get
 equal scores; without any labelled row the voters alone decide; an empty table gives no rows.
@@ -15,20 +19,27 @@ equal scores; without any labelled row the voters alone decide; an empty table g
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import partial
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scribeflow.llm.common import SpanHash, mix, slices, text_bytes, texts, word_spans
+from scribeflow.llm.common import SpanHash, mix, release, slices, stage, text_bytes, texts, trim, word_spans
 from scribeflow.llm.windows import _rows
+from scribeflow.sources.reference import by_key
 
-#: Bound of the training sample.
-SAMPLE_ROWS = 8_000
 FOLDS = 5
+#: Features whose sums are added in one group.
+_RANGE = 1 << 14
+#: Text bytes whose features are made at a time: their sorting stays in a core's cache.
+_FEW = 1 << 18
+#: Posteriors are added in whole numbers, so that a sum does not depend on the order of tasks.
+_UNIT = 1 << 24
 BITS = 20
 #: Word beginnings that are features of their own, in bytes.
 BEGINNINGS = (4, 6, 7)
@@ -55,7 +66,9 @@ PATTERNS = {
     "masked": rb"\b[a-z]+\*{2,}[a-z]*|[@#$%&]{3,}",
     "go_away": rb"\b(?:shut up|get lost|go away|drop dead)\b",
 }
-
+#: Strings of which each hit has one, where the marks of ``masked`` are written alike.
+NEEDED = {"address": (b"you",), "shout": (b"!!",), "masked": (b"**", b"@@@"), "go_away": (b"shut up", b"get lost", b"go away", b"drop dead")}
+_MARKED = bytes(64 if chr(c) in "@#$%&" else c for c in range(256))
 
 _SPACED = bytes(32 if chr(c) in ".,;:!?\"()[]" else c for c in range(256))
 
@@ -119,9 +132,11 @@ def number_of(words: str) -> np.ndarray:
 
 
 def pattern_votes(raw: list[bytes]) -> np.ndarray:
-    """A column of votes for each pattern: toxic where it occurs."""
-    found = [re.compile(p) for p in PATTERNS.values()]
-    return np.array([[TOXIC if p.search(low) else NONE for p in found] for low in (x.lower() for x in raw)], np.int8).reshape(-1, len(found))
+    """A column of votes for each pattern: toxic where it occurs.  A pattern is searched for only
+    where a string is that each of its hits has."""
+    found = [(re.compile(p), NEEDED[name]) for name, p in PATTERNS.items()]
+    return np.array([[TOXIC if any(x in marked for x in needed) and p.search(low) else NONE for p, needed in found]
+                     for low in (x.lower() for x in raw) for marked in (low.translate(_MARKED),)], np.int8).reshape(-1, len(found))
 
 
 def lexicon_votes(row: np.ndarray, number: np.ndarray, rows: int, lexicons: list[np.ndarray]) -> np.ndarray:
@@ -137,58 +152,56 @@ def lexicon_votes(row: np.ndarray, number: np.ndarray, rows: int, lexicons: list
     return np.stack(out, axis=1).astype(np.int8) if rows else np.zeros((0, 2 * len(lexicons) + 1), np.int8)
 
 
-def mined_lexicons(row: np.ndarray, number: np.ndarray, label: np.ndarray, groups: int = 4, least: int = 5, most: int = 200) -> list[np.ndarray]:
-    """Words that labelled toxic texts have far more often than the others, dealt into groups."""
-    known = label[row] != NONE
-    size = _SIZE
-    bad = np.bincount(number[known & (label[row] == TOXIC)], minlength=size)
-    good = np.bincount(number[known & (label[row] == CLEAN)], minlength=size)
-    n_bad, n_good = max(1, int((label == TOXIC).sum())), max(1, int((label == CLEAN).sum()))
-    rate_bad, rate_good = (bad + 0.1) / n_bad, (good + 0.1) / n_good
-    lift = np.where(bad >= max(least, 0.02 * n_bad), rate_bad * np.log(rate_bad / rate_good), 0)
-    top = np.argsort(-lift, kind="stable")[:most]
-    top = top[(lift[top] > 0) & (rate_bad[top] > 8 * rate_good[top])]
-    return [top[k::groups] for k in range(groups)]
-
-
 class LabelModel:
-    """Class prior and, for each voter, its votes given the class and its parent's vote."""
-
-    def __init__(self, votes: np.ndarray, rounds: int = 25, prior: float = 0.15):
-        n, k = votes.shape
-        self.prior = prior
-        # first guess: any vote against none
-        toxic, clean = (votes == TOXIC).sum(1), (votes == CLEAN).sum(1)
-        p = np.where(toxic > clean, 0.9, np.where(clean > 0, 0.03, prior))
-        self.parent = np.full(k, -1)
-        for step in range(rounds):
+    """Class prior and, for each voter, its votes given the class and its parent's vote.  ``votes``:
+    a row a text, or what adds up ``moments`` over rows elsewhere, given the guess of the class."""
+
+    def __init__(self, votes: np.ndarray | Callable, rounds: int = 25, prior: float = 0.15):
+        gather = votes if callable(votes) else lambda guess: moments(votes, np.ones(len(votes)), guess(votes))
+        guess, self.prior, self.tables = partial(first_guess, prior), prior, []
+        for step in range(rounds + 1):
+            joint = gather(guess)
+            k = joint.shape[1] // 3
+            n, toxic = joint[:, :3, :3].sum(), joint[1, :3, :3].sum()
+            if step:
+                self.prior = float(np.clip(toxic / n, 0.01, 0.6)) if n else prior
+            else:
+                self.parent = np.full(k, -1)
+            if step == rounds:
+                break
             if step == 5:
-                self.parent = self._tree(votes, p)
-            self._fit(votes, p)
-            p = self.posterior(votes)
-            self.prior = float(np.clip(p.mean(), 0.01, 0.6)) if n else prior
+                self.parent = self._parents(joint)
+            self._fit(joint)
+            guess = self.guess()
 
-    def _fit(self, votes: np.ndarray, p: np.ndarray) -> None:
+    def _fit(self, joint: np.ndarray) -> None:
         self.tables = []
-        for j in range(votes.shape[1]):
-            own, up = votes[:, j].astype(int), (votes[:, self.parent[j]].astype(int) if self.parent[j] >= 0 else np.zeros(len(votes), int))
+        for j in range(joint.shape[1] // 3):
+            up, own = self.parent[j], slice(3 * j, 3 * j + 3)
             table = np.empty((2, 3, 3))
-            for y, w in ((0, 1 - p), (1, p)):
-                flat = np.bincount(own, weights=w, minlength=3) + 1.0
+            for y in (0, 1):
+                both = np.zeros((3, 3))
+                if up >= 0:
+                    both += joint[y, 3 * up:3 * up + 3, own]
+                else:
+                    both[0] = joint[y, own, own].diagonal()
+                flat = joint[y, own, own].diagonal() + 1.0
                 flat[TOXIC if y else CLEAN] += 2.0  # voters are better than chance to begin with
-                joint = np.bincount(up * 3 + own, weights=w, minlength=9).reshape(3, 3) + 3 * flat / flat.sum()
-                table[y] = joint / joint.sum(1, keepdims=True)
+                both += 3 * flat / flat.sum()
+                table[y] = both / both.sum(1, keepdims=True)
             self.tables.append(np.log(table))
 
     def _tree(self, votes: np.ndarray, p: np.ndarray) -> np.ndarray:
+        return self._parents(moments(votes, np.ones(len(votes)), p))
+
+    def _parents(self, joint: np.ndarray) -> np.ndarray:
         """Maximum spanning tree of the voters' mutual information given the class; weak ties are left out."""
-        n, k = votes.shape
+        k, n = joint.shape[1] // 3, joint[:, :3, :3].sum()
         tie = np.zeros((k, k))
         for i in range(k):
             for j in range(i):
-                for w in (1 - p, p):
-                    q = np.bincount(votes[:, i].astype(int) * 3 + votes[:, j], weights=w, minlength=9).reshape(3, 3) + 1e-9
-                    q /= max(1, n)
+                for y in (0, 1):
+                    q = (joint[y, 3 * i:3 * i + 3, 3 * j:3 * j + 3] + 1e-9) / max(1, n)
                     tie[i, j] += (q * np.log(q * q.sum() / np.outer(q.sum(1), q.sum(0)))).sum()
                 tie[j, i] = tie[i, j]
         parent, inside = np.full(k, -1), [0] if k else []
@@ -199,88 +212,272 @@ class LabelModel:
             inside.append(j)
         return parent
 
+    def guess(self) -> Callable[[np.ndarray], np.ndarray]:
+        """A function for tasks, from votes to the chance that the class is toxic."""
+        return partial(_posterior, self.prior, self.parent, self.tables)
+
     def posterior(self, votes: np.ndarray) -> np.ndarray:
-        odds = np.full(len(votes), np.log(self.prior / (1 - self.prior)))
-        for j, table in enumerate(self.tables):
-            own, up = votes[:, j].astype(int), (votes[:, self.parent[j]].astype(int) if self.parent[j] >= 0 else np.zeros(len(votes), int))
-            odds += table[1, up, own] - table[0, up, own]
-        return 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
-
-
-def train(row: np.ndarray, number: np.ndarray, p: np.ndarray, words: int = 8000, l2: float = 0.5, steps: int = 300,
-          unsure: float = 0.02) -> Model:
-    """Sparse logistic regression on soft labels, kept ``unsure`` away from 0 and 1: the
-    ``words`` features that part the classes most surely, by accelerated gradient steps."""
-    size, n = _SIZE, len(p)
-    weights = np.zeros(size, np.float32)
-    if not n:
-        return Model(weights, -2.0)
-    p = np.clip(p, unsure, 1 - unsure)
-    total, toxic = np.bincount(number, minlength=size), np.bincount(number, weights=p[row], minlength=size)
-    rate = p.mean()
-    sure = np.where(total >= 4, np.abs(toxic - total * rate) / np.sqrt(total * rate * (1 - rate) + 1e-9), 0)
-    used = np.argsort(-sure, kind="stable")[:words]
-    used = used[sure[used] > 2]
-    place = np.full(size, -1)
-    place[used] = np.arange(len(used))
-    keep = place[number] >= 0
-    r, c = row[keep], place[number[keep]]
-
-    def times(w: np.ndarray) -> np.ndarray:
-        return np.bincount(r, weights=w[c], minlength=n)
-
-    # the step from the largest curvature, by power iteration
-    v = np.ones(len(used))
-    top = 1.0
-    for _ in range(10 if len(used) else 0):
-        v = np.bincount(c, weights=times(v)[r], minlength=len(used))
-        top = max(1.0, float(np.linalg.norm(v)))
-        v /= top
-    step = 1 / (0.25 * (top + n) + l2)
-    w, look, b, look_b = np.zeros(len(used)), np.zeros(len(used)), np.log(rate / (1 - rate)), np.log(rate / (1 - rate))
-    for k in range(steps):
-        d = 1 / (1 + np.exp(-np.clip(times(look) + look_b, -30, 30))) - p
-        new, new_b = look - step * (np.bincount(c, weights=d[r], minlength=len(used)) + l2 * look), look_b - step * d.sum()
-        m = k / (k + 3)
-        look, look_b, w, b = new + m * (new - w), new_b + m * (new_b - b), new, new_b
-    weights[used] = w
-    return Model(weights, float(b))
-
-
-def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
-    """Voters, label model and classifier from a bounded sample outside the held-out fold."""
-    known = labels.where("toxic is not null").groupBy(labels["doc_id"].cast("long").alias("id")).agg(F.max("toxic").cast("int").alias("toxic"))
-    pool = texts(docs).where(~held_out(F.col("doc_id")) & F.col("doc_id").isNotNull())
-    # labelled rows first: they fill up to four fifths of the sample
-    ids = pool.select("doc_id").distinct().join(known, F.col("doc_id") == F.col("id"), "left").select("doc_id", "toxic")
-    given, rest = ids.agg(F.count("toxic"), F.count(F.when(F.col("toxic").isNull(), 1))).first()
-    draw = F.xxhash64("doc_id", F.lit("toxicity")) / F.lit(2.0 ** 64) + 0.5
-    share = F.when(F.col("toxic").isNotNull(), F.lit(min(1.0, 0.8 * sample_rows / max(1, given)))).otherwise(F.lit(min(1.0, 0.2 * sample_rows / max(1, rest))))
-    picked = ids.where(draw < share)
+        return self.guess()(votes)
+
+
+def _posterior(prior: float, parent: np.ndarray, tables: list[np.ndarray], votes: np.ndarray) -> np.ndarray:
+    odds = np.full(len(votes), np.log(prior / (1 - prior)))
+    for j, table in enumerate(tables):
+        own, up = votes[:, j].astype(int), (votes[:, parent[j]].astype(int) if parent[j] >= 0 else np.zeros(len(votes), int))
+        odds += table[1, up, own] - table[0, up, own]
+    return 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
+
+
+def first_guess(prior: float, votes: np.ndarray) -> np.ndarray:
+    """Any vote against none."""
+    toxic, clean = (votes == TOXIC).sum(1), (votes == CLEAN).sum(1)
+    return np.where(toxic > clean, 0.9, np.where(clean > 0, 0.03, prior))
+
+
+def moments(votes: np.ndarray, times: np.ndarray, p: np.ndarray) -> np.ndarray:
+    """For clean and for toxic: how often each vote of each voter meets each vote of each voter."""
+    hot = (votes[:, :, None] == np.arange(3)).reshape(len(votes), 3 * votes.shape[1]).astype(float)
+    return np.stack([(hot * (times * w)[:, None]).T @ hot for w in (1 - p, p)])
+
+
+def pack_numbers(number: np.ndarray) -> bytes:
+    """Rising feature numbers in three planes: low bytes, and the steps of the rest in two."""
+    step = np.diff(number >> 8, prepend=0)
+    return b"".join(x.astype(np.uint8).tobytes() for x in (number & 255, step & 255, step >> 8))
+
+
+def unpack_numbers(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Row and number of the features of several rows."""
+    flat = np.frombuffer(b"".join(blobs), np.uint8).astype(np.int64)
+    size = np.array([len(x) // 3 for x in blobs], np.int64)
+    row, before = np.repeat(np.arange(len(blobs)), size), np.cumsum(size) - size
+    at = np.arange(size.sum()) + 2 * before[row]
+    upper = np.cumsum(flat[at + size[row]] + (flat[at + 2 * size[row]] << 8))
+    upper -= np.concatenate(([0], upper))[before][row]
+    return row, (upper << 8) + flat[at]
+
+
+def _pool(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """label, numbers, votes (of the patterns) of every row outside the held-out fold."""
+    known = labels.where("toxic is not null").groupBy(labels["doc_id"].cast("long").alias("id")).agg(F.max("toxic").cast("long").alias("toxic"))
 
     def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for label, ids_, raw in _rows(batches):
+        for _, ids, raw in _rows(batches, _FEW):
             row, number = features(raw)
-            votes = pattern_votes(raw)
             cuts = np.searchsorted(row, np.arange(len(raw) + 1))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids_, pa.int64()), pa.array(label, pa.int64()),
-                 pa.array([number[a:b].astype("<i4").tobytes() for a, b in zip(cuts[:-1], cuts[1:])], pa.binary()),
-                 pa.array([v.tobytes() for v in votes], pa.binary())], names=["doc_id", "label", "numbers", "votes"])
-
-    sample = (pool.join(picked, "doc_id").select(F.coalesce("toxic", F.lit(NONE)).cast("long").alias("rk"), "doc_id", "text")
-              .mapInArrow(part, "doc_id long, label long, numbers binary, votes binary").toArrow())
-    order = np.argsort(sample["doc_id"].to_numpy(), kind="stable")  # the same fit whatever order tasks end in
-    label = sample["label"].to_numpy()[order].astype(int)
-    numbers = [np.frombuffer(sample["numbers"][int(k)].as_py(), "<i4") for k in order]
-    row = np.repeat(np.arange(len(order), dtype=np.int32), [len(x) for x in numbers])
-    number = np.concatenate([np.zeros(0, np.int32), *numbers])
-    del numbers
-    patterns = np.array([np.frombuffer(sample["votes"][int(k)].as_py(), np.int8) for k in order], np.int8).reshape(-1, len(PATTERNS))
-    lexicons = [number_of(x) for x in LEXICONS.values()] + mined_lexicons(row, number, label)
-    del sample
-    votes = np.concatenate((label[:, None].astype(np.int8), lexicon_votes(row, number, len(order), lexicons), patterns), axis=1)
-    return train(row, number, LabelModel(votes).posterior(votes) if len(votes) else np.zeros(0))
+                [pa.array(ids, pa.int64()), pa.array([pack_numbers(number[a:b]) for a, b in zip(cuts[:-1], cuts[1:])], pa.binary()),
+                 pa.array([v.tobytes() for v in pattern_votes(raw)], pa.binary())], names=["doc_id", "numbers", "votes"])
+
+    pool = texts(docs).where(~held_out(F.col("doc_id")) & F.col("doc_id").isNotNull()).withColumn("rk", F.lit(0).cast("long"))
+    pool = pool.mapInArrow(part, "doc_id long, numbers binary, votes binary")
+    return pool.join(by_key(known), F.col("doc_id") == F.col("id"), "left").select(
+        F.coalesce("toxic", F.lit(NONE)).cast("long").alias("label"), "numbers", "votes")
+
+
+def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """label, row and number of the features, votes of the patterns."""
+    for batch in slices(batches, 1024):
+        label, numbers, votes = (batch.column(c).to_pylist() for c in ("label", "numbers", "votes"))
+        yield np.array(label, np.int8), *unpack_numbers(numbers), np.frombuffer(b"".join(votes), np.int8).reshape(-1, len(PATTERNS))
+
+
+def _votes(label: np.ndarray, row: np.ndarray, number: np.ndarray, patterns: np.ndarray, lexicons: list[np.ndarray]) -> np.ndarray:
+    return np.concatenate((label[:, None], lexicon_votes(row, number, len(label), lexicons), patterns), axis=1)
+
+
+def _best(pool: DataFrame, counts: Callable, weigh: Callable, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """The ``most`` features of the largest weight above 0, and their sums: ``counts`` gives two
+    whole numbers for each feature of some rows, ``weigh`` the weight of their sums over all rows."""
+
+    def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((2, _SIZE), np.int64)
+        for some in _read(batches):
+            total += counts(*some)
+        for a in range(0, _SIZE, _RANGE):
+            own = total[:, a:a + _RANGE]
+            at = np.flatnonzero(own.any(0))
+            if len(at):
+                yield pa.RecordBatch.from_arrays([pa.array([a], pa.int64()), pa.array([at.astype("<u2").tobytes()]), pa.array([own[:, at].tobytes()])],
+                                                 names=["first", "place", "sums"])
+
+    def add(group: pd.DataFrame) -> pd.DataFrame:
+        total = np.zeros((2, _RANGE), np.int64)
+        for place, sums in zip(group["place"], group["sums"]):
+            total[:, np.frombuffer(place, "<u2")] += np.frombuffer(sums, np.int64).reshape(2, -1)
+        weight = weigh(total)
+        at = np.flatnonzero(weight > 0)
+        at = at[np.argsort(-weight[at], kind="stable")[:most]]
+        return pd.DataFrame({"number": group["first"].iloc[0] + at, "weight": weight[at], "a": total[0, at], "b": total[1, at]})
+
+    sums = pool.mapInArrow(part, "first long, place binary, sums binary").groupBy("first")
+    best = sums.applyInPandas(add, "number long, weight double, a long, b long").orderBy(F.desc("weight"), "number").limit(most).collect()
+    return np.array([r["number"] for r in best], np.int64), np.array([(r["a"], r["b"]) for r in best], np.int64).reshape(-1, 2)
+
+
+def _count(number: np.ndarray, weights: np.ndarray | None = None) -> np.ndarray:
+    return np.bincount(number, weights, _SIZE).astype(np.int64)
+
+
+def mined_lexicons(pool: DataFrame, groups: int = 4, least: int = 5, most: int = 200) -> list[np.ndarray]:
+    """Words that labelled toxic texts have far more often than the others, dealt into groups."""
+    rows = {r["label"]: r["count"] for r in pool.groupBy("label").count().collect()}
+    n_bad, n_good = max(1, rows.get(TOXIC, 0)), max(1, rows.get(CLEAN, 0))
+
+    def counts(label, row, number, _) -> np.ndarray:
+        return np.stack([_count(number[label[row] == y]) for y in (TOXIC, CLEAN)])
+
+    def rates(sums: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return (sums[0] + 0.1) / n_bad, (sums[1] + 0.1) / n_good
+
+    def lift(sums: np.ndarray) -> np.ndarray:
+        bad, good = rates(sums)
+        return np.where(sums[0] >= max(least, 0.02 * n_bad), bad * np.log(bad / good), 0)
+
+    top, sums = _best(pool, counts, lift, most)
+    bad, good = rates(sums.T)
+    top = top[bad > 8 * good]
+    return [top[k::groups] for k in range(groups)]
+
+
+def _ballots(pool: DataFrame, lexicons: list[np.ndarray]) -> DataFrame:
+    """Equal rows of votes and how many there are."""
+
+    def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for some in _read(batches):
+            votes, times = np.unique(_votes(*some, lexicons), axis=0, return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array([v.tobytes() for v in votes], pa.binary()), pa.array(times, pa.int64())], names=["votes", "n"])
+
+    return pool.mapInArrow(part, "votes binary, n long").groupBy("votes").agg(F.sum("n").alias("n"))
+
+
+def _over(ballots: DataFrame, voters: int, sums: Callable) -> np.ndarray:
+    """The sum of ``sums(votes, times)`` over all rows of votes."""
+
+    def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = sums(np.zeros((0, voters), np.int8), np.zeros(0))
+        for batch in slices(batches, 4096):
+            votes = np.frombuffer(b"".join(batch.column("votes").to_pylist()), np.int8).reshape(-1, voters)
+            total = total + sums(votes, batch.column("n").to_numpy(zero_copy_only=False).astype(float))
+        yield pa.RecordBatch.from_arrays([pa.array([np.asarray(total, float).tobytes()], pa.binary())], names=["blob"])
+
+    parts = [np.frombuffer(r["blob"]) for r in ballots.mapInArrow(part, "blob binary").collect()]
+    return np.sum(parts, axis=0).reshape(np.shape(sums(np.zeros((0, voters), np.int8), np.zeros(0))))
+
+
+def _soft(guess: Callable, unsure: float, votes: np.ndarray) -> np.ndarray:
+    """Posteriors in whole units of ``_UNIT``, kept ``unsure`` away from 0 and 1."""
+    return np.rint(np.clip(guess(votes), unsure, 1 - unsure) * _UNIT)
+
+
+def train(pool: DataFrame, soft: Callable, rate: float, words: int = 8000, l2: float = 0.5, steps: int = 60) -> Model:
+    """Sparse logistic regression on the soft labels ``soft`` gives: the ``words`` features that part
+    the classes most surely, by L-BFGS; each step sums loss and gradient over all rows."""
+
+    def counts(label, row, number, patterns) -> np.ndarray:
+        return np.stack((_count(number), _count(number, soft(label, row, number, patterns)[row])))
+
+    def surely(sums: np.ndarray) -> np.ndarray:
+        total, toxic = sums[0], sums[1] / _UNIT
+        sure = np.where(total >= 4, np.abs(toxic - total * rate) / np.sqrt(total * rate * (1 - rate) + 1e-9), 0)
+        return np.where(sure > 2, sure, 0)
+
+    used, _ = _best(pool, counts, surely, words)
+    size = len(used)
+    start = float(np.log(rate / (1 - rate)))
+    if not size:
+        return Model(np.zeros(_SIZE, np.float32), start)
+
+    def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place = np.full(_SIZE, -1)
+        place[used] = np.arange(size)
+        for label, row, number, patterns in _read(batches):
+            p = soft(label, row, number, patterns) / _UNIT
+            at = place[number]
+            keep = at >= 0
+            have = np.bincount(row[keep], minlength=len(p))
+            yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in (at[keep].astype("<u2"), have.astype("<i4"), p)],
+                                             names=["places", "have", "p"])
+
+    table = stage(pool.mapInArrow(part, "places binary, have binary, p binary"), "toxicity-train")
+
+    def slope(w: np.ndarray) -> tuple[float, np.ndarray]:
+        def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total = np.zeros(size + 2)
+            for batch in batches:
+                for places, have, p in zip(*(batch.column(c).to_pylist() for c in ("places", "have", "p"))):
+                    c, p = np.frombuffer(places, "<u2"), np.frombuffer(p)
+                    r = np.repeat(np.arange(len(p)), np.frombuffer(have, "<i4"))
+                    z = np.bincount(r, w[c], len(p)) + w[size]
+                    d = 1 / (1 + np.exp(-np.clip(z, -30, 30))) - p
+                    total[:size] += np.bincount(c, d[r], size)
+                    total[size:] += d.sum(), (np.logaddexp(0, z) - p * z).sum()
+            trim()
+            yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["blob"])
+
+        total = np.sum([np.frombuffer(r["blob"]) for r in table.mapInArrow(part, "blob binary").collect()], axis=0)
+        total[:size] += l2 * w[:size]
+        return float(total[-1] + 0.5 * l2 * w[:size] @ w[:size]), total[:-1]
+
+    w = minimum(slope, np.append(np.zeros(size), start), steps)
+    release(table)
+    weights = np.zeros(_SIZE, np.float32)
+    weights[used] = w[:size]
+    return Model(weights, float(w[size]))
+
+
+def minimum(slope: Callable, w: np.ndarray, steps: int, memory: int = 10, enough: float = 1e-6) -> np.ndarray:
+    """Where a smooth convex function is least, by L-BFGS: ``slope`` gives its value and gradient.
+    Ends when a step lowers the value by less than ``enough`` of it."""
+    value, g = slope(w)
+    past: list[tuple[np.ndarray, np.ndarray]] = []
+    for _ in range(steps):
+        d, alphas = -g, []
+        for s, y in reversed(past):
+            alphas.append((s @ d) / (s @ y))
+            d = d - alphas[-1] * y
+        if past:
+            s, y = past[-1]
+            d = d * ((s @ y) / (y @ y))
+        else:
+            d = d / max(1.0, float(np.linalg.norm(g)))
+        for (s, y), alpha in zip(past, reversed(alphas)):
+            d = d + (alpha - (y @ d) / (s @ y)) * s
+        far = 1.0
+        for _ in range(20):
+            new = w + far * d
+            new_value, new_g = slope(new)
+            if new_value <= value + 1e-4 * far * (g @ d):
+                break
+            far /= 2
+        else:
+            break
+        s, y = new - w, new_g - g
+        less = value - new_value
+        w, value, g = new, new_value, new_g
+        if s @ y > 1e-12:
+            past = [*past[1 - memory:], (s, y)]
+        if less <= enough * max(1.0, abs(value)):
+            break
+    return w
+
+
+def fit(docs: DataFrame, labels: DataFrame, unsure: float = 0.02) -> Model:
+    """Voters, label model and classifier from all rows outside the held-out fold."""
+    pool = stage(_pool(docs, labels), "toxicity-pool")
+    lexicons = [number_of(x) for x in LEXICONS.values()] + mined_lexicons(pool)
+    ballots = stage(_ballots(pool, lexicons), "toxicity-votes")
+    rows = int(ballots.agg(F.sum("n")).first()[0] or 0)
+    if not rows:
+        release(pool, ballots)
+        return Model(np.zeros(_SIZE, np.float32), -2.0)
+    voters = 2 + 2 * len(lexicons) + len(PATTERNS)
+    guess = LabelModel(lambda guess: _over(ballots, voters, lambda votes, times: moments(votes, times, guess(votes)))).guess()
+    own = partial(_soft, guess, unsure)
+    rate = float(_over(ballots, voters, lambda votes, times: np.array([own(votes) @ times]))[0]) / _UNIT / rows
+    model = train(pool, lambda *some: own(_votes(*some, lexicons)), rate)
+    release(pool, ballots)
+    return model
 
 
 def scorer(spark, model: Model):
@@ -312,7 +509,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
     def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         score = score_of()
-        for _, ids, raw in _rows(batches):
+        for _, ids, raw in _rows(batches, _FEW):
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(score(raw))], names=["doc_id", "score"])
 
     scored = texts(docs).withColumn("rk", F.lit(0).cast("long")).mapInArrow(part, "doc_id long, score double")
