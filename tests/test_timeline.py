@@ -128,3 +128,21 @@ def test_merged_sketches_answer_like_exact_counts(spark):
     empty = rollups.answers(rollups.sketches(df.where("isnan(v)"), ["d"], "who", "v"), [0.5])
     assert {r["q50"] for r in empty.collect()} == {None}
     assert rollups.answers(rollups.sketches(df.where("false"), ["d"], "who", "v"), [0.5]).count() == 0
+
+
+def test_intervals_go_to_the_levels_they_can_meet(spark):
+    day = timeline.DAY
+    d = spark.createDataFrame([(k * day, (k + n) * day, level) for k in range(40) for n, level in ((1, 0), (3, 2), (30, 5), (50, 6))], "s long, e long, level int")
+    rows = {r["level"]: {x["at"] for x in g} for r in d.select("level").distinct().collect()
+            for g in [timeline.cells(d.where(f"level = {r['level']}"), [5], day).collect()] if len(g) <= 80}
+    assert rows == {0: {5}, 2: {5}, 5: {5}, 6: {6}}
+    assert timeline.cells(d, [], day).count() == 0
+
+
+def test_fixture_texts_are_dealt_by_their_bytes(spark, tmp_path, monkeypatch):
+    from scribeflow.sources import fixtures as fx
+
+    spark.createDataFrame([(k, f"word{k % 10} " * 10) for k in range(200)], "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    monkeypatch.setattr(fx, "PART_BYTES", 200)
+    assert fx.ocr_words(spark, str(tmp_path)).select(F.spark_partition_id()).distinct().count() > 32
+    assert [fx.parts(n) for n in (None, 0, 200 * 50, 200 * 50 + 1)] == [32, 32, 50, 51]
