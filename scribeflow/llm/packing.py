@@ -96,17 +96,25 @@ def replace(lengths: np.ndarray, bins: np.ndarray, displaced: np.ndarray, room:
     -1 for displaced pieces.  Returns the pieces that are displaced afterwards."""
     by_length = displaced[np.argsort(-lengths[displaced], kind="stable")]
     out = by_length[REPLACED:].tolist()
+    # only a piece of a bin with free space can yield to a longer one, and one that is put in here is
+    # no shorter than those that follow
+    held = np.flatnonzero(bins >= 0)
+    held = held[room[bins[held]] > 0]
+    size, own = lengths[held], bins[held]
+    reach, none = size + room[own], np.iinfo(np.int64).max
     for k in by_length[:REPLACED].tolist():
-        gain = lengths[k] - lengths
-        left = np.where(bins >= 0, room[bins] - gain, -1)
-        left[(gain <= 0) | (left < 0)] = np.iinfo(np.int64).max
-        at = int(left.argmin())
-        if left[at] == np.iinfo(np.int64).max:
+        need = lengths[k]
+        fits = np.where((size < need) & (reach >= need), reach, none)
+        at = int(fits.argmin()) if len(fits) else -1
+        if at < 0 or fits[at] == none:
             out.append(k)
             continue
-        bins[k], bins[at] = bins[at], -1
-        room[bins[k]] = left[at]
-        out.append(at)
+        b, taken = own[at], need - size[at]
+        bins[k], bins[held[at]] = b, -1
+        room[b] -= taken
+        reach[own == b] -= taken
+        size[at] = none
+        out.append(int(held[at]))
     return np.array(out, np.int64)
 
 
@@ -247,8 +255,10 @@ def _pack(rows: DataFrame, groups: int, first_id: int, capacity: int, name: str)
         # the first island starts from the best fit, the others from packings of their own
         state = above.select("grp", "lengths", "elite", F.explode(F.array(*[F.lit(i) for i in range(ISLANDS)])).alias("island")).withColumn(
             "elites", F.when(F.col("island") == 0, F.array("elite")).otherwise(F.array().cast("array<binary>")))
+        # by number: the few bytes of an island would be put together to one task
+        tasks = min(groups * ISLANDS, max(rows.sparkSession.sparkContext.defaultParallelism, groups // 4))
         for epoch in range(EPOCHS):
-            done = stage(_epoch(state.repartition("grp", "island"), epoch, capacity), f"{name}-epoch")
+            done = stage(_epoch(state.repartition(tasks, "grp", "island"), epoch, capacity), f"{name}-epoch")
             found = found.unionByName(done)
             # the elite moves on to the next island of its group, until one of the group is at the bound
             moved = done.select("grp", ((F.col("island") + 1) % ISLANDS).alias("island"), F.col("elite").alias("guest"))
