@@ -13,6 +13,9 @@ import os
 import re
 
 import numpy as np
+from pyspark import TaskContext
+
+from scribeflow.llm import common
 
 #: Entries in each generation of the memo.  When the young one is full it becomes the old one
 #: and what is asked for again moves up, so memory is bounded and frequent words stay.
@@ -26,6 +29,22 @@ _WORD_CUT = re.compile("[a-z\\u00df-\\u00f6\\u00f8-\\u00ff]+|[0-9]|'(?:s|t|re|ve
 _LETTERS = "A-Za-z\\u00c0-\\u00d6\\u00d8-\\u00f6\\u00f8-\\u00ff"
 _BYTE_CUT = re.compile(f" ?[{_LETTERS}]+| ?[0-9]+|'(?:s|t|re|ve|m|ll|d)| ?[^\\s0-9{_LETTERS}]+|\\s+(?!\\S)|\\s+")
 _ENCODERS: dict[tuple[str, bool], "Encoder"] = {}
+_USED_BY: set[int | None] = set()
+
+
+def _task() -> int | None:
+    context = TaskContext.get()
+    return context.taskAttemptId() if context else None
+
+
+def forget() -> None:
+    """Drop the encoders when a task that used none ends: tasks of other steps need the memory."""
+    if _task() not in _USED_BY:
+        _ENCODERS.clear()
+        _USED_BY.clear()
+
+
+common.FORGET.append(forget)
 
 
 class Memo:
@@ -65,7 +84,9 @@ class Encoder:
 
     @staticmethod
     def of(path: str, spaced: bool) -> "Encoder":
-        """One encoder per Python worker, so its memos outlive a task."""
+        """One encoder per Python worker, so its memos outlive a task; until one without use for it."""
+        _USED_BY.clear()
+        _USED_BY.add(_task())
         if (path, spaced) not in _ENCODERS:
             _ENCODERS[path, spaced] = Encoder(path, spaced)
         return _ENCODERS[path, spaced]

@@ -1,8 +1,9 @@
-"""Packing: pieces that cannot yield are not looked at, with the same packings."""
+"""Packing: pieces that cannot yield are not looked at, with the same packings.  A worker's encoder."""
 
 import numpy as np
 
-from scribeflow.llm import packing
+from scribeflow.llm import common, encoding, packing
+from scribeflow.llm.queries import vocabulary
 
 
 def plain_replace(lengths, bins, displaced, room):
@@ -51,3 +52,19 @@ def test_the_search_looks_only_at_pieces_of_bins_with_free_space(monkeypatch):
     monkeypatch.setattr(packing.np, "where", lambda c, *rest: seen.append(np.size(c)) or where(c, *rest))
     out = packing.replace(lengths, bins, np.array([2001]), room)
     assert out.tolist() == [2000] and bins[2001] == 1000 and room[1000] == 548 and max(seen) == 1
+
+
+def test_a_worker_keeps_its_encoder_only_from_one_encoding_task_to_the_next(monkeypatch):
+    monkeypatch.setattr(encoding, "_ENCODERS", {})
+    monkeypatch.setattr(encoding, "_USED_BY", set())
+    task = [1]
+    monkeypatch.setattr(encoding, "_task", lambda: task[0])
+    path = vocabulary("byte_bpe_50k.json")
+    first = encoding.Encoder.of(path, True)
+    common.trim()
+    task[0] = 2
+    assert encoding.Encoder.of(path, True) is first
+    common.trim()
+    task[0] = 3
+    common.trim()
+    assert not encoding._ENCODERS
