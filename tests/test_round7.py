@@ -1,6 +1,7 @@
 """Disk and time at size: what is shuffled, what is left behind."""
 
 import re
+import time
 
 from pyspark.sql import functions as F
 
@@ -21,3 +22,38 @@ def test_tokens_are_not_shuffled(spark):
     for k in texts:
         assert sorted(r["tok_idx"] for r in got if r["doc_id"] == k) == list(range(sum(r["doc_id"] == k for r in got)))
     assert sum(r["doc_id"] == 3 for r in got) == 12000
+
+
+def _shuffle_files(spark) -> int:
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return sum(files.apply(k).getName().startswith("shuffle_") for k in range(files.size()))
+
+
+def test_stage_tables_and_bundle_leave_no_shuffle_files(spark, tmp_path):
+    from scribeflow.plans.materialize import materialize
+    from scribeflow.sinks import writers as W
+
+    before = _shuffle_files(spark)
+    rows = spark.range(5000).withColumn("k", F.xxhash64("id")).repartition(5, "k")
+    counted = materialize(rows.groupBy("k").count(), "counted")
+    text = rows.select(F.col("id").alias("doc_id"), F.concat(F.lit("n"), "id").alias("file_name"), F.lit("a long text " * 20).alias("summary_text"))
+    W.write_summaries(text, str(tmp_path / "summary"), W.BUNDLE_CODEC)
+    W.write_json(text, str(tmp_path / "json"), W.BUNDLE_CODEC)
+    deadline = time.time() + 30
+    while _shuffle_files(spark) > before and time.time() < deadline:
+        time.sleep(0.2)  # they are deleted in the background
+    assert _shuffle_files(spark) <= before and counted.count() == 5000
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+    # 5,000 times 240 characters
+    for part in ("summary", "json"):
+        assert sum(f.stat().st_size for f in (tmp_path / part).iterdir()) < 200_000
+        assert spark.read.json(str(tmp_path / part)).select("doc_id", "summary_text").distinct().count() == 5000
+
+
+def test_hits_are_dropped_once_entities_are_written(spark):
+    from scribeflow.plans import pipeline as PL
+
+    docs = spark.createDataFrame([(1, "a.pdf", ".pdf", 5, "Hemoglobin: 9.1 g/dL. Diabetes.")], "doc_id long, file_name string, file_type string, file_size_bytes long, full_text string")
+    res = PL.run(docs, PL.Dictionaries.defaults(spark), active_stages=PL.TEXT_STAGES)
+    assert res.reports.count() == 1 and res.entities.count() > 0
+    assert not [f for df in res.stage_tables for f in df.inputFiles() if "/hits-" in f]
