@@ -58,3 +58,36 @@ def test_bound_of_words_near_a_candidate_holds():
         there = set(f[a:b].tolist())
         assert n == sum(int(x) in there for x in decontaminate.feature(own[k])) >= len(items.sets[k] & set(h[a:b].tolist()))
     assert len(decontaminate._at_most(lo[:0], hi[:0], ks[:0], f, decontaminate._before(f), items)) == 0
+
+
+def test_bm25_in_blocks_of_queries_and_shards(spark, rows, monkeypatch, tmp_path):
+    from scribeflow.llm import bm25
+    from tests.llm.conftest import SCHEMA
+
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    want = sorted(map(tuple, bm25.search(docs, k=4, every=2).collect()))
+    sent, broadcast = [], spark.sparkContext.broadcast
+    monkeypatch.setattr(spark.sparkContext, "broadcast", lambda x: sent.append(x) or broadcast(x))
+    monkeypatch.setattr(bm25, "QUERY_BYTES", 2000)
+    monkeypatch.setattr(bm25, "SHARD_BYTES", 1000)
+    monkeypatch.setattr(bm25, "POSTED_BYTES", 500)
+    got = bm25.search(docs, k=4, every=2)
+    # each query is sent once, in several blocks; the first broadcast is the word list
+    assert len(sent) > 4 and sum(len(x[0]) for x in sent[1:]) == len({r[4] for r in want})
+    assert sorted(map(tuple, got.collect())) == want
+    # what is stored of the postings and queries does not grow with the other
+    stored = [(f.split("/")[-2].split("-")[0]) for f in got.inputFiles()]
+    assert set(stored) == {"found"}
+
+
+def test_bm25_floor_of_shards_before_loses_nothing():
+    from scribeflow.llm import bm25
+
+    rng = np.random.default_rng(4)
+    n, per = 3 * bm25.BLOCK_DOCS, 6
+    row, term = np.repeat(np.arange(n), per), np.concatenate([rng.choice(50, per, replace=False) for _ in range(n)])
+    index = bm25.Index(np.arange(n), np.full(n, 9), row, term, rng.integers(1, 9, len(row)), 9.0)
+    ids, scores = index.top(np.arange(20), np.ones(20), 8)
+    for reached in (scores[-1], scores[3]):
+        near, own = index.top(np.arange(20), np.ones(20), 8, reached)
+        assert ids[scores >= reached].tolist() == near[own >= reached].tolist()
