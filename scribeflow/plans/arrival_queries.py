@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from scribeflow.plans.materialize import materialize, release, shuffles_dropped
 from scribeflow.plans.queries import register
 from scribeflow.plans.timeline_queries import table
 from scribeflow.session import scratch_path
@@ -18,12 +19,26 @@ from scribeflow.streaming import arrivals
 DAYS_A_BATCH, DELAY = 6, "2 days"
 
 
-def arriving(spark: SparkSession, rows: DataFrame, batch: str, n: int) -> str:
-    """``rows`` as files in order of their ``batch`` number, 0 to n - 1; one file, one micro-batch."""
-    path = scratch_path(spark, "arrivals")
-    for k in range(n):
-        rows.where(F.col(batch) == k).drop(batch).coalesce(1).write.mode("append").parquet(path)
-    return path
+#: Rows of a micro-batch that are written as one file; a larger one is several, written and read by as many tasks.
+FILE_ROWS = 250_000
+
+
+def arriving(spark: SparkSession, rows: DataFrame, batch: str, n: int) -> tuple[str, int]:
+    """``rows`` as files in order of their ``batch`` number, 0 to n - 1, and how many files a micro-batch has.
+    The rows are made once, not once for each batch."""
+    staged = materialize(rows, "arrivals-all")
+    least = min((r["count"] for r in staged.where(F.col(batch).between(0, n - 1)).groupBy(batch).count().collect()), default=0)
+    for files in dict.fromkeys((max(1, min(spark.sparkContext.defaultParallelism, least // FILE_ROWS)), 1)):
+        path = scratch_path(spark, "arrivals")
+        for k in range(n):
+            own = staged.where(F.col(batch) == k).drop(batch)
+            with shuffles_dropped(spark):
+                (own.coalesce(1) if files == 1 else own.repartition(files)).write.mode("append").parquet(path)
+        # each batch must have as many files, as they are told apart by their order alone
+        if files == 1 or len(spark.read.schema(rows.drop(batch).schema).parquet(path).inputFiles()) == n * files:
+            break
+    release(staged)
+    return path, files
 
 
 def _day(c: str = "ts"):
@@ -59,9 +74,9 @@ def q_stream_dedupe_late(spark, sf):
     """Each event's outcome: reported once, or its late arrivals in the dead-letter table.  A batch is
     judged by the watermark that the batch before it began with."""
     events = _arrivals(table(spark, sf, "events"))
-    path = arriving(spark, events, "batch", 8)
+    path, files = arriving(spark, events, "batch", 8)
     out, dead = scratch_path(spark, "reported"), scratch_path(spark, "dead-letter")
-    stream = arrivals.file_stream(spark, path, events.drop("batch").schema, 1)
+    stream = arrivals.file_stream(spark, path, events.drop("batch").schema, files)
     arrivals.start_deduplicated(stream, "event_id", "ts", DELAY, out, dead, scratch_path(spark, "dedupe"), available_now=True).awaitTermination()
     kept = spark.read.parquet(out).select("event_id", F.lit("reported").alias("outcome"))
     late = spark.read.parquet(dead).where("reason = 'late'").select("event_id", F.lit("late").alias("outcome"))
@@ -81,8 +96,8 @@ def q_stream_sessions(spark, sf):
     """Sessions of events with a gap of six hours, as far as the watermark has closed them (a day before the last event)."""
     events = table(spark, sf, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id", "value",
                                                F.least(F.floor(_day() / DAYS_A_BATCH).cast("int"), F.lit(4)).alias("batch"))
-    path, out = arriving(spark, events, "batch", 5), scratch_path(spark, "sessions")
-    stream = arrivals.file_stream(spark, path, events.drop("batch").schema, 1)
+    (path, files), out = arriving(spark, events, "batch", 5), scratch_path(spark, "sessions")
+    stream = arrivals.file_stream(spark, path, events.drop("batch").schema, files)
     closed = arrivals.sessions(stream, ["user_id"], "ts", "6 hours", "1 day",
                                {"n_events": F.count("*"), "value": F.sum(F.col("value").cast("decimal(18,2)")).cast("double")})
     arrivals.start_table(closed, out, scratch_path(spark, "sessions-checkpoint"), available_now=True).awaitTermination()
@@ -114,8 +129,8 @@ def q_stream_document_assembly(spark, sf):
              .select(F.col("l_orderkey").alias("doc_id"), F.col("l_linenumber").alias("page"), "n_pages",
                      F.concat(F.lit("part "), F.col("l_partkey").cast("string")).alias("text"),
                      F.timestamp_seconds(F.lit(1704067200) + batch * 3600).alias("at"), batch.alias("batch")))
-    path, out = arriving(spark, pages, "batch", 6), scratch_path(spark, "assembled")
-    stream = arrivals.file_stream(spark, path, pages.drop("batch").schema, 1)
+    (path, files), out = arriving(spark, pages, "batch", 6), scratch_path(spark, "assembled")
+    stream = arrivals.file_stream(spark, path, pages.drop("batch").schema, files)
     whole = arrivals.assembled(stream, "doc_id", "page", "n_pages", "text", "at", "0 seconds", int(_TIMEOUT_HOURS * 3_600_000))
     with arrivals.rocksdb(spark):
         arrivals.start_table(whole, out, scratch_path(spark, "assembly-checkpoint"), available_now=True).awaitTermination()

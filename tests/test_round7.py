@@ -2,6 +2,7 @@
 
 import re
 import time
+from pathlib import Path
 
 from pyspark.sql import functions as F
 
@@ -57,3 +58,54 @@ def test_hits_are_dropped_once_entities_are_written(spark):
     res = PL.run(docs, PL.Dictionaries.defaults(spark), active_stages=PL.TEXT_STAGES)
     assert res.reports.count() == 1 and res.entities.count() > 0
     assert not [f for df in res.stage_tables for f in df.inputFiles() if "/hits-" in f]
+
+
+def _orders(spark, d, orders=60):
+    spark.range(orders).selectExpr("id AS o_orderkey").write.parquet(f"{d}/orders.parquet")
+    spark.range(4 * orders).selectExpr(
+        f"id % {orders} AS l_orderkey", "id AS l_partkey", "id * 3 AS l_suppkey", f"CAST(id DIV {orders} AS int) AS l_linenumber",
+        "CAST(id % 50 AS double) AS l_quantity", "CAST(id AS double) AS l_extendedprice").write.parquet(f"{d}/lineitem.parquet")
+
+
+def test_value_search_copies_no_step_into_a_filter(spark, tmp_path):
+    from scribeflow.operators import extract as X
+    from scribeflow.plans import queries as Q
+
+    _orders(spark, str(tmp_path))
+    got = Q.q_value_unit_extract(spark, str(tmp_path))
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert not [x for x in plan.splitlines() if "Filter" in x and "substring" in x]
+    # the same rows as by the text after a hit
+    hits = X.gazetteer_hits(Q.cdocs(spark, str(tmp_path)), Q.lexicon(spark)).collect()
+    assert sorted((r["doc_id"], r["tok_pos"], r["name"]) for r in got.collect()) == sorted(
+        (h["doc_id"], h["tok_pos"], h["span_text"]) for h in hits if h["after"] is not None)
+
+
+def test_ocr_words_are_made_where_their_document_lies(spark, tmp_path, monkeypatch):
+    from scribeflow.plans import queries as Q
+
+    _orders(spark, str(tmp_path))
+    given, made = [], Q.fx.ocr_words_from
+    monkeypatch.setattr(Q.fx, "ocr_words_from", lambda d: given.append(d) or made(d))
+    assert Q.q_pipeline_ocr(spark, str(tmp_path)).count() == 60
+    assert "hashpartitioning(doc_id" in given[0]._jdf.queryExecution().executedPlan().toString()
+
+
+def test_arrivals_are_made_once_and_in_files_of_bounded_size(spark, monkeypatch):
+    from scribeflow.plans import arrival_queries as A
+
+    made = []
+    keep = A.materialize
+    monkeypatch.setattr(A, "materialize", lambda df, name: made.append(name) or keep(df, name))
+    monkeypatch.setattr(A, "FILE_ROWS", 100)
+    rows = spark.range(1200).select("id", (F.col("id") % 3).cast("int").alias("batch"))
+    path, files = A.arriving(spark, rows, "batch", 3)
+    assert made == ["arrivals-all"] and files == min(4, spark.sparkContext.defaultParallelism) > 1
+    found = sorted(Path(path).glob("*.parquet"), key=lambda f: (f.stat().st_mtime, f.name))
+    assert len(found) == 3 * files
+    for k in range(3):  # in order of time a batch's files come together
+        own = spark.read.parquet(*map(str, found[k * files:(k + 1) * files]))
+        assert {r["id"] % 3 for r in own.collect()} == {k} and own.count() == 400
+    # a batch too small for so many files, or empty, is one file each
+    path, files = A.arriving(spark, rows.where("batch <> 1 OR id < 9"), "batch", 4)
+    assert files == 1 and len(list(Path(path).glob("*.parquet"))) == 4
