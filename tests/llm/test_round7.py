@@ -91,3 +91,15 @@ def test_bm25_floor_of_shards_before_loses_nothing():
     for reached in (scores[-1], scores[3]):
         near, own = index.top(np.arange(20), np.ones(20), 8, reached)
         assert ids[scores >= reached].tolist() == near[own >= reached].tolist()
+
+
+def test_leaks_stage_of_the_pipeline_sums_all_texts(spark, monkeypatch, tmp_path):
+    import corpus_pipeline
+
+    spark.createDataFrame([(1, "one two three four five six seven eight nine ten")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = spark.range(25_000).select(F.col("id").alias("doc_id"), F.concat_ws(" ", F.lit("word"), F.col("id") % 5).alias("text"))
+    summed, plain = [], decontaminate._summed
+    monkeypatch.setattr(decontaminate, "_summed", lambda rows, width, of: summed.append(rows.count()) or plain(rows, width, of))
+    assert corpus_pipeline.drop_leaks(spark, docs, str(tmp_path)).count() == 25_000
+    # one pass, over every text
+    assert summed == [25_000]
