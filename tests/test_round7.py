@@ -38,8 +38,8 @@ def test_stage_tables_and_bundle_leave_no_shuffle_files(spark, tmp_path):
     rows = spark.range(5000).withColumn("k", F.xxhash64("id")).repartition(5, "k")
     counted = materialize(rows.groupBy("k").count(), "counted")
     text = rows.select(F.col("id").alias("doc_id"), F.concat(F.lit("n"), "id").alias("file_name"), F.lit("a long text " * 20).alias("summary_text"))
-    W.write_summaries(text, str(tmp_path / "summary"), W.BUNDLE_CODEC)
-    W.write_json(text, str(tmp_path / "json"), W.BUNDLE_CODEC)
+    W.write_summaries(text, str(tmp_path / "summary"), "gzip")
+    W.write_json(text, str(tmp_path / "json"), "gzip")
     deadline = time.time() + 30
     while _shuffle_files(spark) > before and time.time() < deadline:
         time.sleep(0.2)  # they are deleted in the background
